@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tocsin.functions import codec
@@ -17,35 +17,39 @@ class Decoded(NamedTuple):
     quarantine: DataFrame
 
 
+def _computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that the optimizer will not copy into each filter and projection above it.
+
+    It does that to plain columns, which would parse a payload again for every use of a field.
+    """
+    return rows.withColumn(name, F.explode(F.array(value)))
+
+
 def _decode(payloads: DataFrame, fields: list[tuple[str, str, str]]) -> Decoded:
     apply_conf(payloads.sparkSession, DECODE_CONF)
     envelope = [F.col(name) for name in payloads.columns if name != "value"]
-    parsed = payloads.withColumn("_text", codec.payload_text(F.col("value"))).withColumn(
-        "_parsed", codec.parse_payload(F.col("_text"), fields)
-    )
-    tagged = parsed.withColumns(
-        {f"_tag_{column}": F.schema_of_variant(F.col("_parsed")[key]) for column, key, _ in fields}
+    text = codec.payload_text(F.col("value"))
+    parsed = _computed_once(payloads, "_parsed", codec.parse_payload(text, fields))
+    tags = F.struct(
+        *[F.schema_of_variant(F.col("_parsed")[key]).alias(column) for column, key, _ in fields]
     )
-    errors = [
-        codec.field_error(F.col("_parsed")[key], F.col(f"_tag_{column}"), kind)
-        for column, key, kind in fields
-    ]
-    values = [
-        codec.field_value(F.col("_parsed")[key], F.col(f"_tag_{column}"), kind).alias(column)
-        for column, key, kind in fields
-    ]
-    judged = tagged.withColumn(
-        "_reason",
-        F.coalesce(
-            codec.envelope_error(F.col("_text"), F.col("_parsed")),
-            *errors,
-            codec.id_error(F.col("_tag_id")),
-        ),
+    tagged = _computed_once(parsed, "_tag", tags)
+
+    def of_each(expression) -> list[Column]:
+        return [
+            expression(F.col("_parsed")[key], F.col("_tag")[column], kind).alias(column)
+            for column, key, kind in fields
+        ]
+
+    reason = F.coalesce(
+        codec.envelope_error(text, F.col("_parsed")),
+        *of_each(codec.field_error),
+        codec.id_error(F.col("_tag")["id"]),
     )
     return Decoded(
-        valid=judged.where(F.col("_reason").isNull()).select(*values, *envelope),
-        quarantine=judged.where(F.col("_reason").isNotNull()).select(
-            F.col("value").alias("raw"), F.col("_reason").alias("reason"), *envelope
+        valid=tagged.where(reason.isNull()).select(*of_each(codec.field_value), *envelope),
+        quarantine=tagged.select(F.col("value").alias("raw"), reason.alias("reason"), *envelope).where(
+            F.col("reason").isNotNull()
         ),
     )
 

@@ -93,7 +93,7 @@ def mixed_request_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (
         F.when(shape == 2, F.left(plain, F.length(plain) - 1))
         .when(shape == 3, F.replace(plain, F.lit('"'), F.lit("'")))
-        .when(shape == 17, F.concat(F.lit("﻿"), plain))
+        .when(shape == 17, F.concat(F.lit("\ufeff"), plain))
     )
     for number, template in _REQUEST_SHAPES.items():
         value = value.when(shape == number, _text(template))
