@@ -1,0 +1,170 @@
+from __future__ import annotations
+
+import pytest
+
+from tocsin.operators.decode import decode_requests, decode_tasks
+
+T = 1_704_067_800_000
+
+# Payload and either (bucket_id, id, tenant, scheduled_at, status) or the reason it is set aside.
+REQUESTS = [
+    ('{"bucketId":1,"id":"a","tenant":"t","scheduledAt":%d,"status":"NEW"}' % T, (1, "a", "t", T, "NEW")),
+    ('{"id":42,"scheduledAt":"123"}', (None, "42", None, 123, None)),
+    ('{"id":"a","scheduledAt":1.9}', (None, "a", None, 1, None)),
+    ('{"id":"a","scheduledAt":-1.9}', (None, "a", None, -1, None)),
+    ('{"id":"a","scheduledAt":1e3}', (None, "a", None, 1000, None)),
+    ('{"id":"a","scheduledAt":"1.9"}', "bad_type"),
+    ('{"id":"a","scheduledAt":"abc"}', "bad_type"),
+    ('{"id":"a","scheduledAt":"1e3"}', "bad_type"),
+    ('{"id":"a","scheduledAt":""}', (None, "a", None, None, None)),
+    ('{"id":"a","scheduledAt":" \\t"}', (None, "a", None, None, None)),
+    ('{"id":"a","scheduledAt":"null"}', (None, "a", None, None, None)),
+    ('{"id":"a","scheduledAt":" 5 "}', (None, "a", None, 5, None)),
+    ('{"id":"a","scheduledAt":"+5"}', (None, "a", None, 5, None)),
+    ('{"id":"a","scheduledAt":null}', (None, "a", None, None, None)),
+    ('{"id":"a","scheduledAt":true}', "bad_type"),
+    ('{"id":"a","scheduledAt":[]}', "bad_type"),
+    ('{"id":"a","scheduledAt":{}}', "bad_type"),
+    ('{"id":"a","scheduledAt":99999999999999999999}', "overflow"),
+    ('{"id":"a","scheduledAt":1e300}', "overflow"),
+    ('{"id":"a","scheduledAt":"9223372036854775808"}', "bad_type"),
+    ('{"id":"a","scheduledAt":9223372036854775807}', (None, "a", None, 2**63 - 1, None)),
+    ('{"id":"a","scheduledAt":NaN}', "malformed"),
+    ('{"id":"a","scheduledAt":007}', "malformed"),
+    ('{"id":"a","bucketId":"7"}', (7, "a", None, None, None)),
+    ('{"id":"a","bucketId":false}', "bad_type"),
+    ('{"id":{"x":1}}', "bad_type"),
+    ('{"id":[1]}', "bad_type"),
+    ('{"id":"{\\"x\\":1}"}', (None, '{"x":1}', None, None, None)),
+    ('{"id":"a","tenant":{"x":1}}', "bad_type"),
+    ('{"id":"a","status":["NEW"]}', "bad_type"),
+    ('{"id":true}', (None, "true", None, None, None)),
+    ('{"id":""}', (None, "", None, None, None)),
+    ("{'id':'a'}", "malformed"),
+    ('{"id":"a"} trailing', (None, "a", None, None, None)),
+    ('{"id":"a"}{"id":"b"}', (None, "a", None, None, None)),
+    ('{"id":"a","id":"b"}', (None, "b", None, None, None)),
+    ('{"id":"a","x":{"d":1,"d":2},"y":[1,{"q":null}]}', (None, "a", None, None, None)),
+    ('\ufeff{"id":"a"}', (None, "a", None, None, None)),
+    (' {"id":"a"} ', (None, "a", None, None, None)),
+    ('{"id":"a\\u0041\\n"}', (None, "aA\n", None, None, None)),
+    ('{"ID":"a"}', "missing_id"),
+    ("{}", "missing_id"),
+    ('{"id":null}', "missing_id"),
+    ("null", "empty"),
+    ("", "empty"),
+    ("  ", "empty"),
+    (None, "empty"),
+    ("not json", "malformed"),
+    ("[]", "malformed"),
+    ('[{"id":"a"}]', "malformed"),
+    ('"str"', "malformed"),
+    ("5", "malformed"),
+    ('{"id":"a"', "malformed"),
+    ('{"id":"a",}', "malformed"),
+    (b'{"id":"\xff"}', "malformed"),
+]
+
+UUID = "00000000-0000-4000-8abc-0000000000ab"
+
+
+def task(**known):
+    """The columns of a decoded task that are not null or zero."""
+    return known
+
+
+TASKS = [
+    ('{"id":"%s"}' % UUID, task(id=UUID)),
+    ('{"id":"%s"}' % UUID.upper(), task(id=UUID)),
+    ('{"id":"AAAAAAAAQACKvAAAAAAAqw=="}', task(id=UUID)),
+    ('{"id":"x"}', "bad_uuid"),
+    ('{"id":7}', "bad_uuid"),
+    ('{"name":"n"}', "missing_id"),
+    ('{"id":null}', "missing_id"),
+    ('{"id":"%s","createdAt":"2024-01-01T00:00:00.5Z"}' % UUID, task(id=UUID, created_at=1_704_067_200_500)),
+    ('{"id":"%s","createdAt":"2024-01-01T02:00:00+02:00"}' % UUID, task(id=UUID, created_at=1_704_067_200_000)),
+    ('{"id":"%s","updatedAt":1704067200.25}' % UUID, task(id=UUID, updated_at=1_704_067_200_250)),
+    ('{"id":"%s","nextExecutionTime":null}' % UUID, task(id=UUID)),
+    ('{"id":"%s","createdAt":"2024-01-01T00:00:00"}' % UUID, "bad_type"),
+    ('{"id":"%s","createdAt":"yesterday"}' % UUID, "bad_type"),
+    ('{"id":"%s","createdAt":true}' % UUID, "bad_type"),
+    ('{"id":"%s","parameters":{"a":"x","n":1,"z":null}}' % UUID, task(id=UUID, parameters={"a": "x", "n": "1", "z": None})),
+    ('{"id":"%s","parameters":{"a":1,"a":2}}' % UUID, task(id=UUID, parameters={"a": "2"})),
+    ('{"id":"%s","parameters":{}}' % UUID, task(id=UUID, parameters={})),
+    ('{"id":"%s","parameters":null}' % UUID, task(id=UUID)),
+    ('{"id":"%s","parameters":{"a":{"b":1}}}' % UUID, "bad_type"),
+    ('{"id":"%s","parameters":"a=1"}' % UUID, "bad_type"),
+    ('{"id":"%s","parameters":[1]}' % UUID, "bad_type"),
+    ('{"id":"%s","retryCount":3,"currentRetries":"2","maxRetries":9.9,"retryDelayMs":5000000000}' % UUID,
+     task(id=UUID, retry_count=3, current_retries=2, max_retries=9, retry_delay_ms=5_000_000_000)),
+    ('{"id":"%s","retryCount":null,"maxRetries":""}' % UUID, task(id=UUID)),
+    ('{"id":"%s","retryCount":3000000000}' % UUID, "overflow"),
+    ('{"id":"%s","retryCount":true}' % UUID, "bad_type"),
+    ('{"id":"%s","name":5,"cronExpression":"* * *","unknown":{"a":[]}}' % UUID,
+     task(id=UUID, name="5", cron_expression="* * *")),
+]
+
+
+def _payloads(spark, cases):
+    rows = [
+        (case.encode() if isinstance(case, str) else case, 0, 0, number)
+        for number, (case, _) in enumerate(cases)
+    ]
+    return spark.createDataFrame(
+        rows, "value binary, arrival_ms bigint, partition int, offset bigint"
+    )
+
+
+
+@pytest.fixture(scope="module")
+def decoded_requests(spark):
+    valid, quarantine = decode_requests(_payloads(spark, REQUESTS))
+    names = ["bucket_id", "id", "tenant", "scheduled_at", "status"]
+    got = {row.offset: tuple(row[name] for name in names) for row in valid.collect()}
+    aside = {row.offset: row.reason for row in quarantine.collect()}
+    assert not got.keys() & aside.keys()
+    return got | aside
+
+
+@pytest.mark.parametrize("number", range(len(REQUESTS)), ids=lambda n: repr(REQUESTS[n][0])[:50])
+def test_request(decoded_requests, number):
+    assert decoded_requests[number] == REQUESTS[number][1]
+
+
+@pytest.fixture(scope="module")
+def decoded_tasks(spark):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    valid, quarantine = decode_tasks(_payloads(spark, TASKS))
+    from pyspark.sql import functions as F
+
+    moments = [name for name in valid.columns if name.endswith("_time") or name in ("created_at", "updated_at")]
+    valid = valid.withColumns({name: F.unix_millis(name) for name in moments})
+    got = {}
+    for row in valid.collect():
+        fields = row.asDict()
+        number = fields.pop("offset")
+        got[number] = {
+            name: value
+            for name, value in fields.items()
+            if name not in ("arrival_ms", "partition") and value is not None and value != 0
+        }
+    return got | {row.offset: row.reason for row in quarantine.collect()}
+
+
+@pytest.mark.parametrize("number", range(len(TASKS)), ids=lambda n: TASKS[n][0][:70])
+def test_task(decoded_tasks, number):
+    assert decoded_tasks[number] == TASKS[number][1]
+
+
+def test_counts_are_never_null(spark):
+    valid, _ = decode_tasks(_payloads(spark, TASKS[:1]))
+    row = valid.first()
+    assert (row.retry_count, row.current_retries, row.max_retries, row.retry_delay_ms) == (0, 0, 0, 0)
+
+
+def test_quarantine_keeps_the_payload(spark):
+    _, quarantine = decode_requests(_payloads(spark, REQUESTS))
+    kept = {row.offset: row.raw for row in quarantine.collect()}
+    for number, raw in kept.items():
+        case = REQUESTS[number][0]
+        assert raw == (case.encode() if isinstance(case, str) else case)

@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import pytest
+from histories import SCHEMA
+from pyspark.sql import functions as F
+
+from tocsin.operators.records import ready
+from tocsin.operators.resolve import log_stats
+from tocsin.sources.outputs import table_sink
+from tocsin.streaming.replay import start_replay
+
+
+@pytest.fixture(scope="module")
+def log(spark):
+    """2,000 requests of 20 ids, every third request on one of them."""
+    number = F.col("id")
+    arrival = number * 1000
+    return spark.range(2_000).select(
+        F.when(number % 3 == 0, F.lit("hot")).otherwise((number % 20).cast("string")).alias("id"),
+        arrival.alias("arrival_ms"),
+        number.alias("seq"),
+        F.when(number % 5 == 0, F.lit(None))
+        .otherwise(arrival + F.pmod(F.xxhash64(number), F.lit(60)) * 1000 - 10_000)
+        .alias("scheduled_at"),
+    )
+
+
+@pytest.fixture(scope="module")
+def want(log):
+    return sorted((r.id, r.scheduled_at) for r in ready(log, log_stats(log).last_arrival_ms).collect())
+
+
+def _replay(spark, folder, sinks, **options):
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{folder}/log")
+    query = start_replay(stream, sinks, f"{folder}/checkpoint", **options)
+    query.awaitTermination()
+
+
+def _append(log, folder, start, end):
+    part = log.where((F.col("seq") >= start) & (F.col("seq") < end))
+    part.write.mode("append").parquet(f"{folder}/log")
+
+
+def _ready(spark, folder):
+    return sorted((r.id, r.scheduled_at) for r in spark.read.parquet(f"{folder}/ready").collect())
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+@pytest.mark.parametrize("target_rows", [100, 1_000_000])
+def test_replay_equals_batch(spark, tmp_path, log, want, parts, target_rows):
+    """In one micro-batch or many, with hot ids cut into slices or not."""
+    for part in range(parts):
+        _append(log, tmp_path, part * 2000 // parts, (part + 1) * 2000 // parts)
+        _replay(spark, tmp_path, [table_sink(f"{tmp_path}/ready")], target_rows=target_rows)
+    assert len(want) > 300
+    assert _ready(spark, tmp_path) == want
+
+
+def test_failure_in_mid_batch_is_repeated(spark, tmp_path, log, want):
+    """A sink that breaks after the state was written: the next run repeats that micro-batch."""
+    sink = table_sink(f"{tmp_path}/ready")
+    broken = []
+
+    def breaks_once(records, batch_id):
+        sink(records, batch_id)
+        if batch_id == 1 and not broken:
+            broken.append(batch_id)
+            raise RuntimeError("sink is down")
+
+    _append(log, tmp_path, 0, 700)
+    _replay(spark, tmp_path, [breaks_once])
+    _append(log, tmp_path, 700, 1500)
+    with pytest.raises(Exception, match="sink is down"):
+        _replay(spark, tmp_path, [breaks_once])
+    _replay(spark, tmp_path, [breaks_once])
+    _append(log, tmp_path, 1500, 2000)
+    _replay(spark, tmp_path, [breaks_once])
+    assert broken == [1]
+    assert _ready(spark, tmp_path) == want
+
+
+def test_batch_without_usable_requests_keeps_what_is_pending(spark, tmp_path):
+    def add(*rows):
+        spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(f"{tmp_path}/log")
+        _replay(spark, tmp_path, [table_sink(f"{tmp_path}/ready")])
+
+    add(("a", 0, 0, 50_000), ("b", 0, 1, 20_000))
+    add((None, 60_000, 2, None))
+    assert _ready(spark, tmp_path) == []
+    add(("c", 55_000, 3, None))
+    assert _ready(spark, tmp_path) == [("a", 50_000), ("b", 20_000)]
+    add(("c", 90_000, 4, None))
+    assert _ready(spark, tmp_path) == [("a", 50_000), ("b", 20_000), ("c", 85_000)]

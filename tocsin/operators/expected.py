@@ -67,11 +67,9 @@ def _carried(scheduled: DataFrame, slices: Slices) -> DataFrame:
 
     The last request of a slice is found with a partial aggregate before the shuffle.
     """
+    position = F.struct(F.col("arrival_ms").alias("t"), F.lit(0).alias("kind"), "seq")
     last_held = (
-        assign_slices(
-            scheduled, slices, F.struct(F.col("arrival_ms").alias("t"), F.lit(0).alias("kind"), "seq")
-        )
-        .where(F.col("_slice").isNotNull())
+        assign_slices(scheduled, slices, position, hot_only=True)
         .groupBy("id", "_slice")
         .agg(F.max_by("exec_ms", F.struct(*ORDER)).alias("last_held"))
     )

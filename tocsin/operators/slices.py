@@ -71,9 +71,12 @@ def _cuts_up_to(cuts: Column, position: Column, most_cuts: int) -> Column:
     )
 
 
-def assign_slices(rows: DataFrame, slices: Slices, position: Column) -> DataFrame:
+def assign_slices(
+    rows: DataFrame, slices: Slices, position: Column, hot_only: bool = False
+) -> DataFrame:
     """Add `_slice` (null for ids without cuts) and `_next_cut`, the start of the next slice."""
-    placed = rows.join(F.broadcast(slices.cuts), "id", "left").withColumn(
+    how = "inner" if hot_only else "left"
+    placed = rows.join(F.broadcast(slices.cuts), "id", how).withColumn(
         "_slice",
         F.when(F.col("_cuts").isNotNull(), _cuts_up_to(F.col("_cuts"), position, slices.most_cuts)),
     )

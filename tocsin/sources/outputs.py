@@ -55,11 +55,14 @@ def console_sink(rows: int = 20) -> Sink:
 
 
 def fan_out(records: DataFrame, batch_id: int, sinks: list[Sink]) -> None:
-    """Give each sink the same records, computed once."""
-    kept = records.persist(StorageLevel.MEMORY_AND_DISK) if len(sinks) > 1 else records
+    """Give each sink the same records, computed once; none is called without records.
+
+    The count makes every task run, so state is committed also when nothing goes out.
+    """
+    kept = records.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for sink in sinks:
-            sink(kept, batch_id)
+        if kept.count() > 0:
+            for sink in sinks:
+                sink(kept, batch_id)
     finally:
-        if len(sinks) > 1:
-            kept.unpersist()
+        kept.unpersist()
