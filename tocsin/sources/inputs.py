@@ -57,6 +57,25 @@ def folder_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.readStream.schema(ENVELOPE).options(**options).parquet(path)
 
 
+def with_heartbeat(requests: DataFrame) -> DataFrame:
+    """The same stream, with a clock as a second source that never adds a row.
+
+    Spark starts no micro-batch after a restart until some source moves on, so without it
+    schedules that came due in the meantime would wait for the next request.
+    """
+    ticks = (
+        requests.sparkSession.readStream.format("rate")
+        .option("rowsPerSecond", 1)
+        .option("numPartitions", 1)
+        .load()
+        .where(F.col("value") < 0)
+    )
+    nothing = [
+        F.lit(None).cast(field.dataType).alias(field.name) for field in requests.schema.fields
+    ]
+    return requests.unionByName(ticks.select(*nothing))
+
+
 def log_order() -> Column:
     """The order of records that arrive in the same millisecond."""
     return F.struct("partition", "offset").alias("seq")
