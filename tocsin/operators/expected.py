@@ -34,7 +34,18 @@ def _as_timer(scheduled: DataFrame, live) -> list:
     ]
 
 
-def _held_unsliced(resolved: DataFrame, as_of: int) -> DataFrame:
+def _judged(held: DataFrame) -> DataFrame:
+    """From `live` and the time held when the timer went off to what came of it."""
+    exec_ms = F.col("exec_ms")
+    return held.select(
+        "id",
+        "exec_ms",
+        F.when(F.col("live"), F.lit(FIRED)).otherwise(F.lit(STALE)).alias("outcome"),
+        F.when(~F.col("live") & (F.col("held") > exec_ms), F.col("held")).alias("expected_ms"),
+    )
+
+
+def _gone_off_unsliced(resolved: DataFrame, as_of: int) -> DataFrame:
     """Requests and timers of an id on one line, on the exchange `resolved` already made."""
     line = (
         resolved.select(
@@ -54,7 +65,7 @@ def _held_unsliced(resolved: DataFrame, as_of: int) -> DataFrame:
         .orderBy(*_POSITION)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
+    return _judged(
         line.withColumn("held", F.last("held", ignorenulls=True).over(latest))
         .where(F.col("kind") == 1)
         .groupBy("id", F.col("t").alias("exec_ms"))
@@ -85,30 +96,43 @@ def _carried(scheduled: DataFrame, slices: Slices) -> DataFrame:
     )
 
 
-def _held_sliced(
+def _gone_off_sliced(
     scheduled: DataFrame, resolved: DataFrame, slices: Slices, as_of: int
 ) -> DataFrame:
-    """As above with hot ids cut into slices, each starting from what the one before left."""
+    """As above with hot ids cut into slices, each starting from what the one before left.
+
+    Only stale timers join the line; equal ones are merged before they are shuffled.
+    """
     timers = (
         resolved.where(F.col("exec_ms") <= as_of)
         .groupBy("id", "exec_ms")
         .agg(F.max("live").alias("live"))
     )
+    fired = timers.where(F.col("live")).select(
+        "id", "exec_ms", F.lit(FIRED).alias("outcome"), F.lit(None).cast("bigint").alias("expected_ms")
+    )
     line = scheduled.select("id", *_as_request(scheduled)).unionByName(
-        timers.select("id", *_as_timer(scheduled, F.col("live")))
+        timers.where(~F.col("live")).select("id", *_as_timer(scheduled, F.col("live")))
     )
     latest = (
         Window.partitionBy("id", "_slice")
         .orderBy(*_POSITION)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
+    stale = (
         assign_slices(line, slices, F.struct(*_POSITION))
         .withColumn("held", F.last("held", ignorenulls=True).over(latest))
         .where(F.col("kind") == 1)
         .join(F.broadcast(_carried(scheduled, slices)), ["id", "_slice"], "left")
-        .select("id", F.col("t").alias("exec_ms"), "live", F.coalesce("held", "carried").alias("held"))
+        .withColumn("held", F.coalesce("held", "carried"))
+        .select(
+            "id",
+            F.col("t").alias("exec_ms"),
+            F.lit(STALE).alias("outcome"),
+            F.when(F.col("held") > F.col("t"), F.col("held")).alias("expected_ms"),
+        )
     )
+    return stale.unionByName(fired)
 
 
 def gone_off(
@@ -139,17 +163,9 @@ def gone_off(
             ).alias("e"),
         ).select("id", "e.t", "e.kind", "e.seq")
         slices = plan_slices(positions.where(F.col("t") <= as_of), _POSITION, 2 * rows, target_rows)
-    held = (
-        _held_unsliced(resolved, as_of)
-        if slices is None
-        else _held_sliced(scheduled, resolved, slices, as_of)
-    )
-    return held.select(
-        "id",
-        "exec_ms",
-        F.when(F.col("live"), F.lit(FIRED)).otherwise(F.lit(STALE)).alias("outcome"),
-        F.when(~F.col("live") & (F.col("held") > F.col("exec_ms")), F.col("held")).alias("expected_ms"),
-    )
+    if slices is None:
+        return _gone_off_unsliced(resolved, as_of)
+    return _gone_off_sliced(scheduled, resolved, slices, as_of)
 
 
 def mismatches(requests: DataFrame, as_of: int, **options) -> DataFrame:

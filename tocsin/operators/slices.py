@@ -60,27 +60,30 @@ def plan_slices(
     return Slices(table, max(len(row["_cuts"]) for row in found))
 
 
-def _cuts_up_to(cuts: Column, position: Column, most_cuts: int) -> Column:
-    """How many cuts lie at or before the position: a binary search folded over its step sizes."""
-    steps = [1 << bit for bit in reversed(range(most_cuts.bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(step) for step in steps]),
-        F.lit(0),
-        lambda passed, step: passed
-        + F.when(F.get(cuts, passed + step - 1) <= position, step).otherwise(F.lit(0)),
-    )
-
-
 def assign_slices(
     rows: DataFrame, slices: Slices, position: Column, hot_only: bool = False
 ) -> DataFrame:
-    """Add `_slice` (null for ids without cuts) and `_next_cut`, the start of the next slice."""
+    """Add `_slice` (null for ids without cuts) and `_next_cut`, the start of the next slice.
+
+    The slice is the number of cuts at or before the position, found by a binary search. Each
+    step is a projection of its own, which keeps the search in generated code.
+    """
     how = "inner" if hot_only else "left"
-    placed = rows.join(F.broadcast(slices.cuts), "id", how).withColumn(
-        "_slice",
-        F.when(F.col("_cuts").isNotNull(), _cuts_up_to(F.col("_cuts"), position, slices.most_cuts)),
+    placed = (
+        rows.join(F.broadcast(slices.cuts), "id", how)
+        .withColumn("_position", position)
+        .withColumn("_slice", F.lit(0))
+    )
+    passed = F.col("_slice")
+    for bit in reversed(range(slices.most_cuts.bit_length())):
+        step = 1 << bit
+        is_passed = F.get("_cuts", passed + (step - 1)) <= F.col("_position")
+        placed = placed.withColumn("_slice", passed + F.when(is_passed, step).otherwise(0))
+    return (
+        placed.withColumn("_slice", F.when(F.col("_cuts").isNotNull(), passed))
+        .withColumn("_next_cut", F.get("_cuts", passed))
+        .drop("_cuts", "_position")
     )
-    return placed.withColumn("_next_cut", F.get("_cuts", F.col("_slice"))).drop("_cuts")
 
 
 def slice_list(slices: Slices) -> DataFrame:
