@@ -21,7 +21,7 @@ from tocsin.schema import (
     STALE,
     SUPERSEDED,
 )
-from tocsin.session import shared_folder
+from tocsin.session import shared_folder, staged
 from tocsin.sources.inputs import as_requests, folder_stream
 from tocsin.sources.outputs import payload_sink, table_sink
 from tocsin.streaming.replay import start_replay
@@ -207,9 +207,12 @@ def encode_decoded_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payloads_to_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From payloads to payloads: decode, keep what can be read, resolve, encode."""
+    """From payloads to payloads: decode, keep what can be read, resolve, encode.
+
+    The decoded log is staged, as measuring and resolving it would else decode it twice.
+    """
     valid = decode_requests(logs.mixed_request_payloads(spark, sf_dir)).valid
-    return encode_records(_ready_at_end(as_requests(valid)))
+    return encode_records(_ready_at_end(staged(as_requests(valid), "decoded")))
 
 
 # --- audit ----------------------------------------------------------------------------------

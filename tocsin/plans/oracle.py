@@ -198,7 +198,7 @@ SELECT bucket_id, id, tenant, scheduled_at, status, arrival_ms, seq AS "offset"
     "quarantined_requests": f"""
 WITH {_REQUESTS}
 SELECT {_REASON} AS reason, arrival_ms, seq AS "offset",
-       CASE seq % 20
+       CAST(CASE seq % 20
          WHEN 0 THEN 0 WHEN 1 THEN 4
          WHEN 2 THEN {_PLAIN_LENGTH} - 1
          WHEN 3 THEN {_PLAIN_LENGTH}
@@ -209,7 +209,7 @@ SELECT {_REASON} AS reason, arrival_ms, seq AS "offset",
          WHEN 8 THEN length('{{"bucketId":' || id || ',"scheduledAt":' || arrival_ms || '}}')
          WHEN 9 THEN length('{{"ID":"' || id || '","scheduledAt":' || arrival_ms || '}}')
          WHEN 10 THEN {_PLAIN_LENGTH} + 1
-       END AS bytes
+       END AS INTEGER) AS bytes
 FROM requests WHERE seq % 20 <= 10""",
     "quarantine_counts": _counts(_REASON),
     "decode_tasks": f"""

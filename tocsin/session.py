@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -57,3 +57,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tocsin-"))
         root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to the shared folder and read them back.
+
+    For rows that are dear to derive and used more than once: a lost executor then costs a
+    re-read, not a re-run of what led to them.
+    """
+    path = shared_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
