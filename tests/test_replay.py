@@ -42,6 +42,8 @@ def _append(log, folder, start, end):
 
 
 def _ready(spark, folder):
+    if not (folder / "ready").exists():
+        return []
     return sorted((r.id, r.scheduled_at) for r in spark.read.parquet(f"{folder}/ready").collect())
 
 

@@ -57,23 +57,32 @@ def folder_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.readStream.schema(ENVELOPE).options(**options).parquet(path)
 
 
+def _ticks(spark: SparkSession) -> DataFrame:
+    """A row per second, the same again when a micro-batch is repeated."""
+    return (
+        spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
+    )
+
+
+def _nulls_like(requests: DataFrame) -> list[Column]:
+    return [F.lit(None).cast(field.dataType).alias(field.name) for field in requests.schema.fields]
+
+
 def with_heartbeat(requests: DataFrame) -> DataFrame:
     """The same stream, with a clock as a second source that never adds a row.
 
     Spark starts no micro-batch after a restart until some source moves on, so without it
     schedules that came due in the meantime would wait for the next request.
     """
-    ticks = (
-        requests.sparkSession.readStream.format("rate")
-        .option("rowsPerSecond", 1)
-        .option("numPartitions", 1)
-        .load()
-        .where(F.col("value") < 0)
-    )
-    nothing = [
-        F.lit(None).cast(field.dataType).alias(field.name) for field in requests.schema.fields
-    ]
-    return requests.unionByName(ticks.select(*nothing))
+    ticks = _ticks(requests.sparkSession).where(F.col("value") < 0)
+    return requests.unionByName(ticks.select(*_nulls_like(requests)))
+
+
+def with_clock(requests: DataFrame) -> DataFrame:
+    """The same stream with a `clock_ms` column, and a row per second that has only that."""
+    clock = F.unix_millis("timestamp").alias("clock_ms")
+    ticks = _ticks(requests.sparkSession).select(*_nulls_like(requests), clock)
+    return requests.withColumn("clock_ms", F.lit(None).cast("bigint")).unionByName(ticks)
 
 
 def log_order() -> Column:

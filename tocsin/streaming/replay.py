@@ -1,8 +1,9 @@
-"""Replay a request log through micro-batches, with arrival times as the clock.
+"""Set-oriented streaming: each micro-batch applies the batch rule, without keyed state.
 
-Each micro-batch joins the schedules still pending with the new requests, applies the batch rule
-up to the last arrival, sends out what has fired and keeps the rest. Hot ids are cut into slices
-as in the batch form, and there is at most one pending schedule per id.
+A micro-batch joins the schedules still pending with the new requests, applies the rule up to the
+present, sends out what has fired and keeps the rest. Hot ids are cut into slices as in the batch
+form. The present is the last arrival (replay of a log) or a clock that ticks along as a second
+source (the running job; an alternative to keyed state when many ids change per micro-batch).
 
 Pending schedules live in two alternating folders next to the checkpoint. A micro-batch reads the
 one its predecessor wrote and overwrites the other, so repeating it after a failure gives the
@@ -17,18 +18,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tocsin.functions.rules import with_schedule
+from tocsin.functions.rules import execution_time, with_schedule
 from tocsin.operators.records import ready_records
 from tocsin.operators.resolve import judge, log_stats, plan_history
 from tocsin.operators.slices import TARGET_ROWS
 from tocsin.schema import FIRED, PENDING, REQUESTED, SUPERSEDED
+from tocsin.sources.inputs import with_clock
 from tocsin.sources.outputs import Sink
 
 _STATE = ["id", "arrival_ms", "seq", "exec_ms"]
 
 
-class Replay:
-    """State of a replay between micro-batches."""
+class PendingTable:
+    """What is pending between micro-batches, and the step from one to the next."""
 
     def __init__(
         self,
@@ -36,11 +38,13 @@ class Replay:
         sinks: list[Sink],
         policy: str = REQUESTED,
         target_rows: int = TARGET_ROWS,
+        ticking: bool = False,
     ) -> None:
         self.state_path = state_path
         self.sinks = sinks
         self.policy = policy
         self.target_rows = target_rows
+        self.ticking = ticking
 
     def _folder(self, batch_id: int) -> str:
         return f"{self.state_path}/{batch_id % 2}"
@@ -55,16 +59,28 @@ class Replay:
             .drop("outcome")
         )
 
+    def _present(self, requests: DataFrame) -> int | None:
+        """The last tick; before the first one, as without a clock, the last arrival."""
+        ticks = requests.where(F.col("clock_ms").isNotNull()).agg(F.max("clock_ms"))
+        return ticks.first()[0]
+
     def step(self, requests: DataFrame, batch_id: int) -> None:
-        new = with_schedule(requests.where(F.col("id").isNotNull()), self.policy).select(*_STATE)
-        new = new.persist(StorageLevel.MEMORY_AND_DISK)
+        now = self._present(requests) if self.ticking else None
+        keyed = requests.where(F.col("id").isNotNull())
+        if now is None:
+            new = with_schedule(keyed, self.policy)
+        else:
+            exec_ms = execution_time(self.policy, F.col("scheduled_at"), F.lit(now))
+            new = keyed.withColumn("exec_ms", exec_ms)
+        new = new.select(*_STATE).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             stats = log_stats(new)
             line = new
             if batch_id > 0:
                 line = new.unionByName(self._read(new, batch_id - 1, PENDING))
-            # Without requests no time has passed.
-            as_of = -(2**63) if stats.last_arrival_ms is None else stats.last_arrival_ms
+            as_of = stats.last_arrival_ms if now is None else now
+            # Without requests or ticks no time has passed.
+            as_of = -(2**63) if as_of is None else as_of
             slices = plan_history(line, stats.rows, self.target_rows)
             (
                 judge(line, slices, as_of)
@@ -74,9 +90,10 @@ class Replay:
                 .partitionBy("outcome")
                 .parquet(self._folder(batch_id))
             )
-            fired = ready_records(self._read(new, batch_id, FIRED), self.policy)
-            for sink in self.sinks:
-                sink(fired, batch_id)
+            fired = self._read(new, batch_id, FIRED)
+            if not fired.isEmpty():
+                for sink in self.sinks:
+                    sink(ready_records(fired, self.policy), batch_id)
         finally:
             new.unpersist()
 
@@ -94,10 +111,35 @@ def start_replay(
     Micro-batches must follow each other in time. Large ones are best: each rewrites what is
     pending.
     """
-    replay = Replay(f"{checkpoint}/pending", sinks, policy, target_rows)
+    pending = PendingTable(f"{checkpoint}/pending", sinks, policy, target_rows)
     return (
-        requests.writeStream.foreachBatch(replay.step)
+        requests.writeStream.foreachBatch(pending.step)
         .option("checkpointLocation", f"{checkpoint}/progress")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def start_set_triggers(
+    requests: DataFrame,
+    sinks: list[Sink],
+    checkpoint: str,
+    policy: str = REQUESTED,
+    interval: str = "10 seconds",
+    target_rows: int = TARGET_ROWS,
+    name: str = "set-triggers",
+) -> StreamingQuery:
+    """Run by the wall clock on `id, scheduled_at, arrival_ms, seq`, until stopped.
+
+    Emits what the keyed form does. Each micro-batch costs a pass over all that is pending but
+    no per-id call, so it suits many changes per micro-batch and intervals of some seconds up.
+    """
+    pending = PendingTable(f"{checkpoint}/pending", sinks, policy, target_rows, ticking=True)
+    return (
+        with_clock(requests)
+        .writeStream.queryName(name)
+        .foreachBatch(pending.step)
+        .option("checkpointLocation", f"{checkpoint}/progress")
+        .trigger(processingTime=interval)
+        .start()
+    )
