@@ -75,3 +75,26 @@ def test_no_cross_join(spark, name):
     if not name.startswith("stream"):
         plan = _plan(spark, name)
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_the_horizon_reaches_the_scan(spark, tmp_path):
+    from tocsin.operators.records import ready
+    from tocsin.plans import logs
+
+    logs.requests(spark, SMALL).write.parquet(f"{tmp_path}/log")
+    stored = spark.read.parquet(f"{tmp_path}/log")
+    plan = ready(stored, 1_705_363_200_000)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(arrival_ms,1705363200000)" in plan
+    assert "ReadSchema: struct<id:string,seq:bigint,arrival_ms:bigint,scheduled_at:bigint>" in plan
+
+
+def test_job_arguments():
+    from tocsin.__main__ import arguments
+
+    given = arguments(["--checkpoint", "/c"])
+    assert (given.servers, given.input_topic, given.output_topic) == (
+        "localhost:9092", "task-requests", "scheduled-tasks"
+    )
+    given = arguments(["h:1", "in", "out", "--checkpoint", "/c", "--policy", "fixed_delay"])
+    assert (given.servers, given.input_topic, given.output_topic) == ("h:1", "in", "out")
+    assert given.policy == "fixed_delay"

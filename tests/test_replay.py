@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from histories import SCHEMA
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 from tocsin.operators.records import ready
 from tocsin.operators.resolve import log_stats
 from tocsin.sources.outputs import table_sink
-from tocsin.streaming.replay import start_replay
+from tocsin.streaming.replay import PendingTable, start_replay
 
 
 @pytest.fixture(scope="module")
@@ -93,3 +95,35 @@ def test_batch_without_usable_requests_keeps_what_is_pending(spark, tmp_path):
     assert _ready(spark, tmp_path) == [("a", 50_000), ("b", 20_000)]
     add(("c", 90_000, 4, None))
     assert _ready(spark, tmp_path) == [("a", 50_000), ("b", 20_000), ("c", 85_000)]
+
+
+def test_ticking_form_agrees_with_the_keyed_processor(spark, tmp_path):
+    """The same micro-batches through both wall-clock forms."""
+    from test_processor import Engine
+
+    chance = random.Random(3)
+    ids = [f"id{n}" for n in range(200)]
+    engines = {name: Engine() for name in ids}
+    fired = []
+
+    def collect(records, batch_id):
+        fired.extend((row.id, row.scheduled_at) for row in records.collect())
+
+    table = PendingTable(f"{tmp_path}/pending", [collect], target_rows=10, ticking=True)
+    schema = f"{SCHEMA}, clock_ms bigint"
+    for batch_id in range(8):
+        now = 1_000_000 + batch_id * 20_000
+        rows, by_id = [(None, None, None, None, now)], {name: [] for name in ids}
+        for offset in range(120):
+            arrival = now - 19_999 + offset * 160
+            # Few seconds to choose from, so that due times and arrivals meet.
+            scheduled_at = chance.choice([None, now + chance.randrange(-30, 60) * 1000])
+            name = chance.choice(ids[:5] if chance.random() < 0.3 else ids)
+            by_id[name].append((arrival, scheduled_at))
+            rows.append((name, arrival, batch_id * 1000 + offset, scheduled_at, None))
+        for name, requests in by_id.items():
+            engines[name].batch(now, *requests)
+        table.step(spark.createDataFrame(rows, schema), batch_id)
+    want = [(name, time) for name, engine in engines.items() for time in engine.fired()]
+    assert len(want) > 100
+    assert sorted(fired) == sorted(want)
