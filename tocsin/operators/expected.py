@@ -1,78 +1,74 @@
-"""The time an id was waiting for when one of its timers went off."""
+"""The time an id was waiting for when one of its timers went off.
+
+Put the requests and timers of an id on one line, requests first at the same millisecond. What
+the id waits for at a timer is the time of the last request before it. If that is the timer's own
+time it fires. If it is a later time, that is what was expected instead; if an earlier one, it has
+fired by then and nothing was expected.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tocsin.operators.resolve import ORDER, history, judge, log_stats, plan_history
+from tocsin.operators.resolve import ORDER, history, log_stats
 from tocsin.operators.slices import TARGET_ROWS, Slices, assign_slices, plan_slices, slice_list
 from tocsin.schema import FIRED, REQUESTED, STALE
 
-# Requests sort before timers at the same millisecond.
 _POSITION = ["t", "kind", "seq"]
 
 
-def _as_request(scheduled: DataFrame) -> list:
+def _as_request() -> list[Column]:
     return [
         F.col("arrival_ms").alias("t"),
         F.lit(0).alias("kind"),
         F.col("seq").alias("seq"),
         F.col("exec_ms").alias("held"),
-        F.lit(None).cast("boolean").alias("live"),
     ]
 
 
-def _as_timer(scheduled: DataFrame, live) -> list:
+def _as_timer(scheduled: DataFrame) -> list[Column]:
     return [
         F.col("exec_ms").alias("t"),
         F.lit(1).alias("kind"),
         F.lit(None).cast(scheduled.schema["seq"].dataType).alias("seq"),
         F.lit(None).cast("bigint").alias("held"),
-        live.alias("live"),
     ]
 
 
-def _judged(held: DataFrame) -> DataFrame:
-    """From `live` and the time held when the timer went off to what came of it."""
-    exec_ms = F.col("exec_ms")
-    return held.select(
-        "id",
-        "exec_ms",
-        F.when(F.col("live"), F.lit(FIRED)).otherwise(F.lit(STALE)).alias("outcome"),
-        F.when(~F.col("live") & (F.col("held") > exec_ms), F.col("held")).alias("expected_ms"),
-    )
+def _line(scheduled: DataFrame, as_of: int) -> DataFrame:
+    """Two points per request, made where the request is: `id, t, kind, seq, held`."""
+    points = F.array(F.struct(*_as_request()), F.struct(*_as_timer(scheduled)))
+    line = scheduled.select("id", F.explode(points).alias("point")).select("id", "point.*")
+    return line.where(F.col("t") <= as_of)
+
 
+def _held_at_timers(line: DataFrame, *keys: str) -> DataFrame:
+    """The time held at each timer, as far as the window over `keys` can tell.
 
-def _gone_off_unsliced(resolved: DataFrame, as_of: int) -> DataFrame:
-    """Requests and timers of an id on one line, on the exchange `resolved` already made."""
-    line = (
-        resolved.select(
-            "id",
-            F.explode(
-                F.array(
-                    F.struct(*_as_request(resolved)),
-                    F.struct(*_as_timer(resolved, F.col("live"))),
-                )
-            ).alias("e"),
+    Equal timers are neighbours on the line; the first stands for all.
+    """
+    in_order = Window.partitionBy(*keys).orderBy(*_POSITION)
+    until_now = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    timer = F.when(F.col("kind") == 1, F.col("t"))
+    return (
+        line.withColumns(
+            {
+                "held": F.last("held", ignorenulls=True).over(until_now),
+                "_previous": F.lag(timer).over(in_order),
+            }
         )
-        .select("id", "e.*")
-        .where(F.col("t") <= as_of)
-    )
-    latest = (
-        Window.partitionBy("id")
-        .orderBy(*_POSITION)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return _judged(
-        line.withColumn("held", F.last("held", ignorenulls=True).over(latest))
-        .where(F.col("kind") == 1)
-        .groupBy("id", F.col("t").alias("exec_ms"))
-        .agg(F.max("live").alias("live"), F.max("held").alias("held"))
+        .where((F.col("kind") == 1) & ~F.col("_previous").eqNullSafe(F.col("t")))
+        .select(*keys, F.col("t").alias("exec_ms"), "held")
     )
 
 
+def _held_unsliced(scheduled: DataFrame, as_of: int) -> DataFrame:
+    """Requests are shuffled once, before they turn into points."""
+    return _held_at_timers(_line(scheduled.repartition("id"), as_of), "id")
+
+
 def _carried(scheduled: DataFrame, slices: Slices) -> DataFrame:
     """For each slice, what its id held when the slice began; at most one row per cut.
 
@@ -96,43 +92,21 @@ def _carried(scheduled: DataFrame, slices: Slices) -> DataFrame:
     )
 
 
-def _gone_off_sliced(
-    scheduled: DataFrame, resolved: DataFrame, slices: Slices, as_of: int
-) -> DataFrame:
+def _held_sliced(scheduled: DataFrame, slices: Slices, as_of: int) -> DataFrame:
     """As above with hot ids cut into slices, each starting from what the one before left.
 
-    Only stale timers join the line; equal ones are merged before they are shuffled.
+    Equal timers are merged before they are shuffled, as any number may fall on one moment.
     """
-    timers = (
-        resolved.where(F.col("exec_ms") <= as_of)
-        .groupBy("id", "exec_ms")
-        .agg(F.max("live").alias("live"))
-    )
-    fired = timers.where(F.col("live")).select(
-        "id", "exec_ms", F.lit(FIRED).alias("outcome"), F.lit(None).cast("bigint").alias("expected_ms")
+    timers = scheduled.where(F.col("exec_ms") <= as_of).select("id", "exec_ms").distinct()
+    line = scheduled.select("id", *_as_request()).unionByName(
+        timers.select("id", *_as_timer(scheduled))
     )
-    line = scheduled.select("id", *_as_request(scheduled)).unionByName(
-        timers.where(~F.col("live")).select("id", *_as_timer(scheduled, F.col("live")))
-    )
-    latest = (
-        Window.partitionBy("id", "_slice")
-        .orderBy(*_POSITION)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    stale = (
-        assign_slices(line, slices, F.struct(*_POSITION))
-        .withColumn("held", F.last("held", ignorenulls=True).over(latest))
-        .where(F.col("kind") == 1)
+    placed = assign_slices(line, slices, F.struct(*_POSITION)).drop("_next_cut")
+    return (
+        _held_at_timers(placed, "id", "_slice")
         .join(F.broadcast(_carried(scheduled, slices)), ["id", "_slice"], "left")
-        .withColumn("held", F.coalesce("held", "carried"))
-        .select(
-            "id",
-            F.col("t").alias("exec_ms"),
-            F.lit(STALE).alias("outcome"),
-            F.when(F.col("held") > F.col("t"), F.col("held")).alias("expected_ms"),
-        )
+        .select("id", "exec_ms", F.coalesce("held", "carried").alias("held"))
     )
-    return stale.unionByName(fired)
 
 
 def gone_off(
@@ -144,28 +118,26 @@ def gone_off(
 ) -> DataFrame:
     """Every timer that went off by `as_of`: `id, exec_ms, outcome, expected_ms`.
 
-    A timer that still matched has fired. Of a stale one, `expected_ms` is the time its id was
-    waiting for at that moment: that of the last request by then, or null if that had fired.
+    `expected_ms` is what the id of a stale timer was waiting for, or null if that was nothing.
     """
     scheduled = history(requests, as_of, policy).select("id", *ORDER, "exec_ms")
     if rows is None:
         rows = log_stats(scheduled).rows
-    resolved = judge(scheduled, plan_history(scheduled, rows, target_rows), as_of)
     slices = None
     if rows > target_rows:
-        nothing = F.lit(False)
-        positions = scheduled.select(
-            "id",
-            F.explode(
-                F.array(
-                    F.struct(*_as_request(scheduled)), F.struct(*_as_timer(scheduled, nothing))
-                )
-            ).alias("e"),
-        ).select("id", "e.t", "e.kind", "e.seq")
-        slices = plan_slices(positions.where(F.col("t") <= as_of), _POSITION, 2 * rows, target_rows)
-    if slices is None:
-        return _gone_off_unsliced(resolved, as_of)
-    return _gone_off_sliced(scheduled, resolved, slices, as_of)
+        slices = plan_slices(_line(scheduled, as_of), _POSITION, 2 * rows, target_rows)
+    timers = (
+        _held_unsliced(scheduled, as_of)
+        if slices is None
+        else _held_sliced(scheduled, slices, as_of)
+    )
+    held, exec_ms = F.col("held"), F.col("exec_ms")
+    return timers.select(
+        "id",
+        "exec_ms",
+        F.when(held == exec_ms, F.lit(FIRED)).otherwise(F.lit(STALE)).alias("outcome"),
+        F.when(held > exec_ms, held).alias("expected_ms"),
+    )
 
 
 def mismatches(requests: DataFrame, as_of: int, **options) -> DataFrame:
