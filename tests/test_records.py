@@ -89,6 +89,34 @@ def test_decoded_records_as_a_log(spark):
     assert (row.id, row.scheduled_at, row.arrival_ms, tuple(row.seq)) == ("a", 9, 5, (1, 7))
 
 
+def test_audit_of_decoded_records(spark):
+    """One id asked for twice: the second request makes the first timer stale."""
+    from tocsin.operators.audit import audit_log
+
+    source = spark.createDataFrame(
+        [
+            (b'{"id":"a","scheduledAt":5000,"status":"NEW"}', 1000, 0, 1),
+            (b'{"id":"a","scheduledAt":9000,"status":"AGAIN"}', 2000, 0, 2),
+        ],
+        "value binary, arrival_ms bigint, partition int, offset bigint",
+    )
+    log = audit_log(as_requests(decode_requests(source).valid), as_of=10_000)
+    steps = sorted((r.at_ms, r.phase, r.exec_ms, r.expected_ms, r.detail) for r in log.collect())
+    assert steps == [
+        (1000, "INBOUND", None, None, "NEW"),
+        (1000, "PROCESSING", 5000, None, "provided"),
+        (1000, "TIMER-REGISTERED", 5000, None, None),
+        (2000, "INBOUND", None, None, "AGAIN"),
+        (2000, "PROCESSING", 9000, None, "provided"),
+        (2000, "TIMER-REGISTERED", 9000, None, None),
+        (5000, "TIMER-FIRED", None, None, None),
+        (5000, "TIMER-MISMATCH", None, 9000, None),
+        (9000, "SERIALIZE", None, None, None),
+        (9000, "TIMER-COMPLETED", None, None, None),
+        (9000, "TIMER-FIRED", None, None, None),
+    ]
+
+
 def test_topic_is_read_from_the_start():
     assert topic_options("h:1", "t") == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tocsin.functions import codec
-from tocsin.schema import REQUEST_FIELDS, SPARK_TYPE, TASK_FIELDS
+from tocsin.schema import REQUEST_FIELDS, TASK_FIELDS
 from tocsin.session import DECODE_CONF, apply_conf
 
 
@@ -62,7 +62,3 @@ def decode_requests(payloads: DataFrame) -> Decoded:
 def decode_tasks(payloads: DataFrame) -> Decoded:
     """Full task records from a `value` column; other columns travel along."""
     return _decode(payloads, TASK_FIELDS)
-
-
-def record_schema(fields: list[tuple[str, str, str]]) -> str:
-    return ", ".join(f"{column} {SPARK_TYPE[kind]}" for column, _, kind in fields)

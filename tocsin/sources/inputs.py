@@ -95,4 +95,6 @@ def as_requests(valid: DataFrame) -> DataFrame:
     scheduled_at = (
         F.col("scheduled_at") if "scheduled_at" in valid.columns else F.lit(None).cast("bigint")
     )
-    return valid.select("id", scheduled_at.alias("scheduled_at"), "arrival_ms", log_order())
+    return valid.select(
+        "id", scheduled_at.alias("scheduled_at"), "arrival_ms", log_order(), "status"
+    )
