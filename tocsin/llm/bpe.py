@@ -17,6 +17,7 @@ import json
 import re
 import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from tocsin.llm.common import small_batches
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Entries a Python worker remembers before it starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 # Up to here every letter is composed already and lower-cases without looking at its neighbours.
 PLAIN_LIMIT = 0x250
@@ -57,7 +58,7 @@ def _plain_pattern(contractions: str) -> re.Pattern:
 
 
 class Codec:
-    """One tokenizer file, ready to encode and decode inside a worker."""
+    """One tokenizer file, ready to encode inside a worker."""
 
     def __init__(self, text: str) -> None:
         from tokenizers import Tokenizer, models
@@ -72,57 +73,67 @@ class Codec:
         whole = Tokenizer.from_str(text)
         self.normalizer, self.splitter = whole.normalizer, whole.pre_tokenizer
         self.letters = byte_letters()
+        self.spelling = dict(enumerate(self.letters))
         self.special = {token["content"]: token["id"] for token in spec["added_tokens"]}
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        names = {number: token for token, number in model["vocab"].items()}
-        names.update({number: token for token, number in self.special.items()})
-        self.names = [names.get(number, "") for number in range(max(names) + 1)]
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.plain = _plain_pattern(pattern.split("|[")[0])
         self.joined = self._neighbours(model["vocab"])
         self._forget()
 
-    def _neighbours(self, vocab: dict[str, int]) -> bytearray:
+    def _neighbours(self, vocab: dict[str, int]) -> np.ndarray:
         """For each pair of bytes, whether some token holds it."""
         number = {letter: byte for byte, letter in enumerate(self.letters)}
-        seen = bytearray(1 << 16)
+        seen = np.zeros(1 << 16, dtype=bool)
         for token in vocab:
             spelled = [number[c] for c in token.removesuffix(self.suffix) if c in number]
             for a, b in zip(spelled, spelled[1:]):
-                seen[a << 8 | b] = 1
+                seen[a << 8 | b] = True
         return seen
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.known: dict[tuple[bytes, bool], list[int]] = {}
-        self.flat: list[int] = []
-        self.starts: list[int] = []
-
-    def fragments(self, word: bytes) -> list[bytes]:
-        """The word cut wherever two neighbouring bytes share no token."""
-        joined = self.joined
-        cuts = [i for i in range(1, len(word)) if not joined[word[i - 1] << 8 | word[i]]]
-        return [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)])]
+        self.flat = array("i")
+        self.starts = array("q")
+
+    def cuts(self, words: list[bytes]) -> list[list[int]]:
+        """For each word, the places where two neighbouring bytes share no token."""
+        whole = np.frombuffer(b"".join(words), np.uint8).astype(np.uint16)
+        ends = np.cumsum([len(word) for word in words])
+        apart = ~self.joined[whole[:-1] << 8 | whole[1:]]
+        apart[ends[:-1] - 1] = False
+        places = np.flatnonzero(apart) + 1
+        owner = np.searchsorted(ends, places, side="right")
+        cuts: list[list[int]] = [[] for _ in words]
+        for word, place in zip(owner.tolist(), (places - (ends - np.diff(ends, prepend=0))[owner]).tolist()):
+            cuts[word].append(place)
+        return cuts
+
+    def _ids(self, fragment: bytes, final: bool) -> list[int]:
+        spelled = fragment.decode("latin-1").translate(self.spelling)
+        return [token.id for token in (self.last if final else self.inner).tokenize(spelled)]
 
     def _fragment_ids(self, fragment: bytes, final: bool) -> list[int]:
         ids = self.known.get((fragment, final))
         if ids is None:
-            spelled = "".join(map(self.letters.__getitem__, fragment))
-            tokens = (self.last if final else self.inner).tokenize(spelled)
-            ids = self.known[fragment, final] = [token.id for token in tokens]
+            ids = self.known[fragment, final] = self._ids(fragment, final)
         return ids
 
-    def _learn(self, word: str) -> int:
-        """Encode a word met for the first time; gives its place in the store."""
-        self.starts.append(len(self.flat))
-        if word in self.special:
-            self.flat.append(self.special[word])
-        else:
-            pieces = self.fragments(word.encode())
-            for i, piece in enumerate(pieces):
-                self.flat += self._fragment_ids(piece, i == len(pieces) - 1)
-        place = self.place[word] = len(self.starts) - 1
-        return place
+    def _learn(self, words: list[str]) -> None:
+        """Encode words met for the first time."""
+        raw = [word.encode() for word in words]
+        for word, spelled, cuts in zip(words, raw, self.cuts(raw)):
+            self.place[word] = len(self.starts)
+            self.starts.append(len(self.flat))
+            if word in self.special:
+                self.flat.append(self.special[word])
+            elif not cuts:
+                self.flat.extend(self._ids(spelled, True))
+            else:
+                for i, j in zip([0, *cuts], cuts):
+                    self.flat.extend(self._fragment_ids(spelled[i:j], False))
+                self.flat.extend(self._fragment_ids(spelled[cuts[-1] :], True))
 
     def _part_words(self, text: str) -> list[str]:
         if text.isascii() or max(text) < chr(PLAIN_LIMIT):
@@ -144,14 +155,17 @@ class Codec:
         """Ids of all texts one after another, and where each text starts (and the last ends)."""
         if len(self.place) > CACHE_WORDS:
             self._forget()
-        find, learn = self.place.get, self._learn
+        find = self.place.get
         places: list[int] = []
         ends = [0]
         for text in texts:
             if text:
-                for word in self.words(text):
-                    place = find(word)
-                    places.append(learn(word) if place is None else place)
+                words = self.words(text)
+                found = list(map(find, words))
+                if None in found:
+                    self._learn(list(dict.fromkeys(w for w, p in zip(words, found) if p is None)))
+                    found = list(map(find, words))
+                places += found
             ends.append(len(places))
         starts = np.array([*self.starts, len(self.flat)], dtype=np.int64)
         chosen = np.array(places, dtype=np.int64)
@@ -161,18 +175,29 @@ class Codec:
         ids = np.array(self.flat, dtype=np.int32)[np.arange(stops[-1]) + jump]
         return ids, stops[np.array(ends)]
 
-    def decode(self, ids: list[int]) -> str:
-        """Tokens by name with blanks between them: such a file names no decoder."""
-        names = self.names
-        return " ".join([names[i] for i in ids])
+
+class Names:
+    """Tokens by id, for decoding."""
+
+    def __init__(self, text: str) -> None:
+        spec = json.loads(text)
+        names = {number: token for token, number in spec["model"]["vocab"].items()}
+        names.update({token["id"]: token["content"] for token in spec["added_tokens"]})
+        self.names = [names.get(number, "") for number in range(max(names) + 1)]
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Tokens by name with blanks between them: such a file names no decoder. Takes ids of
+        all texts one after another, and where each text starts and the last ends."""
+        tokens = list(map(self.names.__getitem__, ids.tolist()))
+        return [" ".join(tokens[i:j]) for i, j in zip(ends.tolist(), ends[1:].tolist())]
 
 
-def _codec(shared) -> Codec:
+def _once(shared, kind: type):
     """Built once per Python worker: the value of a broadcast lives as long as the worker."""
     held = shared.value
-    if "codec" not in held:
-        held["codec"] = Codec(held["text"])
-    return held["codec"]
+    if kind.__name__ not in held:
+        held[kind.__name__] = kind(held["text"])
+    return held[kind.__name__]
 
 
 def _shared(rows: DataFrame, tokenizer_path: str):
@@ -188,7 +213,7 @@ def encode(rows: DataFrame, tokenizer_path: str, text: str = "text", ids: str =
 
     @F.arrow_udf("array<int>")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = _codec(shared)
+        codec = _once(shared, Codec)
         for batch in batches:
             flat, ends = codec.encode(batch.to_pylist())
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
@@ -203,9 +228,11 @@ def decode(rows: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "
 
     @F.arrow_udf("string")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = _codec(shared)
+        names = _once(shared, Names)
         for batch in batches:
-            yield pa.array([codec.decode(one or []) for one in batch.to_pylist()], pa.string())
+            sizes = batch.value_lengths().fill_null(0).to_numpy()
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            yield pa.array(names.decode(batch.flatten().to_numpy(), ends), pa.string())
 
     return rows.withColumn(text, decoded(F.col(ids)))
 
