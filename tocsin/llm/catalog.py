@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tocsin.llm import bpe, chat, mixing, sharding
+from tocsin.llm import ann, bpe, chat, langid, lm, mixing, quality, sharding, simhash, topk
 from tocsin.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.exact_top_k(rows, F.col("vec_id") % 100 == 0, 10)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), max_repeats=mixing.MAX_REPEATS)
 
@@ -28,15 +34,42 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents")).select(
+        F.col("key").alias("doc_id"),
+        simhash.hex_digits("fingerprint").alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.perspectives(table(spark, sf_dir, "conversations"))
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op2_mixing, op3_bpe, op8_chat, op10_sharding)
+    for query in (
+        op1_topk, op2_mixing, op3_bpe, op4_simhash, op5_lm, op6_quality, op7_langid, op8_chat,
+        op9_ann, op10_sharding,
+    )
 }
