@@ -28,6 +28,10 @@ BLOCK_TOKENS = 65_536
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+# A plan of so many sources at most goes to every task; a larger one is joined by source and salt.
+SENT_SOURCES = 100_000
+SALTS = 64
+
 # The power is a multiple of 2 to the minus this; so many steps are looked at in one pass.
 DEPTH = 30
 STEPS = 6
@@ -109,11 +113,12 @@ def quotas(classes: DataFrame, budget: int | None = None, max_repeats: float | N
     raised = F.pow(F.col("tokens") / F.lit(float(max(total, 1))), F.lit(power))
     z = totals.agg(F.sum(raised)).first()[0] or 1.0
     quota = F.floor(raised / F.lit(float(z)) * F.lit(float(budget))).cast("bigint")
-    return (
+    planned = (
         totals.withColumn("quota", quota)
         .withColumn("passes", F.expr("quota div tokens"))
         .withColumn("rest", F.expr("quota % tokens"))
     )
+    return keep_table(planned, "plan")
 
 
 def order_key(source: Column, key: Column, size: Column, turn: Column, seed: int) -> Column:
@@ -130,10 +135,21 @@ def _classes(documents: DataFrame, key: str, source: str, text: str) -> DataFram
     return keep_table(sized.groupBy("source", "key", "size").agg(F.count(F.lit(1)).alias("n")), "sizes")
 
 
+def _with_plan(rows: DataFrame, plan: DataFrame, name: str, spread: Column) -> DataFrame:
+    """Rows with the plan of their source. A plan of a counted, bounded size is broadcast; beyond
+    that a source's rows are dealt to SALTS keys, each with a copy of its plan."""
+    if plan.count() <= SENT_SOURCES:
+        return rows.join(F.broadcast(plan), name)
+    salt = free_name(rows, "mix_salt")
+    salted = rows.withColumn(salt, F.pmod(spread, F.lit(SALTS)).cast("int"))
+    each = plan.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(each, [name, salt]).drop(salt)
+
+
 def _laid(classes: DataFrame, planned: DataFrame, turn: Column, rows: int, seed: int) -> DataFrame:
     """Classes in the order of the passes `turn` lists, each with the tokens before it."""
     ordered = (
-        classes.join(planned, "source")
+        _with_plan(classes, planned, "source", F.xxhash64("key", "size"))
         .withColumn("turn", F.explode(turn))
         .withColumn(
             "order",
@@ -205,8 +221,9 @@ def mix_rows(documents: DataFrame, budget: int | None = None, max_repeats: float
     told = planned.join(cuts, "source", "left").select(
         F.col("source").alias(mine), F.struct("passes", "cut").alias(plan)
     )
+    told = keep_table(told, "cuts")
     named = documents.withColumn(mine, F.coalesce(F.col(source).cast("string"), F.lit("")))
-    joined = named.join(told, mine)
+    joined = _with_plan(named, told, mine, F.xxhash64(key_text(key), F.col(text)))
     passes, cut = F.col(plan)["passes"], F.col(plan)["cut"]
     order = order_key(F.col(mine), key_text(key), tokens(F.col(text)), passes.cast("int"), seed)
     times = passes.cast("int") + F.coalesce((order <= cut).cast("int"), F.lit(0))
