@@ -88,6 +88,11 @@ TASKS = [
     ('{"id":"%s","createdAt":"2024-01-01T00:00:00"}' % UUID, "bad_type"),
     ('{"id":"%s","createdAt":"yesterday"}' % UUID, "bad_type"),
     ('{"id":"%s","createdAt":true}' % UUID, "bad_type"),
+    ('{"id":"%s","createdAt":1705363200000000}' % UUID, "overflow"),
+    ('{"id":"%s","createdAt":1e20}' % UUID, "overflow"),
+    ('{"id":"%s","createdAt":1e28}' % UUID, "overflow"),
+    ('{"id":"%s","createdAt":-1e28}' % UUID, "overflow"),
+    ('{"id":"%s","createdAt":"2024-01-01T00:00:00.123456Z"}' % UUID, task(id=UUID, created_at=1_704_067_200_123)),
     ('{"id":"%s","parameters":{"a":"x","n":1,"z":null}}' % UUID, task(id=UUID, parameters={"a": "x", "n": "1", "z": None})),
     ('{"id":"%s","parameters":{"a":1,"a":2}}' % UUID, task(id=UUID, parameters={"a": "2"})),
     ('{"id":"%s","parameters":{}}' % UUID, task(id=UUID, parameters={})),
@@ -118,7 +123,7 @@ def _payloads(spark, cases):
 
 @pytest.fixture(scope="module")
 def decoded_requests(spark):
-    valid, quarantine = decode_requests(_payloads(spark, REQUESTS))
+    valid, quarantine, _ = decode_requests(_payloads(spark, REQUESTS))
     names = ["bucket_id", "id", "tenant", "scheduled_at", "status"]
     got = {row.offset: tuple(row[name] for name in names) for row in valid.collect()}
     aside = {row.offset: row.reason for row in quarantine.collect()}
@@ -134,7 +139,7 @@ def test_request(decoded_requests, number):
 @pytest.fixture(scope="module")
 def decoded_tasks(spark):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    valid, quarantine = decode_tasks(_payloads(spark, TASKS))
+    valid, quarantine, _ = decode_tasks(_payloads(spark, TASKS))
     from pyspark.sql import functions as F
 
     moments = [name for name in valid.columns if name.endswith("_time") or name in ("created_at", "updated_at")]
@@ -157,14 +162,49 @@ def test_task(decoded_tasks, number):
 
 
 def test_counts_are_never_null(spark):
-    valid, _ = decode_tasks(_payloads(spark, TASKS[:1]))
+    valid, _, _ = decode_tasks(_payloads(spark, TASKS[:1]))
     row = valid.first()
     assert (row.retry_count, row.current_retries, row.max_retries, row.retry_delay_ms) == (0, 0, 0, 0)
 
 
 def test_quarantine_keeps_the_payload(spark):
-    _, quarantine = decode_requests(_payloads(spark, REQUESTS))
+    _, quarantine, _ = decode_requests(_payloads(spark, REQUESTS))
     kept = {row.offset: row.raw for row in quarantine.collect()}
     for number, raw in kept.items():
         case = REQUESTS[number][0]
         assert raw == (case.encode() if isinstance(case, str) else case)
+
+
+EXTREMES = [
+    "1e400", "-1e400", "1e308", "-1e28", "1e20", "99999999999999999999999999999999999999999", "1705363200000000",
+    "9223372036854775807", "-9223372036854775808", "0.00000000000000000000000000000000000000001",
+    '"9999-12-31T23:59:59.999999999Z"', '"0000-01-01T00:00:00Z"', '"' + "9" * 400 + '"', '""', '" "', "true",
+    "null", "[]", "{}", '{"a":' * 50 + "1" + "}" * 50,
+]
+
+
+@pytest.mark.parametrize("decode", [decode_requests, decode_tasks])
+def test_no_value_of_any_field_ends_the_query(spark, decode):
+    from tocsin.operators.records import encode_records
+    from tocsin.schema import FIXED_DELAY, REQUEST_FIELDS, REQUESTED, TASK_FIELDS
+
+    tasks = decode is decode_tasks
+    payloads = [
+        '{"id":"%s","%s":%s}' % (UUID, key, value) if key != "id" else '{"id":%s}' % value
+        for _, key, _ in (TASK_FIELDS if tasks else REQUEST_FIELDS)
+        for value in EXTREMES
+    ]
+    decoded = decode(_payloads(spark, [(payload, None) for payload in payloads]))
+    read = encode_records(decoded.valid, FIXED_DELAY if tasks else REQUESTED).collect()
+    aside = decoded.quarantine.collect()
+    assert len(read) + len(aside) == len(payloads) == decoded.tagged.count()
+    assert {row.reason for row in aside} <= {"bad_type", "overflow", "bad_uuid", "missing_id", "malformed"}
+
+
+def test_instants_keep_their_microseconds(spark):
+    from tocsin.operators.records import encode_records
+    from tocsin.schema import FIXED_DELAY
+
+    case = '{"id":"%s","createdAt":"2024-01-01T00:00:00.123456Z"}' % UUID
+    (row,) = encode_records(decode_tasks(_payloads(spark, [(case, None)])).valid, FIXED_DELAY).collect()
+    assert '"createdAt":"2024-01-01T00:00:00.123456Z"' in row.value

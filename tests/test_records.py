@@ -33,7 +33,7 @@ def test_ready_task(fired):
     assert len(record) == 17
     assert record.pop("id") == UUID
     assert record.pop("status") == "READY_FOR_EXECUTION"
-    assert record.pop("updatedAt") == "2024-01-01T00:10:00.123Z"
+    assert record.pop("updatedAt") == "2024-01-01T00:10:00.123000Z"
     zero = {"retryCount", "currentRetries", "maxRetries", "retryDelayMs"}
     assert all(value == (0 if key in zero else None) for key, value in record.items())
 
@@ -45,7 +45,7 @@ def test_instants_do_not_depend_on_the_session_zone(spark, fired):
         record = json.loads(encode_records(ready_records(fired, FIXED_DELAY), FIXED_DELAY).first().value)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
-    assert record["updatedAt"] == "2024-01-01T00:10:00.123Z"
+    assert record["updatedAt"] == "2024-01-01T00:10:00.123000Z"
 
 
 def _round_trip(spark, decode, payload, policy):
@@ -59,7 +59,7 @@ def test_round_trips(spark):
     task = json.dumps(
         {
             "id": UUID, "name": "n", "description": "d", "status": "NEW", "cronExpression": "* * * * *",
-            "nextExecutionTime": None, "createdAt": "2024-01-01T00:00:00.000Z", "updatedAt": None,
+            "nextExecutionTime": None, "createdAt": "2024-01-01T00:00:00.000000Z", "updatedAt": None,
             "parameters": {"a": "1", "b": None}, "createdBy": "c", "assignedTo": "x", "retryCount": 1,
             "currentRetries": 2, "maxRetries": 3, "retryDelayMs": 4, "executionResult": "r",
             "errorMessage": "e",
@@ -131,16 +131,20 @@ def test_fan_out_computes_once(spark):
             computed.add(batch.num_rows)
             yield batch
 
-    records = spark.range(100).mapInArrow(count, "id bigint")
+    rows = spark.range(100).selectExpr("id", "'fired' AS outcome")
+    records = rows.mapInArrow(count, "id bigint, outcome string")
     seen = []
-    fan_out(records, 3, [lambda rows, batch: seen.append((batch, rows.count()))] * 3)
+    fan_out(records, 3, [({"fired"}, lambda rows, batch: seen.append((batch, rows.count())))] * 3)
     assert seen == [(3, 100)] * 3
     assert computed.value == 100
 
 
 def test_fan_out_is_silent_without_records(spark):
     seen = []
-    fan_out(spark.range(0), 0, [lambda rows, batch: seen.append(batch)])
+    nothing = spark.createDataFrame([], "id bigint, outcome string")
+    fan_out(nothing, 0, [({"fired"}, lambda rows, batch: seen.append(batch))])
+    some = spark.createDataFrame([(1, "stale")], "id bigint, outcome string")
+    fan_out(some, 0, [({"fired"}, lambda rows, batch: seen.append(batch))])
     assert seen == []
 
 

@@ -112,9 +112,10 @@ def _uuid(field: Column) -> Column:
 def _instant(field: Column, tag: Column) -> Column:
     """ISO-8601 text with an offset, or seconds since the epoch as a number."""
     text = _get(field, "string")
+    micros = F.try_multiply(_get(field, "decimal(38,9)"), F.lit(1_000_000)).try_cast("bigint")
     return F.when(
         tag == "STRING", F.when(text.rlike(_INSTANT_TEXT), text.try_cast("timestamp"))
-    ).when(_is_number(tag), F.timestamp_micros((_get(field, "decimal(38,9)") * 1_000_000).cast("bigint")))
+    ).when(_is_number(tag), F.timestamp_micros(micros))
 
 
 def _text_map(field: Column) -> Column:
@@ -152,7 +153,8 @@ def field_error(field: Column, tag: Column, kind: str) -> Column:
         return F.when(~_is_null(tag) & _uuid(field).isNull(), F.lit(BAD_UUID))
     if kind == "instant":
         blank = (tag == "STRING") & (_trimmed(field) == "")
-        return F.when(~_is_null(tag) & ~blank & _instant(field, tag).isNull(), F.lit(BAD_TYPE))
+        unread = ~_is_null(tag) & ~blank & _instant(field, tag).isNull()
+        return F.when(unread, F.when(_is_number(tag), F.lit(OVERFLOW)).otherwise(F.lit(BAD_TYPE)))
     if kind == "text_map":
         return F.when(
             ~_is_null(tag) & (~tag.startswith("OBJECT") | _has_nested_value(field)), F.lit(BAD_TYPE)
@@ -175,7 +177,7 @@ def encode(fields: list[tuple[str, str, str]], values: list[Column] | None = Non
         record,
         {
             "ignoreNullFields": "false",
-            "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
+            "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
             "timeZone": "UTC",
         },
     )

@@ -25,18 +25,22 @@ def fixed_delay_time(now: Column, delay_ms: int = FIXED_DELAY_MS) -> Column:
     return now + F.lit(delay_ms)
 
 
+def known_policy(policy: str) -> str:
+    if policy not in (REQUESTED, FIXED_DELAY):
+        raise ValueError(f"unknown policy {policy!r}")
+    return policy
+
+
 def execution_time(policy: str, requested: Column, now: Column) -> Column:
-    if policy == REQUESTED:
+    if known_policy(policy) == REQUESTED:
         return effective_time(requested, now)
-    if policy == FIXED_DELAY:
-        return fixed_delay_time(now)
-    raise ValueError(f"unknown policy {policy!r}")
+    return fixed_delay_time(now)
 
 
 def with_schedule(requests: DataFrame, policy: str = REQUESTED) -> DataFrame:
     """Add `exec_ms` and `schedule_source`, with each request's arrival as its `now`."""
     now = F.col("arrival_ms")
-    if policy == FIXED_DELAY:
+    if known_policy(policy) == FIXED_DELAY:
         return requests.withColumns(
             {"exec_ms": fixed_delay_time(now), "schedule_source": F.lit(FIXED_DELAY)}
         )

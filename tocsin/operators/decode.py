@@ -13,8 +13,12 @@ from tocsin.session import DECODE_CONF, apply_conf
 
 
 class Decoded(NamedTuple):
+    """What could be read, what was set aside, and both in one frame: there `reason` and `raw` are
+    null for what could be read, and its fields are null for what was set aside."""
+
     valid: DataFrame
     quarantine: DataFrame
+    tagged: DataFrame
 
 
 def _computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
@@ -46,11 +50,14 @@ def _decode(payloads: DataFrame, fields: list[tuple[str, str, str]]) -> Decoded:
         *of_each(codec.field_error),
         codec.id_error(F.col("_tag")["id"]),
     )
+    judged = _computed_once(tagged, "reason", reason)
+    good = F.col("reason").isNull()
+    known = [F.when(good, value).alias(name) for value, (name, _, _) in zip(of_each(codec.field_value), fields)]
+    raw = F.col("value").alias("raw")
     return Decoded(
-        valid=tagged.where(reason.isNull()).select(*of_each(codec.field_value), *envelope),
-        quarantine=tagged.select(F.col("value").alias("raw"), reason.alias("reason"), *envelope).where(
-            F.col("reason").isNotNull()
-        ),
+        valid=judged.where(good).select(*of_each(codec.field_value), *envelope),
+        quarantine=judged.where(~good).select(raw, "reason", *envelope),
+        tagged=judged.select(*known, "reason", F.when(~good, F.col("value")).alias("raw"), *envelope),
     )
 
 

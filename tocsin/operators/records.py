@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tocsin.functions import codec
-from tocsin.functions.rules import with_schedule
+from tocsin.functions.rules import known_policy, with_schedule
 from tocsin.operators.resolve import resolve
 from tocsin.schema import (
     FIRED,
@@ -21,7 +21,7 @@ from tocsin.schema import (
 
 
 def record_fields(policy: str) -> list[tuple[str, str, str]]:
-    return TASK_FIELDS if policy == FIXED_DELAY else REQUEST_FIELDS
+    return TASK_FIELDS if known_policy(policy) == FIXED_DELAY else REQUEST_FIELDS
 
 
 def _ready_values(policy: str) -> list[Column]:

@@ -16,11 +16,16 @@ FIXED_DELAY = "fixed_delay"
 FIRED = "fired"
 PENDING = "pending"
 SUPERSEDED = "superseded"
+AHEAD = "ahead"
 
 # What became of a timer (distinct id and time); FIRED and PENDING as above.
 STALE = "stale"
 ARMED_SUPERSEDED = "armed_superseded"
 
+# What else the running job reports.
+ACCEPTED = "accepted"
+QUARANTINED = "quarantined"
+
 # Why a payload was set aside.
 EMPTY = "empty"
 MALFORMED = "malformed"

@@ -14,6 +14,9 @@ from tocsin.schema import ENVELOPE
 DEFAULT_SERVERS = "localhost:9092"
 DEFAULT_INPUT_TOPIC = "task-requests"
 
+# Records of a micro-batch, unless told otherwise.
+INTAKE = "1000000"
+
 
 def topic_options(servers: str, topic: str) -> dict[str, str]:
     """The whole topic, oldest record first."""
@@ -36,8 +39,9 @@ def topic_stream(
     topic: str = DEFAULT_INPUT_TOPIC,
     **options: str,
 ) -> DataFrame:
-    """An unbounded read; `maxOffsetsPerTrigger` in `options` bounds a micro-batch."""
-    settings = {**topic_options(servers, topic), **options}
+    """An unbounded read. A micro-batch takes a bounded number of records, so that timers go off
+    while a backlog is read; `maxOffsetsPerTrigger` in `options` sets another bound."""
+    settings = {**topic_options(servers, topic), "maxOffsetsPerTrigger": INTAKE, **options}
     return _topic_envelope(spark.readStream.format("kafka").options(**settings).load())
 
 
@@ -47,7 +51,8 @@ def topic_history(
     topic: str = DEFAULT_INPUT_TOPIC,
     **options: str,
 ) -> DataFrame:
-    """What the topic holds now, as a batch."""
+    """What the topic holds, as a batch. Each use reads it anew, up to `endingOffsets` in `options`
+    or what is there by then: stage what is used more than once."""
     settings = {**topic_options(servers, topic), **options}
     return _topic_envelope(spark.read.format("kafka").options(**settings).load())
 
@@ -78,13 +83,6 @@ def with_heartbeat(requests: DataFrame) -> DataFrame:
     return requests.unionByName(ticks.select(*_nulls_like(requests)))
 
 
-def with_clock(requests: DataFrame) -> DataFrame:
-    """The same stream with a `clock_ms` column, and a row per second that has only that."""
-    clock = F.unix_millis("timestamp").alias("clock_ms")
-    ticks = _ticks(requests.sparkSession).select(*_nulls_like(requests), clock)
-    return requests.withColumn("clock_ms", F.lit(None).cast("bigint")).unionByName(ticks)
-
-
 def log_order() -> Column:
     """The order of records that arrive in the same millisecond."""
     return F.struct("partition", "offset").alias("seq")

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame
 
 from tocsin.operators.records import encode_records
 from tocsin.schema import REQUESTED
 
+# Ship the code below with the job, so that executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Sink = Callable[[DataFrame, int], None]
 
 DEFAULT_OUTPUT_TOPIC = "scheduled-tasks"
@@ -45,24 +49,30 @@ def table_sink(path: str) -> Sink:
     return write
 
 
-def console_sink(rows: int = 20) -> Sink:
-    """A look at each micro-batch that has something to show."""
+def _print_lines(rows) -> None:
+    for row in rows:
+        print(row[0], flush=True)
+
+
+def console_sink(policy: str = REQUESTED) -> Sink:
+    """Every record on the standard output of the executor that holds it."""
 
     def write(records: DataFrame, batch_id: int) -> None:
-        records.show(rows, truncate=False)
+        encode_records(records, policy).foreachPartition(_print_lines)
 
     return write
 
 
-def fan_out(records: DataFrame, batch_id: int, sinks: list[Sink]) -> None:
-    """Give each sink the same records, computed once; none is called without records.
+def fan_out(records: DataFrame, batch_id: int, targets: list[tuple[set[str], Sink]]) -> None:
+    """Give each sink the same records, computed once, if there are any of the outcomes it is for.
 
     The count makes every task run, so state is committed also when nothing goes out.
     """
     kept = records.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if kept.count() > 0:
-            for sink in sinks:
+        found = {row.outcome for row in kept.groupBy("outcome").count().collect()}
+        for outcomes, sink in targets:
+            if found & outcomes:
                 sink(kept, batch_id)
     finally:
         kept.unpersist()
