@@ -7,7 +7,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tocsin.plans.catalog import QUERIES
+from tocsin.plans.oracle import ORACLE
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -26,13 +28,13 @@ def _sorted(rows, names):
 
 
 def test_each_query_has_its_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, database, name):
-    frame = queries()[name](spark, SMALL)
-    want = database.sql(oracle_sql()[name])
+    frame = QUERIES[name](spark, SMALL)
+    want = database.sql(ORACLE[name])
     assert sorted(frame.columns) == sorted(want.columns)
     got = _sorted([tuple(row) for row in frame.collect()], frame.columns)
     assert got == _sorted(want.fetchall(), want.columns)
@@ -44,7 +46,7 @@ def test_entry(spark):
 
 
 def _plan(spark, name):
-    return queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize(
@@ -66,11 +68,13 @@ def test_only_needed_columns_are_read(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in plan
 
 
-def test_a_payload_is_parsed_once(spark):
-    assert _plan(spark, "decode_requests").count("from_json(") == 1
+@pytest.mark.parametrize("name", ["decode_requests", "quarantine_counts", "quarantine_task_counts"])
+def test_a_payload_is_parsed_once(spark, name):
+    plan = _plan(spark, name)
+    assert plan.count("from_json(") == 1 and plan.count("FileScan") == 1
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join(spark, name):
     if not name.startswith("stream"):
         plan = _plan(spark, name)
@@ -98,3 +102,5 @@ def test_job_arguments():
     given = arguments(["h:1", "in", "out", "--checkpoint", "/c", "--policy", "fixed_delay"])
     assert (given.servers, given.input_topic, given.output_topic) == ("h:1", "in", "out")
     assert given.policy == "fixed_delay"
+    given = arguments(["--checkpoint", "/c", "--source-option", "maxOffsetsPerTrigger=5"])
+    assert given.source_options == {"maxOffsetsPerTrigger": "5"}

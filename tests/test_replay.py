@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tocsin.operators.records import ready
 from tocsin.operators.resolve import log_stats
 from tocsin.sources.outputs import table_sink
-from tocsin.streaming.replay import PendingTable, start_replay
+from tocsin.streaming.replay import PendingTable, finish_replay, start_replay
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +38,11 @@ def _replay(spark, folder, sinks, **options):
     query.awaitTermination()
 
 
+def _finish(spark, folder, sinks, **options):
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{folder}/log")
+    finish_replay(stream, sinks, f"{folder}/checkpoint", **options)
+
+
 def _append(log, folder, start, end):
     part = log.where((F.col("seq") >= start) & (F.col("seq") < end))
     part.write.mode("append").parquet(f"{folder}/log")
@@ -56,6 +61,8 @@ def test_replay_equals_batch(spark, tmp_path, log, want, parts, target_rows):
     for part in range(parts):
         _append(log, tmp_path, part * 2000 // parts, (part + 1) * 2000 // parts)
         _replay(spark, tmp_path, [table_sink(f"{tmp_path}/ready")], target_rows=target_rows)
+    for _ in range(2):
+        _finish(spark, tmp_path, [table_sink(f"{tmp_path}/ready")], target_rows=target_rows)
     assert len(want) > 300
     assert _ready(spark, tmp_path) == want
 
@@ -80,6 +87,7 @@ def test_failure_in_mid_batch_is_repeated(spark, tmp_path, log, want):
     _append(log, tmp_path, 1500, 2000)
     _replay(spark, tmp_path, [breaks_once])
     assert broken == [1]
+    _finish(spark, tmp_path, [sink])
     assert _ready(spark, tmp_path) == want
 
 
@@ -97,33 +105,99 @@ def test_batch_without_usable_requests_keeps_what_is_pending(spark, tmp_path):
     assert _ready(spark, tmp_path) == [("a", 50_000), ("b", 20_000), ("c", 85_000)]
 
 
+PARTED = "id string, arrival_ms bigint, seq struct<partition:int,offset:bigint>, scheduled_at bigint"
+
+
+def test_partitions_read_unevenly(spark, tmp_path):
+    """Nothing fires before every partition has got as far; what comes too late is kept apart."""
+
+    def rows(found, path):
+        return sorted(tuple(row) for row in spark.read.parquet(f"{tmp_path}/{path}").select(*found).collect())
+
+    def step(table, batch_id, *requests):
+        table.step(spark.createDataFrame(requests, PARTED), batch_id)
+
+    fired = []
+    sink = lambda records, batch_id: fired.extend((r.id, r.scheduled_at) for r in records.collect())
+    late = table_sink(f"{tmp_path}/late")
+    table = PendingTable(f"{tmp_path}/pending", [sink], partitions=2, late_sinks=[late])
+    step(table, 0, ("a", 0, (0, 0), 50_000), ("z", 60_000, (0, 1), None))
+    assert fired == []
+    step(table, 1, ("a", 10_000, (1, 0), 80_000))
+    assert fired == []
+    step(table, 2, ("y", 85_000, (0, 2), None), ("y", 82_000, (1, 1), None))
+    assert fired == [("a", 80_000)]
+    step(table, 3, ("q", 20_000, (2, 0), None))
+    assert rows(["id", "arrival_ms"], "late") == [("q", 20_000)]
+    assert fired == [("a", 80_000)]
+    table.finish(table._judged(spark.createDataFrame([], PARTED)))
+    assert sorted(fired) == [("a", 80_000)]
+
+
+def test_an_hour_old_backlog_in_the_first_micro_batch(spark, tmp_path):
+    """Both wall-clock forms judge it by the start of the run."""
+    from test_processor import Engine
+
+    started = 3_600_000
+    fired = []
+    sink = lambda records, batch_id: fired.extend((r.id, r.scheduled_at) for r in records.collect())
+    clock = iter([started + 5_000, started + 31_000])
+    table = PendingTable(f"{tmp_path}/p", [sink], ticking=True, started_ms=started, clock=lambda: next(clock))
+    backlog = [("a", 0, 0, 2_000), ("a", 1_000, 1, None), ("b", 5, 2, started + 9_000)]
+    table.step(spark.createDataFrame(backlog, SCHEMA), 0)
+    assert fired == []
+    table.step(spark.createDataFrame([], SCHEMA), 1)
+    engine = Engine(started_ms=started).batch(started + 5_000, (0, 2_000), (1_000, None)).batch(started + 31_000)
+    assert sorted(fired) == [("a", engine.fired()[0]), ("b", started + 9_000)] == [("a", started + 30_000), ("b", started + 9_000)]
+
+
+def test_a_repeated_micro_batch_sees_the_same_clock(spark, tmp_path):
+    calls = []
+
+    def breaks_once(records, batch_id):
+        calls.append(sorted(r.id for r in records.collect()))
+        if len(calls) == 1:
+            raise RuntimeError("sink is down")
+
+    clock = iter([40_000, 99_000])
+    table = PendingTable(f"{tmp_path}/p", [breaks_once], ticking=True, started_ms=0, clock=lambda: next(clock))
+    rows = spark.createDataFrame([("a", 0, 0, 20_000), ("b", 0, 1, 60_000)], SCHEMA)
+    with pytest.raises(RuntimeError):
+        table.step(rows, 0)
+    table.step(rows, 0)
+    assert calls == [["a"], ["a"]]
+
+
 def test_ticking_form_agrees_with_the_keyed_processor(spark, tmp_path):
     """The same micro-batches through both wall-clock forms."""
     from test_processor import Engine
 
     chance = random.Random(3)
     ids = [f"id{n}" for n in range(200)]
-    engines = {name: Engine() for name in ids}
+    engines = {name: Engine(started_ms=990_000) for name in ids}
     fired = []
 
     def collect(records, batch_id):
         fired.extend((row.id, row.scheduled_at) for row in records.collect())
 
-    table = PendingTable(f"{tmp_path}/pending", [collect], target_rows=10, ticking=True)
-    schema = f"{SCHEMA}, clock_ms bigint"
+    clock = iter(1_000_000 + batch_id * 20_000 for batch_id in range(8))
+    table = PendingTable(
+        f"{tmp_path}/pending", [collect], target_rows=10, ticking=True, started_ms=990_000,
+        clock=lambda: next(clock),
+    )
     for batch_id in range(8):
         now = 1_000_000 + batch_id * 20_000
-        rows, by_id = [(None, None, None, None, now)], {name: [] for name in ids}
+        rows, by_id = [], {name: [] for name in ids}
         for offset in range(120):
             arrival = now - 19_999 + offset * 160
             # Few seconds to choose from, so that due times and arrivals meet.
             scheduled_at = chance.choice([None, now + chance.randrange(-30, 60) * 1000])
             name = chance.choice(ids[:5] if chance.random() < 0.3 else ids)
             by_id[name].append((arrival, scheduled_at))
-            rows.append((name, arrival, batch_id * 1000 + offset, scheduled_at, None))
+            rows.append((name, arrival, batch_id * 1000 + offset, scheduled_at))
         for name, requests in by_id.items():
             engines[name].batch(now, *requests)
-        table.step(spark.createDataFrame(rows, schema), batch_id)
+        table.step(spark.createDataFrame(rows, SCHEMA), batch_id)
     want = [(name, time) for name, engine in engines.items() for time in engine.fired()]
     assert len(want) > 100
     assert sorted(fired) == sorted(want)

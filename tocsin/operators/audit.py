@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tocsin.functions.rules import schedule_source
 from tocsin.operators.decode import Decoded
 from tocsin.operators.expected import gone_off
 from tocsin.operators.records import ready_payload
 from tocsin.operators.resolve import history
-from tocsin.schema import FIRED, REQUESTED, STALE
+from tocsin.schema import ACCEPTED, FIRED, FIXED_DELAY, QUARANTINED, REQUESTED, STALE
 
 _COLUMNS = {
     "at_ms": "bigint",
@@ -67,6 +68,41 @@ def timer_steps(
     )
 
 
+def live_steps(rows: DataFrame, policy: str = REQUESTED) -> DataFrame:
+    """The steps that a micro-batch of the running job has taken, from what its processor yields:
+    `outcome`, `id`, `exec_ms` and `at_ms` with what belongs to the outcome."""
+    outcome, at, exec_ms = F.col("outcome"), F.col("at_ms"), F.col("exec_ms")
+    accepted, fired = outcome == ACCEPTED, outcome == FIRED
+    if policy == FIXED_DELAY:
+        source = F.lit(FIXED_DELAY)
+    else:
+        source = schedule_source(F.col("scheduled_at"), at)
+    off = fired | (outcome == STALE)
+    return _steps(
+        rows,
+        F.when(outcome == QUARANTINED, _step("DESERIALIZE-ERROR", at_ms=at, detail=F.col("reason"))),
+        F.when(accepted, _step("DESERIALIZE", at_ms=at)),
+        F.when(accepted, _step("INBOUND", at_ms=at, detail=F.col("status"))),
+        F.when(accepted, _step("PROCESSING", at_ms=at, exec_ms=exec_ms, detail=source)),
+        F.when(accepted, _step("TIMER-REGISTERED", at_ms=at, exec_ms=exec_ms)),
+        F.when(off, _step("TIMER-FIRED", at_ms=exec_ms)),
+        F.when(fired, _step("SERIALIZE", at_ms=exec_ms, bytes=F.octet_length(ready_payload(policy)))),
+        F.when(fired, _step("TIMER-COMPLETED", at_ms=exec_ms)),
+        F.when(outcome == STALE, _step("TIMER-MISMATCH", at_ms=exec_ms, expected_ms=F.col("expected_ms"))),
+    )
+
+
+def decode_steps(decoded: Decoded) -> DataFrame:
+    """A step for each payload: read, or set aside and why."""
+    read = F.col("reason").isNull()
+    arrival = F.col("arrival_ms")
+    return _steps(
+        decoded.tagged,
+        F.when(read, _step("DESERIALIZE", at_ms=arrival)),
+        F.when(~read, _step("DESERIALIZE-ERROR", at_ms=arrival, detail=F.col("reason"))),
+    )
+
+
 def audit_log(requests: DataFrame, as_of: int, policy: str = REQUESTED, **options) -> DataFrame:
     return request_steps(requests, as_of, policy).unionByName(
         timer_steps(requests, as_of, policy, **options)
@@ -79,6 +115,9 @@ def audit_summary(log: DataFrame) -> DataFrame:
 
 def decode_summary(decoded: Decoded) -> DataFrame:
     """How many payloads were read, and how many were set aside for which reason."""
-    read = decoded.valid.select(F.lit("DESERIALIZE").alias("phase"), F.lit(None).cast("string").alias("reason"))
-    aside = decoded.quarantine.select(F.lit("DESERIALIZE-ERROR").alias("phase"), "reason")
-    return read.unionByName(aside).groupBy("phase", "reason").agg(F.count(F.lit(1)).alias("n"))
+    read = F.col("reason").isNull()
+    return (
+        decoded.tagged.groupBy("reason")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.when(read, F.lit("DESERIALIZE")).otherwise(F.lit("DESERIALIZE-ERROR")).alias("phase"), "reason", "n")
+    )

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tocsin.functions.rules import with_schedule
-from tocsin.operators.audit import audit_log, audit_summary, decode_summary
+from tocsin.operators.audit import audit_log, audit_summary, decode_steps, decode_summary
 from tocsin.operators.decode import decode_requests, decode_tasks
 from tocsin.operators.expected import mismatches
-from tocsin.operators.records import annotate_requests, encode_records, ready
+from tocsin.operators.reading import in_reading_order
+from tocsin.operators.records import annotate_requests, encode_records, ready, ready_records
 from tocsin.operators.resolve import log_stats, resolve, timer_outcomes
 from tocsin.plans import logs
 from tocsin.schema import (
@@ -24,7 +26,9 @@ from tocsin.schema import (
 from tocsin.session import shared_folder, staged
 from tocsin.sources.inputs import as_requests, folder_stream
 from tocsin.sources.outputs import payload_sink, table_sink
-from tocsin.streaming.replay import start_replay
+from tocsin.streaming.job import start_triggers
+from tocsin.streaming.processor import ARRIVAL
+from tocsin.streaming.replay import finish_replay, start_replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -168,12 +172,12 @@ def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _plain_task(tasks: DataFrame) -> DataFrame:
-    """Instants as milliseconds and maps as text, which any engine compares alike."""
+    """Instants as microseconds and maps as text, which any engine compares alike."""
     return tasks.withColumns(
         {
-            "next_execution_time": F.unix_millis("next_execution_time"),
-            "created_at": F.unix_millis("created_at"),
-            "updated_at": F.unix_millis("updated_at"),
+            "next_execution_time": F.unix_micros("next_execution_time"),
+            "created_at": F.unix_micros("created_at"),
+            "updated_at": F.unix_micros("updated_at"),
             "parameters": F.to_json("parameters"),
         }
     )
@@ -228,51 +232,146 @@ def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_summary(audit_steps(spark, sf_dir))
 
 
+def audit_task_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every step of full tasks under the set delay, from their payloads on."""
+    decoded = decode_tasks(logs.mixed_task_payloads(spark, sf_dir))
+    requests = staged(as_requests(decoded.valid), "tasks")
+    stats = log_stats(requests)
+    steps = audit_log(requests, stats.last_arrival_ms, FIXED_DELAY, rows=stats.rows)
+    return decode_steps(decoded).unionByName(steps)
+
+
+# --- reading order --------------------------------------------------------------------------
+
+# A day of the test log's offsets.
+_DAY_OF_OFFSETS = 86_400_000 * 1_000_000
+
+
+def offset_order_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ready_at_end(in_reading_order(logs.unordered_requests(spark, sf_dir), _DAY_OF_OFFSETS))
+
+
 # --- streaming ------------------------------------------------------------------------------
 
+# 2024-01-11 and 2024-01-21.
+_THIRDS = [1_704_931_200_000, 1_705_795_200_000]
 
-def _replay_in_parts(spark: SparkSession, payloads: DataFrame, decode, sinks, folder, policy) -> None:
-    """Let a payload log grow by thirds of the month and catch up after each, in a new run."""
-    log = f"{folder}/log"
-    bounds = [None, 1_704_931_200_000, 1_705_795_200_000, None]  # 2024-01-11 and 2024-01-21
-    for start, end in zip(bounds, bounds[1:]):
-        part = payloads
-        if start is not None:
-            part = part.where(F.col("arrival_ms") >= start)
-        if end is not None:
-            part = part.where(F.col("arrival_ms") < end)
+
+def _before(payloads: DataFrame, start: int | None, end: int | None) -> DataFrame:
+    if start is not None:
+        payloads = payloads.where(F.col("arrival_ms") >= start)
+    return payloads if end is None else payloads.where(F.col("arrival_ms") < end)
+
+
+def _thirds(payloads: DataFrame) -> list[DataFrame]:
+    bounds = [None, *_THIRDS, None]
+    return [_before(payloads, start, end) for start, end in zip(bounds, bounds[1:])]
+
+
+def _uneven(payloads: DataFrame) -> list[DataFrame]:
+    """Partitions read at different speeds: some are a third ahead of the others."""
+    fast = F.col("partition") % 2 == 0
+    first, second, third = _thirds(payloads)
+    return [
+        first.unionByName(second.where(fast)),
+        second.where(~fast).unionByName(third.where(fast)),
+        third.where(~fast),
+    ]
+
+
+def _sunk(spark: SparkSession, path: str, policy: str) -> DataFrame:
+    """What a table sink has been given, nothing included."""
+    fired = spark.createDataFrame([], "id string, exec_ms bigint")
+    try:
+        return spark.read.schema(ready_records(fired, policy).schema).parquet(path).drop("batch_id")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return ready_records(fired, policy)
+
+
+def _replay_in_parts(spark, parts, decode, sinks, folder, policy, partitions: int = 1) -> None:
+    """Let a payload log grow part by part and catch up after each, in a new run."""
+    log, checkpoint = f"{folder}/log", f"{folder}/checkpoint"
+    for part in parts:
         part.write.mode("append").parquet(log)
         requests = as_requests(decode(folder_stream(spark, log)).valid)
-        start_replay(requests, sinks, f"{folder}/checkpoint", policy).awaitTermination()
+        start_replay(requests, sinks, checkpoint, policy, partitions=partitions).awaitTermination()
+    finish_replay(requests, sinks, checkpoint, policy)
+
+
+def _keyed_in_parts(spark, parts, decode, sinks, folder, policy) -> None:
+    """The same through the stateful operator, by the log's own clock."""
+    log = f"{folder}/log"
+    for part in parts:
+        part.write.mode("append").parquet(log)
+        start_triggers(
+            decode(folder_stream(spark, log)).tagged, sinks, f"{folder}/checkpoint", policy,
+            quarantine_sinks=[], clock=ARRIVAL, trigger={"availableNow": True},
+        ).awaitTermination()
+
+
+def _end_of_log(payloads: DataFrame) -> DataFrame:
+    """An empty payload a millisecond after the last: time passes, nothing is asked for."""
+    last = payloads.agg((F.max("arrival_ms") + 1).alias("arrival_ms"), F.max("offset").alias("offset"))
+    return last.select(
+        F.lit(b"").alias("value"), "arrival_ms", F.lit(0).alias("partition"), F.col("offset") + 1_000_000
+    ).toDF("value", "arrival_ms", "partition", "offset")
 
 
 def stream_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream-ready")
     out = f"{folder}/ready"
-    payloads = logs.request_payloads(spark, sf_dir)
-    _replay_in_parts(spark, payloads, decode_requests, [table_sink(out)], folder, REQUESTED)
-    return spark.read.parquet(out).drop("batch_id")
+    parts = _thirds(logs.request_payloads(spark, sf_dir))
+    _replay_in_parts(spark, parts, decode_requests, [table_sink(out)], folder, REQUESTED)
+    return _sunk(spark, out, REQUESTED)
+
+
+def stream_ready_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "stream-ready-partitions")
+    out = f"{folder}/ready"
+    parts = _uneven(logs.in_partitions(logs.request_payloads(spark, sf_dir), 4))
+    _replay_in_parts(spark, parts, decode_requests, [table_sink(out)], folder, REQUESTED, 4)
+    return _sunk(spark, out, REQUESTED)
 
 
 def stream_fixed_delay_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream-fixed-delay-ready")
     out = f"{folder}/ready"
-    payloads = logs.task_payloads(spark, sf_dir)
-    _replay_in_parts(spark, payloads, decode_tasks, [table_sink(out)], folder, FIXED_DELAY)
-    return _plain_task(spark.read.parquet(out).drop("batch_id"))
+    parts = _thirds(logs.task_payloads(spark, sf_dir))
+    _replay_in_parts(spark, parts, decode_tasks, [table_sink(out)], folder, FIXED_DELAY)
+    return _plain_task(_sunk(spark, out, FIXED_DELAY))
+
+
+def stream_keyed_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "stream-keyed-ready")
+    out = f"{folder}/ready"
+    payloads = logs.in_partitions(logs.request_payloads(spark, sf_dir))
+    parts = [*_thirds(payloads), _end_of_log(payloads)]
+    _keyed_in_parts(spark, parts, decode_requests, [table_sink(out)], folder, REQUESTED)
+    return _sunk(spark, out, REQUESTED)
+
+
+def stream_keyed_fixed_delay_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "stream-keyed-fixed-delay-ready")
+    out = f"{folder}/ready"
+    payloads = logs.in_partitions(logs.task_payloads(spark, sf_dir))
+    parts = [*_thirds(payloads), _end_of_log(payloads)]
+    _keyed_in_parts(spark, parts, decode_tasks, [table_sink(out)], folder, FIXED_DELAY)
+    return _plain_task(_sunk(spark, out, FIXED_DELAY))
 
 
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that reached each of two sinks of one replay."""
     folder = shared_folder(spark, "stream-fanout")
     table, topic = f"{folder}/monitor", f"{folder}/topic"
-    payloads = logs.mixed_request_payloads(spark, sf_dir)
+    parts = _thirds(logs.mixed_request_payloads(spark, sf_dir))
     sinks = [payload_sink(topic), table_sink(table)]
-    _replay_in_parts(spark, payloads, decode_requests, sinks, folder, REQUESTED)
+    _replay_in_parts(spark, parts, decode_requests, sinks, folder, REQUESTED)
     return (
         spark.read.text(topic)
         .select(F.lit("topic").alias("sink"))
-        .unionByName(spark.read.parquet(table).select(F.lit("monitor").alias("sink")))
+        .unionByName(_sunk(spark, table, REQUESTED).select(F.lit("monitor").alias("sink")))
         .groupBy("sink")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -306,7 +405,12 @@ QUERIES: dict[str, Query] = {
     "payloads_to_ready": payloads_to_ready,
     "audit_log": audit_steps,
     "audit_summary": audit_counts,
+    "audit_task_log": audit_task_log,
+    "offset_order_ready": offset_order_ready,
     "stream_ready": stream_ready,
+    "stream_ready_partitions": stream_ready_partitions,
+    "stream_keyed_ready": stream_keyed_ready,
+    "stream_keyed_fixed_delay_ready": stream_keyed_fixed_delay_ready,
     "stream_fixed_delay_ready": stream_fixed_delay_ready,
     "stream_fanout": stream_fanout,
 }

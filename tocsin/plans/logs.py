@@ -59,6 +59,25 @@ def _envelope(rows: DataFrame, value: Column) -> DataFrame:
     )
 
 
+def in_partitions(payloads: DataFrame, partitions: int = 1) -> DataFrame:
+    """The same payloads dealt to partitions, with offsets that rise with their arrival."""
+    return payloads.withColumns({
+        "partition": (F.col("offset") % partitions).cast("int"),
+        "offset": F.col("arrival_ms") * 1_000_000 + F.col("offset"),
+    })
+
+
+def unordered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests in four partitions, whose stamps fall behind those of records further up."""
+    place = F.struct(
+        (F.col("seq") % 4).cast("int").alias("partition"),
+        (F.col("arrival_ms") * 1_000_000 + F.col("seq")).alias("offset"),
+    )
+    return requests(spark, sf_dir).withColumns(
+        {"seq": place, "arrival_ms": F.col("arrival_ms") - F.col("seq") % 7 * 1_500}
+    )
+
+
 _PLAIN = '{"bucketId":{id},"id":"{id}","tenant":"{status}","scheduledAt":{scheduled_at},"status":"NEW"}'
 
 
@@ -119,6 +138,8 @@ _TASK_SHAPES = {
     6: _TASK + '"retryCount":"{id}","maxRetries":2.9,"retryDelayMs":{arrival_ms}}',
     7: '{"id":"{uuid}","parameters":null,"retryCount":null,"maxRetries":""}',
     8: '{"id":"{uuid}","parameters":{},"createdAt":null,"name":{id}}',
+    9: '{"id":"{uuid}","createdAt":{arrival_ms}000}',
+    10: '{"id":"{uuid}","updatedAt":-1e28,"name":"{status}"}',
 }
 
 
@@ -150,5 +171,6 @@ def mixed_task_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _task_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = requests(spark, sf_dir)
     uuid = _uuid_of("id")
-    created = F.date_format(F.timestamp_millis("arrival_ms"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    instant = F.timestamp_micros(F.col("arrival_ms") * 1000 + F.col("seq") % 1000)
+    created = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     return rows.withColumns({"uuid": uuid, "upper_uuid": F.upper(uuid), "created": created})

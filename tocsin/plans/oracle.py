@@ -68,7 +68,7 @@ _READY_TASK = """
 SELECT id, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS description,
        'READY_FOR_EXECUTION' AS status, CAST(NULL AS VARCHAR) AS cron_expression,
        CAST(NULL AS BIGINT) AS next_execution_time, CAST(NULL AS BIGINT) AS created_at,
-       exec_ms AS updated_at, CAST(NULL AS VARCHAR) AS parameters,
+       exec_ms * 1000 AS updated_at, CAST(NULL AS VARCHAR) AS parameters,
        CAST(NULL AS VARCHAR) AS created_by, CAST(NULL AS VARCHAR) AS assigned_to,
        CAST(0 AS INTEGER) AS retry_count, CAST(0 AS INTEGER) AS current_retries,
        CAST(0 AS INTEGER) AS max_retries, CAST(0 AS BIGINT) AS retry_delay_ms,
@@ -80,13 +80,16 @@ _READY_JSON = (
     """ || ',"status":"READY_FOR_EXECUTION"}'"""
 )
 
-_ISO = "strftime(make_timestamp({ms} * 1000), '%Y-%m-%dT%H:%M:%S.%gZ')"
+_ISO = "strftime(make_timestamp({us}), '%Y-%m-%dT%H:%M:%S.%fZ')"
+
+# Instants of the full-task logs are in microseconds.
+_CREATED = "arrival_ms * 1000 + seq % 1000"
 
 _READY_TASK_JSON = (
     """'{"id":"' || id || '","name":null,"description":null,"status":"READY_FOR_EXECUTION",'
     || '"cronExpression":null,"nextExecutionTime":null,"createdAt":null,"updatedAt":"'
     || """
-    + _ISO.format(ms="exec_ms")
+    + _ISO.format(us="exec_ms * 1000")
     + """ || '","parameters":null,"createdBy":null,"assignedTo":null,"retryCount":0,'
     || '"currentRetries":0,"maxRetries":0,"retryDelayMs":0,"executionResult":null,'
     || '"errorMessage":null}'"""
@@ -114,7 +117,8 @@ _PLAIN_LENGTH = """length('{"bucketId":' || id || ',"id":"' || id || '","tenant"
 
 _TASK_REASON = """CASE seq % 12
          WHEN 0 THEN 'bad_uuid' WHEN 1 THEN 'overflow' WHEN 2 THEN 'bad_type'
-         WHEN 3 THEN 'bad_type' WHEN 4 THEN 'missing_id' END"""
+         WHEN 3 THEN 'bad_type' WHEN 4 THEN 'missing_id'
+         WHEN 9 THEN 'overflow' WHEN 10 THEN 'overflow' END"""
 
 
 def _counts(reason: str) -> str:
@@ -143,6 +147,10 @@ audit AS (
   UNION ALL
   SELECT 'TIMER-MISMATCH', id, timer_ms, NULL, expected_ms, NULL, NULL FROM mismatch)"""
 
+_TASK_AUDIT = _AUDIT.replace(_READY_JSON, _READY_TASK_JSON).replace(
+    "schedule_source FROM scheduled", "'fixed_delay' FROM scheduled"
+)
+
 _OUTCOMES = """
 SELECT 'fired' AS outcome, * FROM fired
 UNION ALL SELECT 'pending', * FROM pending
@@ -157,11 +165,24 @@ _MIXED_READY = (
 
 _UUID = "'00000000-0000-4000-8abc-' || lpad(id, 12, '0')"
 
+# Stamps that fall back within a partition count as the latest so far.
+_READ = """
+requests AS (
+  SELECT id, row_number() OVER (ORDER BY part, place) AS seq, status, scheduled_at,
+         max(arrival_ms - seq % 7 * 1500) OVER (PARTITION BY part ORDER BY place) AS arrival_ms
+  FROM (SELECT *, seq % 4 AS part, arrival_ms * 1000000 + seq AS place FROM plain))"""
+
+_READABLE_TASKS = """
+requests AS (
+  SELECT '00000000-0000-4000-8abc-' || lpad(id, 12, '0') AS id, seq, arrival_ms, NULL AS scheduled_at,
+         CASE WHEN seq % 12 IN (5, 7, 8) THEN NULL ELSE 'NEW' END AS status
+  FROM plain WHERE seq % 12 IN (5, 6, 7, 8, 11))"""
+
 _TASK_JSON = (
     f"""'{{"id":"' || {_UUID} || '","name":"' || status || '","description":null,"status":"NEW",'
     || '"cronExpression":"0 * * * *","nextExecutionTime":null,"createdAt":"'
     || """
-    + _ISO.format(ms="arrival_ms")
+    + _ISO.format(us=_CREATED)
     + """ || '","updatedAt":null,"parameters":{"count":"' || id || '","kind":"' || status
     || '"},"createdBy":"u' || id || '","assignedTo":null,"retryCount":0,"currentRetries":0,'
     || '"maxRetries":3,"retryDelayMs":0,"executionResult":null,"errorMessage":null}'"""
@@ -220,7 +241,7 @@ SELECT {_UUID} AS id,
        CASE WHEN seq % 12 IN (5, 7, 8) THEN NULL ELSE 'NEW' END AS status,
        CASE WHEN seq % 12 IN (5, 7, 8) THEN NULL ELSE '0 * * * *' END AS cron_expression,
        CAST(NULL AS BIGINT) AS next_execution_time,
-       CASE WHEN seq % 12 IN (5, 7, 8) THEN NULL ELSE arrival_ms END AS created_at,
+       CASE WHEN seq % 12 IN (5, 7, 8) THEN NULL ELSE {_CREATED} END AS created_at,
        CAST(NULL AS BIGINT) AS updated_at,
        CASE seq % 12 WHEN 5 THEN NULL WHEN 7 THEN NULL WHEN 8 THEN '{{}}'
          ELSE '{{"count":"' || id || '","kind":"' || status || '"}}' END AS parameters,
@@ -233,7 +254,7 @@ SELECT {_UUID} AS id,
        CASE seq % 12 WHEN 6 THEN arrival_ms ELSE 0 END AS retry_delay_ms,
        CAST(NULL AS VARCHAR) AS execution_result, CAST(NULL AS VARCHAR) AS error_message,
        seq AS "offset"
-FROM requests WHERE seq % 12 > 4""",
+FROM requests WHERE seq % 12 IN (5, 6, 7, 8, 11)""",
     "quarantine_task_counts": _counts(_TASK_REASON),
     "encode_ready": _with() + f"SELECT {_READY_JSON} AS value FROM fired",
     "encode_ready_tasks": _with(_TASKS, _FIXED_TIME)
@@ -252,7 +273,21 @@ SELECT id, phase, CAST(at_ms AS BIGINT) AS at_ms, CAST(exec_ms AS BIGINT) AS exe
 FROM audit""",
     "audit_summary": _with().rstrip() + "," + _AUDIT
     + "\nSELECT phase, count(*) AS n FROM audit GROUP BY phase",
+    "audit_task_log": _with(_READABLE_TASKS, _FIXED_TIME).rstrip() + "," + _TASK_AUDIT
+    + f"""
+SELECT id, phase, CAST(at_ms AS BIGINT) AS at_ms, CAST(exec_ms AS BIGINT) AS exec_ms,
+       CAST(expected_ms AS BIGINT) AS expected_ms, CAST(bytes AS INTEGER) AS bytes, detail
+FROM (SELECT * FROM audit
+      UNION ALL
+      SELECT 'DESERIALIZE', id, arrival_ms, NULL, NULL, NULL, NULL FROM requests
+      UNION ALL
+      SELECT 'DESERIALIZE-ERROR', NULL, arrival_ms, NULL, NULL, NULL, {_TASK_REASON}
+      FROM plain WHERE seq % 12 NOT IN (5, 6, 7, 8, 11))""",
+    "offset_order_ready": _with(_READ) + _READY,
     "stream_ready": _with() + _READY,
+    "stream_ready_partitions": _with() + _READY,
+    "stream_keyed_ready": _with() + _READY,
+    "stream_keyed_fixed_delay_ready": _with(_TASKS, _FIXED_TIME) + _READY_TASK,
     "stream_fixed_delay_ready": _with(_TASKS, _FIXED_TIME) + _READY_TASK,
     "stream_fanout": _MIXED_READY
     + """

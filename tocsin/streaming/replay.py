@@ -1,32 +1,59 @@
 """Set-oriented streaming: each micro-batch applies the batch rule, without keyed state.
 
-A micro-batch joins the schedules still pending with the new requests, applies the rule up to the
-present, sends out what has fired and keeps the rest. Hot ids are cut into slices as in the batch
-form. The present is the last arrival (replay of a log) or a clock that ticks along as a second
-source (the running job; an alternative to keyed state when many ids change per micro-batch).
-
-Pending schedules live in two alternating folders next to the checkpoint. A micro-batch reads the
-one its predecessor wrote and overwrites the other, so repeating it after a failure gives the
-same result.
+A micro-batch joins the schedules still pending with the new requests, applies the rule up to a
+horizon, sends out what has fired and keeps the rest. Hot ids are cut into slices as in the batch
+form.
+
+In a replay the horizon is the moment up to which every partition of the log is known: the least,
+over the partitions, of their latest arrivals, and it never falls. Requests beyond it wait in the
+state; requests behind it, as of a partition that turns up late, go to a table of their own and
+are counted. Nothing fires at the horizon's very millisecond, since more requests may come with
+it; `finish_replay` says that the log is at its end and sends out the rest.
+
+In the running job the horizon is the clock, taken once per micro-batch and stored, so that a
+repeated micro-batch sees the same. Requests are judged at their arrival, but not before the start
+of the run.
+
+State lies next to the checkpoint in two alternating folders, with a small table of marks that
+says which of them holds. A micro-batch reads what its predecessor left and writes the other, so
+repeating it after a failure gives the same result. One in which nothing came in and nothing is
+due leaves the state where it is.
 """
 
 from __future__ import annotations
 
+import time
+from typing import NamedTuple
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tocsin.functions.rules import execution_time, with_schedule
+from tocsin.functions.rules import execution_time, known_policy
 from tocsin.operators.records import ready_records
-from tocsin.operators.resolve import judge, log_stats, plan_history
+from tocsin.operators.resolve import judge, plan_history
 from tocsin.operators.slices import TARGET_ROWS
-from tocsin.schema import FIRED, PENDING, REQUESTED, SUPERSEDED
-from tocsin.sources.inputs import with_clock
+from tocsin.schema import AHEAD, FIRED, PENDING, REQUESTED, SUPERSEDED
+from tocsin.sources.inputs import with_heartbeat
 from tocsin.sources.outputs import Sink
 
 _STATE = ["id", "arrival_ms", "seq", "exec_ms"]
+_NEVER = -(2**63)
+_MARKS = "batch_id bigint, version bigint, horizon bigint, next_due bigint, latest map<string,bigint>"
+
+
+class Marks(NamedTuple):
+    """After a micro-batch: which state holds, the horizon, the next time due, and the latest
+    arrival by partition."""
+
+    batch_id: int = -1
+    version: int = 0
+    horizon: int = _NEVER
+    next_due: int | None = None
+    latest: dict[str, int] = {}
 
 
 class PendingTable:
@@ -39,64 +66,153 @@ class PendingTable:
         policy: str = REQUESTED,
         target_rows: int = TARGET_ROWS,
         ticking: bool = False,
+        started_ms: int | None = None,
+        partitions: int = 1,
+        late_sinks: list[Sink] | None = None,
+        clock=lambda: int(time.time() * 1000),
     ) -> None:
         self.state_path = state_path
         self.sinks = sinks
-        self.policy = policy
+        self.policy = known_policy(policy)
         self.target_rows = target_rows
         self.ticking = ticking
+        self.started_ms = started_ms
+        self.partitions = partitions
+        self.late_sinks = late_sinks or []
+        self.clock = clock
 
-    def _folder(self, batch_id: int) -> str:
-        return f"{self.state_path}/{batch_id % 2}"
+    # --- what is stored -------------------------------------------------------------------
 
-    def _read(self, like: DataFrame, batch_id: int, outcome: str) -> DataFrame:
-        """What a micro-batch left behind under an outcome."""
+    def _stored(self, spark: SparkSession, parity: int) -> Marks | None:
+        try:
+            rows = spark.read.schema(_MARKS).parquet(f"{self.state_path}/marks/{parity}").collect()
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        return Marks(*rows[0]) if rows else None
+
+    def _marks(self, spark: SparkSession, batch_id: int) -> Marks | None:
+        """What a micro-batch left, if it got that far."""
+        found = self._stored(spark, batch_id % 2)
+        return found if found and found.batch_id == batch_id else None
+
+    def _store(self, spark: SparkSession, marks: Marks) -> None:
+        path = f"{self.state_path}/marks/{marks.batch_id % 2}"
+        spark.createDataFrame([tuple(marks)], _MARKS).coalesce(1).write.mode("overwrite").parquet(path)
+
+    def _rows(self, like: DataFrame, version: int, *outcomes: str) -> DataFrame:
         stored = StructType([*like.schema.fields, StructField("outcome", StringType())])
         return (
             like.sparkSession.read.schema(stored)
-            .parquet(self._folder(batch_id))
-            .where(F.col("outcome") == outcome)
+            .parquet(f"{self.state_path}/{version % 2}")
+            .where(F.col("outcome").isin(*outcomes))
             .drop("outcome")
         )
 
-    def _present(self, requests: DataFrame) -> int | None:
-        """The last tick; before the first one, as without a clock, the last arrival."""
-        ticks = requests.where(F.col("clock_ms").isNotNull()).agg(F.max("clock_ms"))
-        return ticks.first()[0]
+    # --- a micro-batch --------------------------------------------------------------------
+
+    def _judged(self, requests: DataFrame) -> DataFrame:
+        """Requests with the time they are judged at and the time that gives."""
+        now = F.col("arrival_ms")
+        if self.started_ms is not None:
+            now = F.greatest(now, F.lit(self.started_ms))
+        exec_ms = execution_time(self.policy, F.col("scheduled_at"), now)
+        return requests.select("id", now.alias("arrival_ms"), "seq", exec_ms.alias("exec_ms"))
+
+    def _partition(self, requests: DataFrame) -> Column:
+        kind = requests.schema["seq"].dataType
+        if isinstance(kind, StructType) and "partition" in kind.names:
+            return F.col("seq")["partition"].cast("string")
+        return F.lit("0")
 
     def step(self, requests: DataFrame, batch_id: int) -> None:
-        now = self._present(requests) if self.ticking else None
-        keyed = requests.where(F.col("id").isNotNull())
-        if now is None:
-            new = with_schedule(keyed, self.policy)
-        else:
-            exec_ms = execution_time(self.policy, F.col("scheduled_at"), F.lit(now))
-            new = keyed.withColumn("exec_ms", exec_ms)
-        new = new.select(*_STATE).persist(StorageLevel.MEMORY_AND_DISK)
+        spark = requests.sparkSession
+        before = (self._marks(spark, batch_id - 1) if batch_id > 0 else None) or Marks()
+        new = self._judged(requests).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            stats = log_stats(new)
-            line = new
-            if batch_id > 0:
-                line = new.unionByName(self._read(new, batch_id - 1, PENDING))
-            as_of = stats.last_arrival_ms if now is None else now
-            # Without requests or ticks no time has passed.
-            as_of = -(2**63) if as_of is None else as_of
-            slices = plan_history(line, stats.rows, self.target_rows)
-            (
-                judge(line, slices, as_of)
-                .where(F.col("outcome") != SUPERSEDED)
-                .select(*_STATE, "outcome")
-                .write.mode("overwrite")
-                .partitionBy("outcome")
-                .parquet(self._folder(batch_id))
-            )
-            fired = self._read(new, batch_id, FIRED)
-            if not fired.isEmpty():
-                for sink in self.sinks:
-                    sink(ready_records(fired, self.policy), batch_id)
+            seen = new.where(F.col("id").isNotNull()).groupBy(self._partition(new).alias("p"))
+            seen = seen.agg(F.max("arrival_ms").alias("latest"), F.count(F.lit(1)).alias("n")).collect()
+            latest = dict(before.latest)
+            for row in seen:
+                latest[row.p] = max(row.latest, latest.get(row.p, _NEVER))
+            arrived = sum(row.n for row in seen)
+            if self.ticking:
+                repeated = self._marks(spark, batch_id)
+                horizon = repeated.horizon if repeated else max(before.horizon, self.clock())
+            elif len(latest) >= self.partitions:
+                horizon = max(before.horizon, min(latest.values(), default=_NEVER + 1) - 1)
+            else:
+                horizon = before.horizon
+            marks = before._replace(batch_id=batch_id, horizon=horizon, latest=latest)
+            idle = not arrived and (before.next_due is None or before.next_due > horizon)
+            if idle:
+                self._store(spark, marks)
+                return
+            marks = marks._replace(version=before.version + 1)
+            # Stored ahead of the work, for the clock of a repetition; `next_due` follows below.
+            self._store(spark, marks._replace(next_due=before.next_due))
+            self._advance(new.where(F.col("id").isNotNull()), before, marks, arrived)
         finally:
             new.unpersist()
 
+    def _advance(self, new: DataFrame, before: Marks, marks: Marks, arrived: int) -> None:
+        if not self.ticking and before.horizon > _NEVER:
+            late = new.where(F.col("arrival_ms") <= before.horizon)
+            if not late.isEmpty():
+                for sink in self.late_sinks:
+                    sink(late, marks.batch_id)
+            new = new.where(F.col("arrival_ms") > before.horizon)
+        line = new
+        if before.version > 0:
+            kept = self._rows(new, before.version, PENDING, AHEAD)
+            if self.ticking:
+                # What is pending was read before all that is new, whatever its stamp.
+                kept = kept.withColumn("arrival_ms", F.lit(_NEVER))
+            line = kept.unionByName(new)
+        self._write(line, marks, arrived, everything=self.ticking)
+        self._send(new, marks)
+
+    def _write(self, line: DataFrame, marks: Marks, arrived: int, everything: bool) -> None:
+        known = line if everything else line.where(F.col("arrival_ms") <= marks.horizon)
+        slices = plan_history(known, arrived, self.target_rows)
+        judged = judge(known, slices, marks.horizon).where(F.col("outcome") != SUPERSEDED)
+        judged = judged.select(*_STATE, "outcome")
+        if not everything:
+            ahead = line.where(F.col("arrival_ms") > marks.horizon)
+            judged = judged.unionByName(ahead.withColumn("outcome", F.lit(AHEAD)))
+        path = f"{self.state_path}/{marks.version % 2}"
+        judged.write.mode("overwrite").partitionBy("outcome").parquet(path)
+
+    def _send(self, like: DataFrame, marks: Marks, number: int | None = None) -> None:
+        spark = like.sparkSession
+        left = self._rows(like, marks.version, PENDING, AHEAD)
+        self._store(spark, marks._replace(next_due=left.agg(F.min("exec_ms")).first()[0]))
+        fired = self._rows(like, marks.version, FIRED)
+        if not fired.isEmpty():
+            for sink in self.sinks:
+                sink(ready_records(fired, self.policy), marks.batch_id if number is None else number)
+
+    def finish(self, like: DataFrame) -> None:
+        """Take the log as ended: send out what has fired by its last arrival."""
+        spark = like.sparkSession
+        both = [self._stored(spark, parity) for parity in (0, 1)]
+        before = max((marks for marks in both if marks), key=lambda m: m.batch_id, default=Marks())
+        if before.version == 0:
+            return
+        marks = before._replace(version=before.version + 1, horizon=max(before.latest.values()))
+        line = self._rows(like, before.version, PENDING, AHEAD)
+        self._write(line, marks, line.count(), everything=True)
+        # Sinks get a number of its own, which no micro-batch will have.
+        self._send(like, marks, -1 - marks.batch_id)
+
+
+def _table(state_path: str, name: str) -> Sink:
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{state_path}/{name}/batch_id={batch_id}")
+
+    return write
+
 
 def start_replay(
     requests: DataFrame,
@@ -105,13 +221,20 @@ def start_replay(
     policy: str = REQUESTED,
     trigger: dict | None = None,
     target_rows: int = TARGET_ROWS,
+    partitions: int = 1,
+    late_sinks: list[Sink] | None = None,
 ) -> StreamingQuery:
     """Replay a stream of `id, scheduled_at, arrival_ms, seq`; by default to the end of its input.
 
-    Micro-batches must follow each other in time. Large ones are best: each rewrites what is
-    pending.
+    `partitions` is how many must have shown up before anything fires. Requests that come too late
+    go to `late_sinks`, by default a table next to the checkpoint. Large micro-batches are best:
+    each rewrites what is pending. Call `finish_replay` when no more will come.
     """
-    pending = PendingTable(f"{checkpoint}/pending", sinks, policy, target_rows)
+    state = f"{checkpoint}/pending"
+    pending = PendingTable(
+        state, sinks, policy, target_rows, partitions=partitions,
+        late_sinks=[_table(checkpoint, "late")] if late_sinks is None else late_sinks,
+    )
     return (
         requests.writeStream.foreachBatch(pending.step)
         .option("checkpointLocation", f"{checkpoint}/progress")
@@ -120,23 +243,37 @@ def start_replay(
     )
 
 
+def finish_replay(
+    requests: DataFrame, sinks: list[Sink], checkpoint: str, policy: str = REQUESTED,
+    target_rows: int = TARGET_ROWS,
+) -> None:
+    """Send out what a replayed log has made ready by its last arrival. `requests` is the stream
+    that was replayed; only its schema is looked at."""
+    spark = requests.sparkSession
+    pending = PendingTable(f"{checkpoint}/pending", sinks, policy, target_rows)
+    pending.finish(pending._judged(spark.createDataFrame([], requests.schema)))
+
+
 def start_set_triggers(
     requests: DataFrame,
     sinks: list[Sink],
     checkpoint: str,
     policy: str = REQUESTED,
-    interval: str = "10 seconds",
+    interval: str = "1 second",
     target_rows: int = TARGET_ROWS,
     name: str = "set-triggers",
 ) -> StreamingQuery:
     """Run by the wall clock on `id, scheduled_at, arrival_ms, seq`, until stopped.
 
-    Emits what the keyed form does. Each micro-batch costs a pass over all that is pending but
-    no per-id call, so it suits many changes per micro-batch and intervals of some seconds up.
+    Emits what the keyed form does. A micro-batch with something new costs a pass over all that is
+    pending but no per-id call, so it suits many changes per micro-batch.
     """
-    pending = PendingTable(f"{checkpoint}/pending", sinks, policy, target_rows, ticking=True)
+    pending = PendingTable(
+        f"{checkpoint}/pending", sinks, policy, target_rows, ticking=True,
+        started_ms=int(time.time() * 1000),
+    )
     return (
-        with_clock(requests)
+        with_heartbeat(requests)
         .writeStream.queryName(name)
         .foreachBatch(pending.step)
         .option("checkpointLocation", f"{checkpoint}/progress")
