@@ -1,0 +1,134 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from tocsin.llm import simhash
+from tocsin.llm.components import components
+
+
+def brute_components(prints):
+    prints = sorted(set(prints))
+    parent = {p: p for p in prints}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    whole = np.array(prints, np.uint64)
+    for p in prints:
+        for j in np.flatnonzero(np.bitwise_count(whole ^ np.uint64(p)) <= 3):
+            a, b = find(p), find(prints[j])
+            parent[max(a, b)] = min(a, b)
+    return {p: find(p) for p in prints}
+
+
+def brute_print(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    runs = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(run.encode(), 42) for run in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def _signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _clusters():
+    chance = random.Random(3)
+    prints = [0, 1, 3, 7, 15, (1 << 64) - 1]
+    for _ in range(25):
+        centre = last = chance.getrandbits(64)
+        for _ in range(chance.choice([1, 2, 3, 60])):
+            x = chance.choice([centre, last])
+            for _ in range(chance.choice([1, 2, 3, 3, 4])):
+                x ^= 1 << chance.randrange(64)
+            prints.append(x)
+            last = x
+    half = chance.getrandbits(32) << 32
+    return prints + [half | chance.getrandbits(32) for _ in range(80)] + [half | x for x in range(80)]
+
+
+@pytest.mark.parametrize("limit", [4096, 40])
+def test_links_connect_what_is_near(spark, limit):
+    """With every bucket compared at once, and with the large ones cut further."""
+    prints = _clusters()
+    want = brute_components(prints)
+    frame = spark.createDataFrame([(_signed(p),) for p in set(prints)], "fingerprint bigint")
+    links = simhash.links(frame, 3, limit)
+    rows = links.collect()
+    assert all(((a ^ b) % (1 << 64)).bit_count() <= 3 for a, b in map(tuple, rows))
+    found = {r.node % (1 << 64): r.root % (1 << 64) for r in components(links).collect()}
+
+    def parts(of):
+        groups = {}
+        for p in want:
+            groups.setdefault(of(p), set()).add(p)
+        return sorted(map(sorted, groups.values()))
+
+    assert parts(want.get) == parts(lambda p: found.get(p, p))
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    chain = [(i, i + 1) for i in range(60)]
+    star = [(1000, i) for i in range(1001, 1080)]
+    edges = spark.createDataFrame(chain + star + [(5, 5), (0, 1)], "a bigint, b bigint")
+    found = {r.node: r.root for r in components(edges).collect()}
+    assert found == {i: 0 for i in range(1, 61)} | {i: 1000 for i in range(1001, 1080)}
+
+
+TEXTS = [
+    (5, "one two three four five six seven eight nine ten"),
+    (3, "One TWO three four five six seven eight nine ten"),
+    (9, "one\ttwo\n three four five six seven eight nine ten"),
+    (7, None), (8, ""), (2, " \x0b "), (11, "a b"), (12, "A B"), (4, "Ä b"), (6, "ä b"),
+    (5, "one two three four five six seven eight nine ten"), (None, "a b"), (None, "nameless text alone here"),
+    (None, "nameless text alone here"), (20, "word " * 70_000),
+]
+
+
+def _docs(spark, rows=TEXTS):
+    return spark.createDataFrame(
+        [(i, t, "fp", n) for n, (i, t) in enumerate(rows)], "doc_id bigint, text string, fingerprint string, component int"
+    )
+
+
+def test_fingerprints_and_groups(spark):
+    rows = simhash.groups(_docs(spark)).collect()
+    assert len(rows) == len(TEXTS)
+    texts = {}
+    for i, t in TEXTS:
+        texts.setdefault(i, set()).add(brute_print(t))
+    for row in rows:
+        assert row.fingerprint % (1 << 64) in texts[row.key]
+    near = brute_components([brute_print(t) for _, t in TEXTS])
+    least = {}
+    for i, t in TEXTS:
+        root = near[brute_print(t)]
+        least[root] = min((x for x in (least.get(root), i) if x is not None), default=None)
+    want = sorted(((i, least[near[brute_print(t)]]) for i, t in TEXTS), key=repr)
+    assert sorted(((r.key, r.component) for r in rows), key=repr) == want
+
+
+def test_one_of_each(spark):
+    docs = _docs(spark)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    groups = {r.root for r in simhash.groups(docs).collect()}
+    rows = kept.collect()
+    assert len(rows) == len(groups)
+    assert {3, 2, 11, 4, 20} <= {r.doc_id for r in rows}
+    assert sum(r.doc_id is None for r in rows) == 1
+
+
+def test_nothing_and_one(spark):
+    assert simhash.groups(_docs(spark).limit(0)).collect() == []
+    assert simhash.one_of_each(_docs(spark).limit(0)).collect() == []
+    assert [r.component for r in simhash.groups(_docs(spark, [(1, "x")])).collect()] == [1]
+    assert simhash.hex_digits is not None

@@ -121,6 +121,8 @@ class Model(NamedTuple):
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         """Calibrated, with a trace of the raw value so that equal levels stay in order."""
+        if not self.weights.any():
+            return np.full(len(rows), self.levels[0])
         raw = self.raw(rows)
         return 0.98 * np.interp(raw, self.steps, self.levels) + 0.02 / (1 + np.exp(-8 * (raw - 0.5)))
 
@@ -224,10 +226,10 @@ def fit(described: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_
     )
     # At most a quarter of the sample, a bounded number of rows.
     kept = chosen.where("calibrate").select("statistics", "good").toPandas()
-    if len(kept):
-        steps, levels = isotonic(model.raw(np.array(kept.statistics.tolist())), kept.good.to_numpy())
-        model = model._replace(steps=steps, levels=levels)
-    return model
+    if not len(kept):
+        return model._replace(steps=np.array([0.0, 1.0]), levels=np.array([0.0, 1.0]))
+    steps, levels = isotonic(model.raw(np.array(kept.statistics.tolist())), kept.good.to_numpy())
+    return model._replace(steps=steps, levels=levels)
 
 
 def _score_column(model: Model):
