@@ -25,6 +25,7 @@ columns other than key and text.
 from __future__ import annotations
 
 import sys
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -59,6 +60,9 @@ SEED = 5
 # A class before is held to the middle as if by so many occurrences.
 PRIOR = 20.0
 
+# Words that a Python worker remembers before it starts afresh.
+CACHE_WORDS = 500_000
+
 # The end of a text. Words hold no white space, so no word is spelled like it.
 END = " "
 
@@ -111,23 +115,54 @@ def most_frequent(counts: DataFrame, most: int = FREQUENT) -> Frequent:
     return Frequent({word: i for i, word in enumerate(words)}, rows.column("n").to_numpy())
 
 
-def _classes_of(texts: list[str | None], frequent: Frequent, known: dict[bytes, int]):
-    """Classes of all words of all texts one after another, an end before and after each."""
-    classes: list[int] = []
-    ends = []
-    end = frequent.class_of(END.encode())
-    for text in texts:
-        classes.append(end)
-        for word in split(text):
-            found = known.get(word)
-            if found is None:
-                if len(known) > 1_000_000:
-                    known.clear()
-                found = known[word] = frequent.class_of(word)
-            classes.append(found)
-        classes.append(end)
-        ends.append(len(classes))
-    return np.array(classes, dtype=np.int64), np.array(ends, dtype=np.int64)
+class Lexicon:
+    """Words met so far in a Python worker, numbered: class, log10 of the smoothed count where the
+    word is frequent, else its hash."""
+
+    def __init__(self, frequent: Frequent) -> None:
+        self.frequent = frequent
+        self.logs_by_place = np.log10(frequent.counts + SMOOTHING)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.classes, self.logs = array("i"), array("d")
+        self.hashes, self.common = array("q"), array("b")
+        self.end = self._add(END.encode())
+
+    def _add(self, word: bytes) -> int:
+        from xxhash import xxh64_intdigest
+
+        place = self.frequent.place.get(word)
+        h = 0 if place is not None else xxh64_intdigest(word, 42)
+        self.classes.append(self.frequent.class_of(word))
+        self.logs.append(0.0 if place is None else self.logs_by_place[place])
+        self.hashes.append(h - (1 << 64) if h >> 63 else h)
+        self.common.append(place is not None)
+        number = self.number[word] = len(self.classes) - 1
+        return number
+
+    def sequences(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all words of all texts one after another, an end before and after each text,
+        and where the texts stop."""
+        if len(self.number) > CACHE_WORDS:
+            self._forget()
+        find, end = self.number.get, self.end
+        numbers: list[int] = []
+        stops = []
+        for text in texts:
+            words = split(text)
+            found = list(map(find, words))
+            if None in found:
+                for word, number in zip(words, found):
+                    if number is None and word not in self.number:
+                        self._add(word)
+                found = list(map(find, words))
+            numbers.append(end)
+            numbers += found
+            numbers.append(end)
+            stops.append(len(numbers))
+        return np.array(numbers, dtype=np.int64), np.array(stops, dtype=np.int64)
 
 
 def _pair_counts(shared):
@@ -135,12 +170,13 @@ def _pair_counts(shared):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES * CLASSES, dtype=np.int32)
-        known: dict[bytes, int] = {}
+        lexicon = Lexicon(shared.value)
         for batch in batches:
-            classes, ends = _classes_of(batch.column(0).to_pylist(), shared.value, known)
+            numbers, stops = lexicon.sequences(batch.column(0).to_pylist())
+            classes = np.array(lexicon.classes, dtype=np.int64)[numbers]
             pairs = classes[:-1] * CLASSES + classes[1:]
-            pairs = np.delete(pairs, ends[:-1] - 1)
-            np.add.at(total, pairs, 1)
+            # What leads from one text to the next is no pair.
+            np.add.at(total, np.delete(pairs, stops[:-1] - 1), 1)
         some = np.flatnonzero(total)
         for start in range(0, len(some), 100_000):
             part = some[start : start + 100_000]
@@ -278,52 +314,33 @@ def _score_column(shared):
 
     @F.arrow_udf(_SCORED)
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        from xxhash import xxh64_intdigest
-
         held = shared.value
         if "table" not in held:
             held["table"] = held["vectors"].log_probabilities()
-        frequent: Frequent = held["frequent"]
-        table, sizes = held["table"], held["sizes"]
-        logs = np.log10(frequent.counts + SMOOTHING)
-        place = frequent.place
-        end = place.get(END.encode())
-        end_log = np.log10(SMOOTHING) if end is None else logs[end]
-        known: dict[bytes, int] = {}
-        hashes: dict[bytes, int] = {}
+            held["lexicon"] = Lexicon(held["frequent"])
+        table, sizes, lexicon = held["table"], held["sizes"], held["lexicon"]
         for batch in batches:
-            texts = batch.to_pylist()
-            classes, ends = _classes_of(texts, frequent, known)
-            starts = np.concatenate([[0], ends[:-1]])
-            step = table[classes[:-1], classes[1:]].astype(np.float64)
-            step -= sizes[classes[1:]]
-            # What leads from one text to the next is no step.
-            step[ends[:-1] - 1] = 0
-            by_class = np.add.reduceat(step, starts)
-            tokens, found, by_word, rare = [], [], [], []
-            for text in texts:
-                words = split(text)
-                places = [place.get(word) for word in words]
-                common = [p for p in places if p is not None]
-                own = []
-                for word, p in zip(words, places):
-                    if p is None:
-                        h = hashes.get(word)
-                        if h is None:
-                            if len(hashes) > 500_000:
-                                hashes.clear()
-                            h = xxh64_intdigest(word, 42)
-                            h = hashes[word] = h - (1 << 64) if h >> 63 else h
-                        own.append(h)
-                tokens.append(len(words) + 1)
-                found.append(len(common) + (end is not None))
-                by_word.append(float(logs[common].sum() + end_log) if common else float(end_log))
-                rare.append(own)
+            numbers, stops = lexicon.sequences(batch.to_pylist())
+            starts = np.concatenate([[0], stops[:-1]])
+            classes = np.array(lexicon.classes, dtype=np.int64)[numbers]
+            step = table[classes[:-1], classes[1:]].astype(np.float64) - sizes[classes[1:]]
+            # What leads from one text to the next is no step; the end before a text no token.
+            step[stops[:-1] - 1] = 0
+            own = np.ones(len(numbers), dtype=bool)
+            own[starts] = False
+            common = np.array(lexicon.common, dtype=bool)[numbers]
+            logs = np.array(lexicon.logs)[numbers] * own
+            rare = ~common & own
             yield pa.StructArray.from_arrays(
                 [
-                    pa.array(tokens, pa.int64()), pa.array(found, pa.int64()),
-                    pa.array(by_class, pa.float64()), pa.array(by_word, pa.float64()),
-                    pa.array(rare, pa.list_(pa.int64())),
+                    pa.array(stops - starts - 1),
+                    pa.array(np.add.reduceat((common & own).astype(np.int64), starts)),
+                    pa.array(np.add.reduceat(step, starts)),
+                    pa.array(np.add.reduceat(logs, starts)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.concatenate([[0], np.cumsum(np.add.reduceat(rare.astype(np.int64), starts))]), pa.int32()),
+                        pa.array(np.array(lexicon.hashes)[numbers[rare]], pa.int64()),
+                    ),
                 ],
                 names=["n_tokens", "n_known", "classes", "words", "rare"],
             )
