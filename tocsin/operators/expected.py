@@ -69,16 +69,14 @@ def _held_unsliced(scheduled: DataFrame, as_of: int) -> DataFrame:
     return _held_at_timers(_line(scheduled.repartition("id"), as_of), "id")
 
 
-def _carried(scheduled: DataFrame, slices: Slices) -> DataFrame:
+def _carried(placed: DataFrame, slices: Slices) -> DataFrame:
     """For each slice, what its id held when the slice began; at most one row per cut.
 
-    The last request of a slice is found with a partial aggregate before the shuffle.
+    `placed` is partitioned by slice already, so only a row per slice is shuffled.
     """
-    position = F.struct(F.col("arrival_ms").alias("t"), F.lit(0).alias("kind"), "seq")
-    last_held = (
-        assign_slices(scheduled, slices, position, hot_only=True)
-        .groupBy("id", "_slice")
-        .agg(F.max_by("exec_ms", F.struct(*ORDER)).alias("last_held"))
+    request = F.col("kind") == 0
+    last_held = placed.groupBy("id", "_slice").agg(
+        F.max_by(F.when(request, F.col("held")), F.when(request, F.struct("t", "seq"))).alias("last_held")
     )
     before = (
         Window.partitionBy("id")
@@ -95,16 +93,18 @@ def _carried(scheduled: DataFrame, slices: Slices) -> DataFrame:
 def _held_sliced(scheduled: DataFrame, slices: Slices, as_of: int) -> DataFrame:
     """As above with hot ids cut into slices, each starting from what the one before left.
 
-    Equal timers are merged before they are shuffled, as any number may fall on one moment.
+    Equal timers are merged on the way, as any number may fall on one moment and no cut could
+    part them. The line is shuffled once: what a slice carries over is read off its exchange.
     """
     timers = scheduled.where(F.col("exec_ms") <= as_of).select("id", "exec_ms").distinct()
     line = scheduled.select("id", *_as_request()).unionByName(
         timers.select("id", *_as_timer(scheduled))
     )
     placed = assign_slices(line, slices, F.struct(*_POSITION)).drop("_next_cut")
+    placed = placed.repartition("id", "_slice")
     return (
         _held_at_timers(placed, "id", "_slice")
-        .join(F.broadcast(_carried(scheduled, slices)), ["id", "_slice"], "left")
+        .join(F.broadcast(_carried(placed, slices)), ["id", "_slice"], "left")
         .select("id", "exec_ms", F.coalesce("held", "carried").alias("held"))
     )
 
