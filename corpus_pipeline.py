@@ -19,7 +19,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what is in no known language, or in none of them for the larger part."""
+    """Drops what has no letters, or in which no known language is to be made out."""
     return langid.known_only(docs)
 
 

@@ -45,7 +45,7 @@ def test_quality_stage(spark, passed):
 def test_language_stage(passed):
     before, after = passed[1]
     answers = langid.languages(before).collect()
-    assert _ids(after) == Counter(r.doc_id for r in answers if r.lang_pred != "und" and r.score >= 0.5)
+    assert _ids(after) == Counter(r.doc_id for r in answers if r.lang_pred != "und" and r.score >= langid.LEAST_SHARE)
 
 
 def test_near_duplicate_stage(passed):

@@ -37,6 +37,10 @@ SMOOTHING = 0.5
 ROUNDS = 8
 ROUNDS_LESS = 4
 
+# A text is kept if some known language has this share of its words. Texts that mix languages are
+# sound texts; this drops those in which none of the known ones is to be made out.
+LEAST_SHARE = 0.3
+
 _LETTER = re.compile(r"[^\W\d_]")
 
 # Letters of ASCII and parts of longer characters stay, all else separates.
@@ -223,7 +227,7 @@ def languages(documents: DataFrame, key: str = "doc_id", text: str = "text", lan
     return answered.select(key, "held_out", "a.lang_pred", "a.score", "a.shares")
 
 
-def known_only(documents: DataFrame, least_share: float = 0.5, key: str = "doc_id", text: str = "text",
+def known_only(documents: DataFrame, least_share: float = LEAST_SHARE, key: str = "doc_id", text: str = "text",
                lang: str = "lang") -> DataFrame:
     """The documents of which a known language has at least this share, with all their columns."""
     model = train(documents, learnable(key), text, lang)
