@@ -29,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tocsin.llm.common import keep_table, small_batches
+from tocsin.llm.common import discard, keep_table, small_batches
 from tocsin.llm.vectors import answers, classes, finite
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -207,7 +207,8 @@ def build_graph(units: DataFrame, pivots: np.ndarray, names: np.ndarray, width:
         merged = kept.unionByName(tried).groupBy("u", "v").agg(
             F.max("sim").alias("sim"), F.min("fresh").alias("fresh")
         )
-        graph = keep_table(_best(merged, k).drop("r"), "graph")
+        before, graph = graph, keep_table(_best(merged, k).drop("r"), "graph")
+        discard(before)
         changed = graph.where("fresh").count()
     return graph.select("u", "v", "sim")
 
@@ -275,7 +276,9 @@ def greedy_search(queries: DataFrame, graph: DataFrame, units: DataFrame, entrie
         old = seen.join(closed, ["query", "node"], "left").select(
             "query", "node", "sim", (F.col("open") & F.col("closed").isNull()).alias("open")
         )
-        seen = keep_table(old.unionByName(scored(new).withColumn("open", F.lit(True))), "seen")
+        before, seen = seen, keep_table(old.unionByName(scored(new).withColumn("open", F.lit(True))), "seen")
+        discard(before)
+        discard(front)
     return seen.withColumn("r", F.row_number().over(near)).where(F.col("r") <= k).select("query", "node")
 
 

@@ -41,3 +41,12 @@ def crc_mod(key: Column, divisor: int) -> Column:
 def keep_table(rows: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
     return staged(rows, name)
+
+
+def discard(rows: DataFrame) -> None:
+    """Remove a table of `keep_table` that nothing reads any more, as of an earlier round."""
+    files = rows.inputFiles()
+    if files:
+        jvm, conf = rows.sparkSession._jvm, rows.sparkSession._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(conf).delete(folder, True)

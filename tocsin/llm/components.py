@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tocsin.llm.common import keep_table
+from tocsin.llm.common import discard, keep_table
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
@@ -43,8 +43,9 @@ def components(edges: DataFrame) -> DataFrame:
         new = _mark(links)
         if new == mark or not new[0]:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        mark = new
-        links = keep_table(_small_star(_large_star(links).distinct()).distinct(), "links")
+        mark, before = new, links
+        links = keep_table(_small_star(_large_star(before).distinct()).distinct(), "links")
+        discard(before)
 
 
 def _mark(links: DataFrame) -> tuple:
