@@ -153,3 +153,19 @@ def test_shared_folder_follows_the_session(spark):
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert first != second
     assert first.startswith(f"{(root or spark.sparkContext.getCheckpointDir()).rstrip('/')}/x-")
+
+
+def test_repetitions_in_a_stream(spark, tmp_path):
+    from tocsin.operators.records import once
+
+    schema = "id string, scheduled_at bigint, arrival_ms bigint"
+    out = f"{tmp_path}/out"
+    for rows in ([("a", 1, 10), ("a", 1, 11), ("a", 2, 12)], [("a", 1, 13), ("b", 1, 14)]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        (
+            once(stream).writeStream.option("checkpointLocation", f"{tmp_path}/c")
+            .trigger(availableNow=True).format("parquet").start(out).awaitTermination()
+        )
+    found = sorted((r.id, r.scheduled_at) for r in spark.read.parquet(out).collect())
+    assert found == [("a", 1), ("a", 2), ("b", 1)]

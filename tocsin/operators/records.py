@@ -73,3 +73,16 @@ def annotate_requests(requests: DataFrame, policy: str = REQUESTED) -> DataFrame
 def encode_records(records: DataFrame, policy: str = REQUESTED) -> DataFrame:
     """The single `value` column a topic takes."""
     return records.select(codec.encode(record_fields(policy)).alias("value"))
+
+
+def once(records: DataFrame, policy: str = REQUESTED, within: str = "1 hour") -> DataFrame:
+    """Ready records without the repetitions that an at-least-once sink may leave.
+
+    An id and the time it was set for occur once in a history. A stream needs `arrival_ms`, and
+    forgets a record once the stream has moved on by `within`.
+    """
+    keys = ["id", "updated_at" if known_policy(policy) == FIXED_DELAY else "scheduled_at"]
+    if not records.isStreaming:
+        return records.dropDuplicates(keys)
+    timed = records.withColumn("_arrived", F.timestamp_millis("arrival_ms"))
+    return timed.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(keys).drop("_arrived")

@@ -13,7 +13,7 @@ from tocsin.operators.audit import audit_log, audit_summary, decode_steps, decod
 from tocsin.operators.decode import decode_requests, decode_tasks
 from tocsin.operators.expected import mismatches
 from tocsin.operators.reading import in_reading_order
-from tocsin.operators.records import annotate_requests, encode_records, ready, ready_records
+from tocsin.operators.records import annotate_requests, encode_records, once, ready, ready_records
 from tocsin.operators.resolve import log_stats, resolve, timer_outcomes
 from tocsin.plans import logs
 from tocsin.schema import (
@@ -219,6 +219,13 @@ def payloads_to_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_records(_ready_at_end(staged(as_requests(valid), "decoded")))
 
 
+def delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ready payloads, a third of them delivered twice, read back without the repetitions."""
+    sent = encode_records(_ready_at_end(logs.requests(spark, sf_dir)))
+    again = sent.where(F.crc32(F.col("value").cast("binary")) % 3 == 0)
+    return once(decode_requests(sent.unionByName(again)).valid)
+
+
 # --- audit ----------------------------------------------------------------------------------
 
 
@@ -403,6 +410,7 @@ QUERIES: dict[str, Query] = {
     "encode_requests": encode_decoded_requests,
     "encode_tasks": encode_decoded_tasks,
     "payloads_to_ready": payloads_to_ready,
+    "delivered_once": delivered_once,
     "audit_log": audit_steps,
     "audit_summary": audit_counts,
     "audit_task_log": audit_task_log,

@@ -266,6 +266,7 @@ SELECT '{{"bucketId":' || id || ',"id":"' || id || '","tenant":"' || status || '
 FROM requests""",
     "encode_tasks": f"WITH {_REQUESTS} SELECT {_TASK_JSON} AS value FROM requests",
     "payloads_to_ready": _MIXED_READY + f"SELECT {_READY_JSON} AS value FROM fired",
+    "delivered_once": _with() + _READY,
     "audit_log": _with().rstrip() + "," + _AUDIT
     + """
 SELECT id, phase, CAST(at_ms AS BIGINT) AS at_ms, CAST(exec_ms AS BIGINT) AS exec_ms,
