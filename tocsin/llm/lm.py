@@ -170,7 +170,7 @@ def _pair_counts(shared):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES * CLASSES, dtype=np.int32)
-        lexicon = Lexicon(shared.value)
+        lexicon = Lexicon(Frequent(*shared.value))
         for batch in batches:
             numbers, stops = lexicon.sequences(batch.column(0).to_pylist())
             classes = np.array(lexicon.classes, dtype=np.int64)[numbers]
@@ -316,8 +316,8 @@ def _score_column(shared):
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         held = shared.value
         if "table" not in held:
-            held["table"] = held["vectors"].log_probabilities()
-            held["lexicon"] = Lexicon(held["frequent"])
+            held["table"] = Vectors(*held["vectors"]).log_probabilities()
+            held["lexicon"] = Lexicon(Frequent(*held["frequent"]))
         table, sizes, lexicon = held["table"], held["sizes"], held["lexicon"]
         for batch in batches:
             numbers, stops = lexicon.sequences(batch.to_pylist())
@@ -394,12 +394,12 @@ def scores(documents: DataFrame, learn: Column | None = None, key: str = "doc_id
     train_tokens, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     train_tokens = train_tokens or 0
     frequent = most_frequent(counts)
-    told = spark.sparkContext.broadcast(frequent)
+    told = spark.sparkContext.broadcast(tuple(frequent))
     pairs = training.select(F.col(text)).mapInArrow(_pair_counts(told), "a bigint, b bigint, n bigint")
     pairs = keep_table(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
     vectors, _ = train(pairs)
     shared = spark.sparkContext.broadcast({
-        "vectors": vectors, "frequent": frequent, "sizes": class_sizes(counts, frequent),
+        "vectors": tuple(vectors), "frequent": tuple(frequent), "sizes": class_sizes(counts, frequent),
     })
     scored = documents.select(
         F.monotonically_increasing_id().alias("row"),
