@@ -31,7 +31,7 @@ from tocsin.llm.common import small_batches
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Entries a Python worker remembers before it starts afresh.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 # Up to here every letter is composed already and lower-cases without looking at its neighbours.
 PLAIN_LIMIT = 0x250
