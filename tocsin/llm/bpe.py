@@ -95,7 +95,7 @@ class Codec:
         self.place: dict[str, int] = {}
         self.known: dict[tuple[bytes, bool], list[int]] = {}
         self.flat = array("i")
-        self.starts = array("q")
+        self.starts = array("q", [0])
 
     def cuts(self, words: list[bytes]) -> list[list[int]]:
         """For each word, the places where two neighbouring bytes share no token."""
@@ -124,8 +124,7 @@ class Codec:
         """Encode words met for the first time."""
         raw = [word.encode() for word in words]
         for word, spelled, cuts in zip(words, raw, self.cuts(raw)):
-            self.place[word] = len(self.starts)
-            self.starts.append(len(self.flat))
+            self.place[word] = len(self.starts) - 1
             if word in self.special:
                 self.flat.append(self.special[word])
             elif not cuts:
@@ -134,6 +133,7 @@ class Codec:
                 for i, j in zip([0, *cuts], cuts):
                     self.flat.extend(self._fragment_ids(spelled[i:j], False))
                 self.flat.extend(self._fragment_ids(spelled[cuts[-1] :], True))
+            self.starts.append(len(self.flat))
 
     def _part_words(self, text: str) -> list[str]:
         if text.isascii() or max(text) < chr(PLAIN_LIMIT):
@@ -167,12 +167,15 @@ class Codec:
                     found = list(map(find, words))
                 places += found
             ends.append(len(places))
-        starts = np.array([*self.starts, len(self.flat)], dtype=np.int64)
+        # The last start is where the next word will be put.
+        starts = np.frombuffer(self.starts, dtype=np.int64)
         chosen = np.array(places, dtype=np.int64)
-        lengths = np.diff(starts)[chosen]
+        begin = starts[chosen]
+        lengths = starts[chosen + 1] - begin
+        del starts
         stops = np.concatenate([[0], np.cumsum(lengths)])
-        jump = np.repeat(starts[chosen] - stops[:-1], lengths)
-        ids = np.array(self.flat, dtype=np.int32)[np.arange(stops[-1]) + jump]
+        at = np.arange(stops[-1]) + np.repeat(begin - stops[:-1], lengths)
+        ids = np.frombuffer(self.flat, dtype=np.int32)[at] if len(at) else at.astype(np.int32)
         return ids, stops[np.array(ends)]
 
 

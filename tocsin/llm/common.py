@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tocsin.session import apply_conf, staged
 
 # Rows per Arrow batch: a batch of the longest texts must fit into a Python worker.
-ARROW_ROWS = "512"
+ARROW_ROWS = "128"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

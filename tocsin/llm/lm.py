@@ -142,6 +142,10 @@ class Lexicon:
         number = self.number[word] = len(self.classes) - 1
         return number
 
+    def column(self, name: str, kind: type) -> np.ndarray:
+        """What is known of the words by number. Not to be held while words are added."""
+        return np.frombuffer(getattr(self, name), dtype=kind)
+
     def sequences(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words of all texts one after another, an end before and after each text,
         and where the texts stop."""
@@ -173,7 +177,7 @@ def _pair_counts(shared):
         lexicon = Lexicon(Frequent(*shared.value))
         for batch in batches:
             numbers, stops = lexicon.sequences(batch.column(0).to_pylist())
-            classes = np.array(lexicon.classes, dtype=np.int64)[numbers]
+            classes = lexicon.column("classes", np.int32)[numbers].astype(np.int64)
             pairs = classes[:-1] * CLASSES + classes[1:]
             # What leads from one text to the next is no pair.
             np.add.at(total, np.delete(pairs, stops[:-1] - 1), 1)
@@ -322,14 +326,14 @@ def _score_column(shared):
         for batch in batches:
             numbers, stops = lexicon.sequences(batch.to_pylist())
             starts = np.concatenate([[0], stops[:-1]])
-            classes = np.array(lexicon.classes, dtype=np.int64)[numbers]
+            classes = lexicon.column("classes", np.int32)[numbers].astype(np.int64)
             step = table[classes[:-1], classes[1:]].astype(np.float64) - sizes[classes[1:]]
             # What leads from one text to the next is no step; the end before a text no token.
             step[stops[:-1] - 1] = 0
             own = np.ones(len(numbers), dtype=bool)
             own[starts] = False
-            common = np.array(lexicon.common, dtype=bool)[numbers]
-            logs = np.array(lexicon.logs)[numbers] * own
+            common = lexicon.column("common", np.int8)[numbers].astype(bool)
+            logs = lexicon.column("logs", np.float64)[numbers] * own
             rare = ~common & own
             yield pa.StructArray.from_arrays(
                 [
@@ -339,7 +343,7 @@ def _score_column(shared):
                     pa.array(np.add.reduceat(logs, starts)),
                     pa.ListArray.from_arrays(
                         pa.array(np.concatenate([[0], np.cumsum(np.add.reduceat(rare.astype(np.int64), starts))]), pa.int32()),
-                        pa.array(np.array(lexicon.hashes)[numbers[rare]], pa.int64()),
+                        pa.array(lexicon.column("hashes", np.int64)[numbers[rare]], pa.int64()),
                     ),
                 ],
                 names=["n_tokens", "n_known", "classes", "words", "rare"],
