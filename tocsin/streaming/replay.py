@@ -101,14 +101,11 @@ class PendingTable:
         path = f"{self.state_path}/marks/{marks.batch_id % 2}"
         spark.createDataFrame([tuple(marks)], _MARKS).coalesce(1).write.mode("overwrite").parquet(path)
 
-    def _rows(self, like: DataFrame, version: int, *outcomes: str) -> DataFrame:
+    def _rows(self, like: DataFrame, version: int, *outcomes: str, keep: bool = False) -> DataFrame:
         stored = StructType([*like.schema.fields, StructField("outcome", StringType())])
-        return (
-            like.sparkSession.read.schema(stored)
-            .parquet(f"{self.state_path}/{version % 2}")
-            .where(F.col("outcome").isin(*outcomes))
-            .drop("outcome")
-        )
+        rows = like.sparkSession.read.schema(stored).parquet(f"{self.state_path}/{version % 2}")
+        rows = rows.where(F.col("outcome").isin(*outcomes))
+        return rows if keep else rows.drop("outcome")
 
     # --- a micro-batch --------------------------------------------------------------------
 
@@ -132,7 +129,10 @@ class PendingTable:
         new = self._judged(requests).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             seen = new.where(F.col("id").isNotNull()).groupBy(self._partition(new).alias("p"))
-            seen = seen.agg(F.max("arrival_ms").alias("latest"), F.count(F.lit(1)).alias("n")).collect()
+            behind = F.count(F.when(F.col("arrival_ms") <= before.horizon, 1))
+            seen = seen.agg(
+                F.max("arrival_ms").alias("latest"), F.count(F.lit(1)).alias("n"), behind.alias("late")
+            ).collect()
             latest = dict(before.latest)
             for row in seen:
                 latest[row.p] = max(row.latest, latest.get(row.p, _NEVER))
@@ -150,18 +150,18 @@ class PendingTable:
                 self._store(spark, marks)
                 return
             marks = marks._replace(version=before.version + 1)
-            # Stored ahead of the work, for the clock of a repetition; `next_due` follows below.
-            self._store(spark, marks._replace(next_due=before.next_due))
-            self._advance(new.where(F.col("id").isNotNull()), before, marks, arrived)
+            if self.ticking:
+                # Ahead of the work, for the clock of a repetition.
+                self._store(spark, marks)
+            late = 0 if self.ticking else sum(row.late for row in seen)
+            self._advance(new.where(F.col("id").isNotNull()), before, marks, arrived, late)
         finally:
             new.unpersist()
 
-    def _advance(self, new: DataFrame, before: Marks, marks: Marks, arrived: int) -> None:
-        if not self.ticking and before.horizon > _NEVER:
-            late = new.where(F.col("arrival_ms") <= before.horizon)
-            if not late.isEmpty():
-                for sink in self.late_sinks:
-                    sink(late, marks.batch_id)
+    def _advance(self, new: DataFrame, before: Marks, marks: Marks, arrived: int, late: int) -> None:
+        if late:
+            for sink in self.late_sinks:
+                sink(new.where(F.col("arrival_ms") <= before.horizon), marks.batch_id)
             new = new.where(F.col("arrival_ms") > before.horizon)
         line = new
         if before.version > 0:
@@ -185,11 +185,15 @@ class PendingTable:
         judged.write.mode("overwrite").partitionBy("outcome").parquet(path)
 
     def _send(self, like: DataFrame, marks: Marks, number: int | None = None) -> None:
-        spark = like.sparkSession
-        left = self._rows(like, marks.version, PENDING, AHEAD)
-        self._store(spark, marks._replace(next_due=left.agg(F.min("exec_ms")).first()[0]))
-        fired = self._rows(like, marks.version, FIRED)
-        if not fired.isEmpty():
+        everything = self._rows(like, marks.version, PENDING, AHEAD, FIRED, keep=True)
+        found = {
+            row.outcome: row.first
+            for row in everything.groupBy("outcome").agg(F.min("exec_ms").alias("first")).collect()
+        }
+        due = min((first for outcome, first in found.items() if outcome != FIRED), default=None)
+        self._store(like.sparkSession, marks._replace(next_due=due))
+        if FIRED in found:
+            fired = self._rows(like, marks.version, FIRED)
             for sink in self.sinks:
                 sink(ready_records(fired, self.policy), marks.batch_id if number is None else number)
 
