@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tocsin.session import apply_conf, staged
 
-# Rows per Arrow batch: a batch of the longest texts must fit into a Python worker.
-ARROW_ROWS = "128"
+# Bytes per Arrow batch: bounds what a Python worker holds of long texts, and leaves narrow rows
+# in large batches.
+ARROW_BYTES = "1048576b"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    apply_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": ARROW_ROWS})
+    apply_conf(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES})
 
 
 def free_name(rows: DataFrame, name: str) -> str:
