@@ -121,3 +121,73 @@ def test_the_graph_finds_most_true_neighbours(spark):
     np.fill_diagonal(cosines, -2)
     true = np.argsort(-cosines, axis=1)[:, :8]
     assert np.mean([len(near[i] & set(true[i].tolist())) / 8 for i in range(1500)]) > 0.9
+
+
+def _unit_frame(spark, units):
+    return spark.createDataFrame([(i, u.astype(np.float16).tobytes()) for i, u in enumerate(units)], "id bigint, unit binary")
+
+
+def _units(seed, n, width):
+    points = np.random.default_rng(seed).normal(size=(n, width))
+    return points / np.linalg.norm(points, axis=1)[:, None]
+
+
+def test_a_cell_of_any_size_is_compared_whole(spark, monkeypatch):
+    """With two pivots that all vectors share, the first graph is the exact one."""
+    monkeypatch.setattr(ann, "CELL_ROWS", 64)
+    units = _units(3, 500, 8)
+    sent = spark.sparkContext.broadcast((units[:2].astype(np.float32), np.arange(2)))
+    near = {}
+    for row in ann._first_graph(_unit_frame(spark, units), sent, 8, ann.CELL_LINKS).collect():
+        near.setdefault(row.u, []).append(row.sim)
+    rounded = units.astype(np.float16).astype(np.float32)
+    cosines = rounded @ rounded.T
+    np.fill_diagonal(cosines, -2)
+    for i in range(500):
+        assert np.allclose(sorted(near[i]), np.sort(cosines[i])[-ann.CELL_LINKS :], atol=1e-5)
+
+
+def test_pivots_and_beam_grow_with_the_rows():
+    for rows in (1_000, 50_000, 5_000_000):
+        assert rows * ann.CELLS / ann.pivot_count(rows) <= ann.CELL_ROWS / 2
+    assert ann.walk_width(100) == 1
+    assert ann.walk_width(5_000_000) > ann.walk_width(200_000) > ann.walk_width(16_384)
+
+
+def test_all_that_name_a_hub_are_met_in_turn(spark):
+    links = [(u, 0, 0.5, True, False) for u in range(1, 3 * ann.NAMED_BY + 1)]
+    graph = spark.createDataFrame(links, "u bigint, v bigint, sim float, fresh boolean, met boolean")
+    met = set()
+    for turn in range(1, 4):
+        now = graph.withColumn("met", F.col("u").isin(list(met)))
+        met |= {row.u for row in ann._drawn(now, turn).collect()}
+    assert met == set(range(1, 3 * ann.NAMED_BY + 1))
+
+
+def test_a_vector_on_no_list_is_found(spark):
+    units = _units(4, 4, 6)
+    frame = _unit_frame(spark, units)
+    graph = spark.createDataFrame([(0, 1, 0.9), (1, 0, 0.9), (2, 1, 0.9), (3, 2, 0.9)], "u bigint, v bigint, sim float")
+    entries = spark.createDataFrame([(0, 0)], "query bigint, node bigint")
+    found = ann.greedy_search(frame.where("id = 0"), graph, frame, entries, 4, 6).collect()
+    assert {row.node for row in found} == {0, 1, 2, 3}
+
+
+def test_what_half_precision_cannot_tell_apart_is_ranked_exactly(spark):
+    """150 vectors within a rounding of each other, more than are rescored by rank."""
+    chance = np.random.default_rng(6)
+    vectors = [(i, (np.array([1.0, 2.0, 3.0, 4.0]) + 1e-5 * chance.normal(size=4)).tolist()) for i in range(150)]
+    want = _brute_exact(vectors, 5, 50)
+    got = {}
+    for row in ann.nearest(_frame(spark, vectors), F.col("vec_id") % 50 == 0, 5).collect():
+        got.setdefault(row.query_id, set()).add(row.vec_id)
+    assert np.mean([len(got[q] & want[q]) / 5 for q in want]) >= 0.95
+
+
+def _brute_exact(vectors, k, every):
+    """Angles from differences of unit vectors, which cosines this close to one do not resolve."""
+    units = {i: np.array(v) / np.linalg.norm(v) for i, v in vectors}
+    return {
+        q: set(sorted((i for i in units if i != q), key=lambda i: np.linalg.norm(units[i] - units[q]))[:k])
+        for q in units if q % every == 0
+    }

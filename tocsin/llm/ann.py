@@ -1,16 +1,20 @@
 """Approximate nearest neighbours by cosine: a graph grown by NN-descent, searched greedily.
 
-The graph starts from cells around pivots: each vector meets those that share one of its nearest
-pivots. Then neighbours of neighbours are tried, round after round: around every node its
+The graph starts from cells around pivots: each vector meets all that share one of its nearest
+pivots. The pivots grow with the rows, so cells keep their size; a cell that is larger all the same
+is compared in tiles, part against part. Then neighbours of neighbours are tried, round after round: around every node its
 neighbours, either way, are compared with each other, at least one of a pair being new since the
 last round, and a pair that improves either side's list is kept. It ends when a round changes few
-entries. A query enters the graph at the pivots nearest to it and follows links greedily: the best
-nodes known are expanded until none of them is unexpanded. All of it runs as Spark joins; a task
-sees pools of at most two neighbour lists, or cells of a bounded number of vectors.
+entries. A query enters the graph at the pivots nearest to it and follows links greedily, either
+way: the best nodes known are expanded until none of them is unexpanded; how many are followed
+grows with the logarithm of the rows. All of it runs as Spark joins; a task sees pools of at most
+two neighbour lists, or tiles of a bounded number of vectors.
 
 The graph and the walk are approximate, the scores are not: they are cosines of the original
-vectors in double precision. Of a node's many reverse neighbours a hashed few enter a pool; that is
-the method's own sampling, which recall is measured with. Every vector is a node.
+vectors in double precision, worked out for all found that half precision cannot tell from the
+best. Of a node's many reverse neighbours a few enter a pool, drawn anew each round, those first
+that have not been in it yet; that is the method's own sampling, which recall is measured with.
+Every vector is a node.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, neither do rows
 without id. Equal rows count once, of several vectors under one id the least. Equal vectors are
@@ -20,6 +24,7 @@ padded with zeros.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
 
@@ -38,19 +43,26 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 NEIGHBOURS = 32
 NAMED_BY = 16
 
-# Pivots, the cells each vector joins, the rows of a cell compared at once, and the links that
-# each vector takes out of a cell.
+# Pivots at least, the cells each vector joins, the rows of a cell compared at once, and the links
+# that each vector takes out of a cell. There are as many pivots as make cells half full.
 PIVOTS = 256
 CELLS = 10
 CELL_ROWS = 2_048
 CELL_LINKS = 12
 
-# Nodes a query keeps and expands, and pivots it starts from.
+# Nodes a query keeps and expands, and pivots it starts from, up to so many rows; each doubling
+# beyond adds as many again.
 BEAM = 48
 ENTRIES = 8
+WALKED_ROWS = 16_384
 
-# Found nodes whose exact score is worked out, per node asked for.
+# Found nodes whose exact score is worked out, per node asked for, and the most by which cosines in
+# half precision are off: a rounding of either vector, and what single precision adds.
 RESCORED = 4
+OFF = 1.1 / 1_024
+
+# Rows that are held against all pivots at once.
+PIVOT_ROWS = 256
 
 # A round that changes less than this part of all entries is the last.
 SETTLED = 0.05
@@ -93,28 +105,51 @@ def _links(u, v, sim) -> pa.RecordBatch:
     )
 
 
-def _nearest_pivots(pivots: np.ndarray, names: np.ndarray, width: int, n: int):
-    """The n nearest pivots of each vector, with their cosines."""
+def pivot_count(rows: int) -> int:
+    return max(PIVOTS, -(-2 * rows * CELLS // CELL_ROWS))
+
+
+def walk_width(rows: int) -> int:
+    """What beam and entries are multiplied by."""
+    return max(1, math.ceil(math.log2(max(rows, 1) / WALKED_ROWS)) + 1)
+
+
+def _nearest_of(sims: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest of each row, in any order."""
+    if k >= sims.shape[1]:
+        return np.broadcast_to(np.arange(sims.shape[1]), sims.shape)
+    return np.argpartition(-sims, k - 1, axis=1)[:, :k]
+
+
+def _nearest_pivots(pivots, width: int, n: int):
+    """The n nearest pivots of each vector, with their cosines. `pivots` is a broadcast of them
+    and their names. Of equally near ones other rows take others, so that a crowd of vectors that
+    half precision cannot tell apart does not meet in the same few cells."""
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units, names = pivots.value
         for batch in batches:
-            sims = _matrix(batch.column("unit"), width) @ pivots.T
-            near = np.argsort(-sims, axis=1, kind="stable")[:, :n]
-            ids = np.repeat(batch.column("id").to_numpy(), near.shape[1])
-            yield _links(ids, names[near].ravel(), np.take_along_axis(sims, near, 1).ravel())
+            for start in range(0, batch.num_rows, PIVOT_ROWS):
+                part = batch.slice(start, PIVOT_ROWS)
+                ids = part.column("id").to_numpy()
+                turned = np.random.default_rng(int(ids[0]) & 0xFFFFFFFF).permutation(len(names))
+                sims = _matrix(part.column("unit"), width) @ units[turned].T
+                near = _nearest_of(sims, n)
+                best = np.take_along_axis(sims, near, 1)
+                yield _links(np.repeat(ids, near.shape[1]), names[turned][near].ravel(), best.ravel())
 
     return assign
 
 
 def _cell_links(k: int, width: int):
-    """The k nearest of each vector inside its cell."""
+    """The k nearest of each vector inside its tile of a cell."""
 
     def link(cell: pa.Table) -> pa.Table:
         ids = cell.column("id").to_numpy()
         units = _matrix(cell.column("unit"), width)
         sims = units @ units.T
         np.fill_diagonal(sims, -np.inf)
-        near = np.argsort(-sims, axis=1, kind="stable")[:, : min(k, len(ids) - 1)]
+        near = _nearest_of(sims, min(k, len(ids) - 1)) if len(ids) > 1 else np.empty((1, 0), np.int64)
         best = np.take_along_axis(sims, near, 1)
         return pa.Table.from_batches([_links(np.repeat(ids, near.shape[1]), ids[near].ravel(), best.ravel())])
 
@@ -162,22 +197,35 @@ def _best(links: DataFrame, k: int) -> DataFrame:
     return links.withColumn("r", F.row_number().over(near)).where(F.col("r") <= k)
 
 
-def _first_graph(units: DataFrame, pivots: np.ndarray, names: np.ndarray, width: int, k: int) -> DataFrame:
-    assigned = keep_table(
-        units.mapInArrow(_nearest_pivots(pivots, names, width, CELLS), _LINK), "cells"
-    )
+def _first_graph(units: DataFrame, pivots, width: int, k: int) -> DataFrame:
+    assigned = keep_table(units.mapInArrow(_nearest_pivots(pivots, width, CELLS), _LINK), "cells")
     sizes = assigned.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    part = F.pmod(F.xxhash64("u"), F.ceil(F.col("n") / CELL_ROWS))
-    cells = assigned.join(sizes, "v").select("v", F.col("u").alias("id"), part.alias("part"))
-    linked = cells.join(units, "id").groupBy("v", "part").applyInArrow(_cell_links(CELL_LINKS, width), _LINK)
-    return _best(linked.distinct(), k).drop("r").withColumn("fresh", F.lit(True))
+    # A cell of more than CELL_ROWS is dealt to parts of half as many, and each part meets each other.
+    parts = F.when(F.col("n") <= CELL_ROWS, 1).otherwise(F.ceil(2 * F.col("n") / CELL_ROWS)).cast("int")
+    dealt = assigned.join(sizes, "v").withColumn("parts", parts).select(
+        "v", F.col("u").alias("id"), "parts", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int").alias("part")
+    )
+    met = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    tiles = dealt.select("v", "id", "parts", "part", met).where("parts = 1 OR part <> other").select(
+        "v", "id", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
+    )
+    linked = tiles.join(units, "id").groupBy("v", "low", "high").applyInArrow(
+        _cell_links(CELL_LINKS, width), _LINK
+    )
+    fresh = _best(linked.distinct(), k).drop("r").withColumn("fresh", F.lit(True))
+    return fresh.withColumn("met", F.lit(False))
+
 
+def _drawn(graph: DataFrame, turn: int) -> DataFrame:
+    """NAMED_BY links to each node, drawn anew each turn; first those that it has not met yet."""
+    few = Window.partitionBy("v").orderBy("met", F.xxhash64("u", "v", F.lit(turn)), "u")
+    drawn = graph.select("u", "v", "sim", "met").withColumn("r", F.row_number().over(few))
+    return drawn.where(F.col("r") <= NAMED_BY).drop("r")
 
-def _either_way(graph: DataFrame) -> DataFrame:
-    """Pools: a node's neighbours and NAMED_BY of those that name it, chosen by hash."""
-    named = graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "fresh")
-    few = Window.partitionBy("u").orderBy(F.xxhash64("u", "v"), "v")
-    named = named.withColumn("r", F.row_number().over(few)).where(F.col("r") <= NAMED_BY).drop("r")
+
+def _either_way(graph: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Pools: a node's neighbours and the drawn ones that name it, new if they were not in it."""
+    named = drawn.select(F.col("v").alias("u"), F.col("u").alias("v"), (~F.col("met")).alias("fresh"))
     both = graph.select("u", "v", "fresh").unionByName(named)
     return both.groupBy("u", "v").agg(F.max("fresh").alias("fresh"))
 
@@ -186,9 +234,12 @@ def build_graph(units: DataFrame, pivots: np.ndarray, names: np.ndarray, width:
                 k: int = NEIGHBOURS, settled: float = SETTLED) -> DataFrame:
     """Links (u, v, sim) from each node to its k nearest, nearly. `units` are (id, unit)."""
     nodes = units.count()
-    graph = keep_table(_first_graph(units, pivots, names, width, k), "graph")
-    changed = nodes * k
+    sent = units.sparkSession.sparkContext.broadcast((pivots, names))
+    graph = keep_table(_first_graph(units, sent, width, k), "graph")
+    changed, turn = nodes * k, 0
     while changed > settled * nodes * k:
+        turn += 1
+        drawn = keep_table(_drawn(graph, turn), "drawn")
         worst = graph.groupBy("u").agg(
             F.when(F.count(F.lit(1)) >= k, F.min("sim")).otherwise(F.lit(-2.0)).alias("kth")
         )
@@ -196,19 +247,22 @@ def build_graph(units: DataFrame, pivots: np.ndarray, names: np.ndarray, width:
             F.col("id").alias("v"), "unit", F.coalesce("kth", F.lit(-2.0)).cast("float").alias("kth")
         )
         pools = (
-            _either_way(graph).join(told, "v")
+            _either_way(graph, drawn).join(told, "v")
             .groupBy("u")
             .agg(F.collect_list(F.struct("v", "fresh", "kth", "unit")).alias("pool"))
             .where(F.exists("pool", lambda m: m["fresh"]))
             .select("pool")
         )
-        tried = pools.mapInArrow(_pool_links(width), _LINK).withColumn("fresh", F.lit(True))
-        kept = graph.select("u", "v", "sim", F.lit(False).alias("fresh"))
-        merged = kept.unionByName(tried).groupBy("u", "v").agg(
-            F.max("sim").alias("sim"), F.min("fresh").alias("fresh")
+        tried = pools.mapInArrow(_pool_links(width), _LINK)
+        tried = tried.select("*", F.lit(True).alias("fresh"), F.lit(False).alias("met"))
+        kept = graph.select("u", "v", "sim", F.lit(False).alias("fresh"), "met")
+        seen = drawn.select("u", "v", "sim", F.lit(False).alias("fresh"), F.lit(True).alias("met"))
+        merged = kept.unionByName(seen).unionByName(tried).groupBy("u", "v").agg(
+            F.max("sim").alias("sim"), F.min("fresh").alias("fresh"), F.max("met").alias("met")
         )
         before, graph = graph, keep_table(_best(merged, k).drop("r"), "graph")
         discard(before)
+        discard(drawn)
         changed = graph.where("fresh").count()
     return graph.select("u", "v", "sim")
 
@@ -229,38 +283,33 @@ def _norm(vector: Column) -> Column:
 
 
 def _query_scores(width: int):
-    """Of each query with the nodes it has just reached: their cosines."""
+    """Of queries and nodes that they have just reached: their cosines."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            asked = _matrix(batch.column("unit"), width)
-            reached = batch.column("reached")
-            sizes = reached.value_lengths().to_numpy()
-            member = reached.flatten()
-            units = _matrix(member.field("unit"), width)
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            ids = batch.column("id").to_numpy()
-            yield _links(ids[row], member.field("node").to_numpy(), np.einsum("ij,ij->i", asked[row], units))
+            sims = np.einsum("ij,ij->i", _matrix(batch.column("asked"), width), _matrix(batch.column("unit"), width))
+            yield _links(batch.column("query"), batch.column("node"), sims)
 
     return score
 
 
 def greedy_search(queries: DataFrame, graph: DataFrame, units: DataFrame, entries: DataFrame,
                   k: int, width: int, beam: int = BEAM) -> DataFrame:
-    """The k best (query, node) that following links from the entries finds.
+    """The k best (query, node, sim) that following links from the entries finds, and all that half
+    precision cannot tell from the RESCORED-th part of them.
 
     Per query the `beam` best nodes seen are kept; those not yet expanded are, all at once, and
-    their neighbours are seen next. `queries` and `units` are (id, unit), `entries` (query, node).
+    their neighbours, either way, are seen next. `queries` and `units` are (id, unit), `entries`
+    (query, node).
     """
+    ways = graph.select("u", "v").unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    ways = keep_table(ways.distinct(), "ways")
     other = units.select(F.col("id").alias("node"), "unit")
 
     def scored(pairs: DataFrame) -> DataFrame:
-        reached = (
-            pairs.join(other, "node")
-            .groupBy(F.col("query").alias("id"))
-            .agg(F.collect_list(F.struct("node", "unit")).alias("reached"))
-        )
-        found = reached.join(queries, "id").mapInArrow(_query_scores(width), _LINK)
+        asked = queries.select(F.col("id").alias("query"), F.col("unit").alias("asked"))
+        reached = pairs.join(other, "node").join(asked, "query")
+        found = reached.select("query", "node", "asked", "unit").mapInArrow(_query_scores(width), _LINK)
         return found.select(F.col("u").alias("query"), F.col("v").alias("node"), "sim")
 
     near = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
@@ -270,7 +319,7 @@ def greedy_search(queries: DataFrame, graph: DataFrame, units: DataFrame, entrie
         front = keep_table(front.where("open").select("query", "node"), "front")
         if front.isEmpty():
             break
-        reached = front.join(graph, front.node == graph.u).select("query", F.col("v").alias("node"))
+        reached = front.join(ways, front.node == ways.u).select("query", F.col("v").alias("node"))
         new = reached.distinct().join(seen, ["query", "node"], "left_anti")
         closed = front.withColumn("closed", F.lit(True))
         old = seen.join(closed, ["query", "node"], "left").select(
@@ -279,7 +328,13 @@ def greedy_search(queries: DataFrame, graph: DataFrame, units: DataFrame, entrie
         before, seen = seen, keep_table(old.unionByName(scored(new).withColumn("open", F.lit(True))), "seen")
         discard(before)
         discard(front)
-    return seen.withColumn("r", F.row_number().over(near)).where(F.col("r") <= k).select("query", "node")
+    ranked = seen.withColumn("r", F.row_number().over(near))
+    sure = F.min(F.when(F.col("r") <= -(-k // RESCORED), F.col("sim"))).over(Window.partitionBy("query"))
+    return (
+        ranked.withColumn("sure", sure)
+        .where((F.col("r") <= k) | (F.col("sim") >= F.col("sure") - 2 * OFF))
+        .select("query", "node")
+    )
 
 
 def nearest(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id",
@@ -295,17 +350,20 @@ def nearest(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id",
     vectors = grouped.vectors.select(F.col("rep").alias("id"), "vector")
     width = vectors.agg(F.max(F.size("vector"))).first()[0] or 1
     units = keep_table(vectors.mapInArrow(_packed(width), "id bigint, unit binary"), "units")
-    chosen = units.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
-    names = np.array([row.id for row in chosen], dtype=np.int64)
-    pivots = _matrix(pa.array([bytes(row.unit) for row in chosen], pa.binary()), width)
+    nodes = units.count()
+    chosen = units.orderBy(F.xxhash64("id"), "id").limit(pivot_count(nodes)).toArrow()
+    names = chosen.column("id").to_numpy()
+    pivots = _matrix(chosen.column("unit"), width)
     graph = build_graph(units, pivots, names, width)
     asked = grouped.queries.select(F.col("rep").alias("id")).distinct()
     asking = keep_table(units.join(asked, "id", "left_semi"), "asking")
-    entries = asking.mapInArrow(_nearest_pivots(pivots, names, width, ENTRIES), _LINK)
+    sent = rows.sparkSession.sparkContext.broadcast((pivots, names))
+    wide = walk_width(nodes)
+    entries = asking.mapInArrow(_nearest_pivots(sent, width, ENTRIES * wide), _LINK)
     entries = entries.select(F.col("u").alias("query"), F.col("v").alias("node"))
     # A query that is a node itself enters there too; rows with its very vector are found by that.
     entries = entries.unionByName(asked.select(F.col("id").alias("query"), F.col("id").alias("node")))
-    found = greedy_search(asking, graph, units, entries, RESCORED * (k + 1), width)
+    found = greedy_search(asking, graph, units, entries, RESCORED * (k + 1), width, BEAM * wide)
     ask = vectors.select(F.col("id").alias("query"), F.col("vector").alias("a"))
     answer = vectors.select(F.col("id").alias("node"), F.col("vector").alias("b"))
     exact = found.join(ask, "query").join(answer, "node").select(
