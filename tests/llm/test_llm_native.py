@@ -117,6 +117,39 @@ def test_rows_of_the_mix(spark, monkeypatch, sent):
     assert found == Counter((r.doc_id, r.source) for r in mixing.mix(docs, **target).collect())
 
 
+def _parted():
+    """A source of one repeated row, one of rows without id, both down-weighted, and small ones."""
+    rows = [(7, "w " * 9, "hot")] * 400 + [(None, f"text {i:04d}", "nameless") for i in range(1200)]
+    return rows + [(1000 + i, "a b c d", f"s{i % 4}") for i in range(400)]
+
+
+@pytest.mark.parametrize("sent", [100_000, 0])
+def test_the_cut_goes_through_equal_rows(spark, monkeypatch, sent):
+    monkeypatch.setattr(mixing, "SENT_SOURCES", sent)
+    rows = _parted()
+    totals = _tokens(rows)
+    total = sum(totals.values())
+    target = {"budget": total // 2, "evenness": 0.99}
+    docs = _docs(spark, rows)
+    mixed = mixing.mix(docs, **target).collect()
+    power = _power(totals, total // 2, evenness=0.99)
+    raised = {s: (t / total) ** power for s, t in totals.items()}
+    out = Counter()
+    for row in mixed:
+        out[row.source] += row.size
+    for source in ("hot", "nameless"):
+        quota = raised[source] / sum(raised.values()) * (total // 2)
+        assert quota < totals[source] and quota - 10 <= out[source] <= quota
+    kept = mixing.mix_rows(docs, **target)
+    assert kept.columns == docs.columns
+    found = Counter((r.doc_id, r.source) for r in kept.collect())
+    assert found == Counter((r.doc_id, r.source) for r in mixed)
+    nameless = [r.text for r in kept.where("source = 'nameless'").collect()]
+    assert len(nameless) == len(set(nameless))
+    again = mixing.mix_rows(docs.repartition(3), **target).where("source = 'nameless'").collect()
+    assert sorted(r.text for r in again) == sorted(nameless)
+
+
 def test_mix_of_nothing_and_wrong_targets(spark):
     docs = _docs(spark, [])
     assert mixing.mix(docs, max_repeats=2.0).collect() == [] and mixing.mix_rows(docs, max_repeats=2.0).collect() == []

@@ -8,7 +8,8 @@ of tokens, each block with every source in proportion, in hashed order inside th
 
 A token is a word, and every document has one more for its end. A null source counts as the source
 with the empty name, a null text as empty, a null id as a key of its own. Equal rows (source, id,
-size) keep together: all or none of them enter the cut pass. An empty table gives an empty mix.
+size) keep together in the order; where the quota ends among them, as many as fit enter the cut
+pass. An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -164,9 +165,11 @@ def _laid(classes: DataFrame, planned: DataFrame, turn: Column, rows: int, seed:
 
 
 def _in_quota() -> Column:
-    """Whole passes, and of the last the rows that end within the quota."""
+    """How many of a class's rows go out: all in whole passes, and in the last those that end
+    within the quota."""
     whole = F.col("turn") < F.col("passes")
-    return whole | (F.col("start") + F.col("weight") <= F.col("rest"))
+    fitting = F.expr("(rest - start) div size")
+    return F.when(whole, F.col("n")).otherwise(F.greatest(F.lit(0), F.least(F.col("n"), fitting)))
 
 
 def mix(documents: DataFrame, budget: int | None = None, max_repeats: float | None = None,
@@ -179,7 +182,7 @@ def mix(documents: DataFrame, budget: int | None = None, max_repeats: float | No
     classes = _classes(documents, key, source, text)
     planned = quotas(classes, budget, max_repeats, evenness)
     turns = F.sequence(F.lit(0), F.col("passes").cast("int"))
-    laid = _laid(classes, planned, turns, classes.count(), seed).where(_in_quota())
+    laid = _laid(classes, planned, turns, classes.count(), seed).withColumn("n", _in_quota()).where("n > 0")
     blocks = max(1, (planned.agg(F.sum("quota")).first()[0] or 0) // block_tokens)
     rows = copies(
         laid.select("source", "key", "size", "turn", "order", "start", "tokens", "quota", "n"),
@@ -206,20 +209,26 @@ def mix_rows(documents: DataFrame, budget: int | None = None, max_repeats: float
     """The documents of the same mix, with all their columns, each as often as it occurs.
 
     Texts are not shuffled: per source, the number of whole passes and the place in the order
-    where the last pass is cut say how often a row goes out.
+    where the last pass is cut say how often a row goes out. Only where the cut goes through rows
+    of one id and size are these dealt out by their digest, to tell those that still go out.
     """
     classes = _classes(documents, key, source, text)
     planned = quotas(classes, budget, max_repeats, evenness)
     last = F.array(F.col("passes").cast("int"))
     cuts = (
         _laid(classes, planned, last, classes.count(), seed)
-        .where(_in_quota())
+        .withColumn("fit", _in_quota())
+        .where("fit > 0")
         .groupBy("source")
-        .agg(F.max("order").alias("cut"))
+        .agg(
+            F.max(F.when(F.col("fit") == F.col("n"), F.col("order"))).alias("cut"),
+            F.max(F.when(F.col("fit") < F.col("n"), F.col("order"))).alias("parted"),
+            F.max(F.when(F.col("fit") < F.col("n"), F.col("fit"))).alias("fit"),
+        )
     )
     mine, plan = free_name(documents, "mix_source"), free_name(documents, "mix_plan")
     told = planned.join(cuts, "source", "left").select(
-        F.col("source").alias(mine), F.struct("passes", "cut").alias(plan)
+        F.col("source").alias(mine), F.struct("passes", "cut", "parted", "fit").alias(plan)
     )
     told = keep_table(told, "cuts")
     named = documents.withColumn(mine, F.coalesce(F.col(source).cast("string"), F.lit("")))
@@ -227,6 +236,27 @@ def mix_rows(documents: DataFrame, budget: int | None = None, max_repeats: float
     passes, cut = F.col(plan)["passes"], F.col(plan)["cut"]
     order = order_key(F.col(mine), key_text(key), tokens(F.col(text)), passes.cast("int"), seed)
     times = passes.cast("int") + F.coalesce((order <= cut).cast("int"), F.lit(0))
-    return (
-        joined.withColumn(plan, F.explode(F.array_repeat(F.lit(0), times))).select(*documents.columns)
+    mixed = joined.withColumn(plan, F.explode(F.array_repeat(F.lit(0), times))).select(*documents.columns)
+    if told.where(F.col(plan)["parted"].isNotNull()).isEmpty():
+        return mixed
+    parted = joined.where(order == F.col(plan)["parted"]).select(
+        F.col(mine).alias("source"), F.col(plan)["fit"].alias("fit"), F.struct(*documents.columns).alias("row")
+    )
+    return mixed.unionByName(_first_of_parted(parted).select("row.*"))
+
+
+def _first_of_parted(rows: DataFrame) -> DataFrame:
+    """Of each source's rows, as many as `fit` says: the first by the digest of the whole row.
+    Equal rows are counted before they are dealt out."""
+    digest = F.md5(F.to_json(F.struct("row")))
+    counted = rows.withColumn("digest", digest).groupBy("source", "digest").agg(
+        F.first("fit").alias("fit"), F.first("row").alias("row"), F.count(F.lit(1)).alias("n")
     )
+    counted = keep_table(counted, "parted")
+    place = counted.select("source", "digest", "fit", "n")
+    place = place.withColumn("bucket", digest_bucket(F.col("digest"), place.count()))
+    placed = before(place, ["source"], "bucket", ["digest"], {"start": "n"})
+    out = F.least(F.col("n"), F.col("fit") - F.col("start"))
+    taken = placed.select("source", "digest", out.alias("times")).where("times > 0")
+    found = counted.drop("fit", "n").join(taken, ["source", "digest"])
+    return copies(found, "times", "copy", ["source", "digest"])

@@ -47,11 +47,12 @@ def before(rows: DataFrame, group: list[str], bucket: str, order: list[str],
 _CHUNK = 10_000
 
 
-def copies(rows: DataFrame, count: str, name: str) -> DataFrame:
+def copies(rows: DataFrame, count: str, name: str, keys: list[str] | None = None) -> DataFrame:
     """Each row as often as `count` says, numbered from 0. Chunks of the copies are dealt out
-    before they are listed, so that no task makes all copies of one row."""
+    before they are listed, so that no task makes all copies of one row; by `keys`, if these tell
+    rows apart."""
     chunk = f"{name}__from"
-    keep = [column for column in rows.columns if column != count]
+    keep = keys or [column for column in rows.columns if column != count]
     chunks = rows.withColumn(chunk, F.explode(F.sequence(F.lit(0), F.col(count) - 1, F.lit(_CHUNK))))
     dealt = chunks.repartition(*keep, chunk)
     last = F.least(F.col(chunk) + _CHUNK, F.col(count)) - 1
