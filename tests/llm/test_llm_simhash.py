@@ -127,6 +127,20 @@ def test_one_of_each(spark):
     assert sum(r.doc_id is None for r in rows) == 1
 
 
+def test_one_id_with_texts_of_several_groups(spark):
+    """Each group keeps one row, whatever else has its id."""
+    texts = [f"{a} plain text of its own kind {b} and nothing like it {c}" for a, b, c in
+             [("red", "oak", "sea"), ("blue", "elm", "sky"), ("green", "fir", "sand"), ("grey", "ash", "moor")]]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[2]), (3, texts[2]), (8, texts[3]), (8, texts[0]), (5, texts[0])]
+    docs = _docs(spark, rows)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert len({brute_print(t) for t in texts}) == len(set(brute_components([brute_print(t) for t in texts]).values())) == 4
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(
+        [(5, texts[0]), (5, texts[1]), (3, texts[2]), (8, texts[3])]
+    )
+
+
 def test_nothing_and_one(spark):
     assert simhash.groups(_docs(spark).limit(0)).collect() == []
     assert simhash.one_of_each(_docs(spark).limit(0)).collect() == []

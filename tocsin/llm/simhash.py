@@ -296,20 +296,29 @@ def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", words:
 def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text",
                 words: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The documents without near-duplicates: of each group the row with the least id stays, with
-    all its columns. Of several rows with that id one stays. A group without any id keeps one row
-    too."""
+    all its columns. Of several rows of a group with that id one stays. A group without any id
+    keeps one row too."""
     small_batches(documents.sparkSession)
     found = keep_table(groups(documents, key, text, words, max_bits), "groups")
     mine, place = free_name(documents, "first_of_group"), free_name(documents, "place_in_group")
-    first = found.where("key = component").select(F.col("key").alias(mine)).distinct()
     order = [F.xxhash64(F.col(text)), F.col(text)]
+    # Rows of one id mostly have one fingerprint, so the id tells their group. Of ids with several,
+    # the fingerprint of the row does.
+    ids = found.where("key IS NOT NULL").groupBy("key").agg(
+        F.max(F.col("key") == F.col("component")).alias("first"),
+        (F.min("fingerprint") != F.max("fingerprint")).alias("several"),
+    )
+    ids = keep_table(ids.where("first"), "firsts")
     one = Window.partitionBy(key).orderBy(*order)
     named = (
-        documents.join(first, F.col(key) == F.col(mine), "left_semi")
+        documents.join(ids.where("NOT several").select(F.col("key").alias(mine)), F.col(key) == F.col(mine), "left_semi")
         .withColumn(place, F.row_number().over(one))
         .where(F.col(place) == 1)
         .drop(place)
     )
+    several = ids.where("several").select("key")
+    if not several.isEmpty():
+        named = named.unionByName(_first_of_several(documents, several, found, key, text, words, order))
     rootless = found.where("component IS NULL").select(
         F.col("fingerprint").alias(mine), F.col("root").alias(place)
     ).distinct()
@@ -325,5 +334,23 @@ def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text",
     return named.unionByName(rest)
 
 
+def _first_of_several(documents: DataFrame, several: DataFrame, found: DataFrame, key: str, text: str,
+                      words: int, order: list) -> DataFrame:
+    """Of ids with several fingerprints, the row of each group that has the id as its least."""
+    mine, place = free_name(documents, "first_of_group"), free_name(documents, "place_in_group")
+    print_, root = free_name(documents, "fingerprint_of_row"), free_name(documents, "root_of_row")
+    groups_ = found.where("key = component").join(several, "key", "left_semi").select(
+        F.col("key").alias(mine), F.col("fingerprint").alias(place), F.col("root").alias(root)
+    ).distinct()
+    own = documents.join(several.select(F.col("key").alias(mine)), F.col(key) == F.col(mine), "left_semi")
+    return (
+        own.withColumn(print_, _fingerprint_column(words)(F.col(text)))
+        .join(groups_, (F.col(key) == F.col(mine)) & (F.col(print_) == F.col(place)))
+        .withColumn(mine, F.row_number().over(Window.partitionBy(root).orderBy(*order)))
+        .where(F.col(mine) == 1)
+        .drop(mine, place, print_, root)
+    )
+
+
 def hex_digits(fingerprint):
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
