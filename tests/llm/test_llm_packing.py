@@ -1,0 +1,139 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+from functools import lru_cache
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from tocsin.llm import packing
+from tocsin.llm.catalog import QUERIES, tokenizer_path
+
+
+def fewest(lengths, capacity):
+    """The least number of bins, by trying all fillings of one bin after another."""
+    lengths = tuple(sorted(lengths))
+
+    @lru_cache(None)
+    def bins(left, room):
+        if not left:
+            return 0
+        best = 1 + bins(left[:-1], capacity - left[-1])
+        for i, x in enumerate(left):
+            if x <= room and (i == 0 or left[i - 1] != x):
+                best = min(best, bins(left[:i] + left[i + 1 :], room - x))
+        return best
+
+    return bins(lengths, 0)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_near_the_fewest_bins(seed):
+    chance = random.Random(seed)
+    lengths = [chance.randint(1, 30) for _ in range(chance.randint(1, 11))]
+    bins = packing.pack_lengths(lengths, 30)
+    assert sorted(i for items in bins for i in items) == list(range(len(lengths)))
+    assert all(0 < sum(lengths[i] for i in items) <= 30 for items in bins)
+    assert fewest(lengths, 30) <= len(bins) <= fewest(lengths, 30) + 1
+
+
+def test_search_beats_best_fit():
+    chance = random.Random(2)
+    lengths = [chance.randint(1000, 1400) for _ in range(2_000)]
+    assert len(packing.pack_lengths(lengths, 4096)) < len(packing.best_fit(lengths, 4096))
+
+
+def test_each_exchange_raises_the_squared_fill(monkeypatch):
+    chance = random.Random(4)
+    lengths = [chance.randint(20, 60) for _ in range(200)]
+    search = packing.Search(lengths, [[i] for i in range(200)], 100)
+    squares = [sum(f * f for f in search.fill)]
+    find = packing.Search._exchange
+
+    def watched(self, target):
+        squares.append(sum(f * f for f in self.fill))
+        return find(self, target)
+
+    monkeypatch.setattr(packing.Search, "_exchange", watched)
+    search.run()
+    assert squares == sorted(squares) and squares[-1] > squares[0]
+    assert search.fill == [sum(lengths[i] for i in items) for items in search.bins]
+    assert sum(f > 0 for f in search.fill) <= len(packing.best_fit(lengths, 100))
+
+
+def _check(rows, capacity):
+    by_sequence = defaultdict(list)
+    for row in rows:
+        by_sequence[row.sequence_id].append((row.offset, row.length))
+    for placed in by_sequence.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at and length > 0
+            at += length
+        assert at <= capacity
+    return len(by_sequence)
+
+
+@pytest.mark.parametrize("bucket", [8_192, 50])
+def test_rounds_over_buckets(spark, monkeypatch, bucket):
+    monkeypatch.setattr(packing, "BUCKET_PIECES", bucket)
+    chance = random.Random(5)
+    lengths = [chance.choice([7, 100, chance.randint(1, 60)]) for _ in range(1_000)]
+    rows = spark.createDataFrame(
+        [(i % 9 or None, n, "x", 5) for i, n in enumerate(lengths)], "name int, length long, place string, offset int")
+    out = packing.pack(rows, 100).collect()
+    assert sorted(row.length for row in out) == sorted(lengths)
+    assert {row.place for row in out} == {"x"}
+    wanted = -(-sum(lengths) // 100)
+    assert wanted <= _check(out, 100) <= wanted + 1 + (bucket == 50) * wanted // 50
+
+
+def test_equal_lengths_that_do_not_fit_together(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKET_PIECES", 50)
+    rows = spark.range(300).selectExpr("id", "cast(60 as long) AS length")
+    assert _check(packing.pack(rows, 100).collect(), 100) == 300
+
+
+ODD = [
+    (1, None), (2, ""), (3, " \n"), (None, "no id"), (5, "same"), (5, "same"), (5, "other"),
+    (6, "x " * 9_000), (7, "word" * 6_000), (8, "a<|endoftext|>b"), (9, "y " * 4_095), (10, "y " * 4_096),
+]
+
+
+@pytest.mark.parametrize("name", ["odd", "table"])
+def test_pieces_equal_the_library(spark, name):
+    library = Tokenizer.from_file(tokenizer_path())
+    if name == "odd":
+        docs = spark.createDataFrame([(i, t, 1, 2) for i, t in ODD], "doc_id long, text string, piece int, length int")
+        out = packing.pack(packing.cut(docs, tokenizer_path())).collect()
+    else:
+        docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+        out = QUERIES["op11_packing"](spark, "/root/testdata/sf0.001").collect()
+    want, total = [], 0
+    for row in docs.select("doc_id", "text").collect():
+        ids = np.array([*library.encode(row.text or "", add_special_tokens=False).ids, 1], "<u4")
+        total += len(ids)
+        for piece, start in enumerate(range(0, len(ids), 4096)):
+            part = ids[start : start + 4096]
+            want.append((row.doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
+    got = [(row.doc_id, row.piece, row.start, row.length, row.ids_crc32) for row in out]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert -(-total // 4096) <= _check(out, 4096) <= -(-total // 4096) + 1
+
+
+def test_sequences_hold_the_ids(spark):
+    docs = spark.createDataFrame([(i, "word " * (i % 40)) for i in range(300)], "doc_id long, text string")
+    packed = packing.pack(packing.cut(docs, tokenizer_path(), capacity=64, with_ids=True), 64)
+    made = {row.sequence_id: row.ids for row in packing.sequences(packed).collect()}
+    assert sum(map(len, made.values())) == sum(i % 40 + 1 for i in range(300))
+    for row in packed.collect():
+        ids = made[row.sequence_id][row.offset : row.offset + row.length]
+        assert ids == row.ids and zlib.crc32(np.array(ids, "<u4").tobytes()) == row.ids_crc32
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert packing.pack(packing.cut(docs, tokenizer_path())).collect() == []

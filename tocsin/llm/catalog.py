@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import ann, bpe, chat, langid, lm, mixing, quality, sharding, simhash, topk
+from tocsin.llm import ann, bpe, chat, langid, lm, mixing, packing, quality, sharding, simhash, topk
 from tocsin.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,10 +66,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(pieces)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_topk, op2_mixing, op3_bpe, op4_simhash, op5_lm, op6_quality, op7_langid, op8_chat,
-        op9_ann, op10_sharding,
+        op9_ann, op10_sharding, op11_packing,
     )
 }
