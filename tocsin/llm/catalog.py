@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import ann, bpe, chat, langid, lm, mixing, packing, quality, sharding, simhash, topk
+from tocsin.llm import ann, bpe, chat, langid, lm, mixing, packing, quality, repair, sharding, simhash, topk
 from tocsin.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,10 +71,15 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.report(repair.damage(conversations), conversations)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_topk, op2_mixing, op3_bpe, op4_simhash, op5_lm, op6_quality, op7_langid, op8_chat,
-        op9_ann, op10_sharding, op11_packing,
+        op9_ann, op10_sharding, op11_packing, op12_repair,
     )
 }
