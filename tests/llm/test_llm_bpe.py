@@ -67,12 +67,27 @@ def test_no_token_spans_a_cut(parts):
 def test_a_full_cache_changes_nothing(parts, monkeypatch):
     codec, _ = parts
     want = codec.encode(ODD)
-    monkeypatch.setattr(bpe, "CACHE_WORDS", 3)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 3)
     for _ in range(3):
         got = codec.encode(ODD)
         assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1])
 
 
+def test_long_words_do_not_pile_up(library):
+    """What is remembered is bounded by bytes, not by words, also where words are cut."""
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        codec = bpe.Codec(file.read())
+    chance = random.Random(2)
+    for _ in range(40):
+        batch = ["".join(chance.choices("abcdefé", k=20_000)) for _ in range(60)]
+        codec.encode(batch)
+        assert codec.held < bpe.CACHE_BYTES + 60 * (20_000 * 50)
+        assert len(codec.place) * 20_000 + 4 * len(codec.flat) + len(codec.known) <= codec.held
+    ids, ends = codec.encode(batch[:2])
+    for i in range(2):
+        assert ids[ends[i] : ends[i + 1]].tolist() == library.encode(batch[i], add_special_tokens=False).ids
+
+
 def test_whole_tables(spark, library):
     rows = [(i, text, "clash", [i]) for i, text in enumerate(ODD)] + [(None, "hello", "x", None), (0, None, "y", None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, decoded string, ids array<int>")

@@ -30,8 +30,10 @@ from tocsin.llm.common import small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Entries a Python worker remembers before it starts afresh.
-CACHE_WORDS = 200_000
+# Bytes of words and ids, roughly, that a Python worker remembers before it starts afresh; it may
+# hold what one batch brings on top. An entry costs some bytes besides its letters and ids.
+CACHE_BYTES = 32 << 20
+_ENTRY_BYTES = 160
 
 # Up to here every letter is composed already and lower-cases without looking at its neighbours.
 PLAIN_LIMIT = 0x250
@@ -78,6 +80,7 @@ class Codec:
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.plain = _plain_pattern(pattern.split("|[")[0])
+        self.beyond_plain = re.compile(f"[^\0-{chr(PLAIN_LIMIT - 1)}]")
         self.joined = self._neighbours(model["vocab"])
         self._forget()
 
@@ -92,6 +95,7 @@ class Codec:
         return seen
 
     def _forget(self) -> None:
+        self.held = 0
         self.place: dict[str, int] = {}
         self.known: dict[tuple[bytes, bool], list[int]] = {}
         self.flat = array("i")
@@ -118,11 +122,13 @@ class Codec:
         ids = self.known.get((fragment, final))
         if ids is None:
             ids = self.known[fragment, final] = self._ids(fragment, final)
+            self.held += _ENTRY_BYTES + len(fragment) + 8 * len(ids)
         return ids
 
     def _learn(self, words: list[str]) -> None:
         """Encode words met for the first time."""
         raw = [word.encode() for word in words]
+        ids_before = len(self.flat)
         for word, spelled, cuts in zip(words, raw, self.cuts(raw)):
             self.place[word] = len(self.starts) - 1
             if word in self.special:
@@ -134,9 +140,10 @@ class Codec:
                     self.flat.extend(self._fragment_ids(spelled[i:j], False))
                 self.flat.extend(self._fragment_ids(spelled[cuts[-1] :], True))
             self.starts.append(len(self.flat))
+        self.held += _ENTRY_BYTES * len(words) + sum(map(len, raw)) + 4 * (len(self.flat) - ids_before)
 
     def _part_words(self, text: str) -> list[str]:
-        if text.isascii() or max(text) < chr(PLAIN_LIMIT):
+        if text.isascii() or not self.beyond_plain.search(text):
             return self.plain.findall(text.lower())
         number = {letter: byte for byte, letter in enumerate(self.letters)}
         spelled = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))
@@ -153,20 +160,20 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text starts (and the last ends)."""
-        if len(self.place) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self._forget()
-        find = self.place.get
-        places: list[int] = []
+        words: list[str] = []
         ends = [0]
         for text in texts:
             if text:
-                words = self.words(text)
-                found = list(map(find, words))
-                if None in found:
-                    self._learn(list(dict.fromkeys(w for w, p in zip(words, found) if p is None)))
-                    found = list(map(find, words))
-                places += found
-            ends.append(len(places))
+                words += self.words(text)
+            ends.append(len(words))
+        find = self.place.get
+        places = list(map(find, words))
+        if None in places:
+            self._learn(list(dict.fromkeys(w for w, p in zip(words, places) if p is None)))
+            places = [find(w) if p is None else p for w, p in zip(words, places)]
+        del words
         # The last start is where the next word will be put.
         starts = np.frombuffer(self.starts, dtype=np.int64)
         chosen = np.array(places, dtype=np.int64)

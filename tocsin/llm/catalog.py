@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tocsin.llm import ann, bpe, chat, langid, lm, mixing, packing, quality, repair, sharding, simhash, topk
+from tocsin.llm import alignment, ann, bpe, chat, langid, lm, mixing, packing, quality, repair, sharding, simhash, topk
 from tocsin.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,10 +76,22 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(repair.damage(conversations), conversations)
 
 
+def alignment_files() -> alignment.Files:
+    import public_tokenizers
+
+    json, ranks, pieces = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"))
+    return alignment.Files(json, ranks, public_tokenizers.PATTERN, pieces)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), alignment_files())
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_topk, op2_mixing, op3_bpe, op4_simhash, op5_lm, op6_quality, op7_langid, op8_chat,
         op9_ann, op10_sharding, op11_packing, op12_repair,
+        op13_alignment,
     )
 }
