@@ -307,23 +307,27 @@ def _replay_in_parts(spark, parts, decode, sinks, folder, policy, partitions: in
     finish_replay(requests, sinks, checkpoint, policy)
 
 
-def _keyed_in_parts(spark, parts, decode, sinks, folder, policy) -> None:
+def _keyed_in_parts(spark, parts, decode, sinks, folder, policy, partitions: int = 1, **options) -> None:
     """The same through the stateful operator, by the log's own clock."""
     log = f"{folder}/log"
     for part in parts:
         part.write.mode("append").parquet(log)
         start_triggers(
             decode(folder_stream(spark, log)).tagged, sinks, f"{folder}/checkpoint", policy,
-            quarantine_sinks=[], clock=ARRIVAL, trigger={"availableNow": True},
+            quarantine_sinks=[], clock=ARRIVAL, trigger={"availableNow": True}, partitions=partitions, **options,
         ).awaitTermination()
 
 
-def _end_of_log(payloads: DataFrame) -> DataFrame:
-    """An empty payload a millisecond after the last: time passes, nothing is asked for."""
-    last = payloads.agg((F.max("arrival_ms") + 1).alias("arrival_ms"), F.max("offset").alias("offset"))
-    return last.select(
-        F.lit(b"").alias("value"), "arrival_ms", F.lit(0).alias("partition"), F.col("offset") + 1_000_000
-    ).toDF("value", "arrival_ms", "partition", "offset")
+def _end_of_log(payloads: DataFrame, partitions: int = 1, at_ms: int | None = None) -> DataFrame:
+    """An empty payload in each partition, a millisecond after the last of all or after a moment:
+    time passes, nothing is asked for."""
+    last = F.max("arrival_ms") if at_ms is None else F.lit(at_ms)
+    end = payloads.agg((last + 1).alias("arrival_ms"), F.max("offset").alias("offset"))
+    return end.select(
+        F.lit(b"").alias("value"), "arrival_ms",
+        F.explode(F.sequence(F.lit(0), F.lit(partitions - 1))).alias("partition"),
+        (F.col("offset") + 1_000_000).alias("offset"),
+    )
 
 
 def stream_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,6 +363,16 @@ def stream_keyed_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sunk(spark, out, REQUESTED)
 
 
+def stream_keyed_ready_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four partitions, read at different speeds, in a run for each part of the log."""
+    folder = shared_folder(spark, "stream-keyed-ready-partitions")
+    out = f"{folder}/ready"
+    payloads = logs.in_partitions(logs.request_payloads(spark, sf_dir), 4)
+    parts = [*_uneven(payloads), _end_of_log(payloads, 4)]
+    _keyed_in_parts(spark, parts, decode_requests, [table_sink(out)], folder, REQUESTED, 4)
+    return _sunk(spark, out, REQUESTED)
+
+
 def stream_keyed_fixed_delay_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream-keyed-fixed-delay-ready")
     out = f"{folder}/ready"
@@ -418,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "stream_ready": stream_ready,
     "stream_ready_partitions": stream_ready_partitions,
     "stream_keyed_ready": stream_keyed_ready,
+    "stream_keyed_ready_partitions": stream_keyed_ready_partitions,
     "stream_keyed_fixed_delay_ready": stream_keyed_fixed_delay_ready,
     "stream_fixed_delay_ready": stream_fixed_delay_ready,
     "stream_fanout": stream_fanout,

@@ -288,6 +288,7 @@ FROM (SELECT * FROM audit
     "stream_ready": _with() + _READY,
     "stream_ready_partitions": _with() + _READY,
     "stream_keyed_ready": _with() + _READY,
+    "stream_keyed_ready_partitions": _with() + _READY,
     "stream_keyed_fixed_delay_ready": _with(_TASKS, _FIXED_TIME) + _READY_TASK,
     "stream_fixed_delay_ready": _with(_TASKS, _FIXED_TIME) + _READY_TASK,
     "stream_fanout": _MIXED_READY

@@ -25,6 +25,7 @@ ARMED_SUPERSEDED = "armed_superseded"
 # What else the running job reports.
 ACCEPTED = "accepted"
 QUARANTINED = "quarantined"
+LATE = "late"
 
 # Why a payload was set aside.
 EMPTY = "empty"
