@@ -29,6 +29,7 @@ from tocsin.sources.outputs import payload_sink, table_sink
 from tocsin.streaming.job import start_triggers
 from tocsin.streaming.processor import ARRIVAL
 from tocsin.streaming.replay import finish_replay, start_replay
+from tocsin.streaming.state import from_checkpoint, from_history, live_pending, live_timers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -264,21 +265,21 @@ def offset_order_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
 _THIRDS = [1_704_931_200_000, 1_705_795_200_000]
 
 
-def _before(payloads: DataFrame, start: int | None, end: int | None) -> DataFrame:
+def _before(payloads: DataFrame, start: int | None, end: int | None, by: str) -> DataFrame:
     if start is not None:
-        payloads = payloads.where(F.col("arrival_ms") >= start)
-    return payloads if end is None else payloads.where(F.col("arrival_ms") < end)
+        payloads = payloads.where(F.col(by) >= start)
+    return payloads if end is None else payloads.where(F.col(by) < end)
 
 
-def _thirds(payloads: DataFrame) -> list[DataFrame]:
+def _thirds(payloads: DataFrame, by: str = "arrival_ms") -> list[DataFrame]:
     bounds = [None, *_THIRDS, None]
-    return [_before(payloads, start, end) for start, end in zip(bounds, bounds[1:])]
+    return [_before(payloads, start, end, by) for start, end in zip(bounds, bounds[1:])]
 
 
-def _uneven(payloads: DataFrame) -> list[DataFrame]:
+def _uneven(payloads: DataFrame, by: str = "arrival_ms") -> list[DataFrame]:
     """Partitions read at different speeds: some are a third ahead of the others."""
     fast = F.col("partition") % 2 == 0
-    first, second, third = _thirds(payloads)
+    first, second, third = _thirds(payloads, by)
     return [
         first.unionByName(second.where(fast)),
         second.where(~fast).unionByName(third.where(fast)),
@@ -373,6 +374,66 @@ def stream_keyed_ready_partitions(spark: SparkSession, sf_dir: str) -> DataFrame
     return _sunk(spark, out, REQUESTED)
 
 
+def stream_keyed_offset_order_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stamps that fall back within a partition, also from one micro-batch to the next."""
+    folder = shared_folder(spark, "stream-keyed-offset-order")
+    out = f"{folder}/ready"
+    payloads = logs.unordered_payloads(spark, sf_dir)
+    parts = [*_uneven(payloads, "place_ms"), _end_of_log(payloads, 4)]
+    parts = [part.drop("place_ms") for part in parts]
+    _keyed_in_parts(spark, parts, decode_requests, [table_sink(out)], folder, REQUESTED, 4)
+    return _sunk(spark, out, REQUESTED)
+
+
+# --- running state --------------------------------------------------------------------------
+
+
+def _run_to_midway(spark: SparkSession, sf_dir: str, name: str, **options) -> str:
+    """The checkpoint of a keyed run stopped midway, in two partitions."""
+    folder = shared_folder(spark, name)
+    payloads = logs.in_partitions(logs.request_payloads(spark, sf_dir), 2)
+    first = payloads.where(F.col("arrival_ms") <= MIDWAY_MS)
+    parts = [first, _end_of_log(payloads, 2, MIDWAY_MS)]
+    _keyed_in_parts(spark, parts, decode_requests, [], folder, REQUESTED, 2, **options)
+    return f"{folder}/checkpoint"
+
+
+def live_pending_midway(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return live_pending(spark, _run_to_midway(spark, sf_dir, "live-pending"))
+
+
+def live_timers_midway(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return live_timers(spark, _run_to_midway(spark, sf_dir, "live-timers", keep_stale_timers=True))
+
+
+def stream_seeded_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the log by the batch rule, a third by a keyed run that starts from there, the rest
+    by another with a different number of shuffle partitions that starts from its state."""
+    folder = shared_folder(spark, "stream-seeded")
+    out = f"{folder}/ready"
+    payloads = logs.in_partitions(logs.request_payloads(spark, sf_dir), 2)
+    first, second, third = _thirds(payloads)
+    ends = [end - 1 for end in _THIRDS]
+    history = staged(as_requests(decode_requests(first).valid), "history")
+    table_sink(f"{out}/batch")(ready(history, ends[0]), 0)
+    start = from_history(history, ends[0])
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    runs = [(3, [second, _end_of_log(payloads, 2, ends[1])]), (5, [third, _end_of_log(payloads, 2)])]
+    try:
+        for number, (partitions, parts) in enumerate(runs):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            run = f"{folder}/run-{number}"
+            sinks = [table_sink(f"{out}/run-{number}")]
+            _keyed_in_parts(spark, parts, decode_requests, sinks, run, REQUESTED, 2, start=start)
+            start = from_checkpoint(spark, f"{run}/checkpoint")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    whole = _sunk(spark, f"{out}/batch", REQUESTED)
+    for number in range(len(runs)):
+        whole = whole.unionByName(_sunk(spark, f"{out}/run-{number}", REQUESTED))
+    return whole
+
+
 def stream_keyed_fixed_delay_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream-keyed-fixed-delay-ready")
     out = f"{folder}/ready"
@@ -433,6 +494,10 @@ QUERIES: dict[str, Query] = {
     "stream_ready_partitions": stream_ready_partitions,
     "stream_keyed_ready": stream_keyed_ready,
     "stream_keyed_ready_partitions": stream_keyed_ready_partitions,
+    "stream_keyed_offset_order_ready": stream_keyed_offset_order_ready,
+    "live_pending": live_pending_midway,
+    "live_timers": live_timers_midway,
+    "stream_seeded_ready": stream_seeded_ready,
     "stream_keyed_fixed_delay_ready": stream_keyed_fixed_delay_ready,
     "stream_fixed_delay_ready": stream_fixed_delay_ready,
     "stream_fanout": stream_fanout,

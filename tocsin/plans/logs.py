@@ -86,6 +86,16 @@ def request_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _envelope(requests(spark, sf_dir), _text(_PLAIN))
 
 
+def unordered_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unordered requests as payloads; `place_ms` is when they were really written."""
+    rows = unordered_requests(spark, sf_dir)
+    place = F.col("seq")
+    return rows.select(
+        _text(_PLAIN).cast("binary").alias("value"), "arrival_ms", place["partition"].alias("partition"),
+        place["offset"].alias("offset"), F.expr("seq.offset div 1000000").alias("place_ms"),
+    )
+
+
 # What the payload of an event looks like, by event_id % 20; all others are plain.
 _REQUEST_SHAPES = {
     0: "",

@@ -289,6 +289,11 @@ FROM (SELECT * FROM audit
     "stream_ready_partitions": _with() + _READY,
     "stream_keyed_ready": _with() + _READY,
     "stream_keyed_ready_partitions": _with() + _READY,
+    "stream_keyed_offset_order_ready": _with(_READ) + _READY,
+    "live_pending": _with(as_of=str(MIDWAY_MS)) + "SELECT id, exec_ms FROM pending",
+    "live_timers": _with(as_of=str(MIDWAY_MS))
+    + f"SELECT id, exec_ms, outcome FROM ({_OUTCOMES}) WHERE outcome IN ('pending', 'armed_superseded')",
+    "stream_seeded_ready": _with() + _READY,
     "stream_keyed_fixed_delay_ready": _with(_TASKS, _FIXED_TIME) + _READY_TASK,
     "stream_fixed_delay_ready": _with(_TASKS, _FIXED_TIME) + _READY_TASK,
     "stream_fanout": _MIXED_READY
