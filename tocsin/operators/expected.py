@@ -90,13 +90,16 @@ def _carried(placed: DataFrame, slices: Slices) -> DataFrame:
     )
 
 
-def _held_sliced(scheduled: DataFrame, slices: Slices, as_of: int) -> DataFrame:
+def _held_sliced(
+    scheduled: DataFrame, slices: Slices, as_of: int, earlier: DataFrame | None = None
+) -> DataFrame:
     """As above with hot ids cut into slices, each starting from what the one before left.
 
     Equal timers are merged on the way, as any number may fall on one moment and no cut could
     part them. The line is shuffled once: what a slice carries over is read off its exchange.
     """
-    timers = scheduled.where(F.col("exec_ms") <= as_of).select("id", "exec_ms").distinct()
+    timers = scheduled.where(F.col("exec_ms") <= as_of).select("id", "exec_ms")
+    timers = (timers if earlier is None else timers.unionByName(earlier)).distinct()
     line = scheduled.select("id", *_as_request()).unionByName(
         timers.select("id", *_as_timer(scheduled))
     )
@@ -109,6 +112,33 @@ def _held_sliced(scheduled: DataFrame, slices: Slices, as_of: int) -> DataFrame:
     )
 
 
+def _outcomes(timers: DataFrame) -> DataFrame:
+    held, exec_ms = F.col("held"), F.col("exec_ms")
+    return timers.select(
+        "id",
+        "exec_ms",
+        F.when(held == exec_ms, F.lit(FIRED)).otherwise(F.lit(STALE)).alias("outcome"),
+        F.when(held > exec_ms, held).alias("expected_ms"),
+    )
+
+
+def gone_off_since(
+    scheduled: DataFrame, earlier: DataFrame, as_of: int, rows: int, target_rows: int = TARGET_ROWS
+) -> DataFrame:
+    """`gone_off` for a part of a history that carries on from an earlier one: `scheduled` is what
+    ids waited for when it began, and its own requests; `earlier` are timers, `id, exec_ms`, that
+    were set in vain before and have not gone off by then."""
+    set_before = earlier.where(F.col("exec_ms") <= as_of).select("id", "exec_ms")
+    scheduled = scheduled.select("id", *ORDER, "exec_ms")
+    slices = None
+    if rows > target_rows:
+        slices = plan_slices(_line(scheduled, as_of), _POSITION, 2 * rows, target_rows)
+    if slices is None:
+        line = _line(scheduled, as_of).unionByName(set_before.select("id", *_as_timer(scheduled)))
+        return _outcomes(_held_at_timers(line.repartition("id"), "id"))
+    return _outcomes(_held_sliced(scheduled, slices, as_of, set_before))
+
+
 def gone_off(
     requests: DataFrame,
     as_of: int,
@@ -126,18 +156,11 @@ def gone_off(
     slices = None
     if rows > target_rows:
         slices = plan_slices(_line(scheduled, as_of), _POSITION, 2 * rows, target_rows)
-    timers = (
+    return _outcomes(
         _held_unsliced(scheduled, as_of)
         if slices is None
         else _held_sliced(scheduled, slices, as_of)
     )
-    held, exec_ms = F.col("held"), F.col("exec_ms")
-    return timers.select(
-        "id",
-        "exec_ms",
-        F.when(held == exec_ms, F.lit(FIRED)).otherwise(F.lit(STALE)).alias("outcome"),
-        F.when(held > exec_ms, held).alias("expected_ms"),
-    )
 
 
 def mismatches(requests: DataFrame, as_of: int, **options) -> DataFrame:

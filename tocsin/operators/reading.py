@@ -14,6 +14,34 @@ from pyspark.sql.window import Window
 OFFSETS_PER_TASK = 1_000_000
 
 
+def ranges_read(requests: DataFrame, offsets_per_task: int = OFFSETS_PER_TASK) -> DataFrame:
+    """Per partition and range of offsets: the latest and the first stamp, and the number of rows."""
+    return requests.groupBy(
+        F.col("seq")["partition"].alias("part"), F.expr(f"seq.offset div {offsets_per_task}").alias("range")
+    ).agg(F.max("arrival_ms").alias("latest"), F.min("arrival_ms").alias("first"), F.count(F.lit(1)).alias("n"))
+
+
+def carried_on(
+    requests: DataFrame, floors: list[tuple[int, int, int]], offsets_per_task: int = OFFSETS_PER_TASK
+) -> DataFrame:
+    """`in_reading_order` for the next part of a log: `floors` says for (partition, range) how far
+    its stamps had got by the offset before."""
+    partition, range_ = F.col("seq")["partition"], F.expr(f"seq.offset div {offsets_per_task}")
+    known = requests.sparkSession.createDataFrame(floors, "_part int, _range bigint, _floor bigint")
+    cut = requests.withColumns({"_part": partition, "_range": range_})
+    so_far = (
+        Window.partitionBy("_part", "_range").orderBy(F.col("seq")["offset"])
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    same = cut["_part"].eqNullSafe(known["_part"]) & (cut["_range"] == known["_range"])
+    raised = F.greatest(F.max("arrival_ms").over(so_far), F.col("_floor"))
+    return (
+        cut.join(F.broadcast(known), same, "left").drop(known["_part"]).drop(known["_range"])
+        .withColumn("arrival_ms", raised)
+        .select(*requests.columns)
+    )
+
+
 def in_reading_order(requests: DataFrame, offsets_per_task: int = OFFSETS_PER_TASK) -> DataFrame:
     """`arrival_ms` raised to the latest so far in the partition; `seq` is (partition, offset).
 

@@ -1,8 +1,10 @@
 """Set-oriented streaming: each micro-batch applies the batch rule, without keyed state.
 
-A micro-batch joins the schedules still pending with the new requests, applies the rule up to a
-horizon, sends out what has fired and keeps the rest. Hot ids are cut into slices as in the batch
-form.
+A micro-batch takes the schedules that are due or whose ids have new requests, applies the rule to
+them and the new requests up to a horizon, sends out what has fired and notes what has changed.
+All other schedules stay where they are, in a calendar on shared storage. Hot ids are cut into
+slices as in the batch form. Within a partition the offset decides: stamps never fall along it, also
+from one micro-batch to the next.
 
 In a replay the horizon is the moment up to which every partition of the log is known: the least,
 over the partitions, of their latest arrivals, and it never falls. Requests beyond it wait in the
@@ -14,10 +16,9 @@ In the running job the horizon is the clock, taken once per micro-batch and stor
 repeated micro-batch sees the same. Requests are judged at their arrival, but not before the start
 of the run.
 
-State lies next to the checkpoint in two alternating folders, with a small table of marks that
-says which of them holds. A micro-batch reads what its predecessor left and writes the other, so
-repeating it after a failure gives the same result. One in which nothing came in and nothing is
-due leaves the state where it is.
+Marks next to the checkpoint say, for a micro-batch and its predecessor, which runs of the calendar
+hold. A micro-batch reads what its predecessor left and adds runs of its own, so repeating it after
+a failure gives the same result. One in which nothing came in and nothing is due adds none.
 """
 
 from __future__ import annotations
@@ -27,33 +28,40 @@ from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 
 from tocsin.functions.rules import execution_time, known_policy
+from tocsin.operators.expected import gone_off_since
+from tocsin.operators.reading import carried_on, ranges_read
 from tocsin.operators.records import ready_records
 from tocsin.operators.resolve import judge, plan_history
 from tocsin.operators.slices import TARGET_ROWS
-from tocsin.schema import AHEAD, FIRED, PENDING, REQUESTED, SUPERSEDED
-from tocsin.sources.inputs import with_heartbeat
+from tocsin.schema import FIRED, PENDING, REQUESTED, STALE, SUPERSEDED
+from tocsin.sources.inputs import log_order, with_heartbeat
 from tocsin.sources.outputs import Sink
+from tocsin.streaming.calendar import AHEAD, IN_VAIN, TAKEN_BACK, WAITS, Calendar, Run
 
 _STATE = ["id", "arrival_ms", "seq", "exec_ms"]
 _NEVER = -(2**63)
-_MARKS = "batch_id bigint, version bigint, horizon bigint, next_due bigint, latest map<string,bigint>"
+_MARKS = (
+    "batch_id bigint, version bigint, horizon bigint, next_due bigint, latest map<string,bigint>,"
+    " runs array<struct<name:string,rows:bigint>>"
+)
 
 
 class Marks(NamedTuple):
-    """After a micro-batch: which state holds, the horizon, the next time due, and the latest
-    arrival by partition."""
+    """After a micro-batch: how many have changed the state, the horizon, the next time due, the
+    latest arrival by partition, and the runs that hold."""
 
     batch_id: int = -1
     version: int = 0
     horizon: int = _NEVER
     next_due: int | None = None
     latest: dict[str, int] = {}
+    runs: list[Run] = []
 
 
 class PendingTable:
@@ -69,6 +77,8 @@ class PendingTable:
         started_ms: int | None = None,
         partitions: int = 1,
         late_sinks: list[Sink] | None = None,
+        quarantine_sinks: list[Sink] | None = None,
+        mismatch_sinks: list[Sink] | None = None,
         clock=lambda: int(time.time() * 1000),
     ) -> None:
         self.state_path = state_path
@@ -79,7 +89,10 @@ class PendingTable:
         self.started_ms = started_ms
         self.partitions = partitions
         self.late_sinks = late_sinks or []
+        self.quarantine_sinks = quarantine_sinks or []
+        self.mismatch_sinks = mismatch_sinks or []
         self.clock = clock
+        self.calendar = Calendar(f"{state_path}/runs")
 
     # --- what is stored -------------------------------------------------------------------
 
@@ -90,7 +103,7 @@ class PendingTable:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return Marks(*rows[0]) if rows else None
+        return Marks(*rows[0])._replace(runs=[Run(*run) for run in rows[0].runs]) if rows else None
 
     def _marks(self, spark: SparkSession, batch_id: int) -> Marks | None:
         """What a micro-batch left, if it got that far."""
@@ -101,14 +114,24 @@ class PendingTable:
         path = f"{self.state_path}/marks/{marks.batch_id % 2}"
         spark.createDataFrame([tuple(marks)], _MARKS).coalesce(1).write.mode("overwrite").parquet(path)
 
-    def _rows(self, like: DataFrame, version: int, *outcomes: str, keep: bool = False) -> DataFrame:
-        stored = StructType([*like.schema.fields, StructField("outcome", StringType())])
-        rows = like.sparkSession.read.schema(stored).parquet(f"{self.state_path}/{version % 2}")
-        rows = rows.where(F.col("outcome").isin(*outcomes))
-        return rows if keep else rows.drop("outcome")
+    def _tidy(self, spark: SparkSession, before: Marks, batch_id: int) -> None:
+        """Runs that only the marks before the last ones name are of no use to anybody."""
+        old = self._stored(spark, batch_id % 2)
+        if old and old.batch_id < before.batch_id:
+            self.calendar.remove(spark, {run.name for run in old.runs} - {run.name for run in before.runs})
 
     # --- a micro-batch --------------------------------------------------------------------
 
+    def _log(self, rows: DataFrame) -> DataFrame:
+        """What is looked at of decoded records, or of a request log."""
+        has = rows.columns
+        names = {"id": F.col("id"), "arrival_ms": F.col("arrival_ms")}
+        names["scheduled_at"] = F.col("scheduled_at") if "scheduled_at" in has else F.lit(None).cast("bigint")
+        names["seq"] = F.col("seq") if "seq" in has else log_order()
+        if "reason" in has:
+            names |= {"reason": F.col("reason"), "raw": F.col("raw")}
+        return rows.select(*(column.alias(name) for name, column in names.items()))
+
     def _judged(self, requests: DataFrame) -> DataFrame:
         """Requests with the time they are judged at and the time that gives."""
         now = F.col("arrival_ms")
@@ -117,85 +140,159 @@ class PendingTable:
         exec_ms = execution_time(self.policy, F.col("scheduled_at"), now)
         return requests.select("id", now.alias("arrival_ms"), "seq", exec_ms.alias("exec_ms"))
 
-    def _partition(self, requests: DataFrame) -> Column:
-        kind = requests.schema["seq"].dataType
-        if isinstance(kind, StructType) and "partition" in kind.names:
-            return F.col("seq")["partition"].cast("string")
-        return F.lit("0")
-
-    def step(self, requests: DataFrame, batch_id: int) -> None:
-        spark = requests.sparkSession
+    def _read(self, log: DataFrame, before: Marks) -> tuple[DataFrame, dict[str, int], int, int]:
+        """New requests in reading order, the latest arrivals by partition after them, how many
+        there are, and at least how many of them come too late."""
+        kind = log.schema["seq"].dataType
+        usable = log.where(F.col("id").isNotNull())
+        latest = dict(before.latest)
+        if not isinstance(kind, StructType) or "partition" not in kind.names:
+            behind = F.count(F.when(F.col("arrival_ms") <= before.horizon, 1))
+            last, arrived, late = usable.agg(F.max("arrival_ms"), F.count(F.lit(1)), behind).first()
+            if arrived:
+                latest["0"] = max(last, latest.get("0", _NEVER))
+            return usable, latest, arrived, late
+        floors, arrived, late = [], 0, 0
+        falls = False
+        for row in sorted(ranges_read(usable).collect(), key=lambda row: (str(row.part), row.range)):
+            part = str(row.part)
+            floor = latest.get(part, _NEVER)
+            if part not in before.latest and row.first <= before.horizon:
+                late += row.n
+            falls = falls or row.latest > row.first or row.first < floor
+            floors.append((row.part, row.range, floor))
+            latest[part] = max(row.latest, floor)
+            arrived += row.n
+        return (carried_on(usable, floors) if falls else usable), latest, arrived, late
+
+    def step(self, rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
         before = (self._marks(spark, batch_id - 1) if batch_id > 0 else None) or Marks()
-        new = self._judged(requests).persist(StorageLevel.MEMORY_AND_DISK)
+        log = self._log(rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            seen = new.where(F.col("id").isNotNull()).groupBy(self._partition(new).alias("p"))
-            behind = F.count(F.when(F.col("arrival_ms") <= before.horizon, 1))
-            seen = seen.agg(
-                F.max("arrival_ms").alias("latest"), F.count(F.lit(1)).alias("n"), behind.alias("late")
-            ).collect()
-            latest = dict(before.latest)
-            for row in seen:
-                latest[row.p] = max(row.latest, latest.get(row.p, _NEVER))
-            arrived = sum(row.n for row in seen)
+            if "reason" in log.columns:
+                self._set_aside(log, batch_id)
+                log = log.where(F.col("reason").isNull())
+            read, latest, arrived, late = self._read(log, before)
             if self.ticking:
                 repeated = self._marks(spark, batch_id)
                 horizon = repeated.horizon if repeated else max(before.horizon, self.clock())
+                late = 0
             elif len(latest) >= self.partitions:
                 horizon = max(before.horizon, min(latest.values(), default=_NEVER + 1) - 1)
             else:
                 horizon = before.horizon
             marks = before._replace(batch_id=batch_id, horizon=horizon, latest=latest)
-            idle = not arrived and (before.next_due is None or before.next_due > horizon)
-            if idle:
+            self._tidy(spark, before, batch_id)
+            if not arrived and (before.next_due is None or before.next_due > horizon):
                 self._store(spark, marks)
                 return
             marks = marks._replace(version=before.version + 1)
             if self.ticking:
                 # Ahead of the work, for the clock of a repetition.
                 self._store(spark, marks)
-            late = 0 if self.ticking else sum(row.late for row in seen)
-            self._advance(new.where(F.col("id").isNotNull()), before, marks, arrived, late)
+            new = self._judged(read)
+            if late:
+                for sink in self.late_sinks:
+                    sink(new.where(F.col("arrival_ms") <= before.horizon), batch_id)
+                new = new.where(F.col("arrival_ms") > before.horizon)
+            self._advance(new, arrived, before, marks, batch_id)
         finally:
-            new.unpersist()
-
-    def _advance(self, new: DataFrame, before: Marks, marks: Marks, arrived: int, late: int) -> None:
-        if late:
-            for sink in self.late_sinks:
-                sink(new.where(F.col("arrival_ms") <= before.horizon), marks.batch_id)
-            new = new.where(F.col("arrival_ms") > before.horizon)
-        line = new
-        if before.version > 0:
-            kept = self._rows(new, before.version, PENDING, AHEAD)
-            if self.ticking:
-                # What is pending was read before all that is new, whatever its stamp.
-                kept = kept.withColumn("arrival_ms", F.lit(_NEVER))
-            line = kept.unionByName(new)
-        self._write(line, marks, arrived, everything=self.ticking)
-        self._send(new, marks)
-
-    def _write(self, line: DataFrame, marks: Marks, arrived: int, everything: bool) -> None:
-        known = line if everything else line.where(F.col("arrival_ms") <= marks.horizon)
+            log.unpersist()
+
+    def _set_aside(self, log: DataFrame, batch_id: int) -> None:
+        bad = log.where(F.col("reason").isNotNull())
+        if not self.quarantine_sinks or bad.isEmpty():
+            return
+        place = F.col("seq")
+        bad = bad.select("raw", "reason", "arrival_ms", place["partition"].alias("partition"), place["offset"].alias("offset"))
+        for sink in self.quarantine_sinks:
+            sink(bad, batch_id)
+
+    def _known(self, new: DataFrame, stored: DataFrame, arrived: int, before: Marks, marks: Marks) -> DataFrame:
+        """What the rule is applied to: new requests and those that waited for the horizon, and
+        the schedules that are due or whose ids come up again."""
+        come = new
+        still_open = stored.where(F.col("at_ms") > before.horizon)
+        due = (F.col("block") <= marks.horizon) & (F.col("at_ms") <= marks.horizon)
+        if not self.ticking:
+            waited = still_open.where((F.col("kind") == AHEAD) & due).select(*_STATE)
+            come = come.where(F.col("arrival_ms") <= marks.horizon).unionByName(waited)
+        armed = still_open.where(F.col("kind").isin(WAITS, TAKEN_BACK))
+        ids = come.select("id") if arrived or not self.ticking else None
+        if self.mismatch_sinks:
+            off = still_open.where((F.col("kind") == IN_VAIN) & due).select("id")
+            ids = off if ids is None else ids.unionByName(off)
+        if ids is None:
+            found = armed.where(due)
+        else:
+            again = ids.distinct().withColumn("again", F.lit(True))
+            found = armed.join(again, "id", "left").where(due | F.col("again")).drop("again")
+        kept = self.calendar.holding(found)
+        if self.ticking:
+            # What is pending was read before all that is new, and a stamp ahead of the clock counts
+            # as the clock.
+            kept = kept.withColumn("arrival_ms", F.lit(_NEVER))
+            come = come.withColumn("arrival_ms", F.least("arrival_ms", F.lit(marks.horizon)))
+        return kept.select(*_STATE, F.lit(True).alias("kept")).unionByName(
+            come.select(*_STATE, F.lit(False).alias("kept")))
+
+    def _advance(self, new: DataFrame, arrived: int, before: Marks, marks: Marks, number: int) -> None:
+        spark = new.sparkSession
+        seq = StructField("seq", new.schema["seq"].dataType)
+        stored = self.calendar.rows(spark, seq, before.runs)
+        known = self._known(new, stored, arrived, before, marks)
         slices = plan_history(known, arrived, self.target_rows)
-        judged = judge(known, slices, marks.horizon).where(F.col("outcome") != SUPERSEDED)
-        judged = judged.select(*_STATE, "outcome")
-        if not everything:
-            ahead = line.where(F.col("arrival_ms") > marks.horizon)
-            judged = judged.unionByName(ahead.withColumn("outcome", F.lit(AHEAD)))
-        path = f"{self.state_path}/{marks.version % 2}"
-        judged.write.mode("overwrite").partitionBy("outcome").parquet(path)
-
-    def _send(self, like: DataFrame, marks: Marks, number: int | None = None) -> None:
-        everything = self._rows(like, marks.version, PENDING, AHEAD, FIRED, keep=True)
-        found = {
-            row.outcome: row.first
-            for row in everything.groupBy("outcome").agg(F.min("exec_ms").alias("first")).collect()
-        }
-        due = min((first for outcome, first in found.items() if outcome != FIRED), default=None)
-        self._store(like.sparkSession, marks._replace(next_due=due))
-        if FIRED in found:
-            fired = self._rows(like, marks.version, FIRED)
+        judged = judge(known, slices, marks.horizon).select(*_STATE, "kept", "outcome")
+        judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            changes = self._changes(judged, new, marks)
+            written = self.calendar.write(changes, str(marks.version), marks.horizon)
+            run = Run(str(marks.version), sum(n for n, _ in written.values()))
+            runs = [*before.runs, *([run] if run.rows else [])]
+            runs = self.calendar.merged(spark, seq, runs, marks.version, marks.horizon)
+            firsts = [first for kind, (_, first) in written.items() if kind in (WAITS, IN_VAIN)]
+            if before.next_due is not None and before.next_due > marks.horizon:
+                firsts.append(before.next_due)
+            elif before.runs:
+                firsts.append(self.calendar.first_after(stored, marks.horizon))
+            due = min((first for first in firsts if first is not None), default=None)
+            self._send(judged, stored, arrived, before, marks, number)
+            self._store(spark, marks._replace(next_due=due, runs=runs))
+        finally:
+            judged.unpersist()
+
+    def _changes(self, judged: DataFrame, new: DataFrame, marks: Marks) -> DataFrame:
+        """The rows that the calendar lacks after this micro-batch."""
+        outcome, later = F.col("outcome"), F.col("exec_ms") > marks.horizon
+        waits = F.when((outcome == PENDING) & ~F.col("kept"), F.lit(WAITS))
+        gone = F.when((outcome == SUPERSEDED) & later & F.col("kept"), F.lit(TAKEN_BACK))
+        kinds = [waits, gone]
+        if self.mismatch_sinks:
+            kinds.append(F.when((outcome == SUPERSEDED) & later, F.lit(IN_VAIN)))
+        changes = judged.select(*_STATE, F.col("exec_ms").alias("at_ms"), F.explode(F.array(*kinds)).alias("kind"))
+        changes = changes.where(F.col("kind").isNotNull())
+        if not self.ticking:
+            ahead = new.where(F.col("arrival_ms") > marks.horizon)
+            changes = changes.unionByName(
+                ahead.select(*_STATE, F.col("arrival_ms").alias("at_ms"), F.lit(AHEAD).alias("kind")))
+        return changes.withColumn("version", F.lit(marks.version).cast("bigint"))
+
+    def _send(
+        self, judged: DataFrame, stored: DataFrame, arrived: int, before: Marks, marks: Marks, number: int
+    ) -> None:
+        fired = judged.where(F.col("outcome") == FIRED)
+        if not fired.isEmpty():
             for sink in self.sinks:
-                sink(ready_records(fired, self.policy), marks.batch_id if number is None else number)
+                sink(ready_records(fired, self.policy), number)
+        if self.mismatch_sinks:
+            earlier = stored.where(
+                (F.col("kind") == IN_VAIN) & (F.col("at_ms") > before.horizon) & (F.col("block") <= marks.horizon))
+            off = gone_off_since(judged, earlier, marks.horizon, arrived, self.target_rows)
+            stale = off.where(F.col("outcome") == STALE).select("id", F.col("exec_ms").alias("timer_ms"), "expected_ms")
+            if not stale.isEmpty():
+                for sink in self.mismatch_sinks:
+                    sink(stale, number)
 
     def finish(self, like: DataFrame) -> None:
         """Take the log as ended: send out what has fired by its last arrival."""
@@ -205,10 +302,9 @@ class PendingTable:
         if before.version == 0:
             return
         marks = before._replace(version=before.version + 1, horizon=max(before.latest.values()))
-        line = self._rows(like, before.version, PENDING, AHEAD)
-        self._write(line, marks, line.count(), everything=True)
+        ahead = sum(run.rows for run in before.runs)
         # Sinks get a number of its own, which no micro-batch will have.
-        self._send(like, marks, -1 - marks.batch_id)
+        self._advance(like.limit(0), ahead, before, marks, -1 - marks.batch_id)
 
 
 def _table(state_path: str, name: str) -> Sink:
@@ -227,17 +323,23 @@ def start_replay(
     target_rows: int = TARGET_ROWS,
     partitions: int = 1,
     late_sinks: list[Sink] | None = None,
+    quarantine_sinks: list[Sink] | None = None,
+    mismatch_sinks: list[Sink] | None = None,
 ) -> StreamingQuery:
-    """Replay a stream of `id, scheduled_at, arrival_ms, seq`; by default to the end of its input.
+    """Replay a stream of `id, scheduled_at, arrival_ms, seq`, or a `Decoded.tagged`; by default to
+    the end of its input.
 
     `partitions` is how many must have shown up before anything fires. Requests that come too late
-    go to `late_sinks`, by default a table next to the checkpoint. Large micro-batches are best:
-    each rewrites what is pending. Call `finish_replay` when no more will come.
+    go to `late_sinks`, by default a table next to the checkpoint, likewise what could not be
+    decoded to `quarantine_sinks`. `mismatch_sinks` get timers that went off in vain. Call
+    `finish_replay` when no more will come.
     """
     state = f"{checkpoint}/pending"
     pending = PendingTable(
         state, sinks, policy, target_rows, partitions=partitions,
         late_sinks=[_table(checkpoint, "late")] if late_sinks is None else late_sinks,
+        quarantine_sinks=[_table(checkpoint, "quarantined")] if quarantine_sinks is None else quarantine_sinks,
+        mismatch_sinks=mismatch_sinks,
     )
     return (
         requests.writeStream.foreachBatch(pending.step)
@@ -249,35 +351,41 @@ def start_replay(
 
 def finish_replay(
     requests: DataFrame, sinks: list[Sink], checkpoint: str, policy: str = REQUESTED,
-    target_rows: int = TARGET_ROWS,
+    target_rows: int = TARGET_ROWS, mismatch_sinks: list[Sink] | None = None,
 ) -> None:
     """Send out what a replayed log has made ready by its last arrival. `requests` is the stream
     that was replayed; only its schema is looked at."""
     spark = requests.sparkSession
-    pending = PendingTable(f"{checkpoint}/pending", sinks, policy, target_rows)
-    pending.finish(pending._judged(spark.createDataFrame([], requests.schema)))
+    pending = PendingTable(f"{checkpoint}/pending", sinks, policy, target_rows, mismatch_sinks=mismatch_sinks)
+    pending.finish(pending._judged(pending._log(spark.createDataFrame([], requests.schema))))
 
 
 def start_set_triggers(
-    requests: DataFrame,
+    tagged: DataFrame,
     sinks: list[Sink],
     checkpoint: str,
     policy: str = REQUESTED,
     interval: str = "1 second",
     target_rows: int = TARGET_ROWS,
     name: str = "set-triggers",
+    quarantine_sinks: list[Sink] | None = None,
+    mismatch_sinks: list[Sink] | None = None,
 ) -> StreamingQuery:
-    """Run by the wall clock on `id, scheduled_at, arrival_ms, seq`, until stopped.
+    """Run by the wall clock on a `Decoded.tagged`, or on `id, scheduled_at, arrival_ms, seq`, until
+    stopped.
 
-    Emits what the keyed form does. A micro-batch with something new costs a pass over all that is
-    pending but no per-id call, so it suits many changes per micro-batch.
+    Emits what the keyed form does. A micro-batch reads what is pending without a call per id and
+    writes what has changed, so it suits many changes per micro-batch. What could not be decoded
+    goes to `quarantine_sinks`, by default a table next to the checkpoint.
     """
     pending = PendingTable(
         f"{checkpoint}/pending", sinks, policy, target_rows, ticking=True,
         started_ms=int(time.time() * 1000),
+        quarantine_sinks=[_table(checkpoint, "quarantined")] if quarantine_sinks is None else quarantine_sinks,
+        mismatch_sinks=mismatch_sinks,
     )
     return (
-        with_heartbeat(requests)
+        with_heartbeat(tagged)
         .writeStream.queryName(name)
         .foreachBatch(pending.step)
         .option("checkpointLocation", f"{checkpoint}/progress")
