@@ -2,12 +2,14 @@
 
 The graph starts from cells around pivots: each vector meets all that share one of its nearest
 pivots. The pivots grow with the rows, so cells keep their size; a cell that is larger all the same
-is compared in tiles, part against part. Then neighbours of neighbours are tried, round after round: around every node its
+is compared in tiles, part against part. Up to FLAT_PIVOTS of them are sent to all tasks. Beyond,
+they are grouped around some of them, which are few enough to be sent, and a vector is held only
+against the pivots of the groups next to it, which come to it by a join. Then neighbours of neighbours are tried, round after round: around every node its
 neighbours, either way, are compared with each other, at least one of a pair being new since the
 last round, and a pair that improves either side's list is kept. It ends when a round changes few
 entries. A query enters the graph at the pivots nearest to it and follows links greedily, either
-way: the best nodes known are expanded until none of them is unexpanded; how many are followed
-grows with the logarithm of the rows. All of it runs as Spark joins; a task sees pools of at most
+way: the best nodes known are expanded until none of them is unexpanded; some more are followed with
+each doubling of the rows. All of it runs as Spark joins; a task sees pools of at most
 two neighbour lists, or tiles of a bounded number of vectors.
 
 The graph and the walk are approximate, the scores are not: they are cosines of the original
@@ -17,9 +19,11 @@ that have not been in it yet; that is the method's own sampling, which recall is
 Every vector is a node.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, neither do rows
-without id. Equal rows count once, of several vectors under one id the least. Equal vectors are
-one node. With fewer vectors than asked for, all of them are returned. A shorter vector counts as
-padded with zeros.
+without id. All other rows count, each by itself: several vectors under one id, and copies of a
+row, which are candidates for one another; as queries copies are one. Equal vectors are one node.
+With fewer vectors than asked for, all of them are returned; ties go to the smaller id. A shorter
+vector counts as padded with zeros. An empty table gives no rows, and other columns take no part,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -50,12 +54,19 @@ CELLS = 10
 CELL_ROWS = 2_048
 CELL_LINKS = 12
 
-# Nodes a query keeps and expands, and pivots it starts from, up to so many rows; each doubling
-# beyond adds as many again.
-BEAM = 48
-ENTRIES = 8
+# Nodes a query keeps and expands, and pivots it starts from, up to so many rows, and what each
+# doubling beyond adds.
+BEAM, BEAM_MORE = 48, 8
+ENTRIES, ENTRIES_MORE = 8, 1
 WALKED_ROWS = 16_384
 
+# Pivots that are sent to all tasks; of groups of pivots, those that a vector looks into.
+FLAT_PIVOTS = 8_192
+GROUPS = 4
+
+# Vectors of one group that are held against its pivots by one task.
+GROUP_ROWS = 8_192
+
 # Found nodes whose exact score is worked out, per node asked for, and the most by which cosines in
 # half precision are off: a rounding of either vector, and what single precision adds.
 RESCORED = 4
@@ -109,9 +120,10 @@ def pivot_count(rows: int) -> int:
     return max(PIVOTS, -(-2 * rows * CELLS // CELL_ROWS))
 
 
-def walk_width(rows: int) -> int:
-    """What beam and entries are multiplied by."""
-    return max(1, math.ceil(math.log2(max(rows, 1) / WALKED_ROWS)) + 1)
+def walk_width(rows: int) -> tuple[int, int]:
+    """The nodes a query keeps, and the pivots it starts from."""
+    doublings = max(0, math.ceil(math.log2(max(rows, 1) / WALKED_ROWS)))
+    return BEAM + BEAM_MORE * doublings, ENTRIES + ENTRIES_MORE * doublings
 
 
 def _nearest_of(sims: np.ndarray, k: int) -> np.ndarray:
@@ -141,6 +153,62 @@ def _nearest_pivots(pivots, width: int, n: int):
     return assign
 
 
+def _pivots_of_group(width: int, n: int):
+    """Of one group of pivots and some of the vectors next to it: the n nearest pivots of each."""
+
+    def assign(table: pa.Table) -> pa.Table:
+        asks = table.column("asks").to_numpy()
+        ids, units = table.column("id").to_numpy(), _matrix(table.column("unit"), width)
+        names, wanted = ids[~asks], ids[asks]
+        out = [pa.RecordBatch.from_pylist([], schema=_links([], [], []).schema)]
+        for start in range(0, len(wanted) if len(names) else 0, PIVOT_ROWS):
+            sims = units[asks][start : start + PIVOT_ROWS] @ units[~asks].T
+            near = _nearest_of(sims, n)
+            rows = wanted[start : start + PIVOT_ROWS]
+            out.append(_links(np.repeat(rows, near.shape[1]), names[near].ravel(), np.take_along_axis(sims, near, 1).ravel()))
+        return pa.Table.from_batches(out)
+
+    return assign
+
+
+class Pivots:
+    """The pivots of a graph, sent whole if they are few and found by groups if not."""
+
+    def __init__(self, units: DataFrame, count: int, width: int) -> None:
+        self.width = width
+        first = units.orderBy(F.xxhash64("id"), "id")
+        self.several = None
+        if count > FLAT_PIVOTS:
+            self.several = keep_table(first.limit(count), "pivots")
+            # As many groups as pivots in one, no more than may be sent.
+            count = min(FLAT_PIVOTS, math.isqrt(count))
+            first = self.several.orderBy(F.xxhash64("id", F.lit(1)), "id")
+        chosen = first.limit(count).toArrow()
+        names = chosen.column("id").to_numpy()
+        self.sent = units.sparkSession.sparkContext.broadcast((_matrix(chosen.column("unit"), width), names))
+
+    def nearest(self, units: DataFrame, n: int) -> DataFrame:
+        """(u, v, sim): the n nearest pivots of each vector, nearly if they are many."""
+        if self.several is None:
+            return units.mapInArrow(_nearest_pivots(self.sent, self.width, n), _LINK)
+
+        def grouped(rows: DataFrame, groups: int, asks: bool) -> DataFrame:
+            near = rows.mapInArrow(_nearest_pivots(self.sent, self.width, groups), _LINK)
+            return near.select(F.col("u").alias("id"), F.col("v").alias("group")).join(rows, "id").withColumn(
+                "asks", F.lit(asks))
+
+        wanted = keep_table(grouped(units, GROUPS, True), "wanted")
+        parts = F.ceil(F.col("n") / GROUP_ROWS).cast("int")
+        sizes = wanted.groupBy("group").agg(F.count(F.lit(1)).alias("n")).select("group", parts.alias("parts"))
+        vectors = wanted.join(sizes, "group").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+        offered = grouped(self.several, 1, False).join(sizes, "group")
+        offered = offered.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).cast("bigint"))
+        both = vectors.select("group", "part", "id", "unit", "asks").unionByName(
+            offered.select("group", "part", "id", "unit", "asks"))
+        found = both.groupBy("group", "part").applyInArrow(_pivots_of_group(self.width, n), _LINK)
+        return _best(found.distinct(), n).drop("r")
+
+
 def _cell_links(k: int, width: int):
     """The k nearest of each vector inside its tile of a cell."""
 
@@ -197,8 +265,9 @@ def _best(links: DataFrame, k: int) -> DataFrame:
     return links.withColumn("r", F.row_number().over(near)).where(F.col("r") <= k)
 
 
-def _first_graph(units: DataFrame, pivots, width: int, k: int) -> DataFrame:
-    assigned = keep_table(units.mapInArrow(_nearest_pivots(pivots, width, CELLS), _LINK), "cells")
+def _first_graph(units: DataFrame, pivots: Pivots, k: int) -> DataFrame:
+    width = pivots.width
+    assigned = keep_table(pivots.nearest(units, CELLS), "cells")
     sizes = assigned.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
     # A cell of more than CELL_ROWS is dealt to parts of half as many, and each part meets each other.
     parts = F.when(F.col("n") <= CELL_ROWS, 1).otherwise(F.ceil(2 * F.col("n") / CELL_ROWS)).cast("int")
@@ -230,12 +299,10 @@ def _either_way(graph: DataFrame, drawn: DataFrame) -> DataFrame:
     return both.groupBy("u", "v").agg(F.max("fresh").alias("fresh"))
 
 
-def build_graph(units: DataFrame, pivots: np.ndarray, names: np.ndarray, width: int,
-                k: int = NEIGHBOURS, settled: float = SETTLED) -> DataFrame:
+def build_graph(units: DataFrame, pivots: Pivots, k: int = NEIGHBOURS, settled: float = SETTLED) -> DataFrame:
     """Links (u, v, sim) from each node to its k nearest, nearly. `units` are (id, unit)."""
-    nodes = units.count()
-    sent = units.sparkSession.sparkContext.broadcast((pivots, names))
-    graph = keep_table(_first_graph(units, sent, width, k), "graph")
+    nodes, width = units.count(), pivots.width
+    graph = keep_table(_first_graph(units, pivots, k), "graph")
     changed, turn = nodes * k, 0
     while changed > settled * nodes * k:
         turn += 1
@@ -351,19 +418,16 @@ def nearest(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id",
     width = vectors.agg(F.max(F.size("vector"))).first()[0] or 1
     units = keep_table(vectors.mapInArrow(_packed(width), "id bigint, unit binary"), "units")
     nodes = units.count()
-    chosen = units.orderBy(F.xxhash64("id"), "id").limit(pivot_count(nodes)).toArrow()
-    names = chosen.column("id").to_numpy()
-    pivots = _matrix(chosen.column("unit"), width)
-    graph = build_graph(units, pivots, names, width)
+    pivots = Pivots(units, pivot_count(nodes), width)
+    graph = build_graph(units, pivots)
     asked = grouped.queries.select(F.col("rep").alias("id")).distinct()
     asking = keep_table(units.join(asked, "id", "left_semi"), "asking")
-    sent = rows.sparkSession.sparkContext.broadcast((pivots, names))
-    wide = walk_width(nodes)
-    entries = asking.mapInArrow(_nearest_pivots(sent, width, ENTRIES * wide), _LINK)
+    beam, starts = walk_width(nodes)
+    entries = pivots.nearest(asking, starts)
     entries = entries.select(F.col("u").alias("query"), F.col("v").alias("node"))
     # A query that is a node itself enters there too; rows with its very vector are found by that.
     entries = entries.unionByName(asked.select(F.col("id").alias("query"), F.col("id").alias("node")))
-    found = greedy_search(asking, graph, units, entries, RESCORED * (k + 1), width, BEAM * wide)
+    found = greedy_search(asking, graph, units, entries, RESCORED * (k + 1), width, beam)
     ask = vectors.select(F.col("id").alias("query"), F.col("vector").alias("a"))
     answer = vectors.select(F.col("id").alias("node"), F.col("vector").alias("b"))
     exact = found.join(ask, "query").join(answer, "node").select(

@@ -10,14 +10,20 @@ Parts may be negative, so a sum of the parts seen is no lower bound; that is why
 made of whole scores. Lists are worked on in tiles of a bounded number of queries and vectors,
 each a numpy product: every query meets every vector in some tile, and no side is broadcast.
 
-Components are taken as integers, floor(scale * x), and cut off at 2 to the 28th either way, so
-that sums are exact. Vectors that are null or hold a null or non-finite component take no part,
-neither do rows without id. Equal rows count once, of several vectors under one id the least; a
-shorter vector counts as padded with zeros. A query that meets fewer than k others gets them all.
+Components are taken as integers, floor(scale * x), of any size. Vectors with a component so large
+that a sum of products might not fit a long, if there are any, are held against all others in
+tiles of Python integers instead; only a score that no long holds is given as the nearest that one does.
+
+Vectors that are null or hold a null or non-finite component take no part, neither do rows without
+id. All other rows count, each by itself: several vectors under one id, and copies of a row, which
+are candidates for one another; as queries copies are one. A shorter vector counts as padded with
+zeros, ties go to the smaller id. A query that meets fewer than k others gets them all, an empty
+table gives no rows, and other columns take no part, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 import sys
 
 import numpy as np
@@ -38,14 +44,22 @@ LISTS = 2
 TILE_QUERIES = 512
 TILE_VECTORS = 8_192
 
-_LIMIT = 1 << 28
+# Tiles of Python integers.
+WIDE_QUERIES = 64
+WIDE_VECTORS = 1_024
+
+_LONG = 1 << 63
 _PARTS = "query bigint, list int, other bigint, part bigint"
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
+    """Whole numbers as doubles, which hold floor(scale * x) exactly whatever its size."""
+
     def whole(x: Column) -> Column:
-        scaled = F.floor(F.greatest(F.least(x.cast("double") * scale, F.lit(float(_LIMIT))), F.lit(-float(_LIMIT))))
-        return scaled.cast("int")
+        most = F.lit(sys.float_info.max)
+        scaled = F.greatest(F.least(x.cast("double") * scale, most), -most)
+        # From 2 to the 52nd on a double is a whole number.
+        return F.when(F.abs(scaled) < float(1 << 52), F.floor(scaled).cast("double")).otherwise(scaled)
 
     return F.transform(vector, whole)
 
@@ -192,6 +206,64 @@ def threshold_search(vectors: DataFrame, queries: DataFrame, k: int, lists: int
     return best.where(F.col("r") <= k).select("query", "other", "score")
 
 
+def _wide_tile(k: int):
+    """Of a tile of any whole numbers: each query's k best vectors."""
+
+    def work(tile: pa.Table) -> pa.Table:
+        asks = tile.column("asks").to_numpy()
+        ids = tile.column("id").to_numpy()
+        rows = [[int(x) for x in row] for row in tile.column("vector").to_pylist()]
+        out = []
+        for query in np.flatnonzero(asks):
+            scores = [(-sum(a * b for a, b in zip(rows[query], rows[i])), ids[i]) for i in np.flatnonzero(~asks)]
+            out += [(ids[query], i, max(-_LONG, min(_LONG - 1, -score))) for score, i in sorted(scores)[:k]]
+        columns = list(zip(*out)) or [()] * 3
+        return pa.table([pa.array(column, pa.int64()) for column in columns], names=["query", "other", "score"])
+
+    return work
+
+
+def _wide_search(asking: DataFrame, answering: DataFrame, k: int) -> DataFrame:
+    """The k best (query, other, score) of each tile of two sets of (rep, vector)."""
+    blocks = [max(1, -(-rows.count() // size)) for rows, size in ((asking, WIDE_QUERIES), (answering, WIDE_VECTORS))]
+
+    def dealt(rows: DataFrame, asks: bool) -> DataFrame:
+        own = F.pmod(F.xxhash64("rep"), F.lit(blocks[0 if asks else 1]))
+        across = F.explode(F.sequence(F.lit(0), F.lit(blocks[1 if asks else 0] - 1)))
+        spread = rows.select(F.col("rep").alias("id"), "vector", own.alias("own"), across.alias("across"))
+        first, second = ("own", "across") if asks else ("across", "own")
+        return spread.select(
+            F.col(first).cast("int").alias("query_block"), F.col(second).cast("int").alias("vector_block"),
+            "id", "vector", F.lit(asks).alias("asks"))
+
+    both = dealt(asking, True).unionByName(dealt(answering, False))
+    return both.groupBy("query_block", "vector_block").applyInArrow(
+        _wide_tile(k), "query bigint, other bigint, score bigint")
+
+
+def search(vectors: DataFrame, queries: DataFrame, k: int, lists: int = LISTS) -> DataFrame:
+    """`threshold_search` for vectors of whole numbers of any size, as doubles."""
+    largest = F.array_max(F.transform("vector", F.abs))
+    width, most = vectors.agg(F.max(F.size("vector")), F.max(largest)).first()
+    # Below, no sum of products passes 2 to the 62nd.
+    limit = math.isqrt((1 << 62) // max(1, width or 1)) - 1
+    narrow = F.coalesce(largest, F.lit(0.0)) <= limit
+
+    def small(rows: DataFrame) -> DataFrame:
+        return rows.where(narrow).select("rep", F.col("vector").cast("array<int>").alias("vector"))
+
+    if (most or 0) <= limit:
+        return threshold_search(small(vectors), queries, k, lists)
+    asked = vectors.join(queries.select("rep").distinct(), "rep", "left_semi")
+    found = (
+        threshold_search(small(vectors), small(asked).select("rep"), k, lists)
+        .unionByName(_wide_search(asked.where(~narrow), vectors, k))
+        .unionByName(_wide_search(asked.where(narrow), vectors.where(~narrow), k))
+    )
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "other")
+    return found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).drop("r")
+
+
 def exact_top_k(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id",
                 vector: str = "embedding", scale: int = SCALE, lists: int = LISTS) -> DataFrame:
     """For each row that `is_query` marks, its k best other rows: query_id, rank, vec_id, score."""
@@ -200,5 +272,5 @@ def exact_top_k(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id",
     )
     # One more than k, since the query itself is among the found.
     grouped = classes(whole, F.coalesce("query", F.lit(False)), k + 1)
-    found = threshold_search(grouped.vectors, grouped.queries, k + 1, lists)
+    found = search(grouped.vectors, grouped.queries, k + 1, lists)
     return answers(found.withColumnRenamed("query", "rep"), grouped, k)

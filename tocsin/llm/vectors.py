@@ -11,8 +11,8 @@ from tocsin.llm.common import keep_table
 
 
 class Classes(NamedTuple):
-    """Distinct vectors under the least id that has them, who belongs to each (the `most` least
-    ids), and the class of each query."""
+    """Distinct vectors under a number that rises with the least id that has them, the rows of each
+    (the `most` least ids, copies of a row numbered from 1), and the rows that are queries."""
 
     vectors: DataFrame
     members: DataFrame
@@ -27,36 +27,39 @@ def finite(vector: Column) -> Column:
 
 
 def classes(rows: DataFrame, is_query: Column, most: int) -> Classes:
-    """From (id, vector, is a query?). Rows without id take no part; equal rows count once; of
-    several vectors under one id the least counts.
+    """From (id, vector, is a query?). Rows without id take no part. All rows count: vectors under
+    one id, and copies of a row too; as queries, copies of a row are one.
 
-    No nearest list of length n can hold other members of a class than its n least ids, or n + 1
-    with the query itself. The ranks are cut off before the shuffle, so a class of any size
-    sends no more than that from each task.
+    No nearest list of length n can hold other rows of a class than its n least, or n + 1 with the
+    query itself. The ranks are cut off before the shuffle, so a class of any size sends no more
+    than that from each task.
     """
     known = rows.where(F.col("id").isNotNull()).select("id", "vector", is_query.alias("query"))
-    one = Window.partitionBy("id").orderBy("vector")
-    single = known.withColumn("r", F.row_number().over(one)).where("r = 1").drop("r")
+    single = known.groupBy("id", "vector").agg(F.max("query").alias("query"), F.count(F.lit(1)).alias("n"))
     single = keep_table(single, "vectors")
-    distinct = keep_table(single.groupBy("vector").agg(F.min("id").alias("rep")), "classes")
-    tagged = single.join(distinct, "vector").select("id", "rep", "query")
-    tagged = keep_table(tagged, "members")
-    least = Window.partitionBy("rep").orderBy("id")
-    members = tagged.withColumn("r", F.row_number().over(least)).where(F.col("r") <= most)
+    distinct = single.groupBy("vector").agg(F.min("id").alias("least"))
+    distinct = distinct.repartitionByRange("least").sortWithinPartitions("least", "vector")
+    distinct = keep_table(distinct.select("vector", F.monotonically_increasing_id().alias("rep")), "classes")
+    tagged = keep_table(single.join(distinct, "vector").select("id", "rep", "query", "n"), "members")
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.least("n", F.lit(most)))).alias("copy")
+    least = Window.partitionBy("rep").orderBy("id", "copy")
+    members = tagged.select("id", "rep", copies).withColumn("r", F.row_number().over(least))
     return Classes(
-        distinct, members.select("id", "rep"), tagged.where("query").select("id", "rep")
+        distinct, members.where(F.col("r") <= most).select("id", "rep", "copy"),
+        tagged.where("query").select("id", "rep"),
     )
 
 
 def answers(found: DataFrame, classes: Classes, k: int) -> DataFrame:
     """From nearest classes (rep, other, score) per class of queries to the k nearest rows per
-    query, its own left out, ties to the smaller id."""
+    query row, itself left out, ties to the smaller id."""
+    members = classes.members.select(F.col("rep").alias("other"), F.col("id").alias("vec_id"), "copy")
     listed = (
-        found.join(classes.members.select(F.col("rep").alias("other"), F.col("id").alias("vec_id")), "other")
+        found.join(members, "other")
         .join(classes.queries.select("rep", F.col("id").alias("query_id")), "rep")
-        .where("query_id <> vec_id")
+        .where("query_id <> vec_id OR rep <> other OR copy <> 1")
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id", "rep").orderBy(F.desc("score"), "vec_id", "other", "copy")
     return (
         listed.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
