@@ -202,7 +202,7 @@ class Pivots:
         sizes = wanted.groupBy("group").agg(F.count(F.lit(1)).alias("n")).select("group", parts.alias("parts"))
         vectors = wanted.join(sizes, "group").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
         offered = grouped(self.several, 1, False).join(sizes, "group")
-        offered = offered.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).cast("bigint"))
+        offered = offered.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
         both = vectors.select("group", "part", "id", "unit", "asks").unionByName(
             offered.select("group", "part", "id", "unit", "asks"))
         found = both.groupBy("group", "part").applyInArrow(_pivots_of_group(self.width, n), _LINK)
