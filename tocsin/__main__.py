@@ -8,7 +8,7 @@ from tocsin.schema import FIXED_DELAY, REQUESTED
 from tocsin.session import build_session
 from tocsin.sources.inputs import DEFAULT_INPUT_TOPIC, DEFAULT_SERVERS
 from tocsin.sources.outputs import DEFAULT_OUTPUT_TOPIC
-from tocsin.streaming.job import TRIGGER_INTERVAL, run_topic_job
+from tocsin.streaming.job import FORMS, KEYED, TRIGGER_INTERVAL, run_topic_job
 
 
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
@@ -18,6 +18,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("output_topic", nargs="?", default=DEFAULT_OUTPUT_TOPIC)
     parser.add_argument("--checkpoint", required=True, help="a folder all executors share")
     parser.add_argument("--policy", choices=[REQUESTED, FIXED_DELAY], default=REQUESTED)
+    parser.add_argument("--form", choices=FORMS, default=KEYED, help="state by id, or whole micro-batches at once")
     parser.add_argument("--interval", default=TRIGGER_INTERVAL, help="how often a micro-batch starts")
     parser.add_argument(
         "--source-option", action="append", default=[], metavar="KEY=VALUE", dest="source_options",

@@ -38,22 +38,24 @@ def _steps(rows: DataFrame, *steps: Column) -> DataFrame:
     )
 
 
-def request_steps(requests: DataFrame, as_of: int, policy: str = REQUESTED) -> DataFrame:
-    """Steps taken on arrival. They need no other row, hence no shuffle."""
+def accepted_steps(scheduled: DataFrame) -> DataFrame:
+    """Steps taken on arrival, of requests with their schedule. They need no other row, hence no
+    shuffle."""
     arrival, exec_ms = F.col("arrival_ms"), F.col("exec_ms")
     return _steps(
-        history(requests, as_of, policy),
+        scheduled,
         _step("INBOUND", at_ms=arrival, detail=F.col("status")),
         _step("PROCESSING", at_ms=arrival, exec_ms=exec_ms, detail=F.col("schedule_source")),
         _step("TIMER-REGISTERED", at_ms=arrival, exec_ms=exec_ms),
     )
 
 
-def timer_steps(
-    requests: DataFrame, as_of: int, policy: str = REQUESTED, **options
-) -> DataFrame:
-    """Steps taken when a timer goes off."""
-    timers = gone_off(requests, as_of, policy, **options)
+def request_steps(requests: DataFrame, as_of: int, policy: str = REQUESTED) -> DataFrame:
+    return accepted_steps(history(requests, as_of, policy))
+
+
+def gone_off_steps(timers: DataFrame, policy: str = REQUESTED) -> DataFrame:
+    """Steps taken when a timer goes off, from `id, exec_ms, outcome, expected_ms`."""
     at = F.col("exec_ms")
     fired = F.col("outcome") == FIRED
     return _steps(
@@ -68,6 +70,12 @@ def timer_steps(
     )
 
 
+def timer_steps(
+    requests: DataFrame, as_of: int, policy: str = REQUESTED, **options
+) -> DataFrame:
+    return gone_off_steps(gone_off(requests, as_of, policy, **options), policy)
+
+
 def live_steps(rows: DataFrame, policy: str = REQUESTED) -> DataFrame:
     """The steps that a micro-batch of the running job has taken, from what its processor yields:
     `outcome`, `id`, `exec_ms` and `at_ms` with what belongs to the outcome."""
@@ -92,17 +100,21 @@ def live_steps(rows: DataFrame, policy: str = REQUESTED) -> DataFrame:
     )
 
 
-def decode_steps(decoded: Decoded) -> DataFrame:
-    """A step for each payload: read, or set aside and why."""
-    read = F.col("reason").isNull()
+def read_steps(tagged: DataFrame) -> DataFrame:
+    """A step for each payload: read, or set aside and why. Rows without `reason` were read."""
+    reason = F.col("reason") if "reason" in tagged.columns else F.lit(None).cast("string")
     arrival = F.col("arrival_ms")
     return _steps(
-        decoded.tagged,
-        F.when(read, _step("DESERIALIZE", at_ms=arrival)),
-        F.when(~read, _step("DESERIALIZE-ERROR", at_ms=arrival, detail=F.col("reason"))),
+        tagged,
+        F.when(reason.isNull(), _step("DESERIALIZE", at_ms=arrival)),
+        F.when(reason.isNotNull(), _step("DESERIALIZE-ERROR", at_ms=arrival, detail=reason)),
     )
 
 
+def decode_steps(decoded: Decoded) -> DataFrame:
+    return read_steps(decoded.tagged)
+
+
 def audit_log(requests: DataFrame, as_of: int, policy: str = REQUESTED, **options) -> DataFrame:
     return request_steps(requests, as_of, policy).unionByName(
         timer_steps(requests, as_of, policy, **options)

@@ -28,7 +28,7 @@ from tocsin.sources.inputs import as_requests, folder_stream
 from tocsin.sources.outputs import payload_sink, table_sink
 from tocsin.streaming.job import start_triggers
 from tocsin.streaming.processor import ARRIVAL
-from tocsin.streaming.replay import finish_replay, start_replay
+from tocsin.streaming.replay import PendingTable, finish_replay, start_replay
 from tocsin.streaming.state import from_checkpoint, from_history, live_pending, live_timers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -298,14 +298,27 @@ def _sunk(spark: SparkSession, path: str, policy: str) -> DataFrame:
         return ready_records(fired, policy)
 
 
-def _replay_in_parts(spark, parts, decode, sinks, folder, policy, partitions: int = 1) -> None:
+def _replay_in_parts(spark, parts, decode, sinks, folder, policy, partitions: int = 1, **options) -> None:
     """Let a payload log grow part by part and catch up after each, in a new run."""
     log, checkpoint = f"{folder}/log", f"{folder}/checkpoint"
     for part in parts:
         part.write.mode("append").parquet(log)
-        requests = as_requests(decode(folder_stream(spark, log)).valid)
-        start_replay(requests, sinks, checkpoint, policy, partitions=partitions).awaitTermination()
-    finish_replay(requests, sinks, checkpoint, policy)
+        tagged = decode(folder_stream(spark, log)).tagged
+        start_replay(
+            tagged, sinks, checkpoint, policy, partitions=partitions, quarantine_sinks=[], **options
+        ).awaitTermination()
+    finish_replay(tagged, sinks, checkpoint, policy, **options)
+
+
+def _ticks_in_parts(spark, parts, decode, sinks, folder, clocks) -> None:
+    """The set-oriented running form over the parts of a log, with a clock set by hand for each."""
+    log = f"{folder}/log"
+    for part, clock in zip(parts, clocks):
+        part.write.mode("append").parquet(log)
+        pending = PendingTable(f"{folder}/pending", sinks, ticking=True, clock=lambda: clock)
+        folder_stream(spark, log).transform(lambda payloads: decode(payloads).tagged).writeStream.foreachBatch(
+            pending.step
+        ).option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start().awaitTermination()
 
 
 def _keyed_in_parts(spark, parts, decode, sinks, folder, policy, partitions: int = 1, **options) -> None:
@@ -347,6 +360,73 @@ def stream_ready_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sunk(spark, out, REQUESTED)
 
 
+def stream_offset_order_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stamps that fall back within a partition, in partitions read at different speeds."""
+    folder = shared_folder(spark, "stream-offset-order")
+    out = f"{folder}/ready"
+    parts = [part.drop("place_ms") for part in _uneven(logs.unordered_payloads(spark, sf_dir), "place_ms")]
+    _replay_in_parts(spark, parts, decode_requests, [table_sink(out)], folder, REQUESTED, 4)
+    return _sunk(spark, out, REQUESTED)
+
+
+def stream_set_offset_order_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the running form, whose clock stands still until the log is read."""
+    folder = shared_folder(spark, "stream-set-offset-order")
+    out = f"{folder}/ready"
+    payloads = logs.unordered_payloads(spark, sf_dir)
+    parts = [*_thirds(payloads, "place_ms"), _end_of_log(payloads, 4)]
+    last = payloads.agg(F.max("arrival_ms")).first()[0]
+    parts = [part.drop("place_ms") for part in parts]
+    _ticks_in_parts(spark, parts, decode_requests, [table_sink(out)], folder, [*[end - 20_000 for end in _THIRDS], last, last])
+    return _sunk(spark, out, REQUESTED)
+
+
+def _mismatched(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema("id string, timer_ms bigint, expected_ms bigint").parquet(path).drop("batch_id")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "id string, timer_ms bigint, expected_ms bigint")
+
+
+def _stream_mismatch(spark: SparkSession, payloads: DataFrame, name: str, **options) -> DataFrame:
+    folder = shared_folder(spark, name)
+    out = f"{folder}/stale"
+    parts = _uneven(payloads)
+    _replay_in_parts(
+        spark, parts, decode_requests, [], folder, REQUESTED, 4, mismatch_sinks=[table_sink(out)], **options)
+    return _mismatched(spark, out)
+
+
+def stream_mismatch_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected times looked up as the log is read, from what earlier micro-batches have left."""
+    payloads = logs.in_partitions(logs.request_payloads(spark, sf_dir), 4)
+    return _stream_mismatch(spark, payloads, "stream-mismatch")
+
+
+def stream_hot_id_mismatch_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payloads = logs.in_partitions(logs.hot_payloads(spark, sf_dir), 4)
+    return _stream_mismatch(spark, payloads, "stream-hot-mismatch", target_rows=HOT_TARGET_ROWS)
+
+
+def _steps_written(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(
+        "id string, phase string, at_ms bigint, exec_ms bigint, expected_ms bigint, bytes int, detail string"
+    ).parquet(path).drop("batch_id")
+
+
+def stream_hot_id_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every step of a replay with a third of its log on one id, which is cut into slices."""
+    folder = shared_folder(spark, "stream-hot-audit")
+    out = f"{folder}/audit"
+    payloads = logs.in_partitions(logs.hot_payloads(spark, sf_dir), 4)
+    _replay_in_parts(
+        spark, _uneven(payloads), decode_requests, [], folder, REQUESTED, 4, target_rows=HOT_TARGET_ROWS,
+        audit_sinks=[table_sink(out)])
+    return _steps_written(spark, out)
+
+
 def stream_fixed_delay_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream-fixed-delay-ready")
     out = f"{folder}/ready"
@@ -499,6 +579,11 @@ QUERIES: dict[str, Query] = {
     "live_timers": live_timers_midway,
     "stream_seeded_ready": stream_seeded_ready,
     "stream_keyed_fixed_delay_ready": stream_keyed_fixed_delay_ready,
+    "stream_offset_order_ready": stream_offset_order_ready,
+    "stream_set_offset_order_ready": stream_set_offset_order_ready,
+    "stream_mismatch_expected": stream_mismatch_expected,
+    "stream_hot_id_mismatch_expected": stream_hot_id_mismatch_expected,
+    "stream_hot_id_audit": stream_hot_id_audit,
     "stream_fixed_delay_ready": stream_fixed_delay_ready,
     "stream_fanout": stream_fanout,
 }

@@ -86,6 +86,11 @@ def request_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _envelope(requests(spark, sf_dir), _text(_PLAIN))
 
 
+def hot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with a third of all requests on one id, as payloads."""
+    return _envelope(hot_requests(spark, sf_dir), _text('{"id":"{id}","scheduledAt":{scheduled_at},"status":"{status}"}'))
+
+
 def unordered_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The unordered requests as payloads; `place_ms` is when they were really written."""
     rows = unordered_requests(spark, sf_dir)

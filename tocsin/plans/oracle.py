@@ -294,6 +294,17 @@ FROM (SELECT * FROM audit
     "live_timers": _with(as_of=str(MIDWAY_MS))
     + f"SELECT id, exec_ms, outcome FROM ({_OUTCOMES}) WHERE outcome IN ('pending', 'armed_superseded')",
     "stream_seeded_ready": _with() + _READY,
+    "stream_offset_order_ready": _with(_READ) + _READY,
+    "stream_set_offset_order_ready": _with(_READ) + _READY,
+    "stream_mismatch_expected": _with() + "SELECT id, timer_ms, expected_ms FROM mismatch",
+    "stream_hot_id_audit": _with(_HOT).rstrip() + "," + _AUDIT
+    + """
+SELECT id, phase, CAST(at_ms AS BIGINT) AS at_ms, CAST(exec_ms AS BIGINT) AS exec_ms,
+       CAST(expected_ms AS BIGINT) AS expected_ms, CAST(bytes AS INTEGER) AS bytes, detail
+FROM (SELECT * FROM audit
+      UNION ALL
+      SELECT 'DESERIALIZE', id, arrival_ms, NULL, NULL, NULL, NULL FROM requests)""",
+    "stream_hot_id_mismatch_expected": _with(_HOT) + "SELECT id, timer_ms, expected_ms FROM mismatch",
     "stream_keyed_fixed_delay_ready": _with(_TASKS, _FIXED_TIME) + _READY_TASK,
     "stream_fixed_delay_ready": _with(_TASKS, _FIXED_TIME) + _READY_TASK,
     "stream_fanout": _MIXED_READY

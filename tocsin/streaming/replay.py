@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType
 
-from tocsin.functions.rules import execution_time, known_policy
+from tocsin.functions.rules import known_policy, with_schedule
+from tocsin.operators.audit import accepted_steps, gone_off_steps, read_steps
 from tocsin.operators.expected import gone_off_since
 from tocsin.operators.reading import carried_on, ranges_read
 from tocsin.operators.records import ready_records
@@ -79,6 +80,7 @@ class PendingTable:
         late_sinks: list[Sink] | None = None,
         quarantine_sinks: list[Sink] | None = None,
         mismatch_sinks: list[Sink] | None = None,
+        audit_sinks: list[Sink] | None = None,
         clock=lambda: int(time.time() * 1000),
     ) -> None:
         self.state_path = state_path
@@ -91,6 +93,9 @@ class PendingTable:
         self.late_sinks = late_sinks or []
         self.quarantine_sinks = quarantine_sinks or []
         self.mismatch_sinks = mismatch_sinks or []
+        self.audit_sinks = audit_sinks or []
+        # Timers that are set in vain are kept for those who ask.
+        self.all_timers = bool(self.mismatch_sinks or self.audit_sinks)
         self.clock = clock
         self.calendar = Calendar(f"{state_path}/runs")
 
@@ -128,21 +133,24 @@ class PendingTable:
         names = {"id": F.col("id"), "arrival_ms": F.col("arrival_ms")}
         names["scheduled_at"] = F.col("scheduled_at") if "scheduled_at" in has else F.lit(None).cast("bigint")
         names["seq"] = F.col("seq") if "seq" in has else log_order()
+        names["status"] = F.col("status") if "status" in has else F.lit(None).cast("string")
         if "reason" in has:
             names |= {"reason": F.col("reason"), "raw": F.col("raw")}
         return rows.select(*(column.alias(name) for name, column in names.items()))
 
-    def _judged(self, requests: DataFrame) -> DataFrame:
+    def _scheduled(self, requests: DataFrame) -> DataFrame:
         """Requests with the time they are judged at and the time that gives."""
         now = F.col("arrival_ms")
         if self.started_ms is not None:
             now = F.greatest(now, F.lit(self.started_ms))
-        exec_ms = execution_time(self.policy, F.col("scheduled_at"), now)
-        return requests.select("id", now.alias("arrival_ms"), "seq", exec_ms.alias("exec_ms"))
+        return with_schedule(requests.withColumn("arrival_ms", now), self.policy)
+
+    def _judged(self, requests: DataFrame) -> DataFrame:
+        return self._scheduled(requests).select(*_STATE)
 
     def _read(self, log: DataFrame, before: Marks) -> tuple[DataFrame, dict[str, int], int, int]:
         """New requests in reading order, the latest arrivals by partition after them, how many
-        there are, and at least how many of them come too late."""
+        there are, and at most how many of them come too late."""
         kind = log.schema["seq"].dataType
         usable = log.where(F.col("id").isNotNull())
         latest = dict(before.latest)
@@ -191,6 +199,8 @@ class PendingTable:
             if self.ticking:
                 # Ahead of the work, for the clock of a repetition.
                 self._store(spark, marks)
+            if self.audit_sinks and arrived:
+                self._audit(read, batch_id)
             new = self._judged(read)
             if late:
                 for sink in self.late_sinks:
@@ -200,10 +210,18 @@ class PendingTable:
         finally:
             log.unpersist()
 
+    def _audit(self, read: DataFrame, batch_id: int) -> None:
+        scheduled = self._scheduled(read)
+        steps = read_steps(scheduled).unionByName(accepted_steps(scheduled))
+        for sink in self.audit_sinks:
+            sink(steps, 4 * batch_id)
+
     def _set_aside(self, log: DataFrame, batch_id: int) -> None:
         bad = log.where(F.col("reason").isNotNull())
-        if not self.quarantine_sinks or bad.isEmpty():
+        if not (self.quarantine_sinks or self.audit_sinks) or bad.isEmpty():
             return
+        for sink in self.audit_sinks:
+            sink(read_steps(bad), 4 * batch_id + 1)
         place = F.col("seq")
         bad = bad.select("raw", "reason", "arrival_ms", place["partition"].alias("partition"), place["offset"].alias("offset"))
         for sink in self.quarantine_sinks:
@@ -220,7 +238,7 @@ class PendingTable:
             come = come.where(F.col("arrival_ms") <= marks.horizon).unionByName(waited)
         armed = still_open.where(F.col("kind").isin(WAITS, TAKEN_BACK))
         ids = come.select("id") if arrived or not self.ticking else None
-        if self.mismatch_sinks:
+        if self.all_timers:
             off = still_open.where((F.col("kind") == IN_VAIN) & due).select("id")
             ids = off if ids is None else ids.unionByName(off)
         if ids is None:
@@ -268,7 +286,7 @@ class PendingTable:
         waits = F.when((outcome == PENDING) & ~F.col("kept"), F.lit(WAITS))
         gone = F.when((outcome == SUPERSEDED) & later & F.col("kept"), F.lit(TAKEN_BACK))
         kinds = [waits, gone]
-        if self.mismatch_sinks:
+        if self.all_timers:
             kinds.append(F.when((outcome == SUPERSEDED) & later, F.lit(IN_VAIN)))
         changes = judged.select(*_STATE, F.col("exec_ms").alias("at_ms"), F.explode(F.array(*kinds)).alias("kind"))
         changes = changes.where(F.col("kind").isNotNull())
@@ -285,14 +303,21 @@ class PendingTable:
         if not fired.isEmpty():
             for sink in self.sinks:
                 sink(ready_records(fired, self.policy), number)
-        if self.mismatch_sinks:
+        if self.all_timers:
             earlier = stored.where(
                 (F.col("kind") == IN_VAIN) & (F.col("at_ms") > before.horizon) & (F.col("block") <= marks.horizon))
             off = gone_off_since(judged, earlier, marks.horizon, arrived, self.target_rows)
+            off = off.persist(StorageLevel.MEMORY_AND_DISK)
             stale = off.where(F.col("outcome") == STALE).select("id", F.col("exec_ms").alias("timer_ms"), "expected_ms")
-            if not stale.isEmpty():
-                for sink in self.mismatch_sinks:
-                    sink(stale, number)
+            try:
+                if not off.isEmpty():
+                    for sink in self.audit_sinks:
+                        sink(gone_off_steps(off, self.policy), 4 * number + 2)
+                if self.mismatch_sinks and not stale.isEmpty():
+                    for sink in self.mismatch_sinks:
+                        sink(stale, number)
+            finally:
+                off.unpersist()
 
     def finish(self, like: DataFrame) -> None:
         """Take the log as ended: send out what has fired by its last arrival."""
@@ -325,21 +350,22 @@ def start_replay(
     late_sinks: list[Sink] | None = None,
     quarantine_sinks: list[Sink] | None = None,
     mismatch_sinks: list[Sink] | None = None,
+    audit_sinks: list[Sink] | None = None,
 ) -> StreamingQuery:
     """Replay a stream of `id, scheduled_at, arrival_ms, seq`, or a `Decoded.tagged`; by default to
     the end of its input.
 
     `partitions` is how many must have shown up before anything fires. Requests that come too late
     go to `late_sinks`, by default a table next to the checkpoint, likewise what could not be
-    decoded to `quarantine_sinks`. `mismatch_sinks` get timers that went off in vain. Call
-    `finish_replay` when no more will come.
+    decoded to `quarantine_sinks`. `mismatch_sinks` get timers that went off in vain,
+    `audit_sinks` a row for each step. Call `finish_replay` when no more will come.
     """
     state = f"{checkpoint}/pending"
     pending = PendingTable(
         state, sinks, policy, target_rows, partitions=partitions,
         late_sinks=[_table(checkpoint, "late")] if late_sinks is None else late_sinks,
         quarantine_sinks=[_table(checkpoint, "quarantined")] if quarantine_sinks is None else quarantine_sinks,
-        mismatch_sinks=mismatch_sinks,
+        mismatch_sinks=mismatch_sinks, audit_sinks=audit_sinks,
     )
     return (
         requests.writeStream.foreachBatch(pending.step)
@@ -352,11 +378,13 @@ def start_replay(
 def finish_replay(
     requests: DataFrame, sinks: list[Sink], checkpoint: str, policy: str = REQUESTED,
     target_rows: int = TARGET_ROWS, mismatch_sinks: list[Sink] | None = None,
+    audit_sinks: list[Sink] | None = None,
 ) -> None:
     """Send out what a replayed log has made ready by its last arrival. `requests` is the stream
     that was replayed; only its schema is looked at."""
     spark = requests.sparkSession
-    pending = PendingTable(f"{checkpoint}/pending", sinks, policy, target_rows, mismatch_sinks=mismatch_sinks)
+    pending = PendingTable(
+        f"{checkpoint}/pending", sinks, policy, target_rows, mismatch_sinks=mismatch_sinks, audit_sinks=audit_sinks)
     pending.finish(pending._judged(pending._log(spark.createDataFrame([], requests.schema))))
 
 
@@ -370,19 +398,21 @@ def start_set_triggers(
     name: str = "set-triggers",
     quarantine_sinks: list[Sink] | None = None,
     mismatch_sinks: list[Sink] | None = None,
+    audit_sinks: list[Sink] | None = None,
 ) -> StreamingQuery:
     """Run by the wall clock on a `Decoded.tagged`, or on `id, scheduled_at, arrival_ms, seq`, until
     stopped.
 
     Emits what the keyed form does. A micro-batch reads what is pending without a call per id and
     writes what has changed, so it suits many changes per micro-batch. What could not be decoded
-    goes to `quarantine_sinks`, by default a table next to the checkpoint.
+    goes to `quarantine_sinks`, by default a table next to the checkpoint. `mismatch_sinks` get timers
+    that went off in vain, `audit_sinks` a row for each step; hot ids are cut into slices for them too.
     """
     pending = PendingTable(
         f"{checkpoint}/pending", sinks, policy, target_rows, ticking=True,
         started_ms=int(time.time() * 1000),
         quarantine_sinks=[_table(checkpoint, "quarantined")] if quarantine_sinks is None else quarantine_sinks,
-        mismatch_sinks=mismatch_sinks,
+        mismatch_sinks=mismatch_sinks, audit_sinks=audit_sinks,
     )
     return (
         with_heartbeat(tagged)
