@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +15,7 @@ from tocsin.operators.expected import mismatches
 from tocsin.operators.reading import in_reading_order
 from tocsin.operators.records import annotate_requests, encode_records, once, ready, ready_records
 from tocsin.operators.resolve import log_stats, resolve, timer_outcomes
+from tocsin.operators.snapshots import Snapshots
 from tocsin.plans import logs
 from tocsin.schema import (
     FIXED_DELAY,
@@ -25,6 +26,7 @@ from tocsin.schema import (
 )
 from tocsin.session import shared_folder, staged
 from tocsin.sources.inputs import as_requests, folder_stream
+from tocsin.sources.outbox import Outbox
 from tocsin.sources.outputs import payload_sink, table_sink
 from tocsin.streaming.job import start_triggers
 from tocsin.streaming.processor import ARRIVAL
@@ -135,6 +137,28 @@ def fixed_delay_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mismatches(requests, stats.last_arrival_ms, policy=FIXED_DELAY, rows=stats.rows)
 
 
+# --- snapshots ------------------------------------------------------------------------------
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[Snapshots, DataFrame]:
+    """Three snapshots up to midway, each made from the one before, and the log."""
+    requests = logs.requests(spark, sf_dir)
+    snapshots = Snapshots(spark, shared_folder(spark, "snapshots"))
+    for as_of in (MIDWAY_MS - 10 * 86_400_000, MIDWAY_MS - 3 * 86_400_000, MIDWAY_MS):
+        snapshots.advance(requests, as_of)
+    return snapshots, requests
+
+
+def ready_from_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snapshots, requests = _snapshots(spark, sf_dir)
+    return snapshots.ready(requests, log_stats(requests).last_arrival_ms)
+
+
+def pending_from_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snapshots, requests = _snapshots(spark, sf_dir)
+    return snapshots.pending(requests, MIDWAY_MS + 86_400_000)
+
+
 # --- the same with a third of the log on one id ---------------------------------------------
 
 
@@ -427,6 +451,47 @@ def stream_hot_id_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _steps_written(spark, out)
 
 
+class _BreaksHalfway:
+    """A sink without memory, like a topic: what it is given comes on top of what is there. It
+    fails once, after it has taken half of the records it was given."""
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+        self.broken = False
+
+    def __call__(self, records: DataFrame, batch_id: int) -> None:
+        if batch_id < 1 or self.broken:
+            records.write.mode("append").parquet(self.path)
+            return
+        self.broken = True
+        half = F.pmod(F.xxhash64("id", "scheduled_at"), F.lit(2)) == 0
+        records.where(half).write.mode("append").parquet(self.path)
+        raise ConnectionError("the sink is gone")
+
+    def since(self, spark: SparkSession, moment_ms: int) -> DataFrame:
+        return _sunk(spark, self.path, REQUESTED)
+
+
+def stream_delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replay whose sink fails in the middle of a micro-batch, and is taken up again."""
+    folder = shared_folder(spark, "stream-delivered-once")
+    log, checkpoint = f"{folder}/log", f"{folder}/checkpoint"
+    sink = _BreaksHalfway(f"{folder}/topic")
+    outbox = Outbox(f"{folder}/outbox", sink, sink.since, bucket_rows=200)
+    for part in _thirds(logs.request_payloads(spark, sf_dir)):
+        part.write.mode("append").parquet(log)
+        requests = as_requests(decode_requests(folder_stream(spark, log)).valid)
+        for _ in range(2):
+            try:
+                start_replay(requests, [outbox], checkpoint).awaitTermination()
+                break
+            except StreamingQueryException:
+                if not sink.broken:
+                    raise
+    finish_replay(requests, [outbox], checkpoint)
+    return _sunk(spark, sink.path, REQUESTED)
+
+
 def stream_fixed_delay_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream-fixed-delay-ready")
     out = f"{folder}/ready"
@@ -552,6 +617,8 @@ QUERIES: dict[str, Query] = {
     "timer_mismatch_expected": timer_mismatch_expected,
     "fixed_delay_ready": fixed_delay_ready,
     "fixed_delay_mismatch": fixed_delay_mismatch,
+    "ready_from_snapshot": ready_from_snapshot,
+    "pending_from_snapshot": pending_from_snapshot,
     "hot_id_ready": hot_id_ready,
     "hot_id_timer_outcomes": hot_id_timer_outcomes,
     "hot_id_mismatch_expected": hot_id_mismatch_expected,
@@ -584,6 +651,7 @@ QUERIES: dict[str, Query] = {
     "stream_mismatch_expected": stream_mismatch_expected,
     "stream_hot_id_mismatch_expected": stream_hot_id_mismatch_expected,
     "stream_hot_id_audit": stream_hot_id_audit,
+    "stream_delivered_once": stream_delivered_once,
     "stream_fixed_delay_ready": stream_fixed_delay_ready,
     "stream_fanout": stream_fanout,
 }

@@ -294,6 +294,10 @@ FROM (SELECT * FROM audit
     "live_timers": _with(as_of=str(MIDWAY_MS))
     + f"SELECT id, exec_ms, outcome FROM ({_OUTCOMES}) WHERE outcome IN ('pending', 'armed_superseded')",
     "stream_seeded_ready": _with() + _READY,
+    "stream_delivered_once": _with() + _READY,
+    "ready_from_snapshot": _with() + _READY,
+    "pending_from_snapshot": _with(as_of=str(MIDWAY_MS + 86_400_000))
+    + "SELECT id, seq, exec_ms FROM resolved WHERE live AND NOT due",
     "stream_offset_order_ready": _with(_READ) + _READY,
     "stream_set_offset_order_ready": _with(_READ) + _READY,
     "stream_mismatch_expected": _with() + "SELECT id, timer_ms, expected_ms FROM mismatch",
