@@ -366,7 +366,7 @@ def greedy_search(queries: DataFrame, graph: DataFrame, units: DataFrame, entrie
     precision cannot tell from the RESCORED-th part of them.
 
     Per query the `beam` best nodes seen are kept; those not yet expanded are, all at once, and
-    their neighbours, either way, are seen next. `queries` and `units` are (id, unit), `entries`
+    their neighbours, either way, are seen next. A node that falls off the beam never comes back. `queries` and `units` are (id, unit), `entries`
     (query, node).
     """
     ways = graph.select("u", "v").unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -380,21 +380,24 @@ def greedy_search(queries: DataFrame, graph: DataFrame, units: DataFrame, entrie
         return found.select(F.col("u").alias("query"), F.col("v").alias("node"), "sim")
 
     near = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
-    seen = keep_table(scored(entries.distinct()).withColumn("open", F.lit(True)), "seen")
+
+    def best(rows: DataFrame) -> DataFrame:
+        return keep_table(rows.withColumn("r", F.row_number().over(near)).where(F.col("r") <= beam).drop("r"), "beam")
+
+    # What a step reaches is a table of its own; only the few best of each query are written again.
+    seen = keep_table(scored(entries.distinct()), "seen")
+    kept = best(seen.withColumn("open", F.lit(True)))
     while True:
-        front = seen.withColumn("r", F.row_number().over(near)).where(F.col("r") <= beam)
-        front = keep_table(front.where("open").select("query", "node"), "front")
+        front = kept.where("open").select("query", "node")
         if front.isEmpty():
             break
         reached = front.join(ways, front.node == ways.u).select("query", F.col("v").alias("node"))
         new = reached.distinct().join(seen, ["query", "node"], "left_anti")
-        closed = front.withColumn("closed", F.lit(True))
-        old = seen.join(closed, ["query", "node"], "left").select(
-            "query", "node", "sim", (F.col("open") & F.col("closed").isNull()).alias("open")
-        )
-        before, seen = seen, keep_table(old.unionByName(scored(new).withColumn("open", F.lit(True))), "seen")
+        new = keep_table(scored(new), "seen")
+        before, kept = kept, best(
+            kept.withColumn("open", F.lit(False)).unionByName(new.withColumn("open", F.lit(True))))
+        seen = seen.unionByName(new)
         discard(before)
-        discard(front)
     ranked = seen.withColumn("r", F.row_number().over(near))
     sure = F.min(F.when(F.col("r") <= -(-k // RESCORED), F.col("sim"))).over(Window.partitionBy("query"))
     return (
