@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tocsin.llm import chat, mixing, running, sharding
+from tocsin.llm.oracle import ORACLE
 
 DOCS = "doc_id bigint, text string, source string, size int, mix_plan string"
 
@@ -150,6 +151,21 @@ def test_the_cut_goes_through_equal_rows(spark, monkeypatch, sent):
     assert sorted(r.text for r in again) == sorted(nameless)
 
 
+def test_the_sql_cuts_inside_equal_rows_too(spark):
+    """600 copies of a row of a source that holds most tokens, and other repetitions."""
+    import duckdb
+
+    rows = [(7, "w " * 9, "hot")] * 600 + [(i % 5, "a b c", f"s{i % 4}") for i in range(60)] + [(None, "x y", None)] * 9
+    docs = _docs(spark, rows)
+    documents = docs.toArrow()
+    connection = duckdb.connect()
+    connection.register("documents", documents)
+    want = connection.sql(ORACLE["op2_mixing"])
+    got = mixing.mix(docs, max_repeats=mixing.MAX_REPEATS).select(*want.columns).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want.fetchall(), key=repr)
+    assert 0 < sum(row.source == "hot" for row in got) < 600
+
+
 def test_mix_of_nothing_and_wrong_targets(spark):
     docs = _docs(spark, [])
     assert mixing.mix(docs, max_repeats=2.0).collect() == [] and mixing.mix_rows(docs, max_repeats=2.0).collect() == []
@@ -284,10 +300,24 @@ def test_every_view(spark):
 
 
 def test_a_long_dialogue_is_cut_into_buckets(spark, monkeypatch):
-    monkeypatch.setattr(chat, "TURNS_PER_BUCKET", 8)
+    monkeypatch.setattr(chat, "BUCKET_BITS", 3)
     rows = [(1, i, f"p{i % 3}", f"turn {i}" * (i % 4)) for i in range(300)] + [(2, -5, "p0", "a"), (2, -13, "p1", "b")]
     assert _rendered(chat.perspectives(_turns(spark, rows))) == _render(rows)
 
 
+def test_an_empty_id_is_not_a_missing_one(spark):
+    rows = [("", 0, "ann", "a"), (None, 0, "ann", "b"), ("", 1, "bob", "c"), (None, None, "cy", "d")]
+    frame = spark.createDataFrame([(*row, "x", 0) for row in rows], TALK.replace("conv_id bigint", "conv_id string"))
+    assert _rendered(chat.perspectives(frame)) == _render(rows)
+
+
+def test_a_turn_and_a_row_of_any_size(spark, monkeypatch):
+    """Null turns without a conversation, many of them the same row."""
+    monkeypatch.setattr(chat, "BUCKET_BITS", 3)
+    monkeypatch.setattr(running, "_CHUNK", 7)
+    rows = [(None, None, "ann", "the same")] * 100 + [(None, None, f"p{i % 2}", f"{i:03d}") for i in range(100)]
+    assert _rendered(chat.perspectives(_turns(spark, rows))) == _render(rows)
+
+
 def test_no_turns(spark):
     assert chat.perspectives(_turns(spark, [])).collect() == []

@@ -237,6 +237,42 @@ def test_mixtures_and_edges(spark):
     assert not ids & {901, 902, 903} and set(range(200)) | {900, 904} <= ids
 
 
+def test_letters_of_no_known_language_are_dropped(spark):
+    """Random consonants are no words of any; most of a text in known ones is enough to stay."""
+    chance = random.Random(4)
+    junk = [" ".join("".join(chance.choices("bcdfghjklmnpqrstvwxz", k=chance.randint(3, 9))) for _ in range(40)) for _ in range(50)]
+    clean = table(spark, SMALL, "documents").where("lang IS NOT NULL").select("doc_id", "text", "lang").limit(150)
+    rows = [(row.doc_id, row.text, row.lang) for row in clean.collect()]
+    rows += [(10_000 + i, text, None) for i, text in enumerate(junk)] + [(20_000, rows[0][1] + " " + junk[0], None)]
+    learnt = [(100_000 + i, row[1], row[2]) for i, row in enumerate(rows[:150])]
+    kept = {row.doc_id for row in langid.known_only(_docs(spark, rows + learnt)).collect()}
+    assert not kept & set(range(10_000, 10_050))
+    assert {row[0] for row in rows[:150] if len(row[1].split()) > 5} <= kept
+
+
+def test_the_set_of_languages_is_nearly_the_best_of_all_subsets():
+    """Penalised likelihood of the chosen set against that of every other set."""
+    from itertools import combinations
+
+    chance = np.random.default_rng(5)
+    good = 0
+    for _ in range(60):
+        n = int(chance.integers(3, 40))
+        true = chance.dirichlet(np.full(4, 0.4))
+        spoken = chance.choice(4, size=n, p=true)
+        likely = np.exp(chance.normal(-2, 1, (n, 4)) + 3.0 * (np.arange(4) == spoken[:, None]))
+        chosen = langid._mixtures(likely, np.array([0]), np.array([n]))[0] > 0
+        penalty = 0.5 * np.log(n + 1) + 1
+        values = {}
+        for size in range(1, 5):
+            for some in combinations(range(4), size):
+                even = np.zeros((1, 4))
+                even[0, list(some)] = 1 / size
+                values[some] = langid._improve(likely, np.array([0]), np.array([n]), even, 200)[1][0] - size * penalty
+        good += values[tuple(np.flatnonzero(chosen))] >= max(values.values()) - 0.5
+    assert good >= 55
+
+
 def rows_text(i):
     return _talk()[i][1]
 

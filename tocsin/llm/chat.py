@@ -6,9 +6,12 @@ rendering is the concatenation of its segments in order; each is a row with its
 whole, so a dialogue of any length is never put together in one task.
 
 Turns come in the order of `turn`, speaker and text (null turns first). A null speaker is called
-"unknown", a null text is empty, rows without conversation id form one conversation. Repeated rows
-are turns of their own. A conversation with nothing but system turns has no rendering. Markers
-inside texts and names are broken up so that they cannot be taken for the format's.
+"unknown", a null text is empty. Rows without conversation id form one conversation, which is not that
+of an empty id. Repeated rows are turns of their own; they are counted before they are dealt out, so
+a conversation, a turn or a row may hold any part of the table. A text of any length is one
+segment. A conversation with nothing but system turns has no rendering, an empty table gives no
+rows, and other columns take no part, whatever their names. Markers inside texts and names are
+broken up so that they cannot be taken for the format's.
 """
 
 from __future__ import annotations
@@ -16,13 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tocsin.llm.running import before
+from tocsin.llm.common import keep_table
+from tocsin.llm.running import before, copies
 
 SYSTEM = "system"
 END = "<|end|>\n"
 
-# Turns that one window task sorts.
-TURNS_PER_BUCKET = 256
+# Distinct turns that one window task sorts, as a power of two.
+BUCKET_BITS = 11
 
 
 def _plain(text: Column) -> Column:
@@ -39,12 +43,18 @@ def perspectives(turns: DataFrame, conversation: str = "conv_id", turn: str = "t
     segment, and in characters of the rendering: start, learn_from, stop. A segment is learnt from
     between learn_from and stop; where they are equal, not at all."""
     told = turns.select(
-        F.coalesce(F.col(conversation).cast("string"), F.lit("")).alias("conv_key"),
+        F.coalesce(F.concat(F.lit("k"), F.col(conversation).cast("string")), F.lit("null")).alias("conv_key"),
         F.col(conversation).alias(conversation),
         F.col(turn).alias("turn"),
         F.coalesce(F.col(speaker), F.lit("unknown")).alias("speaker"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
+    same = ["conv_key", conversation, "turn", "speaker", "text"]
+    counted = told.groupBy(*same).agg(F.count(F.lit(1)).alias("n"))
+    # A number that rises in the order of a conversation; bounds are drawn from the texts' beginnings.
+    dealt = counted.repartitionByRange("conv_key", "turn", "speaker", F.substring("text", 1, 64))
+    dealt = dealt.sortWithinPartitions("conv_key", "turn", "speaker", "text")
+    told = keep_table(dealt.withColumn("seq", F.monotonically_increasing_id()), "turns")
     views = (
         told.where(F.col("speaker") != SYSTEM)
         .select("conv_key", F.col("speaker").alias("view"))
@@ -61,13 +71,14 @@ def perspectives(turns: DataFrame, conversation: str = "conv_id", turn: str = "t
         .withColumn("head", F.length(head))
         .withColumn("segment", F.concat(head, _plain(F.col("text")), F.lit(END)))
         .withColumn("long", F.length("segment").cast("bigint"))
-        .withColumn("one", F.lit(1))
-        .withColumn("bucket", F.coalesce(F.floor(F.col("turn") / TURNS_PER_BUCKET), F.lit(-(2**62))))
-    )
-    order = [F.col("turn").asc_nulls_first(), F.col("speaker"), F.col("text")]
-    placed = before(
-        rendered, ["conv_key", "view"], "bucket", order, {"start": "long", "position": "one"}
+        .withColumn("all_long", F.col("long") * F.col("n"))
+        .withColumn("bucket", F.shiftright("seq", BUCKET_BITS))
     )
+    first = before(rendered, ["conv_key", "view"], "bucket", ["seq"], {"start": "all_long", "position": "n"})
+    placed = copies(first, "n", "copy", ["view", "seq"])
+    placed = placed.withColumns({
+        "start": F.col("start") + F.col("copy") * F.col("long"), "position": F.col("position") + F.col("copy"),
+    })
     stop = F.col("start") + F.col("long")
     return placed.select(
         conversation,

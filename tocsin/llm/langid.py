@@ -8,7 +8,8 @@ language. What remains is the text's set of languages, and the largest share giv
 
 Texts that are null or hold no letter are `und`, with score 0 and no languages. A row whose
 language is null is not learnt from. With nothing to learn from, all texts are `und`. Equal shares
-go to the language first in the alphabet. Repeated rows are answered alike.
+go to the language first in the alphabet. Repeated rows are answered alike, very long texts as a
+whole. An empty table gives no rows, and other columns take no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,11 +35,15 @@ UNKNOWN = "und"
 BINS = 1 << 16
 SMOOTHING = 0.5
 
+# Beside the background a trigram that a language has never shown must count for little, or the
+# bins that no language uses would make up for it.
+STRICT_SMOOTHING = 0.01
+
 ROUNDS = 8
 ROUNDS_LESS = 4
 
-# A text is kept if some known language has this share of its words. Texts that mix languages are
-# sound texts; this drops those in which none of the known ones is to be made out.
+# A text is kept if the known languages together have this share of its words, against a background
+# that draws the bytes of all of them one by one. Texts that mix languages are sound texts.
 LEAST_SHARE = 0.3
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -48,9 +53,11 @@ _KEEP = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
 class Words(NamedTuple):
-    """Trigram bins of a batch of texts, where each word starts among them, whose word it is."""
+    """Trigrams of a batch of texts by bins and by their bytes, where each word starts among them,
+    whose word it is."""
 
     bins: np.ndarray
+    triples: np.ndarray
     starts: np.ndarray
     owner: np.ndarray
 
@@ -63,14 +70,15 @@ def words(texts: list[str | None]) -> Words:
     letter = whole != 32
     places = np.flatnonzero(letter)
     if not len(places):
-        return Words(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
+        none = np.empty(0, np.int64)
+        return Words(none, none.reshape(3, 0), none, none)
     b0, b1, b2 = whole[places].astype(np.uint32), whole[places - 1], whole[places - 2]
     # After a blank the byte before it belongs to another word.
     b2 = np.where(b1 == 32, 32, b2)
     code = b0 * np.uint32(0x9E3779B1) + b1 * np.uint32(0x85EBCA6B) + b2 * np.uint32(0xC2B2AE35)
     bins = (code ^ (code >> np.uint32(15))) % np.uint32(BINS)
     first = np.flatnonzero(b1 == 32)
-    return Words(bins, first, np.searchsorted(ends, places[first], side="right"))
+    return Words(bins, np.stack([b0, b1, b2]), first, np.searchsorted(ends, places[first], side="right"))
 
 
 def _grams(languages: list[str]):
@@ -78,16 +86,24 @@ def _grams(languages: list[str]):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(languages), BINS), dtype=np.int64)
+        # Of the three places of a trigram, under -1 to -3.
+        single = np.zeros((3, 256), dtype=np.int64)
         place = {language: i for i, language in enumerate(languages)}
         for batch in batches:
             spoken = batch.column("lang").to_pylist()
             texts = batch.column("text").to_pylist()
             for language in set(spoken):
-                own = [t for t, s in zip(texts, spoken) if s == language]
-                total[place[language]] += np.bincount(words(own).bins, minlength=BINS)
+                found = words([t for t, s in zip(texts, spoken) if s == language])
+                total[place[language]] += np.bincount(found.bins, minlength=BINS)
+                for i, bytes_ in enumerate(found.triples):
+                    single[i] += np.bincount(bytes_, minlength=256)
         language, gram = np.nonzero(total)
+        place, byte = np.nonzero(single)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(language, pa.int32()), pa.array(gram, pa.int32()), pa.array(total[language, gram])],
+            [
+                pa.array(np.append(language, -1 - place), pa.int32()), pa.array(np.append(gram, byte), pa.int32()),
+                pa.array(np.append(total[language, gram], single[place, byte])),
+            ],
             names=["language", "gram", "n"],
         )
 
@@ -95,18 +111,26 @@ def _grams(languages: list[str]):
 
 
 class Model(NamedTuple):
-    """Languages in alphabetical order, and log-likelihoods by bin and language."""
+    """Languages in alphabetical order, log-likelihoods by bin and language, the same beside a
+    background, and that: log-likelihoods of the bytes at each place, whatever the language."""
 
     languages: list[str]
     logs: np.ndarray
+    strict: np.ndarray
+    single: np.ndarray
 
-    def shares(self, texts: list[str | None]) -> np.ndarray:
-        """Shares of the languages of each text; zero throughout where there are no words."""
+    def shares(self, texts: list[str | None], background: bool = False) -> np.ndarray:
+        """Shares of the languages of each text, and of the background behind them; zero throughout
+        where there are no words."""
         found = words(texts)
-        shares = np.zeros((len(texts), len(self.languages)), dtype=np.float64)
+        shares = np.zeros((len(texts), len(self.languages) + background), dtype=np.float64)
         if not len(found.starts) or not self.languages:
             return shares
-        likely = np.add.reduceat(self.logs[found.bins], found.starts, axis=0)
+        logs = (self.strict if background else self.logs)[found.bins]
+        if background:
+            alone = sum(self.single[i][bytes_] for i, bytes_ in enumerate(found.triples))
+            logs = np.column_stack([logs, alone])
+        likely = np.add.reduceat(logs, found.starts, axis=0)
         top = likely.max(axis=1, keepdims=True)
         likely = np.exp(likely - top)
         some, first = np.unique(found.owner, return_index=True)
@@ -173,26 +197,31 @@ def train(documents: DataFrame, learn: Column, text: str = "text", lang: str = "
     known = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     languages = sorted(row.lang for row in known.select("lang").distinct().collect())
     if not languages:
-        return Model([], np.zeros((BINS, 0)))
+        return Model([], np.zeros((BINS, 0)), np.zeros((BINS, 0)), np.zeros((3, 256)))
     counted = (
         known.mapInArrow(_grams(languages), "language int, gram int, n bigint")
         .groupBy("language", "gram")
         .agg(F.sum("n").alias("n"))
         .toArrow()
     )
-    counts = np.zeros((BINS, len(languages)))
-    counts[counted.column("gram").to_numpy(), counted.column("language").to_numpy()] = (
-        counted.column("n").to_numpy()
-    )
-    smooth = counts + SMOOTHING
-    return Model(languages, np.log(smooth / smooth.sum(axis=0)).astype(np.float32))
+    language, gram, n = (counted.column(name).to_numpy() for name in ("language", "gram", "n"))
+    counts, single = np.zeros((BINS, len(languages))), np.zeros((3, 256))
+    spoken = language >= 0
+    counts[gram[spoken], language[spoken]] = n[spoken]
+    single[-1 - language[~spoken], gram[~spoken]] = n[~spoken]
+
+    def logs(seen: np.ndarray, smoothing: float, axis: int) -> np.ndarray:
+        smooth = seen + smoothing
+        return np.log(smooth / smooth.sum(axis=axis, keepdims=True)).astype(np.float32)
+
+    return Model(languages, logs(counts, SMOOTHING, 0), logs(counts, STRICT_SMOOTHING, 0), logs(single, SMOOTHING, 1))
 
 
 _ANSWER = "struct<lang_pred:string, score:double, shares:map<string,double>>"
 
 
 def _answer_column(documents: DataFrame, model: Model):
-    shared = documents.sparkSession.sparkContext.broadcast((model.languages, model.logs))
+    shared = documents.sparkSession.sparkContext.broadcast(tuple(model))
 
     @F.arrow_udf(_ANSWER)
     def answered(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -229,9 +258,20 @@ def languages(documents: DataFrame, key: str = "doc_id", text: str = "text", lan
 
 def known_only(documents: DataFrame, least_share: float = LEAST_SHARE, key: str = "doc_id", text: str = "text",
                lang: str = "lang") -> DataFrame:
-    """The documents of which a known language has at least this share, with all their columns."""
+    """The documents of whose words the known languages have at least this share, with all their
+    columns."""
     model = train(documents, learnable(key), text, lang)
-    answer = free_name(documents, "language_answer")
-    answered = documents.withColumn(answer, _answer_column(documents, model)(F.col(text)))
-    known = (F.col(answer)["lang_pred"] != UNKNOWN) & (F.col(answer)["score"] >= least_share)
-    return answered.where(known).drop(answer)
+    shared = documents.sparkSession.sparkContext.broadcast(tuple(model))
+
+    @F.arrow_udf("boolean")
+    def known(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = Model(*shared.value)
+        for batch in batches:
+            texts = batch.to_pylist()
+            shares = own.shares(texts, background=True)
+            sound = (shares[:, :-1].sum(axis=1) >= least_share) & shares.any(axis=1)
+            lettered = [text is not None and _LETTER.search(text) is not None for text in texts]
+            yield pa.array(sound & np.array(lettered, dtype=bool))
+
+    answer = free_name(documents, "known_language")
+    return documents.withColumn(answer, known(F.col(text))).where(F.col(answer)).drop(answer)

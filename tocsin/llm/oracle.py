@@ -59,8 +59,10 @@ WITH RECURSIVE sized AS (
   SELECT *, coalesce(sum(size * n) OVER (PARTITION BY source, turn ORDER BY digest, doc_id, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM ordered
 ), kept AS (
-  SELECT *, unnest(range(0, n)) AS copy FROM laid
-  WHERE turn < quota // tokens OR start + size * n <= quota % tokens
+  -- The last pass is cut inside a class of equal rows.
+  SELECT *, unnest(range(0, CASE WHEN turn < quota // tokens THEN n
+    ELSE greatest(0, least(n, (quota % tokens - start) // size)) END::BIGINT)) AS copy
+  FROM laid
 ), blocked AS (
   SELECT *, CAST(floor((turn * tokens + start + copy * size)::DOUBLE / quota::DOUBLE
     * greatest(1, (SELECT sum(quota) FROM planned) // {mixing.BLOCK_TOKENS})::DOUBLE) AS BIGINT) AS block
