@@ -14,6 +14,7 @@ give that kind's share as every score, no labels 0.5. Repeated rows score alike.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections import Counter
 from collections.abc import Iterator
@@ -181,20 +182,33 @@ def _added(rows: pa.Table) -> pa.Table:
     })
 
 
-def fit(described: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id",
-        sample: int = SAMPLE) -> Model:
-    """From (key, statistics) of all rows and (key, quality); `learn` says which keys may be
-    learnt from."""
-    single = (
+def _labelled(labels: DataFrame, learn: Column, key: str) -> DataFrame:
+    """One row per key that may be learnt from; of several labels most decide."""
+    return (
         labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull())
         .groupBy(key)
         .agg((F.avg("quality") >= 0.5).cast("double").alias("good"))
         .where(learn)
     )
-    joined = keep_table(described.join(single, key), "labelled")
-    known = joined.count()
-    part = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1 << 20))
-    chosen = joined.where(part < int((1 << 20) * min(1.0, sample / max(1, known))))
+
+
+def _part(key: str) -> Column:
+    """The place of a key in a sample, out of 2 to the 20th."""
+    return F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1 << 20))
+
+
+def _sampled(known: int, sample: int) -> int:
+    """Places up to here make a sample of that size."""
+    return math.ceil((1 << 20) * min(1.0, sample / max(1, known)))
+
+
+def fit(described: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id",
+        sample: int = SAMPLE) -> Model:
+    """From (key, statistics) of all rows and (key, quality); `learn` says which keys may be
+    learnt from."""
+    joined = keep_table(described.join(_labelled(labels, learn, key), key), "labelled")
+    part = _part(key)
+    chosen = joined.where(part < _sampled(joined.count(), sample))
     chosen = chosen.repartition(FIT_TASKS, key).select(
         "statistics", "good", (part % CALIBRATE_ONE_IN == 0).alias("calibrate")
     )
@@ -265,11 +279,16 @@ def scores(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def good_only(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that count as good, with all their columns. Their texts are described once
-    more rather than shuffled."""
-    model, _ = train(documents, labels, key, text)
+def good_only(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+              sample: int = SAMPLE) -> DataFrame:
+    """The documents that count as good, with all their columns. The fit describes no texts but
+    those of its sample; to be scored, each text is described where it is."""
+    small_batches(documents.sparkSession)
+    known = documents.select(key).join(_labelled(labels, learnable(key), key), key).count()
+    some = documents.where(learnable(key) & (_part(key) < _sampled(known, sample)))
+    some = some.join(_labelled(labels, learnable(key), key).select(key), key, "left_semi")
+    described = some.select(F.col(key), _statistics_column()(F.col(text)).alias("statistics"))
+    model = fit(keep_table(described, "statistics"), labels, learnable(key), key, sample)
     score = free_name(documents, "quality_score")
-    described = _statistics_column()(F.col(text))
-    scored = documents.withColumn(score, _score_column(model)(described))
+    scored = documents.withColumn(score, _score_column(model)(_statistics_column()(F.col(text))))
     return scored.where(F.col(score) >= 0.5).drop(score)
