@@ -76,9 +76,12 @@ def timer_steps(
     return gone_off_steps(gone_off(requests, as_of, policy, **options), policy)
 
 
-def live_steps(rows: DataFrame, policy: str = REQUESTED) -> DataFrame:
+def live_steps(
+    rows: DataFrame, policy: str = REQUESTED, sent_ms: tuple[int, int] | None = None
+) -> DataFrame:
     """The steps that a micro-batch of the running job has taken, from what its processor yields:
-    `outcome`, `id`, `exec_ms` and `at_ms` with what belongs to the outcome."""
+    `outcome`, `id`, `exec_ms` and `at_ms` with what belongs to the outcome. Durations are in
+    microseconds, in `detail`. `sent_ms` is when sending out the micro-batch began and ended."""
     outcome, at, exec_ms = F.col("outcome"), F.col("at_ms"), F.col("exec_ms")
     accepted, fired = outcome == ACCEPTED, outcome == FIRED
     if policy == FIXED_DELAY:
@@ -93,7 +96,14 @@ def live_steps(rows: DataFrame, policy: str = REQUESTED) -> DataFrame:
         F.when(accepted, _step("INBOUND", at_ms=at, detail=F.col("status"))),
         F.when(accepted, _step("PROCESSING", at_ms=at, exec_ms=exec_ms, detail=source)),
         F.when(accepted, _step("TIMER-REGISTERED", at_ms=at, exec_ms=exec_ms)),
+        F.when(accepted, _step("PROCESSING-COMPLETE", at_ms=at, detail=F.col("took_us"))),
+        F.when(accepted, _step("SUMMARY", at_ms=at, exec_ms=exec_ms, detail=F.col("took_us"))),
         F.when(off, _step("TIMER-FIRED", at_ms=exec_ms)),
+        F.when(off, _step("TIMER-PROCESSING", at_ms=at, exec_ms=exec_ms, detail=F.col("took_us"))),
+        *(
+            F.when(fired, _step(phase, at_ms=F.lit(moment), exec_ms=exec_ms))
+            for phase, moment in zip(("TIMER-OUTBOUND-BEFORE", "TIMER-OUTBOUND-AFTER"), sent_ms or ())
+        ),
         F.when(fired, _step("SERIALIZE", at_ms=exec_ms, bytes=F.octet_length(ready_payload(policy)))),
         F.when(fired, _step("TIMER-COMPLETED", at_ms=exec_ms)),
         F.when(outcome == STALE, _step("TIMER-MISMATCH", at_ms=exec_ms, expected_ms=F.col("expected_ms"))),

@@ -28,8 +28,10 @@ from tocsin.session import shared_folder, staged
 from tocsin.sources.inputs import as_requests, folder_stream
 from tocsin.sources.outbox import Outbox
 from tocsin.sources.outputs import payload_sink, table_sink
+from tocsin.streaming.durations import LATENESS, RANK_ERROR, quantiles, sketched
 from tocsin.streaming.job import start_triggers
 from tocsin.streaming.processor import ARRIVAL
+from tocsin.streaming.reconcile import ARMED, balance, differences, tally
 from tocsin.streaming.replay import PendingTable, finish_replay, start_replay
 from tocsin.streaming.state import from_checkpoint, from_history, live_pending, live_timers
 
@@ -551,6 +553,39 @@ def live_timers_midway(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live_timers(spark, _run_to_midway(spark, sf_dir, "live-timers", keep_stale_timers=True))
 
 
+def stream_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a keyed run has noted of its timers and has left in its state, against the batch rule;
+    the sum of all against what was set."""
+    path = shared_folder(spark, "ledger")
+    checkpoint = _run_to_midway(spark, sf_dir, "reconciliation", ledger_sinks=[table_sink(path)])
+    ledger = spark.read.schema("outcome string, n bigint, digest decimal(38,0)").parquet(path)
+    live = balance(ledger, live_timers(spark, checkpoint))
+    resolved = resolve(logs.requests(spark, sf_dir), MIDWAY_MS)
+    ways = differences(live.where(F.col("outcome") != ARMED), tally(timer_outcomes(resolved, MIDWAY_MS)))
+    whole = live.where(F.col("outcome") == ARMED).select("outcome", "n", "missing", "difference")
+    return ways.unionByName(whole).withColumn("difference", F.col("difference").cast("string"))
+
+
+def audit_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How late records go out if a job looks every ten seconds: sketched for each third of the log,
+    merged, and held against exact ranks."""
+    interval = 10_000
+    fired = _ready_at_end(logs.requests(spark, sf_dir)).select(F.col("scheduled_at").alias("exec_ms"))
+    late = fired.withColumn("value", F.pmod(-F.col("exec_ms"), F.lit(interval))).withColumn("phase", F.lit(LATENESS))
+    late = staged(late, "lateness")
+    path = shared_folder(spark, "sketches")
+    for number, part in enumerate(_thirds(late, "exec_ms")):
+        table_sink(path)(sketched(part.select("phase", "value")), number)
+    found = quantiles(spark.read.parquet(path).drop("batch_id"), 0.5, 0.9, 0.99)
+    ranks = late.join(F.broadcast(found.withColumnRenamed("value", "found")), "phase")
+    exact = ranks.groupBy("phase", "n", "part").agg(
+        F.avg((F.col("value") < F.col("found")).cast("int")).alias("below"),
+        F.avg((F.col("value") <= F.col("found")).cast("int")).alias("up_to"),
+    )
+    within = (F.col("below") <= F.col("part") + RANK_ERROR) & (F.col("up_to") >= F.col("part") - RANK_ERROR)
+    return exact.select("phase", "n", "part", within.alias("within_rank_error"))
+
+
 def stream_seeded_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the log by the batch rule, a third by a keyed run that starts from there, the rest
     by another with a different number of shuffle partitions that starts from its state."""
@@ -645,6 +680,8 @@ QUERIES: dict[str, Query] = {
     "live_pending": live_pending_midway,
     "live_timers": live_timers_midway,
     "stream_seeded_ready": stream_seeded_ready,
+    "stream_reconciliation": stream_reconciliation,
+    "audit_lateness": audit_lateness,
     "stream_keyed_fixed_delay_ready": stream_keyed_fixed_delay_ready,
     "stream_offset_order_ready": stream_offset_order_ready,
     "stream_set_offset_order_ready": stream_set_offset_order_ready,

@@ -294,6 +294,13 @@ FROM (SELECT * FROM audit
     "live_timers": _with(as_of=str(MIDWAY_MS))
     + f"SELECT id, exec_ms, outcome FROM ({_OUTCOMES}) WHERE outcome IN ('pending', 'armed_superseded')",
     "stream_seeded_ready": _with() + _READY,
+    "stream_reconciliation": _with(as_of=str(MIDWAY_MS))
+    + f"""SELECT outcome, count(*) AS n, CAST(0 AS BIGINT) AS missing, '0' AS difference
+FROM (SELECT outcome FROM ({_OUTCOMES}) UNION ALL SELECT 'armed' FROM (SELECT DISTINCT id, exec_ms FROM resolved))
+GROUP BY outcome""",
+    "audit_lateness": _with()
+    + """SELECT 'lateness_ms' AS phase, (SELECT count(*) FROM fired) AS n, part, true AS within_rank_error
+FROM (SELECT unnest([0.5, 0.9, 0.99]::DOUBLE[]) AS part)""",
     "stream_delivered_once": _with() + _READY,
     "ready_from_snapshot": _with() + _READY,
     "pending_from_snapshot": _with(as_of=str(MIDWAY_MS + 86_400_000))

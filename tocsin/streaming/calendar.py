@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -67,25 +66,16 @@ class Calendar:
         fields = [("id", StringType()), ("arrival_ms", LongType()), ("seq", seq.dataType), ("exec_ms", LongType()),
                   ("at_ms", LongType()), ("version", LongType()), ("kind", StringType()), ("block", LongType())]
         schema = StructType([StructField(name, kind) for name, kind in fields])
-        used = [self._path(run.name) for run in runs if run.rows]
+        used = [self._path(run.name) for run in runs]
         if not used:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).option("basePath", self.path).parquet(*used).drop("run")
 
-    def write(self, rows: DataFrame, name: str, horizon: int) -> dict[str, tuple[int, int]]:
-        """Writes a run, or writes it again; per kind the number of rows and the first time."""
+    def write(self, rows: DataFrame, name: str, horizon: int) -> None:
+        """Writes a run, or writes it again."""
         placed = rows.withColumn("block", _block(F.col("at_ms"), horizon))
         placed = placed.hint("rebalance", "kind", "block")
         placed.write.mode("overwrite").partitionBy("kind", "block").parquet(self._path(name))
-        fields = StructType([StructField("at_ms", LongType()), StructField("kind", StringType())])
-        try:
-            written = rows.sparkSession.read.schema(fields).parquet(self._path(name))
-            found = written.groupBy("kind").agg(F.count(F.lit(1)), F.min("at_ms")).collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            found = []
-        return {kind: (n, first) for kind, n, first in found}
 
     def holding(self, rows: DataFrame) -> DataFrame:
         """Of rows that arm or take back schedules, those that hold."""
@@ -113,9 +103,10 @@ class Calendar:
                 F.max(F.struct("version", F.col("kind") == WAITS, "arrival_ms", "seq", "at_ms", "kind")).alias("last"))
             kept = last.select("id", *(F.col("last")[c].alias(c) for c in ("arrival_ms", "seq")), "exec_ms",
                                *(F.col("last")[c].alias(c) for c in ("at_ms", "version", "kind")))
-            written = self.write(kept.unionByName(rows.where(~settled)), name, horizon)
+            self.write(kept.unionByName(rows.where(~settled)), name, horizon)
             runs = [run for run in runs if run not in group]
-            runs.append(Run(name, sum(n for n, _ in written.values())))
+            written = self.rows(spark, seq, [Run(name, 1)]).count()
+            runs += [Run(name, written)] if written else []
 
     def first_after(self, rows: DataFrame, horizon: int) -> int | None:
         """The first time after the horizon at which something may come due."""

@@ -265,7 +265,11 @@ class PendingTable:
         judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             changes = self._changes(judged, new, marks)
-            written = self.calendar.write(changes, str(marks.version), marks.horizon)
+            self.calendar.write(changes, str(marks.version), marks.horizon)
+            sent = judged.where(F.col("outcome") == FIRED).select(F.col("exec_ms").alias("at_ms"), F.lit(FIRED).alias("kind"))
+            seen = changes.select("at_ms", "kind").unionByName(sent).groupBy("kind")
+            written = {kind: (n, first) for kind, n, first in seen.agg(F.count(F.lit(1)), F.min("at_ms")).collect()}
+            fired, _ = written.pop(FIRED, (0, None))
             run = Run(str(marks.version), sum(n for n, _ in written.values()))
             runs = [*before.runs, *([run] if run.rows else [])]
             runs = self.calendar.merged(spark, seq, runs, marks.version, marks.horizon)
@@ -275,7 +279,7 @@ class PendingTable:
             elif before.runs:
                 firsts.append(self.calendar.first_after(stored, marks.horizon))
             due = min((first for first in firsts if first is not None), default=None)
-            self._send(judged, stored, arrived, before, marks, number)
+            self._send(judged, fired, stored, arrived, before, marks, number)
             self._store(spark, marks._replace(next_due=due, runs=runs))
         finally:
             judged.unpersist()
@@ -297,12 +301,11 @@ class PendingTable:
         return changes.withColumn("version", F.lit(marks.version).cast("bigint"))
 
     def _send(
-        self, judged: DataFrame, stored: DataFrame, arrived: int, before: Marks, marks: Marks, number: int
+        self, judged: DataFrame, fired: int, stored: DataFrame, arrived: int, before: Marks, marks: Marks, number: int
     ) -> None:
-        fired = judged.where(F.col("outcome") == FIRED)
-        if not fired.isEmpty():
+        if fired:
             for sink in self.sinks:
-                sink(ready_records(fired, self.policy), number)
+                sink(ready_records(judged.where(F.col("outcome") == FIRED), self.policy), number)
         if self.all_timers:
             earlier = stored.where(
                 (F.col("kind") == IN_VAIN) & (F.col("at_ms") > before.horizon) & (F.col("block") <= marks.horizon))
