@@ -8,6 +8,11 @@ fired by then and nothing was expected.
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,6 +21,9 @@ from tocsin.operators.resolve import ORDER, history, log_stats
 from tocsin.operators.slices import TARGET_ROWS, Slices, assign_slices, plan_slices, slice_list
 from tocsin.schema import FIRED, REQUESTED, STALE
 
+# Ship the code below with the job, so that executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _POSITION = ["t", "kind", "seq"]
 
 
@@ -90,21 +98,32 @@ def _carried(placed: DataFrame, slices: Slices) -> DataFrame:
     )
 
 
+def _distinct_in_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal timers of a batch as one."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        yield from table.group_by(batch.schema.names).aggregate([]).cast(batch.schema).to_batches()
+
+
 def _held_sliced(
     scheduled: DataFrame, slices: Slices, as_of: int, earlier: DataFrame | None = None
 ) -> DataFrame:
     """As above with hot ids cut into slices, each starting from what the one before left.
 
-    Equal timers are merged on the way, as any number may fall on one moment and no cut could
-    part them. The line is shuffled once: what a slice carries over is read off its exchange.
+    A timer goes to the slice of its own time, so equal ones meet there whatever slices their
+    requests are in, and one exchange serves all. Any number of a hot id may fall on one moment,
+    which no cut could part; those are merged before they are sent.
     """
-    timers = scheduled.where(F.col("exec_ms") <= as_of).select("id", "exec_ms")
-    timers = (timers if earlier is None else timers.unionByName(earlier)).distinct()
-    line = scheduled.select("id", *_as_request()).unionByName(
-        timers.select("id", *_as_timer(scheduled))
-    )
+    line = _line(scheduled, as_of)
+    if earlier is not None:
+        line = line.unionByName(earlier.select("id", *_as_timer(scheduled)))
     placed = assign_slices(line, slices, F.struct(*_POSITION)).drop("_next_cut")
-    placed = placed.repartition("id", "_slice")
+    crowd = F.col("_slice").isNotNull() & (F.col("kind") == 1)
+    merged = placed.where(crowd).select("id", "t", "_slice")
+    merged = merged.mapInArrow(_distinct_in_batches, merged.schema)
+    nothing = [F.lit(None).cast(placed.schema[name].dataType).alias(name) for name in ("seq", "held")]
+    merged = merged.select("id", "t", F.lit(1).alias("kind"), *nothing, "_slice")
+    placed = placed.where(~crowd).unionByName(merged).repartition("id", "_slice")
     return (
         _held_at_timers(placed, "id", "_slice")
         .join(F.broadcast(_carried(placed, slices)), ["id", "_slice"], "left")
