@@ -75,6 +75,77 @@ def test_words_beyond_the_frequent_are_joined(spark, monkeypatch):
     assert sorted(values, key=repr) == _base(rows)
 
 
+def test_scores_are_those_of_plain_sums(spark, monkeypatch):
+    """Pairs of neighbours, class sizes and the score of each text, worked out word by word from
+    the trained vectors."""
+    monkeypatch.setattr(lm.most_frequent, "__defaults__", (30,))
+    chance = random.Random(6)
+    common = [f"w{i}" for i in range(40)]
+    rows = ODD + [
+        (200 + i, " ".join(chance.choices(common, k=chance.randint(0, 30)) + [f"rare{chance.randrange(60)}."]), "en")
+        for i in range(80)
+    ]
+    caught = {}
+    train = lm.train
+
+    def caught_train(pairs):
+        caught["pairs"] = {(row.a, row.b): row.n for row in pairs.collect()}
+        caught["vectors"], totals = train(pairs)
+        return caught["vectors"], totals
+
+    monkeypatch.setattr(lm, "train", caught_train)
+    got = sorted((repr(r.doc_id), r.n_tokens, round(r.score, 3)) for r in lm.scores(_docs(spark, rows)).collect())
+
+    learnt = [t for i, t, _ in rows if _rest(i, 10)]
+    counts = Counter(w for t in learnt for w in _words(t))
+    ranked = sorted(counts, key=lambda w: (-counts[w], w.encode()))[:30]
+
+    def class_of(word):
+        if word in ranked[: lm.OWN_CLASSES]:
+            return ranked.index(word)
+        ending = word.encode().rstrip(b".,;:!?")[-3:]
+        return lm.OWN_CLASSES + zlib.crc32(ending) % lm.ENDING_CLASSES
+
+    pairs = Counter()
+    for text in learnt:
+        line = [lm.END, *_words(text)]
+        pairs.update((class_of(a), class_of(b)) for a, b in zip(line, line[1:]))
+    assert caught["pairs"] == pairs
+
+    sizes = Counter()
+    for word, n in counts.items():
+        sizes[class_of(word)] += n + 0.1
+    before, after, bias = (np.array(v, dtype=float) for v in caught["vectors"])
+    want = []
+    for i, text, _ in rows:
+        score, last = 0.0, class_of(lm.END)
+        words = _words(text)
+        for word in words:
+            logits = after @ before[last] + bias
+            last = class_of(word)
+            size = sizes[last] + (0.1 if last >= lm.OWN_CLASSES else 0)
+            share = (counts[word] + 0.1) / max(size, 0.1)
+            score += math.log10(math.exp(logits[last] - logits.max()) / np.exp(logits - logits.max()).sum() * share)
+        want.append((repr(i), len(words), score))
+    for (i, n, value), (j, m, other) in zip(got, sorted(want)):
+        assert (i, n) == (j, m) and abs(value - other) <= 1e-3 + 1e-4 * abs(other)
+
+
+def test_words_that_share_a_hash_are_told_apart(spark):
+    rows = [(1, "first", 3), (1, "second", 9), (2, "third", 5), (3, "fourth", 4)]
+    counts = spark.createDataFrame(rows, "hash long, word string, n long")
+    assert list(lm.most_frequent(counts, 1).place) == [b"second", b"first"]
+    assert list(lm.most_frequent(counts, 3).place) == [b"second", b"third", b"fourth", b"first"]
+
+
+def test_what_a_worker_remembers_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(lm, "CACHE_BYTES", 100_000)
+    lexicon = lm.Lexicon(lm.Frequent({b"the": 0}, np.array([5])))
+    for i in range(30):
+        lexicon.sequences([f"{i:05d}" + "x" * 20_000 + " the"] * 2)
+        assert sum(map(len, lexicon.number)) <= lexicon.held <= 100_000 + 21_000
+
+
 def test_model_beats_the_base_on_held_out_texts(scored):
     held = scored[scored.held_out]
     assert held.score.sum() > held.base_score.sum()

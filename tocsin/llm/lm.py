@@ -17,9 +17,10 @@ share of one more word in their class.
 Counts of all words are kept in a table and joined to the words of each text; only the most
 frequent ones, a bounded number, go along with the tasks.
 
-Null and empty texts are a single end. Repeated rows are counted and scored each on its own.
-Without texts to learn from every word is as likely as its smoothing makes it. Nothing depends on
-columns other than key and text.
+Null and empty texts are a single end. Repeated rows are counted and scored each on its own, very
+long texts as a whole. Equally frequent words are ordered by their letters. Without texts to learn
+from every word is as likely as its smoothing makes it. An empty table gives no rows. Nothing
+depends on columns other than key and text, whatever their names.
 """
 
 from __future__ import annotations
@@ -60,8 +61,10 @@ SEED = 5
 # A class before is held to the middle as if by so many occurrences.
 PRIOR = 20.0
 
-# Words that a Python worker remembers before it starts afresh.
-CACHE_WORDS = 500_000
+# Bytes of words, roughly, that a Python worker remembers before it starts afresh; it may hold what
+# one batch brings on top. A word costs some bytes besides its letters.
+CACHE_BYTES = 80 << 20
+_WORD_BYTES = 160
 
 # The end of a text. Words hold no white space, so no word is spelled like it.
 END = " "
@@ -109,8 +112,12 @@ def word_counts(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int = FREQUENT) -> Frequent:
-    """At most `most` words come to the driver."""
-    rows = counts.orderBy(F.desc("n"), "word").limit(most).select("word", "n").toArrow()
+    """At most `most` words come to the driver, and those few that share their hash with another
+    word: the others can be told apart by it."""
+    twice = counts.groupBy("hash").agg(F.count(F.lit(1)).alias("words")).where("words > 1").select("hash")
+    alike = counts.join(twice, "hash", "left_semi").select("word", "n")
+    first = counts.orderBy(F.desc("n"), "word").limit(most).select("word", "n")
+    rows = first.unionByName(alike).distinct().orderBy(F.desc("n"), "word").toArrow()
     words = [word.encode() for word in rows.column("word").to_pylist()]
     return Frequent({word: i for i, word in enumerate(words)}, rows.column("n").to_numpy())
 
@@ -125,6 +132,7 @@ class Lexicon:
         self._forget()
 
     def _forget(self) -> None:
+        self.held = 0
         self.number: dict[bytes, int] = {}
         self.classes, self.logs = array("i"), array("d")
         self.hashes, self.common = array("q"), array("b")
@@ -140,6 +148,7 @@ class Lexicon:
         self.hashes.append(h - (1 << 64) if h >> 63 else h)
         self.common.append(place is not None)
         number = self.number[word] = len(self.classes) - 1
+        self.held += _WORD_BYTES + len(word)
         return number
 
     def column(self, name: str, kind: type) -> np.ndarray:
@@ -149,7 +158,7 @@ class Lexicon:
     def sequences(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words of all texts one after another, an end before and after each text,
         and where the texts stop."""
-        if len(self.number) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self._forget()
         find, end = self.number.get, self.end
         numbers: list[int] = []
