@@ -116,6 +116,15 @@ def test_fingerprints_and_groups(spark):
     assert sorted(((r.key, r.component) for r in rows), key=repr) == want
 
 
+def test_names_that_clash(spark):
+    docs = _docs(spark)
+    odd = docs.selectExpr("doc_id", "text", "'k' AS key", "1 AS fingerprint", "2 AS component", "3 AS root", "4 AS r")
+    plain = sorted((r.key, r.fingerprint, r.component) for r in simhash.groups(docs).where("key IS NOT NULL").collect())
+    assert sorted((r.key, r.fingerprint, r.component) for r in simhash.groups(odd).where("key IS NOT NULL").collect()) == plain
+    kept = simhash.one_of_each(odd)
+    assert kept.columns == odd.columns and kept.count() == simhash.one_of_each(docs).count()
+
+
 def test_one_of_each(spark):
     docs = _docs(spark)
     kept = simhash.one_of_each(docs)

@@ -344,6 +344,14 @@ def test_the_set_of_languages_is_nearly_the_best_of_all_subsets():
     assert good >= 55
 
 
+def test_a_dirty_language_column(spark, monkeypatch):
+    """Of many values those of most rows are learnt."""
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    rows = _talk() + [(1000 + i, _spoken("xx", 20, i), f"junk {i}") for i in range(50)]
+    got = langid.languages(_docs(spark, rows)).collect()
+    assert {r.lang_pred for r in got} == {"xx", "yy"} and len(got) == len(rows)
+
+
 def rows_text(i):
     return _talk()[i][1]
 

@@ -8,7 +8,8 @@ white space thus costs what its fragments cost.
 
 Null texts count as empty and give no ids. A null list of ids decodes to the empty text. Repeated
 rows are encoded each on its own; other columns pass through untouched, except that columns
-called like the result are replaced.
+called like the result are replaced. An empty table gives no rows. Ties between merges cannot occur,
+as each merge has a rank of its own.
 """
 
 from __future__ import annotations

@@ -39,6 +39,10 @@ SMOOTHING = 0.5
 # bins that no language uses would make up for it.
 STRICT_SMOOTHING = 0.01
 
+# Values of the language column that are learnt, those of most rows first: a bound for a column that
+# holds anything but languages.
+MOST_LANGUAGES = 256
+
 ROUNDS = 8
 ROUNDS_LESS = 4
 
@@ -190,12 +194,14 @@ def learnable(key: str = "doc_id") -> Column:
 
 
 def train(documents: DataFrame, learn: Column, text: str = "text", lang: str = "lang") -> Model:
-    """Counts over all rows that `learn` admits. What comes to the driver is BINS numbers a
-    language at most."""
+    """Counts over all rows that `learn` admits. What comes to the driver is BINS numbers for each
+    of MOST_LANGUAGES at most."""
     small_batches(documents.sparkSession)
     known = documents.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
     known = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    languages = sorted(row.lang for row in known.select("lang").distinct().collect())
+    spoken = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    languages = sorted(row.lang for row in spoken.limit(MOST_LANGUAGES).collect())
+    known = known.where(F.col("lang").isin(languages))
     if not languages:
         return Model([], np.zeros((BINS, 0)), np.zeros((BINS, 0)), np.zeros((3, 256)))
     counted = (

@@ -9,7 +9,9 @@ into a probability.
 The fit takes at most SAMPLE labelled rows, chosen by hash; scores cover every row. Null and empty
 texts have all statistics zero and are scored like others. Labels without id or value are left
 out; of several labels of an id the mean decides, half counting as good. Labels of one kind only
-give that kind's share as every score, no labels 0.5. Repeated rows score alike.
+give that kind's share as every score, no labels 0.5. Repeated rows score alike, equal raw scores too. Texts
+of any length are described whole. An empty table gives no rows. Columns other than the key and the
+text take no part in a score and pass through `good_only`, whatever their names.
 """
 
 from __future__ import annotations

@@ -8,8 +8,9 @@ paths inside the siblings stay as they are. A shard added as a region of its own
 into itself.
 
 The law is `key`: key and shard count alone decide. Equal rows share a shard and hold adjacent
-slots. A null key is hashed as an empty text with a mark of its own; null texts have no bytes.
-An empty table gives an empty result.
+slots; equal draws go to the child named first. A null key is hashed as an empty text with a mark of
+its own; null texts have no bytes, texts of any length count whole. An empty table gives an empty
+result, and other columns take no part, whatever their names.
 """
 
 from __future__ import annotations

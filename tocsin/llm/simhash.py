@@ -11,8 +11,10 @@ by the same rule: the other half has two quarters, one of which differs in at mo
 agrees in a variant of those too has 18 free bits left, which bounds the last comparison.
 
 Null and empty texts have fingerprint zero and link like any other. Rows without id take part and
-get the least id that they reach, if any. Repeated rows are members of the same class. An empty
-table gives an empty result.
+get the least id that they reach, if any. Repeated rows are members of the same class. Texts of any
+length are fingerprinted whole; a bit that exactly half the hashes have is 0. An empty table gives
+an empty result. Other columns take no part in groups and pass through `one_of_each`, whatever
+their names.
 """
 
 from __future__ import annotations
