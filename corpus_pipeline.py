@@ -1,7 +1,14 @@
 """From raw documents to token ids: quality, language, near-duplicates, mix, ids.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again as
-the next one's documents. All but the last return the columns of the documents.
+the next one's documents. All but the last return the columns of the documents, whatever else these
+hold and however it is named.
+
+A null text counts as empty. The quality stage scores it like others, the language stage drops it,
+as it has no letters. Texts of any length are taken whole. Repeated rows fall or stay alike up to the
+near-duplicate stage, which keeps one row of each group, null ids included; ties go to the smaller
+id and then to the digest of the text. Labels of which half are good count as good. An empty table
+passes through all stages.
 """
 
 from __future__ import annotations
@@ -19,7 +26,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what has no letters, or in which no known language is to be made out."""
+    """Drops what has no letters, or whose words fit a background of letters better than all known
+    languages together."""
     return langid.known_only(docs)
 
 
