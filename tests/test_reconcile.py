@@ -149,6 +149,20 @@ def test_reconciliation_is_zero(spark):
         assert row.missing == 0 and row.difference == "0" and row.n > 0
 
 
+def test_scratch_tables_go_with_their_block(spark):
+    from tocsin.session import scratch_tables, staged
+
+    before = staged(spark.range(3), "outside")
+    with scratch_tables(spark):
+        inside = staged(spark.range(5), "inside")
+        assert inside.count() == 5
+        folder = inside.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    from pathlib import Path
+
+    assert not Path(folder.replace("//", "/")).exists()
+    assert before.count() == 3
+
+
 def test_outcomes_of_batch_add_up(spark):
     resolved = resolve(spark.createDataFrame(rows(), SCHEMA), 45_000)
     found = {row.outcome: row.n for row in tally(timer_outcomes(resolved, 45_000)).collect()}

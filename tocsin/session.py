@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,12 +66,34 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Folders of the tables that are to go when a block of `scratch_tables` ends; none outside of one.
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the tables that `staged` has written inside.
+
+    Put the use of a result inside as well: a DataFrame that was made here reads them.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for folder in _SCRATCH.pop():
+            path = hadoop.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(rows: DataFrame, name: str) -> DataFrame:
     """Write rows to the shared folder and read them back.
 
     For rows that are dear to derive and used more than once: a lost executor then costs a
-    re-read, not a re-run of what led to them.
+    re-read, not a re-run of what led to them. The tables stay until `scratch_tables` removes them.
     """
     path = shared_folder(rows.sparkSession, name)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
