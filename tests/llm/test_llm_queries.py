@@ -23,6 +23,12 @@ CONTRACT = {
     "op9_ann": "query_id bigint, rank int, vec_id bigint, score double",
     "op10_sharding": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint,"
     " grown_shard int",
+    "op11_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint,"
+    " offset bigint",
+    "op12_repair": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint,"
+    " cost bigint, audit string, repaired_sha256 string",
+    "op13_alignment": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint,"
+    " count_sum bigint, groups_sha256 string",
 }
 
 
@@ -46,5 +52,5 @@ def test_columns(spark, name):
         assert kinds[column] == kind
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_operators_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
