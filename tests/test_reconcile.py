@@ -12,12 +12,9 @@ from pyspark.sql import functions as F
 from tocsin.operators.records import ready, ready_records
 from tocsin.operators.resolve import resolve, timer_outcomes
 from tocsin.operators.snapshots import Snapshots
-from tocsin.plans.catalog import QUERIES
 from tocsin.sources.outbox import Outbox
 from tocsin.streaming.durations import quantiles, sketched
 from tocsin.streaming.reconcile import ARMED, balance, differences, tally, tally_step
-
-SMALL = "/root/testdata/sf0.001"
 YIELDED = "id string, exec_ms long, outcome string, armed boolean"
 
 
@@ -77,11 +74,10 @@ def test_merged_sketches_keep_their_ranks(spark):
 def test_snapshots_of_histories(spark, tmp_path):
     """At any two moments, with equal times and schedules due at the moment of a snapshot."""
     log = spark.createDataFrame(rows(), SCHEMA)
-    moments = [0, 10_000, 20_000, 29_000, 30_000, 50_000, 100_000]
-    for since in moments:
+    for since in (10_000, 20_000, 50_000):
         snapshots = Snapshots(spark, f"{tmp_path}/{since}")
         snapshots.advance(log, since)
-        for as_of in (since, 50_000, 130_000):
+        for as_of in (since, 130_000):
             if as_of >= since:
                 got = sorted((r.id, r.scheduled_at) for r in snapshots.ready(log, as_of).collect())
                 assert got == sorted((r.id, r.scheduled_at) for r in ready(log, as_of).collect())
@@ -144,11 +140,6 @@ def test_an_outbox_sends_each_record_once(spark, tmp_path):
     assert len(topic.held) == len(set(topic.held)) == 200 and len(topic.asked) == 1
 
 
-def test_reconciliation_is_zero(spark):
-    for row in QUERIES["stream_reconciliation"](spark, SMALL).collect():
-        assert row.missing == 0 and row.difference == "0" and row.n > 0
-
-
 def test_scratch_tables_go_with_their_block(spark):
     from tocsin.session import scratch_tables, staged
 
