@@ -88,9 +88,10 @@ def test_scores_are_those_of_plain_sums(spark, monkeypatch):
     caught = {}
     train = lm.train
 
-    def caught_train(pairs):
-        caught["pairs"] = {(row.a, row.b): row.n for row in pairs.collect()}
-        caught["vectors"], totals = train(pairs)
+    def caught_train(pairs, classes):
+        caught["pairs"] = {divmod(row.pair, classes.total): row.n for row in pairs.collect()}
+        caught["classes"] = classes
+        caught["vectors"], totals = train(pairs, classes)
         return caught["vectors"], totals
 
     monkeypatch.setattr(lm, "train", caught_train)
@@ -100,11 +101,13 @@ def test_scores_are_those_of_plain_sums(spark, monkeypatch):
     counts = Counter(w for t in learnt for w in _words(t))
     ranked = sorted(counts, key=lambda w: (-counts[w], w.encode()))[:30]
 
+    own, total = caught["classes"]
+
     def class_of(word):
-        if word in ranked[: lm.OWN_CLASSES]:
+        if word in ranked[:own]:
             return ranked.index(word)
         ending = word.encode().rstrip(b".,;:!?")[-3:]
-        return lm.OWN_CLASSES + zlib.crc32(ending) % lm.ENDING_CLASSES
+        return own + zlib.crc32(ending) % (total - own)
 
     pairs = Counter()
     for text in learnt:
@@ -123,7 +126,7 @@ def test_scores_are_those_of_plain_sums(spark, monkeypatch):
         for word in words:
             logits = after @ before[last] + bias
             last = class_of(word)
-            size = sizes[last] + (0.1 if last >= lm.OWN_CLASSES else 0)
+            size = sizes[last] + (0.1 if last >= own else 0)
             share = (counts[word] + 0.1) / max(size, 0.1)
             score += math.log10(math.exp(logits[last] - logits.max()) / np.exp(logits - logits.max()).sum() * share)
         want.append((repr(i), len(words), score))
@@ -140,7 +143,7 @@ def test_words_that_share_a_hash_are_told_apart(spark):
 
 def test_what_a_worker_remembers_is_bounded_by_bytes(monkeypatch):
     monkeypatch.setattr(lm, "CACHE_BYTES", 100_000)
-    lexicon = lm.Lexicon(lm.Frequent({b"the": 0}, np.array([5])))
+    lexicon = lm.Lexicon(lm.Frequent({b"the": 0}, np.array([5])), lm.classes_for(5))
     for i in range(30):
         lexicon.sequences([f"{i:05d}" + "x" * 20_000 + " the"] * 2)
         assert sum(map(len, lexicon.number)) <= lexicon.held <= 100_000 + 21_000
@@ -156,33 +159,72 @@ def test_model_beats_the_base_on_held_out_texts(scored):
 def test_probabilities_are_normalised(spark):
     """Over classes after any class, and over the words of a class with one unseen."""
     random_ = np.random.default_rng(1)
-    shape = (lm.CLASSES, lm.DIMENSIONS)
-    vectors = lm.Vectors(random_.normal(size=shape), random_.normal(size=shape), random_.normal(size=lm.CLASSES))
-    assert np.allclose((10 ** vectors.log_probabilities().astype(float)).sum(axis=1), 1, atol=1e-3)
+    shape = (2048, lm.DIMENSIONS)
+    vectors = lm.Vectors(random_.normal(size=shape), random_.normal(size=shape), random_.normal(size=2048))
+    found = lm.norms(spark, vectors)
+    assert np.allclose(np.exp(vectors.logits(slice(None)) - found[:, None]).sum(axis=1), 1, atol=1e-3)
     rows = [(100 + i, " ".join(f"w{j}" for j in range(i)), "en") for i in range(1700, 1704)]
     counts = lm.word_counts(_docs(spark, rows).select("text"))
-    frequent = lm.most_frequent(counts)
-    sizes = lm.class_sizes(counts, frequent)
-    mass = np.zeros(lm.CLASSES)
+    frequent, classes = lm.most_frequent(counts), lm.Classes(1536, 2048)
+    told = spark.sparkContext.broadcast((tuple(frequent), tuple(classes)))
+    sizes = lm.class_sizes(counts, told, frequent, classes)
+    mass = np.zeros(classes.total)
     for row in counts.collect():
-        own = frequent.class_of(row.word.encode())
+        own = frequent.class_of(row.word.encode(), classes)
         mass[own] += (row.n + lm.SMOOTHING) / 10 ** sizes[own]
-    own = np.arange(lm.CLASSES) >= lm.OWN_CLASSES
+    own = np.arange(classes.total) >= classes.own
     mass[own] += lm.SMOOTHING / 10 ** sizes[own]
     used = mass > 0
     assert np.allclose(mass[used], 1)
 
 
-def test_contrast_steps_learn_what_follows():
-    """Two kinds of context with different followers."""
-    pairs = np.zeros((4, lm.CLASSES), dtype=np.float32)
+@pytest.mark.parametrize("at_once", [2, 256])
+def test_contrast_steps_learn_what_follows(monkeypatch, at_once):
+    """Two kinds of context with different followers, all contexts at once or some at a time."""
+    monkeypatch.setattr(lm, "STEP_CONTEXTS", at_once)
+    pairs = np.zeros((4, 2048), dtype=np.float32)
     pairs[:2, 10], pairs[2:, 20] = 500, 500
     noise = (pairs.sum(axis=0) + 1) / (pairs.sum(axis=0) + 1).sum()
     found = lm.contrast_steps(lm._start(noise), np.arange(4), pairs, noise.astype(np.float32), 60)
-    logs = found.log_probabilities()
+    logs = found.logits(slice(None)) / math.log(10)
     assert (logs[:2, 10] > logs[:2, 20] + 0.5).all() and (logs[2:4, 20] > logs[2:4, 10] + 0.5).all()
 
 
+def test_classes_grow_with_the_corpus():
+    sizes = [lm.classes_for(10**k).total for k in range(0, 16)]
+    assert sizes == sorted(sizes) and sizes[0] == lm.CLASS_STEP and sizes[-1] == lm.MOST_CLASSES
+    for tokens in (10**7, 10**8, 10**9):
+        assert 0.8 < lm.classes_for(tokens).total ** 2 / (tokens / 4) < 1.25
+        assert lm.classes_for(tokens).own < lm.FREQUENT
+    assert lm.classes_for(10**15).own < lm.FREQUENT
+
+
+def test_pairs_passed_on_early_and_many_blocks(spark, monkeypatch):
+    """The same counts when a task may hold few pairs; vectors of all classes from many blocks."""
+    rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(50)), "en") for i in range(300)]
+    texts = _docs(spark, rows).select("text")
+    counts = lm.word_counts(texts)
+    told = spark.sparkContext.broadcast((tuple(lm.most_frequent(counts)), tuple(lm.classes_for(0))))
+    monkeypatch.setattr(lm, "BLOCK_CONTEXTS", 10)
+    monkeypatch.setattr(lm, "ROUNDS", 2)
+
+    def counted():
+        # The functions' own module is what travels to the workers.
+        pairs = texts.mapInArrow(lm._pair_counts(told), "pair bigint, n bigint")
+        return pairs.groupBy("pair").agg(F.sum("n").alias("n"))
+
+    whole = {row.pair: row.n for row in counted().collect()}
+    monkeypatch.setattr(lm, "HELD_PAIRS", 50)
+    pairs = counted()
+    assert {row.pair: row.n for row in pairs.collect()} == whole
+    vectors, totals = lm.train(pairs, lm.classes_for(0))
+    assert totals.sum() == sum(len(_words(t)) for _, t, _ in rows) == sum(whole.values())
+    start = lm._start((totals + 1) / (totals + 1).sum())
+    moved = (vectors.before != start.before).any(axis=1)
+    assert {pair // lm.CLASS_STEP for pair in whole} == set(np.flatnonzero(moved).tolist())
+    assert np.isfinite(vectors.after).all() and (vectors.after != start.after).any(axis=1).all()
+
+
 def test_nothing_to_learn_from(spark):
     assert lm.scores(_docs(spark, ODD).limit(0)).collect() == []
     held = [i for i in range(200) if _rest(i, 10) == 0][:3]

@@ -1,18 +1,20 @@
 """Language-model scores from a log-bilinear model.
 
-Words are put into a bounded number of classes: the most frequent words are classes of their own,
-all others share a class by their ending. A class's vector, scaled by a learnt vector for the
-position before, predicts the next class's vector; exp of their product plus a bias is the
-unnormalised probability. Training is noise-contrastive: pairs of neighbours from the corpus are
-told from pairs whose second class is drawn from the class frequencies. With one word of context
-the corpus enters only by how often each pair of classes occurs, so Spark counts the pairs over all
-texts and the loss is taken over the counts, with the noise in expectation instead of drawn. Pairs
-are dealt to tasks by their first class; each task takes steps in numpy on its own part, and the
-shared vectors are averaged between rounds.
-
-Scores are normalised: one matrix product gives every class's probability after every class, and a
-word gets its class's probability times its smoothed share of the class. Words never seen have the
-share of one more word in their class.
+Words are put into classes: the most frequent words are classes of their own, all others share a
+class by their ending. Classes grow with the root of the corpus, so the pairs of classes that are
+learnt grow with the corpus itself. A class's vector, scaled by a learnt vector for the position
+before, predicts the next class's vector; exp of their product plus a bias is the unnormalised
+probability. Training is noise-contrastive: pairs of neighbours from the corpus are told from pairs
+whose second class is drawn from the class frequencies. With one word of context the corpus enters
+only by how often each pair of classes occurs, so Spark counts the pairs over all texts and the
+loss is taken over the counts, with the noise in expectation instead of drawn. Pairs are dealt to
+blocks by their first class; a block is learnt by steps in numpy in one task, holds a bounded table
+however many classes there are, and the vectors that blocks share are averaged by Spark between
+rounds.
+
+Scores are normalised: matrix products give what all classes sum up to after each class, in blocks
+of classes, and a word gets its class's probability times its smoothed share of the class. Words
+never seen have the share of one more word in their class.
 
 Counts of all words are kept in a table and joined to the words of each text; only the most
 frequent ones, a bounded number, go along with the tasks.
@@ -33,7 +35,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tocsin.llm.common import crc_mod, keep_table, small_batches
@@ -42,17 +44,26 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SMOOTHING = 0.1
 
-# Words with a class of their own, and classes for the endings of all others.
-OWN_CLASSES = 1_536
-ENDING_CLASSES = 512
-CLASSES = OWN_CLASSES + ENDING_CLASSES
+# Classes come in steps, one step for each so many roots of a token, up to a number that leaves
+# words with a class of their own among the frequent ones and the vectors small enough to send.
+CLASS_STEP = 256
+TOKEN_ROOTS = 512
+MOST_CLASSES = 131_072
 
 # Words whose counts go along with the tasks; all others are joined.
 FREQUENT = 100_000
 
+# Numbers in a block's table of pairs, contexts in a block, and contexts in one step.
+BLOCK_CELLS = 1 << 23
+BLOCK_CONTEXTS = 512
+STEP_CONTEXTS = 256
+STEP_CELLS = 1 << 21
+
+# Distinct pairs that a counting task holds before it passes them on.
+HELD_PAIRS = 2_000_000
+
 DIMENSIONS = 32
 NOISE = 10
-BLOCKS = 8
 ROUNDS = 6
 STEPS = 25
 RATE = 0.05
@@ -83,11 +94,24 @@ def words_of(text: Column) -> Column:
     return F.concat(found, F.array(F.lit(END)))
 
 
-def _ending(word: bytes) -> int:
-    """Class by the last three letters, sentence marks left off."""
-    from zlib import crc32
+class Classes(NamedTuple):
+    """How many words have a class of their own, and how many classes there are in all."""
+
+    own: int
+    total: int
+
+    def ending(self, word: bytes) -> int:
+        """Class by the last three letters, sentence marks left off."""
+        from zlib import crc32
 
-    return OWN_CLASSES + crc32(word.rstrip(b".,;:!?")[-3:]) % ENDING_CLASSES
+        return self.own + crc32(word.rstrip(b".,;:!?")[-3:]) % (self.total - self.own)
+
+
+def classes_for(tokens: int) -> Classes:
+    """Classes for a corpus: pairs of classes in proportion to its tokens."""
+    steps = min(max(1, round(tokens**0.5 / TOKEN_ROOTS)), MOST_CLASSES // CLASS_STEP)
+    total = steps * CLASS_STEP
+    return Classes(total * 3 // 4, total)
 
 
 class Frequent(NamedTuple):
@@ -96,9 +120,9 @@ class Frequent(NamedTuple):
     place: dict[bytes, int]
     counts: np.ndarray
 
-    def class_of(self, word: bytes) -> int:
-        place = self.place.get(word, OWN_CLASSES)
-        return place if place < OWN_CLASSES else _ending(word)
+    def class_of(self, word: bytes, classes: Classes) -> int:
+        place = self.place.get(word, classes.own)
+        return place if place < classes.own else classes.ending(word)
 
 
 # --- counting -------------------------------------------------------------------------------
@@ -126,8 +150,8 @@ class Lexicon:
     """Words met so far in a Python worker, numbered: class, log10 of the smoothed count where the
     word is frequent, else its hash."""
 
-    def __init__(self, frequent: Frequent) -> None:
-        self.frequent = frequent
+    def __init__(self, frequent: Frequent, classes: Classes) -> None:
+        self.frequent, self.of = frequent, classes
         self.logs_by_place = np.log10(frequent.counts + SMOOTHING)
         self._forget()
 
@@ -143,7 +167,7 @@ class Lexicon:
 
         place = self.frequent.place.get(word)
         h = 0 if place is not None else xxh64_intdigest(word, 42)
-        self.classes.append(self.frequent.class_of(word))
+        self.classes.append(self.frequent.class_of(word, self.of))
         self.logs.append(0.0 if place is None else self.logs_by_place[place])
         self.hashes.append(h - (1 << 64) if h >> 63 else h)
         self.common.append(place is not None)
@@ -178,25 +202,42 @@ class Lexicon:
         return np.array(numbers, dtype=np.int64), np.array(stops, dtype=np.int64)
 
 
+def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs in order, with the sum of each one's counts."""
+    found, place = np.unique(np.concatenate(pairs), return_inverse=True)
+    return found, np.bincount(place, np.concatenate(counts), len(found)).astype(np.int64)
+
+
 def _pair_counts(shared):
-    """Each task's counts of neighbouring classes: a bounded table of numbers."""
+    """Counts of neighbouring classes, summed in each task over as many pairs as it may hold. A
+    pair is one number: first class times number of classes, plus second class."""
+
+    def passed_on(pairs: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(pairs), 100_000):
+            part = slice(start, start + 100_000)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[part]), pa.array(counts[part])], names=["pair", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CLASSES * CLASSES, dtype=np.int32)
-        lexicon = Lexicon(Frequent(*shared.value))
+        frequent, classes = shared.value
+        lexicon = Lexicon(Frequent(*frequent), Classes(*classes))
+        total = classes[1]
+        pairs, counts, held, distinct = [], [], 0, 0
         for batch in batches:
             numbers, stops = lexicon.sequences(batch.column(0).to_pylist())
-            classes = lexicon.column("classes", np.int32)[numbers].astype(np.int64)
-            pairs = classes[:-1] * CLASSES + classes[1:]
+            found = lexicon.column("classes", np.int32)[numbers].astype(np.int64)
             # What leads from one text to the next is no pair.
-            np.add.at(total, np.delete(pairs, stops[:-1] - 1), 1)
-        some = np.flatnonzero(total)
-        for start in range(0, len(some), 100_000):
-            part = some[start : start + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part // CLASSES), pa.array(part % CLASSES), pa.array(total[part], pa.int64())],
-                names=["a", "b", "n"],
-            )
+            some, n = np.unique(np.delete(found[:-1] * total + found[1:], stops[:-1] - 1), return_counts=True)
+            pairs.append(some)
+            counts.append(n)
+            held += len(some)
+            if held > distinct + HELD_PAIRS:
+                some, n = _summed(pairs, counts)
+                if len(some) > HELD_PAIRS:
+                    yield from passed_on(some, n)
+                    some, n = some[:0], n[:0]
+                pairs, counts, held, distinct = [some], [n], len(some), len(some)
+        if pairs:
+            yield from passed_on(*_summed(pairs, counts))
 
     return count
 
@@ -212,17 +253,20 @@ class Vectors(NamedTuple):
     after: np.ndarray
     bias: np.ndarray
 
-    def log_probabilities(self) -> np.ndarray:
-        """Normalised log10 probabilities, one row per class before."""
-        logits = (self.before @ self.after.T + self.bias).astype(np.float64)
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        return (logits / np.log(10)).astype(np.float32)
+    def logits(self, first: slice) -> np.ndarray:
+        """Natural logarithms, not normalised, one row per class before."""
+        return self.before[first] @ self.after.T + self.bias
+
+    def norms(self, first: slice) -> np.ndarray:
+        """For some classes before, the logarithm of what all classes after sum up to."""
+        logits = self.logits(first)
+        most = logits.max(axis=1, keepdims=True)
+        return (most[:, 0] + np.log(np.exp(logits - most).sum(axis=1, dtype=np.float64))).astype(np.float64)
 
 
 def _start(noise: np.ndarray) -> Vectors:
     random = np.random.default_rng(SEED)
-    shape = (CLASSES, DIMENSIONS)
+    shape = (len(noise), DIMENSIONS)
     return Vectors(
         random.normal(0, 0.1, shape).astype(np.float32),
         random.normal(0, 0.1, shape).astype(np.float32),
@@ -230,94 +274,167 @@ def _start(noise: np.ndarray) -> Vectors:
     )
 
 
+class _Adam:
+    """Steps for one array of numbers."""
+
+    def __init__(self, value: np.ndarray) -> None:
+        self.value, self.taken = value.copy(), 0
+        self.first, self.second = np.zeros_like(value), np.zeros_like(value)
+
+    def step(self, gradient: np.ndarray) -> None:
+        self.taken += 1
+        self.first += 0.1 * (gradient - self.first)
+        self.second += 0.01 * (gradient * gradient - self.second)
+        root = np.sqrt(self.second / (1 - 0.99**self.taken)) + 1e-12
+        self.value += RATE / (1 - 0.9**self.taken) * self.first / root
+
+
 def contrast_steps(vectors: Vectors, own: np.ndarray, pairs: np.ndarray, noise: np.ndarray,
                    steps: int) -> Vectors:
     """Adam steps on the noise-contrastive loss of the classes `own`, given the counts of what
     follows each. The noise of a context is as many draws per occurrence as NOISE says, all of
-    them taken at their expected value."""
+    them taken at their expected value. Each of the `steps` goes over all contexts, some at a
+    time."""
     occurs = pairs.sum(axis=1, keepdims=True)
-    drawn = NOISE * occurs * noise
     shift = np.log(NOISE * noise)
-    weight = 1 / np.maximum(occurs, 1) / (1 + NOISE)
     # Contexts count by the root of their frequency, so that rare ones are learnt too.
-    weight = (weight * np.sqrt(occurs) / max(1.0, float(np.sqrt(occurs).sum()))).astype(np.float32)
-    prior = weight * (1 + NOISE)
-    values = [vectors.before[own].copy(), vectors.after.copy(), vectors.bias.copy()]
-    moments = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
-    for step in range(1, steps + 1):
-        before, after, bias = values
-        real = 1 / (1 + np.exp(-np.clip(before @ after.T + bias - shift, -30, 30)))
-        error = (pairs * (1 - real) - drawn * real) * weight
-        gradients = [error @ after - PRIOR * prior * before, error.T @ before, error.sum(axis=0)]
-        for value, gradient, (first, second) in zip(values, gradients, moments):
-            first += 0.1 * (gradient - first)
-            second += 0.01 * (gradient * gradient - second)
-            scaled = first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.99**step)) + 1e-12)
-            value += RATE * scaled
+    prior = np.sqrt(occurs) / np.maximum(occurs, 1) / max(1.0, float(np.sqrt(occurs).sum()))
+    weight = prior / (1 + NOISE)
+    at_once = max(1, min(STEP_CONTEXTS, STEP_CELLS // pairs.shape[1]))
+    apart = -(-len(own) // at_once)
+    after, bias = _Adam(vectors.after), _Adam(vectors.bias)
+    parts = []
+    for i in range(apart):
+        seen = (pairs[i::apart] * weight[i::apart]).astype(np.float32)
+        drawn = (NOISE * occurs[i::apart] * weight[i::apart]).astype(np.float32)
+        parts.append((_Adam(vectors.before[own[i::apart]]), seen, drawn, (PRIOR * prior[i::apart]).astype(np.float32)))
+    with np.errstate(over="ignore"):
+        for _ in range(steps):
+            for before, seen, drawn, prior_ in parts:
+                real = before.value @ after.value.T
+                real += bias.value - shift
+                np.negative(real, out=real)
+                np.exp(real, out=real)
+                real += 1
+                np.reciprocal(real, out=real)
+                error = drawn * noise
+                error += seen
+                error *= real
+                np.subtract(seen, error, out=error)
+                towards = error @ after.value - prior_ * before.value
+                after.step(error.T @ before.value)
+                bias.step(error.sum(axis=0))
+                before.step(towards)
     result = vectors.before.copy()
-    result[own] = values[0]
-    return Vectors(result, values[1], values[2])
+    for i, (before, *_) in enumerate(parts):
+        result[own[i::apart]] = before.value
+    return Vectors(result, after.value, bias.value)
+
+
+_LEARNT = "place int, block int, ids binary, numbers binary, weight double"
 
 
 def _block_round(shared):
-    """One round of a block of first classes; gives its vectors as rows."""
+    """One round of a block of first classes. Gives their vectors as one row of a place of its own,
+    and those of all classes after, times what the block has seen, in rows of CLASS_STEP classes."""
 
     def learn(block: pa.Table) -> pa.Table:
         vectors, noise = shared.value
-        a, b = block.column("a").to_numpy(), block.column("b").to_numpy()
-        own, row = np.unique(a, return_inverse=True)
-        pairs = np.zeros((len(own), CLASSES), dtype=np.float32)
-        pairs[row, b] = block.column("n").to_numpy()
+        which = block.column("block")[0].as_py()
+        total = len(noise)
+        pair = block.column("pair").to_numpy()
+        own, row = np.unique(pair // total, return_inverse=True)
+        pairs = np.zeros((len(own), total), dtype=np.float32)
+        pairs[row, pair % total] = block.column("n").to_numpy()
+        share = float(np.sqrt(pairs.sum(axis=1)).sum())
         found = contrast_steps(Vectors(*vectors), own, pairs, noise, STEPS)
-        share = np.sqrt(pairs.sum(axis=1)).sum()
-        after = np.hstack([found.after, found.bias[:, None]])
-        kinds = [0] * len(own) + [1] * CLASSES
-        return pa.table({
-            "kind": pa.array(kinds, pa.int32()),
-            "class": pa.array([*own.tolist(), *range(CLASSES)], pa.int32()),
-            "vector": pa.array([*found.before[own].tolist(), *after.tolist()], pa.list_(pa.float32())),
-            "weight": pa.array([float(share)] * len(kinds), pa.float64()),
-        })
+        after = np.hstack([found.after, found.bias[:, None]]) * np.float32(share)
+        rows = [(-1 - which, which, own.astype(np.int32).tobytes(), found.before[own].tobytes(), share)]
+        for start in range(0, total, CLASS_STEP):
+            rows.append((start // CLASS_STEP, which, b"", after[start : start + CLASS_STEP].tobytes(), share))
+        return pa.table(dict(zip(["place", "block", "ids", "numbers", "weight"], map(pa.array, zip(*rows)))), _ARROW)
 
     return learn
 
 
-def train(pairs: DataFrame) -> tuple[Vectors, np.ndarray]:
-    """Vectors from the counts (a, b, n) of neighbouring classes, and each class's count.
+_ARROW = pa.schema([("place", pa.int32()), ("block", pa.int32()), ("ids", pa.binary()), ("numbers", pa.binary()),
+                    ("weight", pa.float64())])
+
+
+def _averaged(rows: pa.Table) -> pa.Table:
+    """What blocks have learnt about the same classes, summed in the order of the blocks."""
+    if rows.num_rows == 1:
+        return rows
+    rows = rows.sort_by("block")
+    numbers = rows.column("numbers")
+    total = np.frombuffer(numbers[0].as_py(), np.float32).astype(np.float64)
+    for other in numbers[1:]:
+        total += np.frombuffer(other.as_py(), np.float32)
+    first = rows.slice(0, 1).to_pylist()[0]
+    first |= {"numbers": total.astype(np.float32).tobytes(), "weight": float(np.sum(rows.column("weight").to_numpy()))}
+    return pa.Table.from_pylist([first], _ARROW)
+
 
-    Rounds of local steps in BLOCKS tasks; the vectors that all blocks share are averaged by how
-    much each has seen. What moves is a bounded number of vectors.
+def train(pairs: DataFrame, classes: Classes) -> tuple[Vectors, np.ndarray]:
+    """Vectors from the counts (pair, n) of neighbouring classes, and each class's count.
+
+    Rounds of local steps in blocks; the vectors that all blocks share are averaged by how much
+    each has seen. What reaches the driver is the vectors of all classes, once a round.
     """
     spark = pairs.sparkSession
-    totals = np.zeros(CLASSES)
-    for row in pairs.groupBy("b").agg(F.sum("n").alias("n")).collect():
+    total = classes.total
+    totals = np.zeros(total)
+    for row in pairs.groupBy((F.col("pair") % total).alias("b")).agg(F.sum("n").alias("n")).collect():
         totals[row.b] = row.n
     noise = (totals + 1) / (totals + 1).sum()
     vectors = _start(noise)
-    blocks = pairs.withColumn("block", F.col("a") % BLOCKS)
+    contexts = max(1, min(BLOCK_CONTEXTS, BLOCK_CELLS // total))
+    dealt = F.floor(F.col("pair") / total) % -(-total // contexts)
+    blocks = pairs.withColumn("block", dealt.cast("int"))
     for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast((tuple(vectors), noise.astype(np.float32)))
-        learnt = blocks.groupBy("block").applyInArrow(
-            _block_round(shared), "kind int, class int, vector array<float>, weight double"
-        ).toArrow()
-        kind = learnt.column("kind").to_numpy()
-        if not len(kind):
+        learnt = blocks.groupBy("block").applyInArrow(_block_round(shared), _LEARNT)
+        rows = learnt.groupBy("place").applyInArrow(_averaged, _LEARNT).toArrow().to_pylist()
+        if not rows:
             break
-        place, weight = learnt.column("class").to_numpy(), learnt.column("weight").to_numpy()
-        rows = learnt.column("vector").to_pylist()
-        before = vectors.before.copy()
-        for i in np.flatnonzero(kind == 0):
-            before[place[i]] = rows[i]
-        both = np.zeros((CLASSES, DIMENSIONS + 1))
-        for i in np.flatnonzero(kind == 1):
-            both[place[i]] += weight[i] * np.array(rows[i])
-        both /= weight[kind == 1].sum() / CLASSES
-        vectors = Vectors(before, both[:, :-1].astype(np.float32), both[:, -1].astype(np.float32))
+        before, both = vectors.before.copy(), np.zeros((total, DIMENSIONS + 1), dtype=np.float32)
+        for row in rows:
+            numbers = np.frombuffer(row["numbers"], np.float32)
+            if row["place"] < 0:
+                before[np.frombuffer(row["ids"], np.int32)] = numbers.reshape(-1, DIMENSIONS)
+            else:
+                start = row["place"] * CLASS_STEP
+                both[start : start + CLASS_STEP] = numbers.reshape(-1, DIMENSIONS + 1) / np.float32(row["weight"])
+        shared.destroy()
+        vectors = Vectors(before, both[:, :-1].copy(), both[:, -1].copy())
     return vectors, totals
 
 
+def norms(spark: SparkSession, vectors: Vectors) -> np.ndarray:
+    """What all classes sum up to after each, as `Vectors.norms`, in tasks of bounded tables."""
+    total = len(vectors.bias)
+    at_once = max(1, STEP_CELLS // total)
+    shared = spark.sparkContext.broadcast(tuple(vectors))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in batch.column(0).to_pylist():
+                found = Vectors(*shared.value).norms(slice(start, start + at_once))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(start, start + len(found)), pa.int64()), pa.array(found)], names=["class", "norm"]
+                )
+
+    rows = spark.range(0, total, at_once).mapInArrow(summed, "class bigint, norm double").toArrow()
+    result = np.zeros(total)
+    result[rows.column("class").to_numpy()] = rows.column("norm").to_numpy()
+    return result
+
+
 # --- scoring --------------------------------------------------------------------------------
 
+# Words whose vectors are looked up at once.
+_AT_ONCE = 16_384
+
 _SCORED = "struct<n_tokens:bigint, n_known:bigint, classes:double, words:double, rare:array<bigint>>"
 
 
@@ -328,15 +445,21 @@ def _score_column(shared):
     @F.arrow_udf(_SCORED)
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         held = shared.value
-        if "table" not in held:
-            held["table"] = Vectors(*held["vectors"]).log_probabilities()
-            held["lexicon"] = Lexicon(Frequent(*held["frequent"]))
-        table, sizes, lexicon = held["table"], held["sizes"], held["lexicon"]
+        if "lexicon" not in held:
+            held["lexicon"] = Lexicon(Frequent(*held["frequent"]), Classes(*held["of"]))
+        vectors, norms_, sizes, lexicon = Vectors(*held["vectors"]), held["norms"], held["sizes"], held["lexicon"]
         for batch in batches:
             numbers, stops = lexicon.sequences(batch.to_pylist())
             starts = np.concatenate([[0], stops[:-1]])
             classes = lexicon.column("classes", np.int32)[numbers].astype(np.int64)
-            step = table[classes[:-1], classes[1:]].astype(np.float64) - sizes[classes[1:]]
+            last, this = classes[:-1], classes[1:]
+            step = np.empty(len(this))
+            for start in range(0, len(this), _AT_ONCE):
+                part = slice(start, start + _AT_ONCE)
+                step[part] = np.einsum("ij,ij->i", vectors.before[last[part]], vectors.after[this[part]])
+            step += vectors.bias[this] - norms_[last]
+            step /= np.log(10)
+            step -= sizes[this]
             # What leads from one text to the next is no step; the end before a text no token.
             step[stops[:-1] - 1] = 0
             own = np.ones(len(numbers), dtype=bool)
@@ -365,30 +488,29 @@ def learnable(key: str = "doc_id") -> Column:
     return crc_mod(F.col(key), 10) != 0
 
 
-def class_sizes(counts: DataFrame, frequent: Frequent) -> np.ndarray:
-    """log10 of each class's smoothed total, unseen words as one more of the class."""
+def class_sizes(counts: DataFrame, shared, frequent: Frequent, classes: Classes) -> np.ndarray:
+    """log10 of each class's smoothed total, unseen words as one more of the class. `shared` is the
+    broadcast of the other two."""
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((CLASSES, 2))
+        held, of = Frequent(*shared.value[0]), Classes(*shared.value[1])
+        total = np.zeros((of.total, 2))
         for batch in batches:
-            own = [_ending(w.encode()) for w in batch.column("word").to_pylist()]
-            total[:, 0] += np.bincount(own, batch.column("n").to_numpy(), CLASSES)
-            total[:, 1] += np.bincount(own, minlength=CLASSES)
+            words = map(str.encode, batch.column("word").to_pylist())
+            found = np.array([held.class_of(word, of) for word in words], dtype=np.int64)
+            total[:, 0] += np.bincount(found, batch.column("n").to_numpy(), of.total)
+            total[:, 1] += np.bincount(found, minlength=of.total)
         some = np.flatnonzero(total[:, 1])
         yield pa.RecordBatch.from_arrays(
             [pa.array(some), pa.array(total[some, 0]), pa.array(total[some, 1])], names=["c", "n", "v"]
         )
 
-    totals = np.zeros((CLASSES, 2))
-    own = sorted(frequent.place.values())[:OWN_CLASSES]
-    totals[own, 0], totals[own, 1] = frequent.counts[own], 1
-    first = [word.decode() for word, place in frequent.place.items() if place < OWN_CLASSES]
-    others = counts.where(~F.col("word").isin(first)) if first else counts
-    summed = others.select("word", "n").mapInArrow(sized, "c bigint, n double, v double")
+    totals = np.zeros((classes.total, 2))
+    summed = counts.select("word", "n").mapInArrow(sized, "c bigint, n double, v double")
     for row in summed.groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
-        totals[row.c] += (row.n, row.v)
+        totals[row.c] = (row.n, row.v)
     # A word of its own class is that class; all others leave room for one unseen word.
-    room = np.where(np.arange(CLASSES) < OWN_CLASSES, 0, 1)
+    room = np.where(np.arange(classes.total) < classes.own, 0, 1)
     return np.log10(totals[:, 0] + SMOOTHING * np.maximum(totals[:, 1] + room, 1))
 
 
@@ -407,12 +529,14 @@ def scores(documents: DataFrame, learn: Column | None = None, key: str = "doc_id
     train_tokens, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     train_tokens = train_tokens or 0
     frequent = most_frequent(counts)
-    told = spark.sparkContext.broadcast(tuple(frequent))
-    pairs = training.select(F.col(text)).mapInArrow(_pair_counts(told), "a bigint, b bigint, n bigint")
-    pairs = keep_table(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
-    vectors, _ = train(pairs)
+    classes = classes_for(train_tokens)
+    told = spark.sparkContext.broadcast((tuple(frequent), tuple(classes)))
+    pairs = training.select(F.col(text)).mapInArrow(_pair_counts(told), "pair bigint, n bigint")
+    pairs = keep_table(pairs.groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
+    vectors, _ = train(pairs, classes)
     shared = spark.sparkContext.broadcast({
-        "vectors": tuple(vectors), "frequent": tuple(frequent), "sizes": class_sizes(counts, frequent),
+        "vectors": tuple(vectors), "norms": norms(spark, vectors), "frequent": tuple(frequent),
+        "of": tuple(classes), "sizes": class_sizes(counts, told, frequent, classes),
     })
     scored = documents.select(
         F.monotonically_increasing_id().alias("row"),
