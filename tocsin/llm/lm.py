@@ -31,12 +31,14 @@ import sys
 from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from tocsin.llm.common import crc_mod, keep_table, small_batches
 
@@ -102,8 +104,6 @@ class Classes(NamedTuple):
 
     def ending(self, word: bytes) -> int:
         """Class by the last three letters, sentence marks left off."""
-        from zlib import crc32
-
         return self.own + crc32(word.rstrip(b".,;:!?")[-3:]) % (self.total - self.own)
 
 
@@ -146,6 +146,16 @@ def most_frequent(counts: DataFrame, most: int = FREQUENT) -> Frequent:
     return Frequent({word: i for i, word in enumerate(words)}, rows.column("n").to_numpy())
 
 
+class _Numbers(dict):
+    """Numbers of words; a word not met before gets one when it is looked up."""
+
+    def __init__(self, add) -> None:
+        self.add = add
+
+    def __missing__(self, word: bytes) -> int:
+        return self.add(word)
+
+
 class Lexicon:
     """Words met so far in a Python worker, numbered: class, log10 of the smoothed count where the
     word is frequent, else its hash."""
@@ -157,14 +167,12 @@ class Lexicon:
 
     def _forget(self) -> None:
         self.held = 0
-        self.number: dict[bytes, int] = {}
+        self.number = _Numbers(self._add)
         self.classes, self.logs = array("i"), array("d")
         self.hashes, self.common = array("q"), array("b")
         self.end = self._add(END.encode())
 
     def _add(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
-
         place = self.frequent.place.get(word)
         h = 0 if place is not None else xxh64_intdigest(word, 42)
         self.classes.append(self.frequent.class_of(word, self.of))
@@ -184,19 +192,12 @@ class Lexicon:
         and where the texts stop."""
         if self.held > CACHE_BYTES:
             self._forget()
-        find, end = self.number.get, self.end
+        find, end = self.number.__getitem__, self.end
         numbers: list[int] = []
         stops = []
         for text in texts:
-            words = split(text)
-            found = list(map(find, words))
-            if None in found:
-                for word, number in zip(words, found):
-                    if number is None and word not in self.number:
-                        self._add(word)
-                found = list(map(find, words))
             numbers.append(end)
-            numbers += found
+            numbers.extend(map(find, split(text)))
             numbers.append(end)
             stops.append(len(numbers))
         return np.array(numbers, dtype=np.int64), np.array(stops, dtype=np.int64)
