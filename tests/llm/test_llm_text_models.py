@@ -141,6 +141,17 @@ def test_words_that_share_a_hash_are_told_apart(spark):
     assert list(lm.most_frequent(counts, 3).place) == [b"second", b"third", b"fourth", b"first"]
 
 
+def test_the_most_frequent_words(spark):
+    """In order of frequency, then of letters, with ties at the last place."""
+    chance = random.Random(2)
+    rows = [(i, f"w{chance.randrange(10**6)}x{i}", int(2 ** (chance.random() * 12))) for i in range(500)]
+    counts = spark.createDataFrame(rows, "hash long, word string, n long")
+    ranked = [w.encode() for _, w, _ in sorted(rows, key=lambda row: (-row[2], row[1].encode()))]
+    for most in (1, 7, 100, 499, 500, 600):
+        assert list(lm.most_frequent(counts, most).place) == ranked[:most]
+    assert not lm.most_frequent(counts.limit(0)).place
+
+
 def test_what_a_worker_remembers_is_bounded_by_bytes(monkeypatch):
     monkeypatch.setattr(lm, "CACHE_BYTES", 100_000)
     lexicon = lm.Lexicon(lm.Frequent({b"the": 0}, np.array([5])), lm.classes_for(5))

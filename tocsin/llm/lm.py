@@ -55,6 +55,9 @@ MOST_CLASSES = 131_072
 # Words whose counts go along with the tasks; all others are joined.
 FREQUENT = 100_000
 
+# Grades of frequency, for each doubling.
+GRADES = 16
+
 # Numbers in a block's table of pairs, contexts in a block, and contexts in one step.
 BLOCK_CELLS = 1 << 23
 BLOCK_CONTEXTS = 512
@@ -137,10 +140,17 @@ def word_counts(documents: DataFrame, text: str = "text") -> DataFrame:
 
 def most_frequent(counts: DataFrame, most: int = FREQUENT) -> Frequent:
     """At most `most` words come to the driver, and those few that share their hash with another
-    word: the others can be told apart by it."""
+    word: the others can be told apart by it. Words are counted by grade first, the logarithm of
+    their frequency, so that only words of grades that are wanted are put in order."""
+    grade = F.floor(F.log2("n") * GRADES)
+    least, taken = None, 0
+    for row in sorted(counts.groupBy(grade.alias("grade")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        if taken < most:
+            least, taken = row.grade, taken + row.words
     twice = counts.groupBy("hash").agg(F.count(F.lit(1)).alias("words")).where("words > 1").select("hash")
     alike = counts.join(twice, "hash", "left_semi").select("word", "n")
-    first = counts.orderBy(F.desc("n"), "word").limit(most).select("word", "n")
+    wanted = counts.where(grade >= F.lit(least))
+    first = wanted.orderBy(F.desc("n"), "word").limit(most).select("word", "n")
     rows = first.unionByName(alike).distinct().orderBy(F.desc("n"), "word").toArrow()
     words = [word.encode() for word in rows.column("word").to_pylist()]
     return Frequent({word: i for i, word in enumerate(words)}, rows.column("n").to_numpy())
