@@ -201,3 +201,47 @@ def test_ticking_form_agrees_with_the_keyed_processor(spark, tmp_path):
     want = [(name, time) for name, engine in engines.items() for time in engine.fired()]
     assert len(want) > 100
     assert sorted(fired) == sorted(want)
+
+
+def test_ranges_follow_the_rows_and_not_the_offsets(spark):
+    """Offsets with gaps of any size, as those made of a time: a range a row would be as many as there are rows."""
+    from tocsin.operators.reading import carried_on, in_reading_order, plan_ranges, ranges_read
+
+    number = F.col("id")
+    requests = spark.range(4_000).select(
+        (number % 50).cast("string").alias("id"),
+        (number * 1_000 - number % 7 * 1_500).alias("arrival_ms"),
+        F.struct((number % 2).cast("int").alias("partition"), (number * 5_000_000).alias("offset")).alias("seq"),
+        F.lit(None).cast("bigint").alias("scheduled_at"),
+    )
+    assert ranges_read(requests).count() == 2
+    assert plan_ranges(requests, 4_000, 10_000) is None
+    ranges = plan_ranges(requests, 4_000, 200)
+    found = sorted(ranges_read(requests, ranges).collect())
+    assert 10 < len(found) < 80 and sum(row.n for row in found) == 4_000 and max(row.n for row in found) < 1_000
+    floors, latest = [], {}
+    for row in found:
+        floors.append((row.part, row.range, latest.get(row.part, -10**12)))
+        latest[row.part] = max(row.latest, latest.get(row.part, -10**12))
+    want = sorted((r.seq.offset, r.arrival_ms) for r in in_reading_order(requests).collect())
+    assert sorted((r.seq.offset, r.arrival_ms) for r in carried_on(requests, floors, ranges).collect()) == want
+
+
+def test_a_micro_batch_tells_the_driver_of_few_ranges(spark, tmp_path, monkeypatch):
+    from tocsin.streaming import replay
+
+    told = []
+    carried_on = replay.carried_on
+
+    def noted(requests, floors, *ranges):
+        told.append(len(floors))
+        return carried_on(requests, floors, *ranges)
+
+    monkeypatch.setattr(replay, "carried_on", noted)
+    fired = []
+    sink = lambda records, batch_id: fired.extend((r.id, r.scheduled_at) for r in records.collect())
+    table = PendingTable(f"{tmp_path}/pending", [sink])
+    rows = [(f"id{n}", n * 1_000 if n < 99 else 0, (0, n * 3_000_000), None) for n in range(100)]
+    table.step(spark.createDataFrame(rows, PARTED), 0)
+    assert told == [1]
+    assert sorted(time for _, time in fired) == [n * 1_000 + 30_000 for n in range(68)]

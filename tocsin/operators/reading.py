@@ -6,39 +6,63 @@ latest time so far as a record's arrival makes the offset decide within a partit
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tocsin.operators.slices import Slices, assign_slices, plan_slices
+
 # Offsets of a partition that one task goes through.
 OFFSETS_PER_TASK = 1_000_000
 
 
-def ranges_read(requests: DataFrame, offsets_per_task: int = OFFSETS_PER_TASK) -> DataFrame:
+def part_of(requests: DataFrame) -> Column:
+    """The partition as text, which a missing one has too."""
+    return F.coalesce(requests["seq"]["partition"].cast("string"), F.lit("None"))
+
+
+def plan_ranges(requests: DataFrame, rows: int, rows_per_task: int = OFFSETS_PER_TASK) -> Slices | None:
+    """Where to cut the offsets of partitions that have clearly more than so many rows; None if none has.
+
+    Offsets may have gaps of any size, so the cuts go by the rows there are, not by the numbers.
+    """
+    places = requests.select(part_of(requests).alias("id"), requests["seq"]["offset"].alias("offset"))
+    return plan_slices(places, ["offset"], rows, rows_per_task)
+
+
+def _in_ranges(requests: DataFrame, ranges: Slices | None) -> DataFrame:
+    """`row` holds the request, `part` and `range` say where it belongs."""
+    rows = requests.select(F.struct(*requests.columns).alias("row"), part_of(requests).alias("id"))
+    if ranges is not None:
+        offset = F.struct(F.col("row")["seq"]["offset"].alias("offset"))
+        rows = assign_slices(rows, ranges, offset)
+    else:
+        rows = rows.withColumn("_slice", F.lit(0))
+    return rows.select("row", F.col("id").alias("part"), F.coalesce("_slice", F.lit(0)).alias("range"))
+
+
+def ranges_read(requests: DataFrame, ranges: Slices | None = None) -> DataFrame:
     """Per partition and range of offsets: the latest and the first stamp, and the number of rows."""
-    return requests.groupBy(
-        F.col("seq")["partition"].alias("part"), F.expr(f"seq.offset div {offsets_per_task}").alias("range")
-    ).agg(F.max("arrival_ms").alias("latest"), F.min("arrival_ms").alias("first"), F.count(F.lit(1)).alias("n"))
+    arrival = F.col("row")["arrival_ms"]
+    return _in_ranges(requests, ranges).groupBy("part", "range").agg(
+        F.max(arrival).alias("latest"), F.min(arrival).alias("first"), F.count(F.lit(1)).alias("n"))
 
 
 def carried_on(
-    requests: DataFrame, floors: list[tuple[int, int, int]], offsets_per_task: int = OFFSETS_PER_TASK
+    requests: DataFrame, floors: list[tuple[str, int, int]], ranges: Slices | None = None
 ) -> DataFrame:
     """`in_reading_order` for the next part of a log: `floors` says for (partition, range) how far
     its stamps had got by the offset before."""
-    partition, range_ = F.col("seq")["partition"], F.expr(f"seq.offset div {offsets_per_task}")
-    known = requests.sparkSession.createDataFrame(floors, "_part int, _range bigint, _floor bigint")
-    cut = requests.withColumns({"_part": partition, "_range": range_})
+    known = requests.sparkSession.createDataFrame(floors, "part string, range int, floor bigint")
     so_far = (
-        Window.partitionBy("_part", "_range").orderBy(F.col("seq")["offset"])
+        Window.partitionBy("part", "range").orderBy(F.col("row")["seq"]["offset"])
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    same = cut["_part"].eqNullSafe(known["_part"]) & (cut["_range"] == known["_range"])
-    raised = F.greatest(F.max("arrival_ms").over(so_far), F.col("_floor"))
+    raised = F.greatest(F.max(F.col("row")["arrival_ms"]).over(so_far), F.col("floor"))
     return (
-        cut.join(F.broadcast(known), same, "left").drop(known["_part"]).drop(known["_range"])
-        .withColumn("arrival_ms", raised)
-        .select(*requests.columns)
+        _in_ranges(requests, ranges).join(F.broadcast(known), ["part", "range"], "left")
+        .withColumn("_raised", raised)
+        .select(*((F.col("_raised") if c == "arrival_ms" else F.col("row")[c]).alias(c) for c in requests.columns))
     )
 
 

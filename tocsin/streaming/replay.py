@@ -36,7 +36,7 @@ from pyspark.sql.types import StructField, StructType
 from tocsin.functions.rules import known_policy, with_schedule
 from tocsin.operators.audit import accepted_steps, gone_off_steps, read_steps
 from tocsin.operators.expected import gone_off_since
-from tocsin.operators.reading import carried_on, ranges_read
+from tocsin.operators.reading import carried_on, plan_ranges, ranges_read
 from tocsin.operators.records import ready_records
 from tocsin.operators.resolve import judge, plan_history
 from tocsin.operators.slices import TARGET_ROWS
@@ -160,18 +160,17 @@ class PendingTable:
             if arrived:
                 latest["0"] = max(last, latest.get("0", _NEVER))
             return usable, latest, arrived, late
-        floors, arrived, late = [], 0, 0
-        falls = False
-        for row in sorted(ranges_read(usable).collect(), key=lambda row: (str(row.part), row.range)):
-            part = str(row.part)
-            floor = latest.get(part, _NEVER)
-            if part not in before.latest and row.first <= before.horizon:
-                late += row.n
-            falls = falls or row.latest > row.first or row.first < floor
+        found = ranges_read(usable).collect()
+        arrived = sum(row.n for row in found)
+        late = sum(row.n for row in found if row.part not in before.latest and row.first <= before.horizon)
+        falls = any(row.latest > row.first or row.first < latest.get(row.part, _NEVER) for row in found)
+        ranges = plan_ranges(usable, arrived) if falls else None
+        floors = []
+        for row in sorted(found if ranges is None else ranges_read(usable, ranges).collect(), key=lambda row: row[:2]):
+            floor = latest.get(row.part, _NEVER)
             floors.append((row.part, row.range, floor))
-            latest[part] = max(row.latest, floor)
-            arrived += row.n
-        return (carried_on(usable, floors) if falls else usable), latest, arrived, late
+            latest[row.part] = max(row.latest, floor)
+        return (carried_on(usable, floors, ranges) if falls else usable), latest, arrived, late
 
     def step(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
