@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tocsin.operators.records import ready, ready_records
 from tocsin.operators.resolve import resolve, timer_outcomes
 from tocsin.operators.snapshots import Snapshots
-from tocsin.sources.outbox import Outbox
+from tocsin.sources.outbox import MOST_BUCKETS, Outbox
 from tocsin.streaming.durations import quantiles, sketched
 from tocsin.streaming.reconcile import ARMED, balance, differences, tally, tally_step
 YIELDED = "id string, exec_ms long, outcome string, armed boolean"
@@ -140,6 +140,16 @@ def test_an_outbox_sends_each_record_once(spark, tmp_path):
     assert len(topic.held) == len(set(topic.held)) == 200 and len(topic.asked) == 1
 
 
+def test_a_large_micro_batch_goes_out_in_few_buckets(spark, tmp_path):
+    """Each bucket is sent by jobs of its own, so their number must not grow with the records."""
+    calls = []
+    sink = lambda records, batch_id: calls.append([(r.id, r.scheduled_at) for r in records.collect()])
+    outbox = Outbox(str(tmp_path), sink, None, bucket_rows=5)
+    outbox(ready_records(spark.range(1_000).selectExpr("cast(id as string) AS id", "id * 7 AS exec_ms")), 0)
+    assert 8 < len(calls) <= MOST_BUCKETS + 4
+    assert sorted(pair for call in calls for pair in call) == sorted((str(n), n * 7) for n in range(1_000))
+
+
 def test_scratch_tables_go_with_their_block(spark):
     from tocsin.session import scratch_tables, staged
 

@@ -24,6 +24,10 @@ from tocsin.sources.outputs import Sink
 # Records of a bucket, roughly. One bucket at most is looked up after a failure.
 BUCKET_ROWS = 100_000
 
+# Buckets of a micro-batch, roughly and at most. Each costs jobs of its own, so those of a large micro-batch
+# are larger.
+MOST_BUCKETS = 32
+
 _LEDGER = "batch_id bigint, bucket bigint, begun_ms bigint"
 
 # What has arrived since a moment: ready records that have been sent out.
@@ -71,14 +75,16 @@ class Outbox:
             due, salt = self.keys[1], F.xxhash64(*self.keys)
             placed = records.repartitionByRange(due, salt).sortWithinPartitions(due, salt)
             within = F.monotonically_increasing_id()
-            bucket = F.shiftright(within, 33) * (1 << 24) + (within.bitwiseAND((1 << 33) - 1) / self.bucket_rows).cast("bigint")
+            bucket_rows = max(self.bucket_rows, -(-records.count() // MOST_BUCKETS))
+            bucket = F.shiftright(within, 33) * (1 << 24) + (within.bitwiseAND((1 << 33) - 1) / bucket_rows).cast("bigint")
             placed.withColumn("_bucket", bucket).write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
     def _mark(self, spark: SparkSession, kind: str, batch_id: int, bucket: int) -> None:
-        row = [(batch_id, bucket, int(time.time() * 1000))]
+        row = {"batch_id": batch_id, "bucket": bucket, "begun_ms": int(time.time() * 1000)}
         path = f"{self.path}/{kind}/batch_id={batch_id}/bucket={bucket}"
-        spark.createDataFrame(row, _LEDGER).coalesce(1).write.mode("overwrite").parquet(path)
+        columns = [F.lit(value).cast("bigint").alias(name) for name, value in row.items()]
+        spark.range(1, numPartitions=1).select(*columns).write.mode("overwrite").parquet(path)
 
     def _marked(self, spark: SparkSession, kind: str, batch_id: int) -> dict[int, int]:
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/batch_id={batch_id}")
