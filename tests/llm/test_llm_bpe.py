@@ -73,6 +73,27 @@ def test_a_full_cache_changes_nothing(parts, monkeypatch):
         assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1])
 
 
+def test_frequent_words_outlast_a_full_cache(library, monkeypatch):
+    """Words that come up again are not encoded anew because many others came in between."""
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 100_000)
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        codec = bpe.Codec(file.read())
+    learnt, learn = [], codec._learn
+    monkeypatch.setattr(codec, "_learn", lambda words: (learnt.extend(words), learn(words)))
+    chance = random.Random(3)
+    often = ["ofthe", "éçèê", "<|endoftext|>", "12", "!!"]
+    for _ in range(30):
+        rare = ["".join(chance.choices("abcdefé", k=9)) for _ in range(400)]
+        texts = [" ".join([*often, word, *often]) for word in rare]
+        ids, ends = codec.encode(texts)
+        assert codec.held < 100_000 + 400 * 300
+        for i in chance.sample(range(400), 20):
+            want = library.encode(texts[i], add_special_tokens=False).ids
+            assert ids[ends[i] : ends[i + 1]].tolist() == want
+    assert len(learnt) > 10_000
+    assert [learnt.count(word) for word in ("ofthe", "éçèê", "<|endoftext|>")] == [1, 1, 1]
+
+
 def test_long_words_do_not_pile_up(library):
     """What is remembered is bounded by bytes, not by words, also where words are cut."""
     with open(tokenizer_path(), encoding="utf-8") as file:

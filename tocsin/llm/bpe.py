@@ -20,6 +20,8 @@ import sys
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from itertools import chain, compress
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,9 @@ from tocsin.llm.common import small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Bytes of words and ids, roughly, that a Python worker remembers before it starts afresh; it may
-# hold what one batch brings on top. An entry costs some bytes besides its letters and ids.
+# Bytes of words and ids, roughly, that a Python worker remembers. Beyond that it keeps the words met
+# most often, in half as many bytes; it may hold what one batch brings on top. An entry costs some
+# bytes besides its letters and ids.
 CACHE_BYTES = 32 << 20
 _ENTRY_BYTES = 160
 
@@ -60,6 +63,19 @@ def _plain_pattern(contractions: str) -> re.Pattern:
     return re.compile(f"{contractions}|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+")
 
 
+class Places(dict):
+    """Numbers of words, from 0 on as they are met; `new` has those met since it was last emptied."""
+
+    def __init__(self, words: list[str]) -> None:
+        super().__init__(zip(words, range(len(words))))
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        number = self[word] = len(self)
+        return number
+
+
 class Codec:
     """One tokenizer file, ready to encode inside a worker."""
 
@@ -77,6 +93,7 @@ class Codec:
         self.normalizer, self.splitter = whole.normalizer, whole.pre_tokenizer
         self.letters = byte_letters()
         self.spelling = dict(enumerate(self.letters))
+        self.spelling_words = {**self.spelling, ord(" "): " "}
         self.special = {token["content"]: token["id"] for token in spec["added_tokens"]}
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -96,11 +113,30 @@ class Codec:
         return seen
 
     def _forget(self) -> None:
-        self.held = 0
-        self.place: dict[str, int] = {}
         self.known: dict[tuple[bytes, bool], list[int]] = {}
-        self.flat = array("i")
-        self.starts = array("q", [0])
+        self._keep([], np.empty(0, np.int32), *(np.empty(0, np.int64) for _ in range(3)))
+
+    def _keep(self, words: list[str], flat: np.ndarray, sizes: np.ndarray, costs: np.ndarray, uses: np.ndarray) -> None:
+        """Remember these words: ids of all one after another, and of each how many they are, the
+        bytes it is counted with and how often it was met."""
+        self.place = Places(words)
+        self.flat = array("i", flat.tobytes())
+        self.starts = array("q", np.concatenate([[0], np.cumsum(sizes)]).tobytes())
+        self.costs = array("q", costs.tobytes())
+        self.uses = uses
+        self.held = int(costs.sum())
+
+    def _make_room(self) -> None:
+        """Forget fragments, words met once, and of the others those met least, down to half."""
+        costs, starts = np.array(self.costs), np.array(self.starts)
+        often = np.argsort(-self.uses, kind="stable")[: np.count_nonzero(self.uses > 1)]
+        kept = np.sort(often[np.cumsum(costs[often]) <= CACHE_BYTES // 2])
+        words = list(self.place)
+        sizes = np.diff(starts)
+        chosen = np.repeat(np.isin(np.arange(len(words)), kept), sizes)
+        flat = np.array(self.flat)[chosen]
+        self.known = {}
+        self._keep([words[i] for i in kept.tolist()], flat, sizes[kept], costs[kept], self.uses[kept] // 2)
 
     def cuts(self, words: list[bytes]) -> list[list[int]]:
         """For each word, the places where two neighbouring bytes share no token."""
@@ -126,22 +162,40 @@ class Codec:
             self.held += _ENTRY_BYTES + len(fragment) + 8 * len(ids)
         return ids
 
+    def _whole_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are not cut, one after another, and how many each has."""
+        # No word holds a blank.
+        spelled = b" ".join(words).decode("latin-1").translate(self.spelling_words).split(" ") if words else []
+        tokens = list(map(self.last.tokenize, spelled))
+        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        ids = np.fromiter(map(attrgetter("id"), chain.from_iterable(tokens)), np.int32, int(sizes.sum()))
+        return ids, sizes
+
     def _learn(self, words: list[str]) -> None:
-        """Encode words met for the first time."""
-        raw = [word.encode() for word in words]
-        ids_before = len(self.flat)
-        for word, spelled, cuts in zip(words, raw, self.cuts(raw)):
-            self.place[word] = len(self.starts) - 1
-            if word in self.special:
-                self.flat.append(self.special[word])
-            elif not cuts:
-                self.flat.extend(self._ids(spelled, True))
-            else:
-                for i, j in zip([0, *cuts], cuts):
-                    self.flat.extend(self._fragment_ids(spelled[i:j], False))
-                self.flat.extend(self._fragment_ids(spelled[cuts[-1] :], True))
-            self.starts.append(len(self.flat))
-        self.held += _ENTRY_BYTES * len(words) + sum(map(len, raw)) + 4 * (len(self.flat) - ids_before)
+        """Encode words met for the first time, which have their places already."""
+        raw = list(map(str.encode, words))
+        cuts = self.cuts(raw)
+        is_apart = np.fromiter(map(bool, cuts), bool, len(cuts))
+        is_apart[[i for i, word in enumerate(words) if word in self.special]] = True
+        apart: dict[int, list[int]] = {i: [] for i in np.flatnonzero(is_apart).tolist()}
+        for i, ids in apart.items():
+            if words[i] in self.special:
+                ids.append(self.special[words[i]])
+                continue
+            for begin, end in zip([0, *cuts[i]], cuts[i]):
+                ids += self._fragment_ids(raw[i][begin:end], False)
+            ids += self._fragment_ids(raw[i][cuts[i][-1] :], True)
+        whole, counts = self._whole_ids(list(compress(raw, ~is_apart)))
+        sizes = np.empty(len(words), dtype=np.int64)
+        sizes[is_apart], sizes[~is_apart] = list(map(len, apart.values())), counts
+        flat = np.empty(int(sizes.sum()), dtype=np.int32)
+        of_apart = np.repeat(is_apart, sizes)
+        flat[of_apart], flat[~of_apart] = list(chain.from_iterable(apart.values())), whole
+        costs = _ENTRY_BYTES + 4 * sizes + np.fromiter(map(len, raw), np.int64, len(raw))
+        self.starts.frombytes((self.starts[-1] + np.cumsum(sizes)).tobytes())
+        self.flat.frombytes(flat.tobytes())
+        self.costs.frombytes(costs.tobytes())
+        self.held += int(costs.sum())
 
     def _part_words(self, text: str) -> list[str]:
         if text.isascii() or not self.beyond_plain.search(text):
@@ -162,22 +216,23 @@ class Codec:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text starts (and the last ends)."""
         if self.held > CACHE_BYTES:
-            self._forget()
-        words: list[str] = []
+            self._make_room()
+        places = array("q")
         ends = [0]
+        find = self.place.__getitem__
         for text in texts:
             if text:
-                words += self.words(text)
-            ends.append(len(words))
-        find = self.place.get
-        places = list(map(find, words))
-        if None in places:
-            self._learn(list(dict.fromkeys(w for w, p in zip(words, places) if p is None)))
-            places = [find(w) if p is None else p for w, p in zip(words, places)]
-        del words
+                places.extend(map(find, self.words(text)))
+            ends.append(len(places))
+        chosen = np.frombuffer(places, dtype=np.int64)
+        if self.place.new:
+            self._learn(self.place.new)
+            self.place.new = []
+        uses = np.bincount(chosen, minlength=len(self.place))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         # The last start is where the next word will be put.
         starts = np.frombuffer(self.starts, dtype=np.int64)
-        chosen = np.array(places, dtype=np.int64)
         begin = starts[chosen]
         lengths = starts[chosen + 1] - begin
         del starts
