@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry
+from tocsin.plans import catalog
 from tocsin.plans.catalog import QUERIES
 from tocsin.plans.oracle import ORACLE
 
@@ -104,3 +105,19 @@ def test_job_arguments():
     assert given.policy == "fixed_delay"
     given = arguments(["--checkpoint", "/c", "--source-option", "maxOffsetsPerTrigger=5"])
     assert given.source_options == {"maxOffsetsPerTrigger": "5"}
+
+
+def test_a_log_from_one_task_is_decoded_by_many(spark, tmp_path, monkeypatch):
+    """A table of one file and one row group is written by one task; its log must not stay with one."""
+    events = spark.range(240).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-02 00:00:00' + make_dt_interval(0, id * 2) AS ts", "id % 7 AS user_id",
+        "'view' AS event_type", "CAST(id % 50 AS double) AS value", "'{}' AS props",
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(catalog, "LOG_FILE_ROWS", 10, raising=False)
+    monkeypatch.setattr(catalog, "shared_folder", lambda spark, name: f"{tmp_path}/{name}")
+    got = QUERIES["stream_ready"](spark, str(tmp_path)).collect()
+    files = spark.read.parquet(f"{tmp_path}/stream-ready/log").selectExpr("input_file_name() AS name")
+    sizes = [row["count"] for row in files.groupBy("name").count().collect()]
+    assert sum(sizes) == 240 and max(sizes) <= 10
+    assert got and sorted(got, key=repr) == sorted(QUERIES["ready"](spark, str(tmp_path)).collect(), key=repr)

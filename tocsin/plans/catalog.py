@@ -43,6 +43,10 @@ MIDWAY_MS = 1_705_363_200_000
 # Small enough that the hot id of the test logs is cut into slices at any scale.
 HOT_TARGET_ROWS = 200
 
+# Payloads of a file of a log. A table of one row group is read by one task, whose files are decoded
+# by one task each.
+LOG_FILE_ROWS = 50_000
+
 
 # --- the rule -------------------------------------------------------------------------------
 
@@ -324,11 +328,16 @@ def _sunk(spark: SparkSession, path: str, policy: str) -> DataFrame:
         return ready_records(fired, policy)
 
 
+def _append(part: DataFrame, log: str) -> None:
+    """Adds payloads to a log in files that tasks of their own decode, however few the tasks that write."""
+    part.write.option("maxRecordsPerFile", LOG_FILE_ROWS).mode("append").parquet(log)
+
+
 def _replay_in_parts(spark, parts, decode, sinks, folder, policy, partitions: int = 1, **options) -> None:
     """Let a payload log grow part by part and catch up after each, in a new run."""
     log, checkpoint = f"{folder}/log", f"{folder}/checkpoint"
     for part in parts:
-        part.write.mode("append").parquet(log)
+        _append(part, log)
         tagged = decode(folder_stream(spark, log)).tagged
         start_replay(
             tagged, sinks, checkpoint, policy, partitions=partitions, quarantine_sinks=[], **options
@@ -340,7 +349,7 @@ def _ticks_in_parts(spark, parts, decode, sinks, folder, clocks) -> None:
     """The set-oriented running form over the parts of a log, with a clock set by hand for each."""
     log = f"{folder}/log"
     for part, clock in zip(parts, clocks):
-        part.write.mode("append").parquet(log)
+        _append(part, log)
         pending = PendingTable(f"{folder}/pending", sinks, ticking=True, clock=lambda: clock)
         folder_stream(spark, log).transform(lambda payloads: decode(payloads).tagged).writeStream.foreachBatch(
             pending.step
@@ -351,7 +360,7 @@ def _keyed_in_parts(spark, parts, decode, sinks, folder, policy, partitions: int
     """The same through the stateful operator, by the log's own clock."""
     log = f"{folder}/log"
     for part in parts:
-        part.write.mode("append").parquet(log)
+        _append(part, log)
         start_triggers(
             decode(folder_stream(spark, log)).tagged, sinks, f"{folder}/checkpoint", policy,
             quarantine_sinks=[], clock=ARRIVAL, trigger={"availableNow": True}, partitions=partitions, **options,
@@ -481,7 +490,7 @@ def stream_delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = _BreaksHalfway(f"{folder}/topic")
     outbox = Outbox(f"{folder}/outbox", sink, sink.since, bucket_rows=200)
     for part in _thirds(logs.request_payloads(spark, sf_dir)):
-        part.write.mode("append").parquet(log)
+        _append(part, log)
         requests = as_requests(decode_requests(folder_stream(spark, log)).valid)
         for _ in range(2):
             try:
