@@ -245,3 +245,37 @@ def test_a_micro_batch_tells_the_driver_of_few_ranges(spark, tmp_path, monkeypat
     table.step(spark.createDataFrame(rows, PARTED), 0)
     assert told == [1]
     assert sorted(time for _, time in fired) == [n * 1_000 + 30_000 for n in range(68)]
+
+
+def test_what_is_used_several_times_is_kept_in_few_partitions(spark, tmp_path, log, want):
+    """A small micro-batch does not run a task per shuffle partition each time that it looks at its rows."""
+    seen = []
+    table = table_sink(f"{tmp_path}/ready")
+
+    def sink(records, batch_id):
+        seen.append(records.rdd.getNumPartitions())
+        table(records, batch_id)
+
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        for start in (0, 1_000):
+            _append(log, tmp_path, start, start + 1_000)
+            _replay(spark, tmp_path, [sink])
+        _finish(spark, tmp_path, [sink])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert len(seen) > 1 and max(seen) < 16
+    assert _ready(spark, tmp_path) == want
+
+
+def test_requests_are_put_in_order_once(spark, tmp_path):
+    from tocsin.streaming.replay import Marks
+
+    rows = [(f"id{n}", n * 1_000, (0, n), None) for n in range(100)]
+    read, latest, arrived, _ = PendingTable(f"{tmp_path}/pending", [])._read(spark.createDataFrame(rows, PARTED), Marks())
+    try:
+        assert (latest, arrived, read.count()) == ({"0": 99_000}, 100, 100)
+        assert read.storageLevel.useMemory
+    finally:
+        read.unpersist()

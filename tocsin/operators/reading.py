@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from tocsin.operators.slices import Slices, assign_slices, plan_slices
 
 # Offsets of a partition that one task goes through.
-OFFSETS_PER_TASK = 1_000_000
+OFFSETS_PER_TASK = 250_000
 
 
 def part_of(requests: DataFrame) -> Column:

@@ -41,6 +41,7 @@ from tocsin.operators.records import ready_records
 from tocsin.operators.resolve import judge, plan_history
 from tocsin.operators.slices import TARGET_ROWS
 from tocsin.schema import FIRED, PENDING, REQUESTED, STALE, SUPERSEDED
+from tocsin.session import CACHE_CONF, apply_conf
 from tocsin.sources.inputs import log_order, with_heartbeat
 from tocsin.sources.outputs import Sink
 from tocsin.streaming.calendar import AHEAD, IN_VAIN, TAKEN_BACK, WAITS, Calendar, Run
@@ -170,12 +171,19 @@ class PendingTable:
             floor = latest.get(row.part, _NEVER)
             floors.append((row.part, row.range, floor))
             latest[row.part] = max(row.latest, floor)
-        return (carried_on(usable, floors, ranges) if falls else usable), latest, arrived, late
+        if falls:
+            # Putting requests in order sorts them, and they are looked at several times. Two stages of
+            # one job would both do it, so it is done ahead of them.
+            usable = carried_on(usable, floors, ranges).persist(StorageLevel.MEMORY_AND_DISK)
+            usable.count()
+        return usable, latest, arrived, late
 
     def step(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
+        apply_conf(spark, CACHE_CONF)
         before = (self._marks(spark, batch_id - 1) if batch_id > 0 else None) or Marks()
-        log = self._log(rows).persist(StorageLevel.MEMORY_AND_DISK)
+        log = decoded = self._log(rows).persist(StorageLevel.MEMORY_AND_DISK)
+        read = None
         try:
             if "reason" in log.columns:
                 self._set_aside(log, batch_id)
@@ -207,7 +215,9 @@ class PendingTable:
                 new = new.where(F.col("arrival_ms") > before.horizon)
             self._advance(new, arrived, before, marks, batch_id)
         finally:
-            log.unpersist()
+            if read is not None:
+                read.unpersist()
+            decoded.unpersist()
 
     def _audit(self, read: DataFrame, batch_id: int) -> None:
         scheduled = self._scheduled(read)
@@ -256,6 +266,7 @@ class PendingTable:
 
     def _advance(self, new: DataFrame, arrived: int, before: Marks, marks: Marks, number: int) -> None:
         spark = new.sparkSession
+        apply_conf(spark, CACHE_CONF)
         seq = StructField("seq", new.schema["seq"].dataType)
         stored = self.calendar.rows(spark, seq, before.runs)
         known = self._known(new, stored, arrived, before, marks)
