@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -94,6 +95,26 @@ def test_frequent_words_outlast_a_full_cache(library, monkeypatch):
     assert [learnt.count(word) for word in ("ofthe", "éçèê", "<|endoftext|>")] == [1, 1, 1]
 
 
+def test_new_words_of_known_fragments_take_no_call_each(library):
+    """The fragments of all new words of a batch are looked up together."""
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        codec = bpe.Codec(file.read())
+    chance = random.Random(5)
+    words = ["".join(chance.choices("éçèê", k=12)) for _ in range(3_000)]
+    codec.encode(words[:1_000])
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(frame.f_code.co_name) if event == "call" else None)
+    try:
+        ids, ends = codec.encode([*words[1_000:], "<|endoftext|>"])
+    finally:
+        sys.setprofile(None)
+    # A call for each text, one for each new word to give it its number, and few besides.
+    assert calls.count("__missing__") > 1_900
+    assert len(calls) - 3 * 2_001 < 200
+    for i, word in enumerate([*words[1_000:], "<|endoftext|>"]):
+        assert ids[ends[i] : ends[i + 1]].tolist() == library.encode(word, add_special_tokens=False).ids
+
+
 def test_long_words_do_not_pile_up(library):
     """What is remembered is bounded by bytes, not by words, also where words are cut."""
     with open(tokenizer_path(), encoding="utf-8") as file:

@@ -19,7 +19,8 @@ import re
 import sys
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from itertools import chain, compress
 from operator import attrgetter
 
@@ -76,6 +77,28 @@ class Places(dict):
         return number
 
 
+class Fragments(dict):
+    """Ids of fragments, encoded as they are met; `held` is the bytes they are counted with."""
+
+    def __init__(self, encode: Callable[[bytes], list[int]]) -> None:
+        super().__init__()
+        self.encode = encode
+        self.held = 0
+
+    def __missing__(self, fragment: bytes) -> list[int]:
+        ids = self[fragment] = self.encode(fragment)
+        self.held += _ENTRY_BYTES + len(fragment) + 8 * len(ids)
+        return ids
+
+
+def _merged(is_second: np.ndarray, sizes: np.ndarray, first, second) -> np.ndarray:
+    """Ids of two kinds in the order in which their owners stand."""
+    flat = np.empty(int(sizes.sum()), dtype=np.int32)
+    of_second = np.repeat(is_second, sizes)
+    flat[~of_second], flat[of_second] = first, second
+    return flat
+
+
 class Codec:
     """One tokenizer file, ready to encode inside a worker."""
 
@@ -113,9 +136,14 @@ class Codec:
         return seen
 
     def _forget(self) -> None:
-        self.known: dict[tuple[bytes, bool], list[int]] = {}
+        self._forget_fragments()
         self._keep([], np.empty(0, np.int32), *(np.empty(0, np.int64) for _ in range(3)))
 
+    def _forget_fragments(self) -> None:
+        """Of those that end no word and those that do; a special token counts as one of these."""
+        self.known = tuple(Fragments(partial(self._ids, final=final)) for final in (False, True))
+        self.known[True].update((token.encode(), [number]) for token, number in self.special.items())
+
     def _keep(self, words: list[str], flat: np.ndarray, sizes: np.ndarray, costs: np.ndarray, uses: np.ndarray) -> None:
         """Remember these words: ids of all one after another, and of each how many they are, the
         bytes it is counted with and how often it was met."""
@@ -135,17 +163,22 @@ class Codec:
         sizes = np.diff(starts)
         chosen = np.repeat(np.isin(np.arange(len(words)), kept), sizes)
         flat = np.array(self.flat)[chosen]
-        self.known = {}
+        self._forget_fragments()
         self._keep([words[i] for i in kept.tolist()], flat, sizes[kept], costs[kept], self.uses[kept] // 2)
 
-    def cuts(self, words: list[bytes]) -> list[list[int]]:
-        """For each word, the places where two neighbouring bytes share no token."""
-        whole = np.frombuffer(b"".join(words), np.uint8).astype(np.uint16)
-        ends = np.cumsum([len(word) for word in words])
+    def _places_apart(self, joined: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places in joined words where two neighbouring bytes of a word share no token, and the
+        word of each."""
+        whole = np.frombuffer(joined, np.uint8).astype(np.uint16)
         apart = ~self.joined[whole[:-1] << 8 | whole[1:]]
         apart[ends[:-1] - 1] = False
         places = np.flatnonzero(apart) + 1
-        owner = np.searchsorted(ends, places, side="right")
+        return places, np.searchsorted(ends, places, side="right")
+
+    def cuts(self, words: list[bytes]) -> list[list[int]]:
+        """For each word, the places where two neighbouring bytes share no token."""
+        ends = np.cumsum([len(word) for word in words])
+        places, owner = self._places_apart(b"".join(words), ends)
         cuts: list[list[int]] = [[] for _ in words]
         for word, place in zip(owner.tolist(), (places - (ends - np.diff(ends, prepend=0))[owner]).tolist()):
             cuts[word].append(place)
@@ -155,13 +188,6 @@ class Codec:
         spelled = fragment.decode("latin-1").translate(self.spelling)
         return [token.id for token in (self.last if final else self.inner).tokenize(spelled)]
 
-    def _fragment_ids(self, fragment: bytes, final: bool) -> list[int]:
-        ids = self.known.get((fragment, final))
-        if ids is None:
-            ids = self.known[fragment, final] = self._ids(fragment, final)
-            self.held += _ENTRY_BYTES + len(fragment) + 8 * len(ids)
-        return ids
-
     def _whole_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words that are not cut, one after another, and how many each has."""
         # No word holds a blank.
@@ -174,28 +200,38 @@ class Codec:
     def _learn(self, words: list[str]) -> None:
         """Encode words met for the first time, which have their places already."""
         raw = list(map(str.encode, words))
-        cuts = self.cuts(raw)
-        is_apart = np.fromiter(map(bool, cuts), bool, len(cuts))
-        is_apart[[i for i, word in enumerate(words) if word in self.special]] = True
-        apart: dict[int, list[int]] = {i: [] for i in np.flatnonzero(is_apart).tolist()}
-        for i, ids in apart.items():
-            if words[i] in self.special:
-                ids.append(self.special[words[i]])
-                continue
-            for begin, end in zip([0, *cuts[i]], cuts[i]):
-                ids += self._fragment_ids(raw[i][begin:end], False)
-            ids += self._fragment_ids(raw[i][cuts[i][-1] :], True)
-        whole, counts = self._whole_ids(list(compress(raw, ~is_apart)))
-        sizes = np.empty(len(words), dtype=np.int64)
-        sizes[is_apart], sizes[~is_apart] = list(map(len, apart.values())), counts
-        flat = np.empty(int(sizes.sum()), dtype=np.int32)
-        of_apart = np.repeat(is_apart, sizes)
-        flat[of_apart], flat[~of_apart] = list(chain.from_iterable(apart.values())), whole
-        costs = _ENTRY_BYTES + 4 * sizes + np.fromiter(map(len, raw), np.int64, len(raw))
+        joined = b"".join(raw)
+        letters = np.fromiter(map(len, raw), np.int64, len(raw))
+        ends = np.cumsum(letters)
+        is_special = np.zeros(len(words), dtype=bool)
+        first = len(self.place) - len(words)
+        is_special[[at - first for at in map(self.place.get, self.special) if at is not None and at >= first]] = True
+        cuts, owner = self._places_apart(joined, ends)
+        # Special tokens are not cut.
+        cuts, owner = cuts[~is_special[owner]], owner[~is_special[owner]]
+        is_apart = is_special.copy()
+        is_apart[owner] = True
+        # Fragments follow one another, so the n-th begin and the n-th stop belong together.
+        begins = np.sort(np.concatenate([(ends - letters)[is_apart], cuts]))
+        stops = np.sort(np.concatenate([ends[is_apart], cuts]))
+        final = np.isin(stops, ends, assume_unique=True)
+        counts = np.empty(len(stops), dtype=np.int64)
+        found = []
+        self.held -= sum(known.held for known in self.known)
+        for known, chosen in zip(self.known, (~final, final)):
+            pieces = map(slice, begins[chosen].tolist(), stops[chosen].tolist())
+            found.append(list(map(known.__getitem__, map(joined.__getitem__, pieces))))
+            counts[chosen] = np.fromiter(map(len, found[-1]), np.int64, len(found[-1]))
+        of_parts = _merged(final, counts, *(list(chain.from_iterable(ids)) for ids in found))
+        sizes = np.zeros(len(words), dtype=np.int64)
+        np.add.at(sizes, np.searchsorted(ends, begins, side="right"), counts)
+        of_whole, sizes[~is_apart] = self._whole_ids(list(compress(raw, (~is_apart).tolist())))
+        flat = _merged(is_apart, sizes, of_whole, of_parts)
+        costs = _ENTRY_BYTES + 4 * sizes + letters
         self.starts.frombytes((self.starts[-1] + np.cumsum(sizes)).tobytes())
         self.flat.frombytes(flat.tobytes())
         self.costs.frombytes(costs.tobytes())
-        self.held += int(costs.sum())
+        self.held += int(costs.sum()) + sum(known.held for known in self.known)
 
     def _part_words(self, text: str) -> list[str]:
         if text.isascii() or not self.beyond_plain.search(text):
