@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -9,8 +11,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from simulator import play
 
-from tocsin.operators.expected import gone_off, mismatches
+from tocsin.operators.expected import _held_sliced, _held_unsliced, gone_off, mismatches
 from tocsin.operators.resolve import resolve, timer_outcomes
+from tocsin.operators.slices import Slices
 from tocsin.schema import FIXED_DELAY
 
 END = 10_000_000
@@ -155,3 +158,32 @@ def test_no_slices_without_hot_ids(spark, hot_log):
 
     assert plan_slices(hot_log, ORDER, 30_000, target_rows=50_000) is None
     assert plan_slices(hot_log.where("id != 'hot'"), ORDER, 20_000, target_rows=500) is None
+
+
+def test_the_search_for_a_slice_is_planned_once_however_many_cuts(spark):
+    """With each cut more the optimizer had more to write out, on the driver; 30,000 cuts took it half a minute."""
+    log = spark.range(300).selectExpr(
+        "if(id % 3 = 0, 'hot', string(id)) as id", "id * 10 as arrival_ms", "id as seq", "id * 10 + 300 as exec_ms")
+    found = {}
+    for n in (20, 30_000):
+        cuts = [("hot", [(3_000 * i // n, 0, i) for i in range(n)])]
+        table = spark.createDataFrame(cuts, "id string, _cuts array<struct<t:bigint,kind:int,seq:bigint>>")
+        begun = time.monotonic()
+        held = _held_sliced(log, Slices(table, n), END)
+        plan = held._jdf.queryExecution().sparkPlan().toString()
+        assert plan and time.monotonic() - begun < 10
+        found[n] = sorted(map(tuple, held.collect()))
+    assert found[20] == found[30_000] == sorted(map(tuple, _held_unsliced(log, END).collect()))
+
+
+def test_the_points_of_a_line_are_shuffled_once(spark):
+    """What a slice starts from is read off the same exchange."""
+    log = spark.range(300).selectExpr("'hot' as id", "id * 10 as arrival_ms", "id as seq", "id * 10 + 300 as exec_ms")
+    table = spark.createDataFrame([("hot", [(1_000, 0, 7)])], "id string, _cuts array<struct<t:bigint,kind:int,seq:bigint>>")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _held_sliced(log, Slices(table, 1), END)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert plan.count("REPARTITION_BY_COL") - len(re.findall("ReusedExchange.*REPARTITION_BY_COL", plan)) == 1

@@ -80,12 +80,15 @@ def _held_unsliced(scheduled: DataFrame, as_of: int) -> DataFrame:
 def _carried(placed: DataFrame, slices: Slices) -> DataFrame:
     """For each slice, what its id held when the slice began; at most one row per cut.
 
-    `placed` is partitioned by slice already, so only a row per slice is shuffled.
+    `placed` is partitioned by slice already, so only a row per slice is shuffled. The join lets nulls
+    meet, of which there are none among the slices: one that does not would filter `placed` first, which
+    would then be shuffled a second time for that.
     """
     request = F.col("kind") == 0
-    last_held = placed.groupBy("id", "_slice").agg(
+    last_held = placed.groupBy(F.col("id").alias("_id"), F.col("_slice").alias("_of")).agg(
         F.max_by(F.when(request, F.col("held")), F.when(request, F.struct("t", "seq"))).alias("last_held")
     )
+    its_own = F.col("id").eqNullSafe(F.col("_id")) & F.col("_slice").eqNullSafe(F.col("_of"))
     before = (
         Window.partitionBy("id")
         .orderBy("_slice")
@@ -93,7 +96,7 @@ def _carried(placed: DataFrame, slices: Slices) -> DataFrame:
     )
     return (
         slice_list(slices)
-        .join(last_held, ["id", "_slice"], "left")
+        .join(last_held, its_own, "left")
         .select("id", "_slice", F.last("last_held", ignorenulls=True).over(before).alias("carried"))
     )
 

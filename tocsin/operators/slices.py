@@ -66,7 +66,8 @@ def assign_slices(
     """Add `_slice` (null for ids without cuts) and `_next_cut`, the start of the next slice.
 
     The slice is the number of cuts at or before the position, found by a binary search. Each
-    step is a projection of its own, which keeps the search in generated code.
+    step is a projection of its own, which keeps the search in generated code. A filter on the slice
+    must not move below them: the optimizer would put each step into the next one, twice.
     """
     how = "inner" if hot_only else "left"
     placed = (
@@ -83,6 +84,7 @@ def assign_slices(
         placed.withColumn("_slice", F.when(F.col("_cuts").isNotNull(), passed))
         .withColumn("_next_cut", F.get("_cuts", passed))
         .drop("_cuts", "_position")
+        .withColumn("_slice", F.explode(F.array("_slice")))
     )
 
 
